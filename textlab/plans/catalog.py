@@ -32,3 +32,342 @@ def eda_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("token_stats")
 def q_token_stats(spark, sf_dir):
     return profile.token_stats(eda_frame(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# helpers
+# ---------------------------------------------------------------------------
+def R(c, d: int = 9) -> F.Column:
+    """Round a float result so sums taken in another order still compare equal."""
+    return F.round(F.col(c) if isinstance(c, str) else c, d)
+
+
+def raw_corpus_na(spark, sf_dir):
+    from ..sources.readers import CORPUS_COLUMNS, with_na_tokens
+    return with_na_tokens(fx.raw_corpus(spark, sf_dir), CORPUS_COLUMNS)
+
+
+def parsed_corpus(spark, sf_dir):
+    return ingest.parse_corpus(raw_corpus_na(spark, sf_dir), check=False).drop("_ord")
+
+
+def parsed_split(spark, sf_dir):
+    return ingest.parse_split(fx.raw_split(spark, sf_dir)).drop("_ord")
+
+
+def scored(spark, sf_dir, with_text=False):
+    return fx.scored_fixture(spark, sf_dir, with_text)
+
+
+# ---------------------------------------------------------------------------
+# S5, P1, P2, P4, F1-F9, W1, J1, U1
+# ---------------------------------------------------------------------------
+@query("null_tokens")
+def q_null_tokens(spark, sf_dir):
+    return raw_corpus_na(spark, sf_dir).select("doc_id", "record_id", "article_id", "keyword", "country", "raw_label")
+
+
+@query("valid_records")
+def q_valid_records(spark, sf_dir):
+    return parsed_corpus(spark, sf_dir)
+
+
+@query("valid_test_records")
+def q_valid_test_records(spark, sf_dir):
+    from ..sources.readers import TEST_COLUMNS, with_na_tokens
+    raw = with_na_tokens(fx.raw_test(spark, sf_dir), TEST_COLUMNS)
+    return ingest.parse_test(raw, check=False).drop("_ord")
+
+
+@query("clean_text")
+def q_clean_text(spark, sf_dir):
+    (docs,) = fx.tables(spark, sf_dir, "documents")
+    return docs.select("doc_id", T.clean_text("text").alias("text"))
+
+
+@query("article_id")
+def q_article_id(spark, sf_dir):
+    from ..functions.labels import article_id
+    return raw_corpus_na(spark, sf_dir).select(
+        "doc_id", F.col("article_id").alias("article_id_raw"),
+        # double: a null-bearing integer column compares the same way in both engines
+        article_id("article_id").cast("double").alias("article_id"),
+    )
+
+
+@query("coerce_label")
+def q_coerce_label(spark, sf_dir):
+    from ..functions.labels import to_label
+    return raw_corpus_na(spark, sf_dir).select("doc_id", "raw_label", to_label("raw_label").cast("double").alias("label"))
+
+
+@query("severity_label")
+def q_severity_label(spark, sf_dir):
+    return parsed_corpus(spark, sf_dir).select("record_id", "raw_label", "binary_label_raw")
+
+
+@query("binarize_label")
+def q_binarize_label(spark, sf_dir):
+    from ..functions.labels import binarize_label, label_raw
+    raw = fx.raw_split(spark, sf_dir, with_duplicates=False)
+    return raw.select(
+        F.col("par_id").cast("bigint").alias("record_id"),
+        label_raw("label").alias("label_raw"),
+        binarize_label("label").alias("binary_label"),
+    )
+
+
+@query("token_count")
+def q_token_count(spark, sf_dir):
+    (docs,) = fx.tables(spark, sf_dir, "documents")
+    return docs.select("doc_id", T.token_count(T.clean_text("text")).alias("token_count"))
+
+
+@query("enrich_text")
+def q_enrich_text(spark, sf_dir):
+    c = parsed_corpus(spark, sf_dir)
+    return c.select("record_id", T.enrich_text("keyword", "country", "text").alias("text"))
+
+
+@query("truncate_tokens")
+def q_truncate_tokens(spark, sf_dir):
+    c = parsed_corpus(spark, sf_dir)
+    return c.select("record_id", T.truncate_tokens(T.enrich_text("keyword", "country", "text"), 256).alias("text"))
+
+
+@query("dedupe_keep_last")
+def q_dedupe_keep_last(spark, sf_dir):
+    return parsed_split(spark, sf_dir)
+
+
+@query("labelled_split")
+def q_labelled_split(spark, sf_dir):
+    j = ingest.labelled_split(parsed_split(spark, sf_dir), parsed_corpus(spark, sf_dir))
+    return j.withColumn("article_id", F.col("article_id").cast("double"))
+
+
+@query("missing_after_join")
+def q_missing_after_join(spark, sf_dir):
+    split = parsed_split(spark, sf_dir).withColumn("split", F.expr(fx.SPLIT.replace("doc_id", "record_id")))
+    return ingest.check_missing(ingest.labelled_split(split, parsed_corpus(spark, sf_dir)))
+
+
+@query("union_splits")
+def q_union_splits(spark, sf_dir):
+    s = fx.split_labels(spark, sf_dir).drop("split")
+    c = fx.corpus(spark, sf_dir)
+    train = ingest.labelled_split(s.filter("record_id % 10 < 8"), c)
+    dev = ingest.labelled_split(s.filter("record_id % 10 = 8"), c)
+    return ingest.union_splits(train=train, dev=dev).select("record_id", "binary_label", "split", "text")
+
+
+# ---------------------------------------------------------------------------
+# A1-A7
+# ---------------------------------------------------------------------------
+@query("split_summary")
+def q_split_summary(spark, sf_dir):
+    return profile.split_summary(eda_frame(spark, sf_dir)).withColumn("positive_rate", R("positive_rate"))
+
+
+@query("class_counts")
+def q_class_counts(spark, sf_dir):
+    return profile.class_counts(eda_frame(spark, sf_dir))
+
+
+@query("class_distribution")
+def q_class_distribution(spark, sf_dir):
+    return profile.class_pivot(eda_frame(spark, sf_dir))
+
+
+@query("token_p99")
+def q_token_p99(spark, sf_dir):
+    return profile.token_quantile(eda_frame(spark, sf_dir), 0.99).withColumn("p99", R("p99"))
+
+
+@query("top_repeated_texts")
+def q_top_repeated_texts(spark, sf_dir):
+    return profile.top_repeated_texts(eda_frame(spark, sf_dir), 20)
+
+
+@query("kde_token_count")
+def q_kde_token_count(spark, sf_dir):
+    k = profile.grouped_kde(eda_frame(spark, sf_dir), "token_count", "binary_label")
+    return k.withColumns({"x": R("x"), "density": R("density", 12)})
+
+
+@query("kde_score")
+def q_kde_score(spark, sf_dir):
+    from ..functions.scores import outcome_group
+    df = scored(spark, sf_dir).withColumn("group", outcome_group())
+    k = profile.grouped_kde(df, "score", "group")
+    return k.withColumns({"x": R("x"), "density": R("density", 9)})
+
+
+# ---------------------------------------------------------------------------
+# Evaluation on the exact fixture score: P5, F10-F13, A8-A16, W2-W4, M4, M5
+# ---------------------------------------------------------------------------
+SCORED_COLS = ["record_id", "y_true", "y_pred", "score"]
+
+
+@query("false_positives")
+def q_false_positives(spark, sf_dir):
+    from ..operators.evaluate import mistakes
+    return mistakes(scored(spark, sf_dir), "fp").select(*SCORED_COLS)
+
+
+@query("false_negatives")
+def q_false_negatives(spark, sf_dir):
+    from ..operators.evaluate import mistakes
+    return mistakes(scored(spark, sf_dir), "fn").select(*SCORED_COLS)
+
+
+@query("softmax_prob")
+def q_softmax_prob(spark, sf_dir):
+    from ..functions.scores import softmax2
+    return scored(spark, sf_dir).select("record_id", R(softmax2("l0", "l1"), 12).alias("prob_pos"))
+
+
+@query("apply_threshold")
+def q_apply_threshold(spark, sf_dir):
+    from ..functions.scores import apply_threshold
+    return scored(spark, sf_dir).select("record_id", apply_threshold("score", 0.5).alias("y_pred"))
+
+
+@query("mistake_strength")
+def q_mistake_strength(spark, sf_dir):
+    from ..functions.scores import mistake_strength
+    df = scored(spark, sf_dir).filter("y_true <> y_pred")
+    return df.select("record_id", "y_true", "y_pred", mistake_strength("score").alias("mistake_strength"))
+
+
+@query("outcome_groups")
+def q_outcome_groups(spark, sf_dir):
+    from ..functions.scores import outcome_group
+    df = scored(spark, sf_dir).withColumn("group", outcome_group())
+    return df.groupBy("group").agg(F.count(F.lit(1)).cast("bigint").alias("rows"))
+
+
+@query("confusion_matrix")
+def q_confusion_matrix(spark, sf_dir):
+    from ..operators.evaluate import confusion_counts
+    return confusion_counts(scored(spark, sf_dir))
+
+
+@query("binary_metrics")
+def q_binary_metrics(spark, sf_dir):
+    from ..operators.evaluate import binary_metrics
+    return binary_metrics(scored(spark, sf_dir))
+
+
+@query("classification_report")
+def q_classification_report(spark, sf_dir):
+    from ..operators.evaluate import classification_report
+    return classification_report(scored(spark, sf_dir))
+
+
+@query("metrics_at_half")
+def q_metrics_at_half(spark, sf_dir):
+    from ..functions.scores import softmax2
+    from ..operators.evaluate import metrics_at
+    return metrics_at(scored(spark, sf_dir).withColumn("prob_pos", softmax2("l0", "l1")), 0.5)
+
+
+@query("pred_positive_rate")
+def q_pred_positive_rate(spark, sf_dir):
+    from ..operators.evaluate import pred_positive_rate
+    return pred_positive_rate(scored(spark, sf_dir)).withColumn("positive_rate_pred", R("positive_rate_pred"))
+
+
+@query("class_weights")
+def q_class_weights(spark, sf_dir):
+    from ..operators.linear import class_weights
+    return class_weights(scored(spark, sf_dir).filter("split = 'train'"), "y_true")
+
+
+@query("weighted_log_loss")
+def q_weighted_log_loss(spark, sf_dir):
+    from ..operators.evaluate import weighted_log_loss
+    from ..operators.linear import class_weights
+    df = scored(spark, sf_dir)
+    w = class_weights(df.filter("split = 'train'"), "y_true")
+    return weighted_log_loss(df, w).select(R("loss").alias("loss"), R("weight_sum").alias("weight_sum"))
+
+
+@query("local_evaluation")
+def q_local_evaluation(spark, sf_dir):
+    from ..operators.evaluate import local_evaluation
+    return local_evaluation(scored(spark, sf_dir))
+
+
+@query("category_recall")
+def q_category_recall(spark, sf_dir):
+    from ..operators.evaluate import category_recall
+    return category_recall(scored(spark, sf_dir)).withColumn("recall", R("recall"))
+
+
+def _top(spark, sf_dir, kind):
+    from ..operators.evaluate import top_mistakes
+    t = top_mistakes(scored(spark, sf_dir, with_text=True), kind)
+    return t.select("record_id", "y_true", "y_pred", "score", "mistake_strength", "text")
+
+
+@query("top_false_positives")
+def q_top_false_positives(spark, sf_dir):
+    return _top(spark, sf_dir, "fp")
+
+
+@query("top_false_negatives")
+def q_top_false_negatives(spark, sf_dir):
+    return _top(spark, sf_dir, "fn")
+
+
+@query("threshold_adaptive")
+def q_threshold_adaptive(spark, sf_dir):
+    from ..operators.threshold import best_threshold_adaptive
+    return best_threshold_adaptive(scored(spark, sf_dir), "score")
+
+
+@query("threshold_fixed")
+def q_threshold_fixed(spark, sf_dir):
+    from ..functions.scores import softmax2
+    from ..operators.threshold import best_threshold_fixed
+    df = scored(spark, sf_dir).withColumn("prob_pos", softmax2("l0", "l1"))
+    return best_threshold_fixed(df, "prob_pos").withColumn("f1", R("f1", 12))
+
+
+# Candidate scorers of the fixture for the leaderboard, in model order.
+LEADERBOARD_CANDIDATES = [
+    ("score", "score"),
+    ("prob", None),
+    ("inverse", "1 - score"),
+]
+
+
+@query("leaderboard")
+def q_leaderboard(spark, sf_dir):
+    from ..functions.scores import softmax2
+    from ..operators.evaluate import leaderboard
+    from ..operators.threshold import best_threshold_adaptive
+    df = scored(spark, sf_dir)
+    rows = []
+    for pos, (name, expr) in enumerate(LEADERBOARD_CANDIDATES):
+        s = softmax2("l0", "l1") if expr is None else F.expr(expr)
+        best = best_threshold_adaptive(df.withColumn("_s", s), "_s").first()
+        rows.append((name, pos, float(best["f1"]), float(best["threshold"])))
+    cands = spark.createDataFrame(rows, "model string, position int, f1 double, threshold double")
+    return leaderboard(cands).withColumn("threshold", R("threshold", 12))
+
+
+@query("best_checkpoint")
+def q_best_checkpoint(spark, sf_dir):
+    from ..functions.scores import apply_threshold, softmax2
+    from ..operators.evaluate import best_checkpoint, binary_metrics
+    df = scored(spark, sf_dir).withColumns({
+        "step": (F.col("record_id") % 10).cast("int"),
+        "_pred": apply_threshold(softmax2("l0", "l1"), 0.5),
+    })
+    hist = binary_metrics(df, "y_true", "_pred", by=["step"]).select(
+        "step", F.col("f1").alias("f1_pos"), F.col("precision").alias("precision_pos"),
+        F.col("recall").alias("recall_pos"),
+    )
+    return best_checkpoint(hist, "f1_pos", "step")
