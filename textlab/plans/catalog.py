@@ -38,8 +38,13 @@ def q_token_stats(spark, sf_dir):
 # helpers
 # ---------------------------------------------------------------------------
 def R(c, d: int = 9) -> F.Column:
-    """Round a float result so sums taken in another order still compare equal."""
-    return F.round(F.col(c) if isinstance(c, str) else c, d)
+    """Round a float result so sums taken in another order still compare equal.
+
+    Rounded as round(x * 10^d) -> bigint -> / 10^d: integer steps plus one IEEE
+    division, so every engine lands on the same double.
+    """
+    scale = F.lit(float(10 ** d))
+    return F.round((F.col(c) if isinstance(c, str) else c) * scale).cast("bigint") / scale
 
 
 def raw_corpus_na(spark, sf_dir):
@@ -371,3 +376,253 @@ def q_best_checkpoint(spark, sf_dir):
         F.col("recall").alias("recall_pos"),
     )
     return best_checkpoint(hist, "f1_pos", "step")
+
+
+# ---------------------------------------------------------------------------
+# TF-IDF on the labelled train split, transform of dev + test
+# ---------------------------------------------------------------------------
+# A coefficient rule and bias that give a model without training,
+# so the decision score (M3) and the model round trip (K5) have an SQL oracle.
+FIXED_COEF = "cast(((length(term) * 7) % 11 - 5) as double) / cast(10 as double)"
+FIXED_BIAS = -0.25
+
+
+def train_docs(spark, sf_dir):
+    s = fx.split_labels(spark, sf_dir)
+    return ingest.labelled_split(s.filter("split = 'train'"), fx.corpus(spark, sf_dir))
+
+
+def dev_docs(spark, sf_dir):
+    s = fx.split_labels(spark, sf_dir)
+    return ingest.labelled_split(s.filter("split = 'dev'"), fx.corpus(spark, sf_dir))
+
+
+def dev_test_docs(spark, sf_dir):
+    dev = dev_docs(spark, sf_dir).select("record_id", "text")
+    return dev.unionByName(fx.test_docs(spark, sf_dir).select("record_id", "text"))
+
+
+@query("normalize_text")
+def q_normalize_text(spark, sf_dir):
+    (docs,) = fx.tables(spark, sf_dir, "documents")
+    return docs.select("doc_id", T.normalize_text(T.clean_text("text")).alias("text"))
+
+
+@query("word_tokens")
+def q_word_tokens(spark, sf_dir):
+    (docs,) = fx.tables(spark, sf_dir, "documents")
+    tok = T.word_tokens(T.normalize_text(T.clean_text("text")))
+    # joined with '|' (never a word character) so both engines compare one string
+    return docs.select("doc_id", F.size(tok).alias("n_tokens"), F.array_join(tok, "|").alias("tokens"))
+
+
+@query("ngrams")
+def q_ngrams(spark, sf_dir):
+    (docs,) = fx.tables(spark, sf_dir, "documents")
+    terms = T.ngrams_1_2(T.word_tokens(T.normalize_text(T.clean_text("text"))))
+    return docs.select("doc_id", F.size(terms).alias("n_terms"), F.array_join(terms, "|").alias("terms"))
+
+
+@query("vocabulary")
+def q_vocabulary(spark, sf_dir):
+    from ..operators import tfidf
+    return tfidf.fit_vocabulary(train_docs(spark, sf_dir), "record_id").table.select("term", "idx", "df")
+
+
+@query("sublinear_tf")
+def q_sublinear_tf(spark, sf_dir):
+    from ..operators import tfidf
+    tc = tfidf.term_counts(tfidf.by_key(train_docs(spark, sf_dir), "record_id"), "record_id")
+    return tc.select("record_id", "term", "tf", R(tfidf.sublinear_tf("tf")).alias("sublinear_tf"))
+
+
+@query("idf")
+def q_idf(spark, sf_dir):
+    from ..operators import tfidf
+    v = tfidf.fit_vocabulary(train_docs(spark, sf_dir), "record_id")
+    return v.table.select("term", R("idf").alias("idf"))
+
+
+@query("tfidf")
+def q_tfidf(spark, sf_dir):
+    from ..operators import tfidf
+    tr = train_docs(spark, sf_dir)
+    v = tfidf.fit_vocabulary(tr, "record_id")
+    long = tfidf.to_long(tfidf.transform(tr, v, "record_id", keep_terms=True), "record_id")
+    return long.select("record_id", "term", R("weight").alias("weight"))
+
+
+@query("tfidf_transform")
+def q_tfidf_transform(spark, sf_dir):
+    from ..operators import tfidf
+    v = tfidf.fit_vocabulary(train_docs(spark, sf_dir), "record_id")
+    long = tfidf.to_long(tfidf.transform(dev_test_docs(spark, sf_dir), v, "record_id", keep_terms=True), "record_id")
+    return long.select("record_id", "term", R("weight").alias("weight"))
+
+
+def fixed_model(spark, sf_dir):
+    """A model with rule-given coefficients on the fitted train vocabulary."""
+    from ..operators import tfidf
+    from .pipeline import LinearModel
+    v = tfidf.fit_vocabulary(train_docs(spark, sf_dir), "record_id")
+    coef = v.table.select("idx", F.expr(FIXED_COEF).alias("coef"))
+    return LinearModel("fixed", v, coef, FIXED_BIAS, 0.0, {})
+
+
+@query("decision_score")
+def q_decision_score(spark, sf_dir):
+    m = fixed_model(spark, sf_dir)
+    return m.decision(dev_test_docs(spark, sf_dir), "record_id").select("record_id", R("score").alias("score"))
+
+
+# ---------------------------------------------------------------------------
+# M1, M2, M6, M7: training (no SQL oracle: iterative optimisation)
+# ---------------------------------------------------------------------------
+def _fit_one(spark, sf_dir, loss, C, name):
+    from ..operators import tfidf
+    from ..operators.linear import class_weights, fit_linear, training_rows
+    from .pipeline import coef_table
+    tr = train_docs(spark, sf_dir)
+    v = tfidf.fit_vocabulary(tr, "record_id")
+    rows = training_rows(tfidf.transform(tr, v, "record_id", carry=["binary_label"]),
+                         class_weights(tr, "binary_label"), "binary_label")
+    w, b, info = fit_linear(rows, v.size, loss, C)
+    coef = coef_table(spark, w).join(v.table.select("idx", "term"), "idx")
+    bias = spark.createDataFrame([(-1, "<bias>", b)], "idx int, term string, coef double")
+    return coef.select("idx", "term", "coef").unionByName(bias).withColumn("model", F.lit(name))
+
+
+@query("logreg_fit")
+def q_logreg_fit(spark, sf_dir):
+    from ..operators.linear import LOGREG_C
+    return _fit_one(spark, sf_dir, "logistic", LOGREG_C, "logreg")
+
+
+@query("linearsvc_fit")
+def q_linearsvc_fit(spark, sf_dir):
+    from ..operators.linear import SVM_C
+    return _fit_one(spark, sf_dir, "squared_hinge", SVM_C, "linearsvc")
+
+
+@query("model_selection")
+def q_model_selection(spark, sf_dir):
+    from .pipeline import select_model
+    _, board, _ = select_model(train_docs(spark, sf_dir), dev_docs(spark, sf_dir))
+    return board
+
+
+@query("score_test")
+def q_score_test(spark, sf_dir):
+    from .pipeline import score_split, select_model
+    best, _, _ = select_model(train_docs(spark, sf_dir), dev_docs(spark, sf_dir))
+    return score_split(best, fx.test_docs(spark, sf_dir)).select("record_id", "score", "y_pred")
+
+
+# ---------------------------------------------------------------------------
+# Write the derived fixture with Spark, read it back
+# ---------------------------------------------------------------------------
+def _tsv_fixture(df: DataFrame, path: str, columns) -> None:
+    """Fixture writer: tab-separated, quoted where needed, line breaks in text -> space."""
+    cols = [F.regexp_replace(F.col(c), r"[\r\n]", " ").alias(c) if c == "text" else F.col(c) for c in columns]
+    (df.orderBy("_ord").select(*cols).write.mode("overwrite")
+     .option("sep", "\t").option("quote", '"').option("escape", '"').option("header", False)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
+
+
+# Malformed lines appended to the corpus file: a disclaimer, a line with too
+# many fields and a line with too few; none of them survives ingestion.
+MALFORMED_CORPUS_LINES = [
+    "disclaimer line",
+    "1000000001\t@@7\tkw\tus\ttoo\tmany\t2\textra",
+    "1000000002\t@@8\tkw\tus",
+]
+
+
+@query("read_corpus_tsv")
+def q_read_corpus_tsv(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources.readers import CORPUS_COLUMNS, read_corpus
+    path = scratch_path(spark, "corpus")
+    _tsv_fixture(fx.raw_corpus(spark, sf_dir), f"{path}/main", CORPUS_COLUMNS)
+    spark.createDataFrame([(x,) for x in MALFORMED_CORPUS_LINES], "value string").write.mode(
+        "overwrite").text(f"{path}/malformed")
+    raw = read_corpus(spark, [f"{path}/main", f"{path}/malformed"])
+    return ingest.parse_corpus(raw).drop("_ord")
+
+
+@query("read_split_csv")
+def q_read_split_csv(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources.readers import read_split
+    path = scratch_path(spark, "split")
+    (fx.raw_split(spark, sf_dir).orderBy("_ord").select("par_id", "label").write.mode("overwrite")
+     .option("header", True).option("quote", '"').option("escape", '"').csv(path))
+    return ingest.parse_split(read_split(spark, path)).drop("_ord")
+
+
+@query("read_test_tsv")
+def q_read_test_tsv(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources.readers import TEST_COLUMNS, read_test
+    path = scratch_path(spark, "test")
+    _tsv_fixture(fx.raw_test(spark, sf_dir), path, TEST_COLUMNS)
+    return ingest.parse_test(read_test(spark, path)).drop("_ord")
+
+
+@query("read_scored")
+def q_read_scored(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources.readers import read_scored
+    from ..sources.sinks import write_scored
+    path = scratch_path(spark, "scored")
+    write_scored(scored(spark, sf_dir, with_text=True).select(*SCORED_COLS, "text"), path)
+    return read_scored(spark, path)
+
+
+@query("scored_dev")
+def q_scored_dev(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources.readers import read_scored
+    from ..sources.sinks import write_scored
+    path = scratch_path(spark, "scored-dev")
+    dev = scored(spark, sf_dir, with_text=True).filter("split = 'dev'").select(*SCORED_COLS, "text")
+    write_scored(dev, path, fmt="csv")
+    back = read_scored(spark, path, fmt="csv")
+    return back.select(
+        F.col("record_id").cast("bigint"), F.col("y_true").cast("int"), F.col("y_pred").cast("int"),
+        F.col("score").cast("double"), F.coalesce("text", F.lit("")).alias("text"),
+    )
+
+
+@query("scored_test")
+def q_scored_test(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources.sinks import write_scored
+    from .pipeline import score_split
+    path = scratch_path(spark, "scored-test")
+    m = fixed_model(spark, sf_dir)
+    write_scored(score_split(m, fx.test_docs(spark, sf_dir)), path)
+    back = spark.read.parquet(path)
+    return back.select("record_id", R("score").alias("score"), "y_pred")
+
+
+@query("prediction_lines")
+def q_prediction_lines(spark, sf_dir):
+    from ..operators.ordering import number_by_position
+    from ..session import scratch_path
+    from ..sources.sinks import read_lines, write_lines
+    path = scratch_path(spark, "lines")
+    write_lines(scored(spark, sf_dir), path, "y_pred", "record_id")
+    back = number_by_position(read_lines(spark, path), "_ord", "line")
+    return back.select("line", F.col("value").cast("int").alias("y_pred"))
+
+
+@query("model_roundtrip")
+def q_model_roundtrip(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources.sinks import load_model, save_model
+    path = scratch_path(spark, "model")
+    save_model(fixed_model(spark, sf_dir), path)
+    m = load_model(spark, path)
+    return m.decision(dev_test_docs(spark, sf_dir), "record_id").select("record_id", R("score").alias("score"))

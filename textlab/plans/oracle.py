@@ -172,7 +172,7 @@ FROM split s LEFT JOIN corpus c USING (record_id) WHERE s.split IN ('train', 'de
 # Profile
 # ---------------------------------------------------------------------------
 SQL["split_summary"] = with_(EDA) + """
-SELECT split, count(*)::BIGINT AS rows, round(avg(binary_label), 9) AS positive_rate FROM eda GROUP BY split"""
+SELECT split, count(*)::BIGINT AS rows, (round((avg(binary_label)) * 1e9)::BIGINT / 1e9) AS positive_rate FROM eda GROUP BY split"""
 
 SQL["class_counts"] = with_(EDA) + """
 SELECT split, binary_label, count(*)::BIGINT AS count FROM eda GROUP BY split, binary_label"""
@@ -182,7 +182,7 @@ SELECT split, count_if(binary_label = 0)::BIGINT AS label_0_no_pcl, count_if(bin
        count_if(binary_label = 1)::DOUBLE / count(*)::DOUBLE AS pcl_ratio
 FROM eda GROUP BY split"""
 
-SQL["token_p99"] = with_(EDA) + "SELECT round(quantile_cont(token_count, 0.99), 9) AS p99 FROM eda"
+SQL["token_p99"] = with_(EDA) + "SELECT (round((quantile_cont(token_count, 0.99)) * 1e9)::BIGINT / 1e9) AS p99 FROM eda"
 
 SQL["top_repeated_texts"] = with_(EDA) + """
 SELECT binary_label, text, count(*)::BIGINT AS frequency FROM eda
@@ -201,8 +201,8 @@ grid AS (
          CASE WHEN k = 199 THEN s1 ELSE s0 + k::DOUBLE * ((s1 - s0) / 199) END AS gx
   FROM gp, range(200) r(k)),
 vals AS (SELECT {group} AS g, {x}::DOUBLE AS v, count(*) AS c FROM {source} GROUP BY ALL)
-SELECT grid.g AS {group}, grid.k, round(grid.gx, 9) AS x,
-       round(sum(vals.c * exp(-0.5 * pow((grid.gx - vals.v) / grid.h, 2))) / (grid.n * grid.h * sqrt(2 * pi())), {digits}) AS density
+SELECT grid.g AS {group}, grid.k, (round((grid.gx) * 1e9)::BIGINT / 1e9) AS x,
+       (round((sum(vals.c * exp(-0.5 * pow((grid.gx - vals.v) / grid.h, 2))) / (grid.n * grid.h * sqrt(2 * pi()))) * 1e{digits})::BIGINT / 1e{digits}) AS density
 FROM grid JOIN vals USING (g)
 GROUP BY grid.g, grid.k, grid.gx, grid.n, grid.h"""
 
@@ -219,7 +219,7 @@ SQL["false_negatives"] = with_(SCORED) + "SELECT record_id, y_true, y_pred, scor
 
 SOFTMAX = "(exp(l1 - greatest(l0, l1)) / (exp(l0 - greatest(l0, l1)) + exp(l1 - greatest(l0, l1))))"
 
-SQL["softmax_prob"] = with_(SCORED) + f"SELECT record_id, round({SOFTMAX}, 12) AS prob_pos FROM scored"
+SQL["softmax_prob"] = with_(SCORED) + f"SELECT record_id, (round(({SOFTMAX}) * 1e12)::BIGINT / 1e12) AS prob_pos FROM scored"
 SQL["apply_threshold"] = with_(SCORED) + "SELECT record_id, (score >= 0.5)::INTEGER AS y_pred FROM scored"
 SQL["mistake_strength"] = with_(SCORED) + """
 SELECT record_id, y_true, y_pred, CASE WHEN y_pred = 1 THEN score ELSE -score END AS mistake_strength
@@ -263,7 +263,7 @@ SELECT {sdiv('2 * tp', '2 * tp + fp + fn')} AS f1_pos, {sdiv('tp', 'tp + fp')} A
        {sdiv('tp', 'tp + fn')} AS recall_pos FROM cm"""
 
 SQL["pred_positive_rate"] = with_(SCORED) + """
-SELECT split, round(avg(y_pred::DOUBLE), 9) AS positive_rate_pred FROM scored GROUP BY split"""
+SELECT split, (round((avg(y_pred::DOUBLE)) * 1e9)::BIGINT / 1e9) AS positive_rate_pred FROM scored GROUP BY split"""
 
 CW = """cw AS (
   SELECT 0 AS label, count_if(y_true = 0)::BIGINT AS count,
@@ -276,7 +276,7 @@ CW = """cw AS (
 SQL["class_weights"] = with_(SCORED, CW) + "SELECT label::INTEGER AS label, count, weight FROM cw"
 
 SQL["weighted_log_loss"] = with_(SCORED, CW) + """
-SELECT round(sum(w * nll) / sum(w), 9) AS loss, round(sum(w), 9) AS weight_sum FROM (
+SELECT (round((sum(w * nll) / sum(w)) * 1e9)::BIGINT / 1e9) AS loss, (round((sum(w)) * 1e9)::BIGINT / 1e9) AS weight_sum FROM (
   SELECT cw.weight AS w,
          greatest(l0, l1) + ln(exp(l0 - greatest(l0, l1)) + exp(l1 - greatest(l0, l1)))
            - CASE WHEN y_true = 1 THEN l1 ELSE l0 END AS nll
@@ -290,7 +290,7 @@ SELECT {sdiv('2 * tp', '2 * tp + fp + fn')} AS f1, {sdiv('tp', 'tp + fp')} AS pr
 SQL["category_recall"] = with_(SCORED, """ex AS (
   SELECT y_pred, unnest(vec) AS v, unnest(range(len(vec))) AS category
   FROM (SELECT y_pred, try_cast(label_raw AS INTEGER[]) AS vec FROM scored) WHERE vec IS NOT NULL)""") + """
-SELECT category::INTEGER AS category, count(*)::BIGINT AS support, round(avg(y_pred::DOUBLE), 9) AS recall
+SELECT category::INTEGER AS category, count(*)::BIGINT AS support, (round((avg(y_pred::DOUBLE)) * 1e9)::BIGINT / 1e9) AS recall
 FROM ex WHERE v = 1 GROUP BY category"""
 
 TOP = with_(SCORED, f"""sd AS (
@@ -328,14 +328,14 @@ FIXED_GRID = """, grid AS (
   FROM range(199) r(k))"""
 
 SQL["threshold_fixed"] = with_(SCORED, f"cand AS (SELECT 'm' AS model, y_true, {SOFTMAX} AS s FROM scored)") + \
-    FIXED_GRID.lstrip() + sweep_sql("cand", "grid") + "SELECT k, t AS threshold, tp, pp, round(f1, 12) AS f1 FROM best"
+    FIXED_GRID.lstrip() + sweep_sql("cand", "grid") + "SELECT k, t AS threshold, tp, pp, (round((f1) * 1e12)::BIGINT / 1e12) AS f1 FROM best"
 
 SQL["leaderboard"] = with_(SCORED, f"""cand AS (
   SELECT 'score' AS model, 0 AS position, y_true, score AS s FROM scored
   UNION ALL SELECT 'prob', 1, y_true, {SOFTMAX} FROM scored
   UNION ALL SELECT 'inverse', 2, y_true, 1 - score FROM scored)""") + ADAPTIVE_GRID.lstrip() + \
     sweep_sql("cand", "grid") + """
-SELECT b.model, c.position::INTEGER AS position, b.f1, round(b.t, 12) AS threshold,
+SELECT b.model, c.position::INTEGER AS position, b.f1, (round((b.t) * 1e12)::BIGINT / 1e12) AS threshold,
        row_number() OVER (ORDER BY b.f1 DESC, c.position)::INTEGER AS rank
 FROM best b JOIN (SELECT DISTINCT model, position FROM cand) c USING (model)"""
 
@@ -347,3 +347,100 @@ cm AS (
 SELECT step, {sdiv('2 * tp', '2 * tp + fp + fn')} AS f1_pos, {sdiv('tp', 'tp + fp')} AS precision_pos,
        {sdiv('tp', 'tp + fn')} AS recall_pos
 FROM cm ORDER BY f1_pos DESC, step LIMIT 1"""
+
+
+# ---------------------------------------------------------------------------
+# TF-IDF
+# ---------------------------------------------------------------------------
+TOKEN_RE2 = r"[\p{L}\p{N}_]{2,}"
+
+
+def normalized(col: str) -> str:
+    return f"strip_accents(lower({col}))"
+
+
+def analyze(src: str, name: str) -> str:
+    """(record_id, text) -> (record_id, term, tf) with the same analyzer."""
+    return f"""{name}_tk AS (
+  SELECT record_id, regexp_extract_all({normalized('text')}, '{TOKEN_RE2}') AS toks FROM {src}),
+{name}_tm AS (
+  SELECT record_id,
+         unnest(list_concat(toks, list_transform(range(1, len(toks)), lambda i: toks[i] || ' ' || toks[i + 1]))) AS term
+  FROM {name}_tk),
+{name}_tf AS (SELECT record_id, term, count(*)::BIGINT AS tf FROM {name}_tm GROUP BY ALL)"""
+
+
+TRAIN = """train AS (
+  SELECT s.record_id, c.text FROM split s LEFT JOIN corpus c USING (record_id) WHERE s.split = 'train')"""
+
+DEV_TEST = f"""dt AS (
+  SELECT s.record_id, c.text FROM split s LEFT JOIN corpus c USING (record_id) WHERE s.split = 'dev'
+  UNION ALL
+  SELECT doc_id AS record_id, {clean('text')} AS text FROM documents WHERE doc_id % 10 = 9)"""
+
+VOCAB = """nd AS (SELECT count(*) AS n FROM train),
+vocab AS (
+  SELECT term, count(*)::BIGINT AS df FROM train_tf GROUP BY term
+  HAVING count(*) >= 2 AND count(*)::DOUBLE <= 0.95 * (SELECT n FROM nd)::DOUBLE),
+vocabi AS (
+  SELECT term, (row_number() OVER (ORDER BY term) - 1)::INTEGER AS idx, df,
+         ln((1 + (SELECT n FROM nd))::DOUBLE / (1 + df)::DOUBLE) + 1 AS idf
+  FROM vocab)"""
+
+
+def weights(src_tf: str, name: str) -> str:
+    return f"""{name}_w AS (
+  SELECT t.record_id, t.term, (1 + ln(t.tf)) * v.idf AS w FROM {src_tf} t JOIN vocabi v USING (term)),
+{name}_nr AS (SELECT record_id, sqrt(sum(w * w)) AS nr FROM {name}_w GROUP BY record_id),
+{name}_tfidf AS (SELECT record_id, term, w / nr AS weight FROM {name}_w JOIN {name}_nr USING (record_id))"""
+
+
+TRAIN_VOCAB = with_(CORPUS, SPLIT, TRAIN, analyze("train", "train"), VOCAB)
+
+SQL["normalize_text"] = f"SELECT doc_id, {normalized(clean('text'))} AS text FROM documents"
+
+SQL["word_tokens"] = f"""
+SELECT doc_id, len(toks)::INTEGER AS n_tokens, array_to_string(toks, '|') AS tokens
+FROM (SELECT doc_id, regexp_extract_all({normalized(clean('text'))}, '{TOKEN_RE2}') AS toks FROM documents)"""
+
+SQL["ngrams"] = f"""
+SELECT doc_id, len(terms)::INTEGER AS n_terms, array_to_string(terms, '|') AS terms
+FROM (SELECT doc_id, list_concat(toks, list_transform(range(1, len(toks)), lambda i: toks[i] || ' ' || toks[i + 1])) AS terms
+      FROM (SELECT doc_id, regexp_extract_all({normalized(clean('text'))}, '{TOKEN_RE2}') AS toks FROM documents))"""
+
+SQL["vocabulary"] = TRAIN_VOCAB + "SELECT term, idx, df FROM vocabi"
+SQL["idf"] = TRAIN_VOCAB + "SELECT term, (round((idf) * 1e9)::BIGINT / 1e9) AS idf FROM vocabi"
+SQL["sublinear_tf"] = with_(CORPUS, SPLIT, TRAIN, analyze("train", "train")) + """
+SELECT record_id, term, tf, (round((1 + ln(tf)) * 1e9)::BIGINT / 1e9) AS sublinear_tf FROM train_tf"""
+SQL["tfidf"] = TRAIN_VOCAB.rstrip() + ",\n" + weights("train_tf", "tr") + """
+SELECT record_id, term, (round((weight) * 1e9)::BIGINT / 1e9) AS weight FROM tr_tfidf"""
+SQL["tfidf_transform"] = TRAIN_VOCAB.rstrip() + ",\n" + DEV_TEST + ",\n" + analyze("dt", "dt") + ",\n" + \
+    weights("dt_tf", "dt") + """
+SELECT record_id, term, (round((weight) * 1e9)::BIGINT / 1e9) AS weight FROM dt_tfidf"""
+
+FIXED_COEF = "cast(((length(term) * 7) % 11 - 5) as double) / cast(10 as double)"
+FIXED_BIAS = -0.25
+
+DECISION = TRAIN_VOCAB.rstrip() + ",\n" + DEV_TEST + ",\n" + analyze("dt", "dt") + ",\n" + weights("dt_tf", "dt") + f""",
+sc AS (SELECT record_id, sum(weight * {FIXED_COEF}) AS s FROM dt_tfidf GROUP BY record_id)
+"""
+
+SQL["decision_score"] = DECISION + f"""
+SELECT dt.record_id, (round((coalesce(sc.s, 0.0) + {FIXED_BIAS}) * 1e9)::BIGINT / 1e9) AS score FROM dt LEFT JOIN sc USING (record_id)"""
+SQL["model_roundtrip"] = SQL["decision_score"]
+
+SQL["scored_test"] = DECISION.replace("WHERE s.split = 'dev'\n  UNION ALL\n", "WHERE false\n  UNION ALL\n") + f"""
+SELECT dt.record_id, (round((coalesce(sc.s, 0.0) + {FIXED_BIAS}) * 1e9)::BIGINT / 1e9) AS score,
+       (coalesce(sc.s, 0.0) + {FIXED_BIAS} >= 0.0)::INTEGER AS y_pred
+FROM dt LEFT JOIN sc USING (record_id)"""
+
+# ---------------------------------------------------------------------------
+# Readers / sinks round trips
+# ---------------------------------------------------------------------------
+SQL["read_corpus_tsv"] = SQL["valid_records"]
+SQL["read_split_csv"] = SQL["dedupe_keep_last"]
+SQL["read_test_tsv"] = SQL["valid_test_records"]
+SQL["read_scored"] = TOP + "SELECT record_id, y_true, y_pred, score, text FROM sd"
+SQL["scored_dev"] = TOP + "SELECT record_id, y_true, y_pred, score, text FROM sd WHERE split = 'dev'"
+SQL["prediction_lines"] = with_(SCORED) + """
+SELECT (row_number() OVER (ORDER BY record_id) - 1)::BIGINT AS line, y_pred FROM scored"""

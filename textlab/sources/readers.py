@@ -37,7 +37,7 @@ def file_order() -> F.Column:
     )
 
 
-def _tsv(spark: SparkSession, path: str, names) -> DataFrame:
+def _tsv(spark: SparkSession, path, names) -> DataFrame:
     # multiLine stays off: a lone opening quote must not swallow later lines,
     # and the file stays splittable.  DROPMALFORMED is not used: its result
     # depends on the selected columns.
@@ -56,7 +56,7 @@ def with_na_tokens(df: DataFrame, columns) -> DataFrame:
     return df.withColumns({c: null_tokens(c) for c in columns})
 
 
-def read_corpus(spark: SparkSession, path: str) -> DataFrame:
+def read_corpus(spark: SparkSession, path) -> DataFrame:
     """Headerless 6-field corpus TSV; lines with extra fields are skipped.
 
     Short lines are kept with nulls, as the reference's reader pads them; the
@@ -68,7 +68,7 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     return with_na_tokens(raw.filter(F.col(EXTRA).isNull()).drop(EXTRA), CORPUS_COLUMNS)
 
 
-def read_test(spark: SparkSession, path: str, check: bool = True) -> DataFrame:
+def read_test(spark: SparkSession, path, check: bool = True) -> DataFrame:
     """Headerless 5-field test TSV; a line with extra fields is an error (S3)."""
     raw = _tsv(spark, path, TEST_COLUMNS)
     if check and not raw.filter(F.col(EXTRA).isNotNull()).isEmpty():
@@ -86,8 +86,10 @@ def require_columns(df: DataFrame, required, what: str) -> DataFrame:
 
 def read_split(spark: SparkSession, path: str) -> DataFrame:
     """Split CSV with header `par_id,label`."""
-    header = spark.read.option("header", True).csv(path).columns
-    require_columns(spark.createDataFrame([], _string_schema(header)), SPLIT_REQUIRED, path)
+    header = spark.read.option("header", True).csv(path).columns  # reads the header line only
+    missing = set(SPLIT_REQUIRED).difference(header)
+    if missing:
+        raise ValueError(f"Expected columns {set(SPLIT_REQUIRED)} in {path}, found {set(header)}")
     df = (
         spark.read.schema(_string_schema(header)).option("header", True)
         .option("quote", '"').option("escape", '"').csv(path)
