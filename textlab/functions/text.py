@@ -73,33 +73,14 @@ def _strip_accents_py(s: str) -> str:
     return "".join(ch for ch in unicodedata.normalize("NFKD", s) if not unicodedata.combining(ch))
 
 
-def _ranges_class(code_points: list[int]) -> str:
-    """A Java regex character class from a sorted list of code points."""
-    parts, start, prev = [], None, None
-    for cp in code_points:
-        if start is None:
-            start = prev = cp
-        elif cp == prev + 1:
-            prev = cp
-        else:
-            parts.append((start, prev))
-            start = prev = cp
-    if start is not None:
-        parts.append((start, prev))
-    body = "".join(
-        f"\\x{{{a:x}}}" if a == b else f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in parts
-    )
-    return f"[{body}\\x{{10000}}-\\x{{10ffff}}]"
-
-
 @lru_cache(maxsize=1)
 def _accent_tables() -> tuple[str, str, str]:
     """Derived by rule from the Unicode database of this Python.
 
-    Every BMP character whose accent-stripped form is one character (or
-    nothing) becomes a native ``translate`` entry; characters whose form is
-    longer (ligatures, Hangul syllables, compatibility sequences) and all
-    supplementary characters are routed to the Python fallback.
+    Returns (source, target, multi): every BMP character whose accent-stripped
+    form is one character (or nothing) is a native ``translate`` entry; the
+    characters in ``multi`` have a longer form (ligatures, Hangul syllables,
+    compatibility sequences) and are left to the Python fallback.
     """
     src, dst, dels, multi = [], [], [], []
     for cp in range(0x80, 0x10000):
@@ -115,8 +96,8 @@ def _accent_tables() -> tuple[str, str, str]:
             src.append(ch)
             dst.append(out)
         else:
-            multi.append(cp)
-    return "".join(src) + "".join(dels), "".join(dst), _ranges_class(multi)
+            multi.append(ch)
+    return "".join(src) + "".join(dels), "".join(dst), "".join(multi)
 
 
 @F.pandas_udf(StringType())
@@ -129,11 +110,13 @@ def normalize_text(c) -> Column:
 
     ASCII rows never leave the JVM; rows whose non-ASCII characters all map to
     at most one character are handled by a native ``translate``; only rows
-    with a multi-character decomposition go through the Arrow UDF.
+    with a multi-character decomposition or a supplementary character go
+    through the Arrow UDF.  Membership is tested with ``translate`` (a hash
+    lookup per character) rather than a regex class of thousands of ranges.
     """
-    src, dst, multi_class = _accent_tables()
+    src, dst, multi = _accent_tables()
     low = F.lower(_col(c))
-    needs_python = low.rlike(multi_class)
+    needs_python = (F.length(F.translate(low, multi, "")) < F.length(low)) | low.rlike(r"[\x{10000}-\x{10ffff}]")
     # An extracted Python UDF runs on every row of its batch whatever the
     # surrounding CASE says, so rows that do not need it are sent as null.
     slow = _strip_accents_udf(F.when(needs_python, low))
@@ -152,11 +135,19 @@ def word_tokens(c) -> Column:
     return F.regexp_extract_all(_col(c), F.lit(WORD_TOKEN_PATTERN), 0)
 
 
+# Every "token<space>token" pair of a space-joined token list, one match per
+# token start (the lookahead lets consecutive pairs overlap).
+BIGRAM_PATTERN = r"(?:^| )(?=([^ ]+ [^ ]+))"
+
+
 def ngrams_1_2(tokens) -> Column:
-    """Unigrams followed by space-joined bigrams of adjacent tokens."""
+    """Unigrams followed by space-joined bigrams of adjacent tokens.
+
+    Tokens contain no spaces, so the bigrams are read off the space-joined
+    list with one native regex pass (no interpreted lambda per element).
+    """
     t = _col(tokens)
-    n = F.greatest(F.size(t) - 1, F.lit(0))
-    bigrams = F.zip_with(F.slice(t, 1, n), F.slice(t, 2, n), lambda a, b: F.concat(a, F.lit(" "), b))
+    bigrams = F.regexp_extract_all(F.array_join(t, " "), F.lit(BIGRAM_PATTERN), 1)
     return F.concat(t, bigrams)
 
 
