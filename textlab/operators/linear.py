@@ -53,7 +53,12 @@ LOGREG_C = 2.0
 SVM_C = 1.0
 # Largest coefficient vector held on the driver and broadcast to tasks.
 MAX_DIM = 1 << 25
-LBFGS_MEMORY = 10
+# L-BFGS keeps 2 * memory vectors of the model's size on the driver: up to 30
+# pairs, fewer for very wide models so the history stays within the budget.
+LBFGS_MEMORY = 30
+LBFGS_HISTORY_BYTES = 2 << 30
+# Default stopping tolerance on |grad| relative to its starting value.
+SOLVER_TOL = 1e-5
 # Partial gradients (partitions x dimension entries) up to this bound are merged
 # on the driver; above it a keyed aggregation reduces them on the executors.
 DIRECT_REDUCE_MAX = 20_000_000
@@ -219,13 +224,14 @@ def training_rows(packed: DataFrame, weights: DataFrame, label: str = "binary_la
     return rows.checkpoint(eager=True)
 
 
-def fit_linear(rows: DataFrame, dim: int, loss: str, C: float, tol: float = 1e-6, max_iter: int = 500):
+def fit_linear(rows: DataFrame, dim: int, loss: str, C: float, tol: float = SOLVER_TOL, max_iter: int = 1000):
     """Minimise the class-weighted objective; returns (coef ndarray, bias, info dict)."""
     import numpy as np
 
     if dim > MAX_DIM:
         raise ValueError(f"{dim} features exceed the driver-side coefficient bound {MAX_DIM}")
     obj = _Objective(rows, dim, loss, C)
-    x, f, gnorm, iters, hist = lbfgs(obj, np.zeros(dim + 1), tol=tol, max_iter=max_iter)
+    memory = int(max(5, min(LBFGS_MEMORY, LBFGS_HISTORY_BYTES // (16 * (dim + 1)))))
+    x, f, gnorm, iters, hist = lbfgs(obj, np.zeros(dim + 1), tol=tol, max_iter=max_iter, m=memory)
     return x[:-1], float(x[-1]), {"objective": f, "grad_norm": gnorm, "iterations": iters,
                                   "evaluations": obj.evals, "history": hist}

@@ -13,7 +13,7 @@ from ..functions.scores import apply_threshold
 from ..operators import tfidf
 from ..operators.evaluate import leaderboard
 from ..operators.linear import (
-    LOGREG_C, SVM_C, class_weights, decision_score, fit_linear, training_rows,
+    LOGREG_C, SOLVER_TOL, SVM_C, class_weights, decision_score, fit_linear, training_rows,
 )
 from ..operators.threshold import best_threshold_adaptive
 
@@ -49,7 +49,7 @@ def coef_table(spark: SparkSession, coef: np.ndarray) -> DataFrame:
 
 
 def select_model(train: DataFrame, dev: DataFrame, key: str = "record_id", text: str = "text",
-                 label: str = "binary_label", tol: float = 1e-6, candidates=CANDIDATES):
+                 label: str = "binary_label", tol: float = SOLVER_TOL, candidates=CANDIDATES):
     """Fit every candidate on train, tune its threshold on dev, keep the best (M6).
 
     Features are computed once and shared by the candidates.  The chosen
