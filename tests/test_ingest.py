@@ -89,6 +89,23 @@ def test_labelled_split_paths_agree(spark):
         ingest.raise_on_missing(small.withColumn("split", F.lit("train")))
 
 
+def test_skew_safe_left_join_matches_plain_join(spark):
+    # key 7 is hot (50 corpus rows, 5 buckets of 10) and has two split rows;
+    # key 1 is hot too (2 rows, hot_rows=1); key 5 has no corpus row
+    left = spark.createDataFrame([(1, 1), (2, 0), (5, 1), (7, 0), (7, 1)], "record_id long, binary_label int")
+    rows = [(7, i, "k", "c", f"t{i % 3}") for i in range(50)]
+    rows += [(1, 10, "k", "c", "a"), (1, 11, "k", "c", "b"), (2, 12, "k", "c", "c"), (3, 13, "k", "c", "d")]
+    right = spark.createDataFrame(rows, "record_id long, article_id long, keyword string, country string, text string")
+    plain = left.join(right, "record_id", "left")
+    for hot_rows in (1, 10):
+        got = ingest.skew_safe_left_join(left, right, "record_id", hot_rows=hot_rows)
+        assert got.columns == plain.columns
+        assert sorted(got.collect()) == sorted(plain.collect()) and got.count() == 104
+    # too many hot keys for the bound: the plain join, same result
+    got = ingest.skew_safe_left_join(left, right, "record_id", hot_rows=1, max_hot_keys=1)
+    assert sorted(got.collect()) == sorted(plain.collect())
+
+
 def test_union_splits(spark):
     a = spark.createDataFrame([(1,)], "x int")
     b = spark.createDataFrame([(2,)], "x int")

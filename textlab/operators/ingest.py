@@ -13,6 +13,10 @@ from ..functions.text import clean_text
 # Fixed value: largest split table (rows) that is broadcast to the corpus scan
 # in ``labelled_split``; beyond it both sides are shuffled on the key.
 SPLIT_BROADCAST_MAX_ROWS = 2_000_000
+# A corpus key with more rows than this is joined apart, spread over buckets
+# of about this many rows; up to HOT_KEYS_MAX such keys are handled this way.
+HOT_KEY_ROWS = 1_000_000
+HOT_KEYS_MAX = 100_000
 
 
 def _full_digits(c: str) -> F.Column:
@@ -102,19 +106,55 @@ def labelled_split(split: DataFrame, corpus: DataFrame, key: str = "record_id",
     The corpus is the large side.  When the split has a checked, bounded size
     it is broadcast to the corpus scan (an inner join that never shuffles the
     corpus) and the unmatched split rows are added back with an anti join on
-    the small matched-key set.  Otherwise both sides are shuffled on the key
-    (AQE handles skewed keys).
+    the small matched-key set.  Otherwise both sides are shuffled on the key,
+    with hot corpus keys split over buckets (``skew_safe_left_join``).
     """
     right = corpus.select(key, "article_id", "keyword", "country", "text")
     n_split = split.count() if broadcast_max_rows else broadcast_max_rows + 1
     if n_split > broadcast_max_rows:
-        return split.join(right, key, "left")
+        return skew_safe_left_join(split, right, key)
     matched = right.join(F.broadcast(split), key, "inner")
     unmatched = split.join(matched.select(key).distinct(), key, "left_anti")
     nulls = {c: F.lit(None).cast(t) for c, t in right.dtypes if c != key}
     return matched.unionByName(unmatched.withColumns(nulls)).select(*split.columns, *nulls)
 
 
+def skew_safe_left_join(left: DataFrame, right: DataFrame, key: str,
+                        hot_rows: int = HOT_KEY_ROWS, max_hot_keys: int = HOT_KEYS_MAX) -> DataFrame:
+    """left LEFT JOIN right on ``key`` when neither side can be broadcast.
+
+    AQE can split only the left side of a left outer join, so a right-side
+    key holding a large share of the rows would land in one task.  Keys with
+    more than ``hot_rows`` right rows are found by one count combined
+    map-side (there are at most |right| / hot_rows of them, a bounded list
+    that is broadcast).  A hot key's right rows are dealt over
+    ceil(n / hot_rows) buckets by their row id, and its left rows are copied
+    once per bucket, so every bucket joins a slice of at most ~hot_rows rows.
+    A hot key always has right rows, so for it the left join is an inner
+    join; the other keys take the plain shuffled join.
+    """
+    out_cols = left.columns + [c for c in right.columns if c != key]
+    counts = right.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+    hot = counts.limit(max_hot_keys + 1).collect()
+    if not hot or len(hot) > max_hot_keys:
+        return left.join(right, key, "left").select(*out_cols)
+    buckets = F.ceil(F.col("_n") / F.lit(float(hot_rows))).cast("int")
+    hot_df = F.broadcast(
+        left.sparkSession.createDataFrame(hot, counts.schema).select(key, buckets.alias("_b"))
+    )
+    cold = left.join(hot_df, key, "left_anti").join(right.join(hot_df, key, "left_anti"), key, "left")
+    # row ids are a function of the input split and position, so a retried
+    # task deals its rows to the same buckets
+    r_hot = right.join(hot_df, key, "inner").withColumn(
+        "_salt", F.pmod(F.monotonically_increasing_id(), F.col("_b").cast("bigint")).cast("int")
+    ).drop("_b")
+    l_hot = left.join(hot_df, key, "inner").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.col("_b") - 1))
+    ).drop("_b")
+    hot_joined = l_hot.join(r_hot, [key, "_salt"], "inner")
+    return cold.select(*out_cols).unionByName(hot_joined.select(*out_cols))
+
+
 def check_missing(df: DataFrame, split_col: str = "split") -> DataFrame:
     """Missing-text counts per split after the join, one aggregation."""
     return df.groupBy(split_col).agg(

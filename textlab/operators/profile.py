@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 # KDE grid of the reference's plotting library defaults.
 KDE_GRIDSIZE = 200
 KDE_CUT = 3.0
+# Groups whose bandwidth rows are broadcast to the value rows.
+KDE_BROADCAST_MAX_GROUPS = 10_000
 # Characters of text carried through the repeated-text aggregation; the full
 # text is fetched only for the few candidate groups.
 TEXT_PREFIX_CHARS = 64
@@ -120,9 +122,16 @@ def grouped_kde(df: DataFrame, x: str, group: str, gridsize: int = KDE_GRIDSIZE,
     stats = stats.withColumn("_start", F.col("_lo") - F.lit(cut) * F.col("_bw")).withColumn(
         "_end", F.col("_hi") + F.lit(cut) * F.col("_bw")
     ).withColumn("_step", (F.col("_end") - F.col("_start")) / F.lit(gridsize - 1))
-    # One row per group: bounded by the number of groups.
     values = df.groupBy(group, xs.alias("_x")).agg(F.count(F.lit(1)).alias("_c"))
-    joined = values.join(F.broadcast(stats), group)
+    # One row per group.  Up to KDE_BROADCAST_MAX_GROUPS they are fetched once
+    # (a checked, bounded read) and broadcast; beyond that the join shuffles
+    # on the group and AQE splits a hot group's value rows.
+    head = stats.limit(KDE_BROADCAST_MAX_GROUPS + 1).collect()
+    if len(head) <= KDE_BROADCAST_MAX_GROUPS:
+        small = df.sparkSession.createDataFrame(head, stats.schema) if head else stats.limit(0)
+        joined = values.join(F.broadcast(small), group)
+    else:
+        joined = values.join(stats, group)
     grid_k = F.sequence(F.lit(0), F.lit(gridsize - 1))
 
     def grid_x(k):

@@ -31,13 +31,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set (a shared filesystem).  Only when it is
-    unset (local tests) do we create one, and we record it on the session so
-    every later call agrees.
+    The setting is read from the session.  On a cluster it must name a shared
+    filesystem: a folder local to the driver would not be visible to the
+    executors, so an unset value is an error there.  Only a local-mode
+    session (tests, the bench) with no setting gets a folder of its own, and
+    it is recorded on the session so every later call agrees.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder on a filesystem shared by all "
+                "executors (it holds the checkpointed training rows and vocabulary)"
+            )
         root = tempfile.mkdtemp(prefix="textlab-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
