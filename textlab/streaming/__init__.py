@@ -1 +1,5 @@
-"""Structured Streaming entry points."""
+"""Structured Streaming: intentionally empty.
+
+The reference processes files in batch only (no streams, event-time windows
+or stateful operators), so nothing is built here; see README.
+"""
