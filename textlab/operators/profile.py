@@ -7,6 +7,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_root
+
 # KDE grid of the reference's plotting library defaults.
 KDE_GRIDSIZE = 200
 KDE_CUT = 3.0
@@ -83,6 +85,11 @@ def top_repeated_texts(df: DataFrame, k: int = 20, label: str = "binary_label",
     groups = keyed.groupBy("_label", "_h").agg(
         F.count(F.lit(1)).cast("bigint").alias("frequency"), F.min("_prefix").alias("_prefix")
     )
+    # The group table (hash + short prefix per distinct text) is read three
+    # times below; materialising it in the shared checkpoint folder keeps the
+    # whole-text scans at two (this aggregation and the candidate fetch).
+    checkpoint_root(df.sparkSession)
+    groups = groups.checkpoint(eager=True)
     kth = groups.orderBy(F.desc("frequency"), "_label", "_prefix").limit(k).collect()
     if not kth:
         return keyed.select(F.col("_label").alias(label), F.col("_text").alias(text),
