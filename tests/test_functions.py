@@ -114,3 +114,40 @@ def test_native_functions_have_no_python_eval(spark, plan_fn):
     df = spark.createDataFrame([("a b",)], "t string").select(plan_fn(F.col("t")).alias("o"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan
+
+
+def test_checkpoint_root_needs_a_shared_folder_on_a_cluster():
+    from textlab.session import checkpoint_root
+
+    class Conf:
+        def __init__(self, v):
+            self.v = v
+
+        def get(self, key, default=None):
+            return self.v if key == "spark.checkpoint.dir" else default
+
+    class Ctx:
+        def __init__(self, master, conf_dir=None):
+            self.master, self.conf, self.dir = master, Conf(conf_dir), None
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def getConf(self):
+            return self.conf
+
+        def setCheckpointDir(self, d):
+            self.dir = d
+
+    class Session:
+        def __init__(self, ctx):
+            self.sparkContext = ctx
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session(Ctx("yarn")))
+    # a configured shared folder is used as given
+    assert checkpoint_root(Session(Ctx("yarn", "hdfs://nn/ckpt/"))) == "hdfs://nn/ckpt"
+    # local mode without a setting gets a folder of its own, recorded on the context
+    ctx = Ctx("local[2]")
+    root = checkpoint_root(Session(ctx))
+    assert root and ctx.dir == root
