@@ -128,7 +128,7 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple
                     ["good", "place", "marks"],
                 )
 
-    def solve(table: pa.Table) -> pa.Table:
+    def solve(table):
         table = table.sort_by([("place", "ascending"), ("good", "ascending")])
         found = [np.frombuffer(x.as_buffer(), np.int32) for x in table["marks"]]
         model, bias = fit(found, table["good"].to_numpy().astype(bool))

@@ -73,7 +73,7 @@ def search(
     queries = rows.filter("q").select("id", "vec", "dim", "q", group.alias("grp"), every(shards).alias("shard"))
     schema = f"query_id long, shard int, vec_id long, score {score_type}"
 
-    def work(key, table: pa.Table) -> pa.Table:
+    def work(key, table):
         dim = key[2].as_py()
         ids, q = table["id"].to_numpy(), table["q"].to_numpy()
         m = matrix(table["vec"], dim)
