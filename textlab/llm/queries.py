@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .bpe import bpe_encode
 from .common import read_table
 from .exact_topk import exact_topk
+from .license_scan import license_scan
+from .mixing import poisson_mix
+from .pii import KINDS, find_pii
 from .prefix_forest import prefix_forest
 from .quality import quality_scores
 
@@ -21,6 +25,10 @@ def op2_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_forest(read_table(spark, sf_dir, "embeddings"), k=20)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(read_table(spark, sf_dir, "documents"))
+
+
 def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk(read_table(spark, sf_dir, "embeddings"), k=10)
 
@@ -29,8 +37,27 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op9_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source to the same share of the characters, as many characters as there are."""
+    return poisson_mix(read_table(spark, sf_dir, "documents")).select("doc_id", "source", "copy", "shuffle_key")
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(read_table(spark, sf_dir, "documents"))
+    number = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
+
+    def joined(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+    return found.select(
+        "doc_id", *(number(k) for k in KINDS), F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe, op2_prefix_forest, op4_exact_topk, op8_quality)
+    f.__name__: f for f in (
+        op1_bpe, op2_prefix_forest, op3_license_scan, op4_exact_topk, op8_quality, op9_poisson_mix, op10_pii,
+    )
 }
 
 SQL: dict[str, str] = {
@@ -47,4 +74,18 @@ SQL: dict[str, str] = {
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
         SELECT query_id, n::INT AS rank, vec_id, score FROM r WHERE n <= 10
     """,
+    # one draw a document: at the rates of the driver's tables, far under 256
+    "op9_poisson_mix": """
+        WITH m AS (SELECT source, sum(length(coalesce(text, '')) + 1) AS mass FROM documents GROUP BY source),
+        r AS (SELECT source, (SELECT sum(mass) FROM m)::DOUBLE * (1.0::DOUBLE / (SELECT count(*) FROM m)::DOUBLE) / mass::DOUBLE AS rate FROM m),
+        k AS (SELECT source, rate, unnest(range(0, 400)) AS k FROM r),
+        t AS (SELECT source, k, exp(k * ln(rate) - rate - lgamma(k + 1)) AS p FROM k),
+        c AS (SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS cdf FROM t),
+        u AS (SELECT doc_id, source, ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null') || ':1'), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+              FROM documents),
+        n AS (SELECT u.doc_id, u.source, count(*) FILTER (WHERE c.cdf <= u.u) AS copies
+              FROM u JOIN c ON u.source IS NOT DISTINCT FROM c.source GROUP BY u.doc_id, u.source),
+        e AS (SELECT doc_id, source, unnest(range(1, copies + 1))::INT AS copy FROM n)
+        SELECT doc_id, source, copy, md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null') || ':copy:' || copy) AS shuffle_key FROM e
+    """,
 }
