@@ -15,6 +15,8 @@ from .mixing import poisson_mix
 from .pii import KINDS, find_pii
 from .prefix_forest import prefix_forest
 from .quality import quality_scores
+from .recompress import substring_dedup
+from .suffix_family import suffix_dedup
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +35,16 @@ def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk(read_table(spark, sf_dir, "embeddings"), k=10)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup(read_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op7_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup(read_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -56,7 +68,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_bpe, op2_prefix_forest, op3_license_scan, op4_exact_topk, op8_quality, op9_poisson_mix, op10_pii,
+        op1_bpe, op2_prefix_forest, op3_license_scan, op4_exact_topk, op6_suffix_dedup, op7_recompression,
+        op8_quality, op9_poisson_mix, op10_pii,
     )
 }
 
