@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .bpe import bpe_encode
 from .common import read_table
 from .exact_topk import exact_topk
+from .jaccard_join import jaccard_join
 from .license_scan import license_scan
 from .mixing import poisson_mix
 from .pii import KINDS, find_pii
@@ -35,6 +36,10 @@ def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk(read_table(spark, sf_dir, "embeddings"), k=10)
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = suffix_dedup(read_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -68,7 +73,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_bpe, op2_prefix_forest, op3_license_scan, op4_exact_topk, op6_suffix_dedup, op7_recompression,
+        op1_bpe, op2_prefix_forest, op3_license_scan, op4_exact_topk, op5_jaccard_join, op6_suffix_dedup, op7_recompression,
         op8_quality, op9_poisson_mix, op10_pii,
     )
 }
