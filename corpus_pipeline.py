@@ -1,4 +1,8 @@
-"""Corpus pipeline over `documents`: each stage works on what the one before kept."""
+"""Corpus pipeline over `documents`: each stage works on what the one before kept.
+
+All stages but the last return the columns of `documents`.  Null and empty texts
+go through every stage as documents without words; an empty table stays empty.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textlab.llm.bpe import bpe_encode
-from textlab.llm.common import read_table
+from textlab.llm.common import read_table, row_tag
+from textlab.llm.jaccard_join import jaccard_join
+from textlab.llm.mixing import poisson_mix
+from textlab.llm.pii import find_pii
 from textlab.llm.quality import quality_scores
 from textlab.session import scratch_path
 
@@ -14,17 +21,52 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject."""
+    """Documents that the classifier, fitted on labelled documents of the input, does not reject."""
     scored = quality_scores(docs, read_table(spark, sf_dir, "labels"), keep=COLUMNS[1:])
     return scored.filter("predicted = 1").select(*COLUMNS)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group whose five-word shingles link at a Jaccard similarity of 0.8 or more.
+
+    A row listed twice stays once.
+    """
+    first = jaccard_join(docs, k=5, num=80, den=100).filter("first").select(F.col("doc_id").alias("id"), "tag").distinct()
+    rows = docs.select(*COLUMNS).withColumn("row_tag", row_tag(F.col("text").cast("string")))
+    kept = rows.join(first, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("row_tag") == F.col("tag")), "left_semi")
+    one = kept.groupBy("doc_id", "row_tag").agg(F.min(F.struct("lang", "source", "n_chars", "text")).alias("row"))
+    return one.select("doc_id", "row.text", "row.lang", "row.source", "row.n_chars")
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind; n_chars follows the text, a null text stays null."""
+    found = find_pii(docs.withColumn("was_null", F.col("text").isNull()), keep=("lang", "source", "n_chars", "was_null"))
+    return found.select(
+        "doc_id",
+        F.when(~F.col("was_null"), F.col("redacted")).alias("text"),
+        "lang",
+        "source",
+        F.when(F.col("was_null"), F.col("n_chars")).otherwise(F.length("redacted").cast("long")).alias("n_chars"),
+    )
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every source to the same share of the characters; a document has a row per copy, in shuffled order."""
+    return poisson_mix(docs.select(*COLUMNS)).select(*COLUMNS)
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document that is left, one row per copy."""
+    """(doc_id, n_tokens, ids) of every document that is left, a row per copy."""
     return bpe_encode(docs, ("n_tokens", "ids"))
 
 
-STAGES = [("quality", quality), ("tokens", tokens)]
+STAGES = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("personal_data", personal_data),
+    ("source_mix", source_mix),
+    ("tokens", tokens),
+]
 
 #: A fitted classifier and a random field are not expressible in SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None

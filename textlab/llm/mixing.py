@@ -44,8 +44,9 @@ def source_rates(docs: DataFrame, weights: dict[str | None, float] | None, sourc
         given = docs.sparkSession.createDataFrame([(k, float(w)) for k, w in weights.items()], "given string, weight double")
         masses = masses.join(given, F.col("source").eqNullSafe(F.col("given")), "left").drop("given").fillna(0.0, ["weight"])
     total = masses.agg(F.sum("mass").alias("total"), F.sum("weight").alias("weights"))
-    rate = F.coalesce(F.lit(budget).cast("double"), F.col("total").cast("double")) * (F.col("weight") / F.col("weights")) / F.col("mass")
-    rates = masses.crossJoin(F.broadcast(total)).select("source", F.coalesce(F.try_divide(rate, F.lit(1.0)), F.lit(0.0)).alias("rate"))
+    share = F.try_divide(F.col("weight"), F.col("weights"))  # null where all weights are 0
+    rate = F.coalesce(F.lit(budget).cast("double"), F.col("total").cast("double")) * share / F.col("mass")
+    rates = masses.crossJoin(F.broadcast(total)).select("source", F.coalesce(rate, F.lit(0.0)).alias("rate"))
     rates = rates.withColumn("draws", F.greatest(F.lit(1), F.ceil(F.col("rate") / DRAW_RATE)).cast("int"))
     part = F.col("rate") / F.col("draws")
     terms = F.sequence(F.lit(1), F.ceil(part + 12 * F.sqrt(part) + 24).cast("int"))
