@@ -35,7 +35,7 @@ def test_zero_division_is_zero(spark):
 def test_class_ratio_and_weights(spark):
     df = spark.createDataFrame([(0,)] * 7581 + [(1,)] * 794, "binary_label int")
     df = df.withColumn("split", __import__("pyspark.sql.functions", fromlist=["lit"]).lit("train"))
-    ratio = P.class_pivot(df).first().pcl_ratio
+    ratio = P.class_pivot(df).first().positive_ratio
     assert ratio == pytest.approx(0.09480597014925374, abs=1e-15)
     w = {r.label: r.weight for r in class_weights(df).collect()}
     assert round(w[0], 6) == 0.552368 and round(w[1], 6) == 5.273929

@@ -3,7 +3,10 @@
 import numpy as np
 import pytest
 
-from textlab.operators.linear import fit_linear
+from pyspark.sql import functions as F
+
+from textlab.operators import linear
+from textlab.operators.linear import fit_linear, fit_linears, gradient_norm, training_rows
 
 
 def make_rows(spark, n=80, d=6, seed=3):
@@ -16,7 +19,7 @@ def make_rows(spark, n=80, d=6, seed=3):
     for i in range(n):
         nz = np.nonzero(X[i])[0]
         rows.append((int(y[i]), float(s[i]), [int(j) for j in nz], [float(X[i, j]) for j in nz]))
-    df = spark.createDataFrame(rows, "y int, s double, idx array<int>, val array<double>").repartition(3)
+    df = spark.createDataFrame(rows, "y int, s double, idx array<bigint>, val array<double>").repartition(3)
     return df, X, y, s
 
 
@@ -43,18 +46,47 @@ def newton(X, y, s, C, loss, iters=100):
     return w
 
 
-@pytest.mark.parametrize("loss,C", [("logistic", 2.0), ("squared_hinge", 1.0)])
-def test_solver_reaches_the_optimum(spark, loss, C):
+PROBLEMS = [("logistic", 2.0), ("squared_hinge", 1.0)]
+
+
+def test_default_tolerance_reaches_the_optimum(spark):
+    df, X, y, s = make_rows(spark)
+    for (loss, C), (w, b, info) in zip(PROBLEMS, fit_linears(df, X.shape[1], PROBLEMS)):
+        assert np.allclose(np.append(w, b), newton(X, y, s, C, loss), atol=1e-6)
+        assert info["grad_norm"] < 1e-6
+        coef = spark.createDataFrame([(i, float(x)) for i, x in enumerate(w)], "idx bigint, coef double")
+        assert gradient_norm(df, coef, b, loss, C).first()["grad_norm"] < 1e-6
+
+
+def test_gradients_are_summed_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(linear, "GRAD_CHUNK", 2)
+    monkeypatch.setattr(linear, "BLOCK_ROWS", 7)
     df, X, y, s = make_rows(spark)
-    w, b, info = fit_linear(df, X.shape[1], loss, C, tol=1e-10)
-    ref = newton(X, y, s, C, loss)
-    assert np.allclose(np.append(w, b), ref, atol=1e-6)
-    assert info["grad_norm"] < 1e-6 * max(1.0, info["history"][0][2])
+    w, b, _ = fit_linear(df, X.shape[1], "logistic", 2.0)
+    assert np.allclose(np.append(w, b), newton(X, y, s, 2.0, "logistic"), atol=1e-6)
+
+
+def test_gradient_norm_away_from_the_optimum(spark):
+    df, X, y, s = make_rows(spark)
+    w = np.linspace(-1, 1, X.shape[1])
+    coef = spark.createDataFrame([(i, float(x)) for i, x in enumerate(w)], "idx bigint, coef double")
+    A, ys, wb = np.hstack([X, np.ones((len(y), 1))]), 2.0 * y - 1.0, np.append(w, 0.3)
+    z = ys * (A @ wb)
+    for loss, C in PROBLEMS:
+        d = -ys / (1 + np.exp(z)) if loss == "logistic" else -2 * ys * np.maximum(0, 1 - z)
+        want = np.linalg.norm(wb + C * A.T @ (s * d))
+        assert gradient_norm(df, coef, 0.3, loss, C).first()["grad_norm"] == pytest.approx(want)
+
+
+def test_fit_rows_are_bounded(spark):
+    df, *_ = make_rows(spark, n=400)
+    weights = spark.createDataFrame([(0, 1.0), (1, 1.0)], "label int, weight double")
+    packed = df.select(F.col("y").alias("binary_label"), "idx", "val")
+    assert 60 < training_rows(packed, weights, max_rows=100).count() < 140
+    assert training_rows(packed, weights).count() == 400
 
 
 def test_solver_all_one_class(spark):
     df, X, y, s = make_rows(spark)
-    from pyspark.sql import functions as F
-    one = df.withColumn("y", F.lit(1))
-    w, b, info = fit_linear(one, X.shape[1], "logistic", 2.0, tol=1e-10)
+    w, b, info = fit_linear(df.withColumn("y", F.lit(1)), X.shape[1], "logistic", 2.0)
     assert b > 0 and np.isfinite(w).all()

@@ -39,17 +39,7 @@ def docs(spark):
     return d
 
 
-def test_tfidf_matches_definition(spark, docs):
-    train = docs.filter("doc_id % 10 < 8")
-    other = docs.filter("doc_id % 10 >= 8")
-    v = tfidf.fit_vocabulary(train, "doc_id")
-    rows_tr = [(r.doc_id, r.text) for r in train.collect()]
-    rows_ot = [(r.doc_id, r.text) for r in other.collect()]
-    vocab, expect = py_tfidf(rows_tr, rows_ot)
-    got_vocab = [r.term for r in v.table.orderBy("idx").collect()]
-    assert got_vocab == vocab
-    packed = tfidf.transform(other, v, "doc_id", keep_terms=True)
-    got = {r.doc_id: dict(zip(r.terms, r.val)) for r in packed.collect()}
+def expected_matches(got, expect):
     assert set(got) == set(expect)
     for k, e in expect.items():
         assert set(got[k]) == set(e)
@@ -59,15 +49,61 @@ def test_tfidf_matches_definition(spark, docs):
             assert sum(x * x for x in got[k].values()) == pytest.approx(1.0, abs=1e-12)
 
 
-def test_per_document_steps_do_not_reshuffle(spark, docs):
-    v = tfidf.fit_vocabulary(docs.filter("doc_id % 10 < 8"), "doc_id")
-    plan = tfidf.transform(docs, v, "doc_id")._jdf.queryExecution().executedPlan().toString()
-    # one hash exchange (the key repartition of the text); the vocabulary is broadcast
-    assert plan.count("Exchange hashpartitioning") == 1, plan
-    assert "BroadcastHashJoin" in plan
+@pytest.mark.parametrize("bound", [None, 0])
+def test_tfidf_matches_definition(spark, docs, monkeypatch, bound):
+    if bound is not None:  # the shuffled lookup
+        monkeypatch.setattr(tfidf, "VOCAB_BROADCAST_MAX_BYTES", bound)
+    train = docs.filter("doc_id % 10 < 8")
+    other = docs.filter("doc_id % 10 >= 8")
+    v = tfidf.fit_vocabulary(train)
+    rows_tr = [(r.doc_id, r.text) for r in train.collect()]
+    rows_ot = [(r.doc_id, r.text) for r in other.collect()]
+    vocab, expect = py_tfidf(rows_tr, rows_ot)
+    assert [r.term for r in v.table.orderBy("idx").collect()] == vocab
+    packed = tfidf.transform(other, v, carry=["doc_id"], keep_terms=True)
+    expected_matches({r.doc_id: dict(zip(r.terms, r.val)) for r in packed.collect()}, expect)
+
+
+@pytest.mark.parametrize("bound", [None, 0])
+def test_rows_that_share_a_key_stay_apart(spark, monkeypatch, bound):
+    if bound is not None:
+        monkeypatch.setattr(tfidf, "VOCAB_BROADCAST_MAX_BYTES", bound)
+    rows = [(1, "alpha beta"), (1, "foo bar"), (2, "foo baz"), (3, None), (3, "foo bar"), (3, "foo bar")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    v = tfidf.fit_vocabulary(df)
+    assert v.n_docs == 6
+    assert {r.term: r.df for r in v.table.collect()} == {"foo": 4, "bar": 3, "foo bar": 3}
+    got = tfidf.transform(df, v, carry=["doc_id"], keep_terms=True).collect()
+    assert sorted((r.doc_id, sorted(r.terms)) for r in got) == [
+        (1, []), (1, ["bar", "foo", "foo bar"]), (2, ["foo"]), (3, []), (3, ["bar", "foo", "foo bar"]), (3, ["bar", "foo", "foo bar"]),
+    ]
+    tc = tfidf.term_counts(df, carry=["doc_id"]).collect()
+    assert sorted((r.doc_id, r.term, r.tf) for r in tc if r.doc_id == 1) == [
+        (1, "alpha", 1), (1, "alpha beta", 1), (1, "bar", 1), (1, "beta", 1), (1, "foo", 1), (1, "foo bar", 1)]
+
+
+def test_transform_and_score_shuffle_nothing(spark, docs):
+    from textlab.operators.linear import decision_score
+
+    v = tfidf.fit_vocabulary(docs.filter("doc_id % 10 < 8"))
+    packed = tfidf.transform(docs, v, carry=["doc_id"])
+    coef = v.table.select("idx", F.lit(0.5).alias("coef"))
+    plan = decision_score(packed, coef, 0.1, ["doc_id"], v.size)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan, plan
+
+
+@pytest.mark.parametrize("limit", [10_000_000, 0])
+def test_decision_score_per_row(spark, limit):
+    from textlab.operators.linear import decision_score
+
+    df = spark.createDataFrame([(1, [0, 2], [1.0, 2.0]), (1, [], []), (2, [5], [1.0])], "k int, idx array<bigint>, val array<double>")
+    coef = spark.createDataFrame([(0, 0.5), (2, -1.0)], "idx bigint, coef double")
+    got = decision_score(df, coef, 0.25, ["k"], broadcast_max=limit).collect()
+    assert sorted((r.k, r.score) for r in got) == [(1, -1.25), (1, 0.25), (2, 0.25)]
 
 
 def test_vocabulary_index_is_dense(spark, docs):
-    v = tfidf.fit_vocabulary(docs, "doc_id")
+    v = tfidf.fit_vocabulary(docs)
     idx = sorted(r.idx for r in v.table.select("idx").collect())
     assert idx == list(range(v.size))
+    assert dict(v.table.dtypes)["idx"] == "bigint"

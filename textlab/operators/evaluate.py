@@ -23,9 +23,9 @@ def resolve_score_col(df: DataFrame, name: str = "auto") -> str:
         for c in SCORE_COLUMNS:
             if c in df.columns:
                 return c
-        raise ValueError("No score column found. Expected either 'score' or 'prob_pos'.")
+        raise ValueError(f"none of the columns {', '.join(SCORE_COLUMNS)} is there")
     if name not in df.columns:
-        raise ValueError(f"Requested score column '{name}' not found in columns.")
+        raise ValueError(f"there is no column {name!r} to take scores from")
     return name
 
 

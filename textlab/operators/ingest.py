@@ -6,17 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import (
-    SEVERITY_MAX, SEVERITY_MIN, article_id, binarize_label, label_raw, severity_to_binary, to_label,
+    SEVERITY_MAX, SEVERITY_MIN, article_id, binarize_label, decimal, label_raw, severity_to_binary, to_label,
 )
 from ..functions.text import clean_text
+from ..session import checkpoint_root
 
-# Fixed value: largest split table (rows) that is broadcast to the corpus scan
-# in ``labelled_split``; beyond it both sides are shuffled on the key.
-SPLIT_BROADCAST_MAX_ROWS = 2_000_000
+# Largest split table, in measured bytes, that is broadcast to the corpus scan in
+# ``labelled_split``; beyond it both sides are shuffled on the key.
+SPLIT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+ROW_OVERHEAD = 64
 # A corpus key with more rows than this is joined apart, spread over buckets
-# of about this many rows; up to HOT_KEYS_MAX such keys are handled this way.
+# of about this many rows.
 HOT_KEY_ROWS = 1_000_000
-HOT_KEYS_MAX = 100_000
 
 
 def _full_digits(c: str) -> F.Column:
@@ -25,7 +26,7 @@ def _full_digits(c: str) -> F.Column:
 
 def valid_corpus(df: DataFrame) -> DataFrame:
     """Rows with a numeric id, an `@@<digits>` article and a label in [0, 4]."""
-    lab = F.col("raw_label").try_cast("double")
+    lab = decimal("raw_label")
     return df.filter(
         _full_digits("record_id")
         & F.col("article_id").rlike(r"^@@[0-9]+\z")
@@ -42,7 +43,7 @@ def valid_test(df: DataFrame) -> DataFrame:
 def require_rows(df: DataFrame, what: str) -> DataFrame:
     """Raise when ``df`` is empty (P3).  One limit-1 job."""
     if df.isEmpty():
-        raise ValueError(f"Could not parse records from {what}. Please check file contents.")
+        raise ValueError(f"{what}: no valid record is left after parsing")
     return df
 
 
@@ -90,8 +91,11 @@ def dedupe_keep_last(df: DataFrame, key: str, order: str = "_ord") -> DataFrame:
 
 def parse_split(raw: DataFrame) -> DataFrame:
     """Split rows -> (record_id, binary_label, label_raw), last row per id kept."""
+    # an id that is no number is an error whatever the session's ANSI setting
+    number = F.trim("par_id").try_cast("bigint")
+    bad = F.raise_error(F.concat(F.lit("split row with an id that is not a number: "), F.coalesce("par_id", F.lit("null"))))
     typed = raw.select(
-        F.col("par_id").cast("bigint").alias("record_id"),
+        F.when(number.isNull(), bad.cast("bigint")).otherwise(number).alias("record_id"),
         binarize_label("label").alias("binary_label"),
         label_raw("label").alias("label_raw"),
         "_ord",
@@ -99,19 +103,25 @@ def parse_split(raw: DataFrame) -> DataFrame:
     return dedupe_keep_last(typed, "record_id")
 
 
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of the table's values and a fixed part per row, by one aggregation."""
+    texts = [F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c, t in df.dtypes if t == "string"]
+    row = sum(texts, F.lit(ROW_OVERHEAD + 8 * (len(df.columns) - len(texts)))).cast("bigint")
+    return df.agg(F.sum(row)).first()[0] or 0
+
+
 def labelled_split(split: DataFrame, corpus: DataFrame, key: str = "record_id",
-                   broadcast_max_rows: int = SPLIT_BROADCAST_MAX_ROWS) -> DataFrame:
+                   broadcast_max_bytes: int = SPLIT_BROADCAST_MAX_BYTES) -> DataFrame:
     """split LEFT JOIN corpus on the key; duplicate corpus ids fan out.
 
-    The corpus is the large side.  When the split has a checked, bounded size
-    it is broadcast to the corpus scan (an inner join that never shuffles the
+    The corpus is the large side.  When the split's measured size is within
+    the bound it is broadcast to the corpus scan (an inner join that never shuffles the
     corpus) and the unmatched split rows are added back with an anti join on
     the small matched-key set.  Otherwise both sides are shuffled on the key,
     with hot corpus keys split over buckets (``skew_safe_left_join``).
     """
     right = corpus.select(key, "article_id", "keyword", "country", "text")
-    n_split = split.count() if broadcast_max_rows else broadcast_max_rows + 1
-    if n_split > broadcast_max_rows:
+    if not broadcast_max_bytes or measured_bytes(split) > broadcast_max_bytes:
         return skew_safe_left_join(split, right, key)
     matched = right.join(F.broadcast(split), key, "inner")
     unmatched = split.join(matched.select(key).distinct(), key, "left_anti")
@@ -119,38 +129,32 @@ def labelled_split(split: DataFrame, corpus: DataFrame, key: str = "record_id",
     return matched.unionByName(unmatched.withColumns(nulls)).select(*split.columns, *nulls)
 
 
-def skew_safe_left_join(left: DataFrame, right: DataFrame, key: str,
-                        hot_rows: int = HOT_KEY_ROWS, max_hot_keys: int = HOT_KEYS_MAX) -> DataFrame:
+def skew_safe_left_join(left: DataFrame, right: DataFrame, key: str, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """left LEFT JOIN right on ``key`` when neither side can be broadcast.
 
     AQE can split only the left side of a left outer join, so a right-side
     key holding a large share of the rows would land in one task.  Keys with
     more than ``hot_rows`` right rows are found by one count combined
-    map-side (there are at most |right| / hot_rows of them, a bounded list
-    that is broadcast).  A hot key's right rows are dealt over
+    map-side and kept as a table of at most |right| / hot_rows rows, which
+    stays on the executors.  A hot key's right rows are dealt over
     ceil(n / hot_rows) buckets by their row id, and its left rows are copied
     once per bucket, so every bucket joins a slice of at most ~hot_rows rows.
     A hot key always has right rows, so for it the left join is an inner
     join; the other keys take the plain shuffled join.
     """
     out_cols = left.columns + [c for c in right.columns if c != key]
+    buckets = F.ceil(F.col("_n") / F.lit(float(hot_rows))).cast("int")
     counts = right.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
-    hot = counts.limit(max_hot_keys + 1).collect()
-    if not hot or len(hot) > max_hot_keys:
+    checkpoint_root(left.sparkSession)
+    hot = counts.select(key, buckets.alias("_b")).checkpoint()
+    if hot.isEmpty():
         return left.join(right, key, "left").select(*out_cols)
-    buckets = F.ceil(F.col("_n") / F.lit(float(hot_rows))).cast("int")
-    hot_df = F.broadcast(
-        left.sparkSession.createDataFrame(hot, counts.schema).select(key, buckets.alias("_b"))
-    )
-    cold = left.join(hot_df, key, "left_anti").join(right.join(hot_df, key, "left_anti"), key, "left")
-    # row ids are a function of the input split and position, so a retried
-    # task deals its rows to the same buckets
-    r_hot = right.join(hot_df, key, "inner").withColumn(
-        "_salt", F.pmod(F.monotonically_increasing_id(), F.col("_b").cast("bigint")).cast("int")
-    ).drop("_b")
-    l_hot = left.join(hot_df, key, "inner").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.col("_b") - 1))
-    ).drop("_b")
+    cold = left.join(hot, key, "left_anti").join(right.join(hot, key, "left_anti"), key, "left")
+    # the bucket follows from the row's content, so a retried task deals its
+    # rows to the same buckets; rows equal in all columns may share one
+    salt = F.pmod(F.xxhash64(*[c for c in right.columns if c != key]), F.col("_b").cast("bigint")).cast("int")
+    r_hot = right.join(hot, key, "inner").withColumn("_salt", salt).drop("_b")
+    l_hot = left.join(hot, key, "inner").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_b") - 1))).drop("_b")
     hot_joined = l_hot.join(r_hot, [key, "_salt"], "inner")
     return cold.select(*out_cols).unionByName(hot_joined.select(*out_cols))
 
@@ -168,7 +172,7 @@ def raise_on_missing(df: DataFrame, split_col: str = "split") -> None:
     bad = check_missing(df, split_col).filter("missing_text > 0").collect()
     if bad:
         counts = ", ".join(f"{r[split_col]}_missing={r['missing_text']}" for r in bad)
-        raise ValueError(f"Missing text after merge with split files: {counts}")
+        raise ValueError(f"split rows without a text in the corpus: {counts}")
 
 
 def union_splits(**splits: DataFrame) -> DataFrame:

@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Generator, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import checkpoint_root
 
 
 def class_weights(df: DataFrame, label: str = "binary_label") -> DataFrame:
@@ -24,25 +31,58 @@ def class_weights(df: DataFrame, label: str = "binary_label") -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# M3: linear decision score as a join (no coefficient vector in the plan)
+# M3: linear decision score
 # ---------------------------------------------------------------------------
-def decision_score(packed: DataFrame, coef: DataFrame, bias: float, key: str = "doc_id",
-                   carry=(), broadcast_coef: bool = True, out: str = "score") -> DataFrame:
-    """w.x + b for sparse rows (M3).
-
-    ``coef`` is a (idx, coef) table.  Entries are exploded, joined to the
-    coefficients (broadcast when their size is checked by the caller) and
-    summed back per document; the exploded rows keep the packed table's
-    partitioning, so the sum needs no shuffle.  A document with no known term
-    scores ``b``.
+# A coefficient table of at most so many entries (16 bytes each) is sent to the tasks.
+COEF_BROADCAST_MAX = 4_000_000
+
+
+def decision_score(packed: DataFrame, coef: DataFrame, bias: float, carry=(), size: int | None = None,
+                   out: str = "score", broadcast_max: int = COEF_BROADCAST_MAX) -> DataFrame:
+    """(*carry, score): w.x + b for sparse rows, one row per input row (M3).
+
+    ``coef`` is an (idx, coef) table of ``size`` entries (counted if not
+    given); idx without an entry count as 0.  Up to ``broadcast_max`` entries
+    the product is taken inside the row and nothing is shuffled; beyond, the
+    rows are written out, numbered and their entries joined.  A row with no
+    known term scores ``b``.
     """
-    ex = packed.select(key, *carry, F.explode_outer(F.arrays_zip("idx", "val")).alias("_e"))
-    ex = ex.select(key, *carry, F.col("_e.idx").alias("idx"), F.col("_e.val").alias("_v"))
-    c = coef.select("idx", F.col("coef").alias("_c"))
-    j = ex.join(F.broadcast(c) if broadcast_coef else c, "idx", "left")
-    return j.groupBy(key, *carry).agg(
-        (F.coalesce(F.sum(F.col("_v") * F.col("_c")), F.lit(0.0)) + F.lit(float(bias))).alias(out)
-    )
+    size = coef.count() if size is None else size
+    rows = packed.select(*carry, "idx", "val")
+    if size > broadcast_max:
+        return _decision_joined(rows, coef, bias, carry, out)
+    table = coef.select("idx", "coef").toArrow()
+    w = np.zeros(int(table["idx"].to_numpy().max(initial=-1)) + 1)
+    w[table["idx"].to_numpy()] = table["coef"].to_numpy()
+    shared = packed.sparkSession.sparkContext.broadcast(w)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w = shared.value
+        for batch in batches:
+            row, idx, val = _entries(batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1))
+            inside = idx < len(w)
+            s = np.bincount(row[inside], val[inside] * w[idx[inside]], minlength=batch.num_rows) + bias
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(s)], [*batch.schema.names[:-2], out])
+
+    schema = T.StructType(rows.schema.fields[:-2] + [T.StructField(out, T.DoubleType())])
+    return rows.mapInArrow(work, schema)
+
+
+def _decision_joined(rows: DataFrame, coef: DataFrame, bias: float, carry, out: str) -> DataFrame:
+    checkpoint_root(rows.sparkSession)
+    fixed = rows.checkpoint().withColumn("_row", F.monotonically_increasing_id())
+    entries = fixed.select("_row", F.inline(F.arrays_zip("idx", "val")))
+    sums = entries.join(coef.select("idx", "coef"), "idx").groupBy("_row").agg(F.sum(F.col("val") * F.col("coef")).alias(out))
+    total = (F.coalesce(F.col(out), F.lit(0.0)) + F.lit(float(bias))).alias(out)
+    return fixed.join(sums, "_row", "left").select(*carry, total)
+
+
+def _entries(idx: pa.Array, val: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, idx, val) of a batch's sparse rows."""
+    a, b = idx.offsets.to_numpy(), val.offsets.to_numpy()
+    flat_i = idx.values.to_numpy(zero_copy_only=False)[a[0] : a[-1]]
+    flat_v = val.values.to_numpy(zero_copy_only=False)[b[0] : b[-1]]
+    return np.repeat(np.arange(len(a) - 1), np.diff(a)), flat_i, flat_v
 
 
 # ---------------------------------------------------------------------------
@@ -51,187 +91,194 @@ def decision_score(packed: DataFrame, coef: DataFrame, bias: float, key: str = "
 # Model hyper-parameters of the reference's two candidates.
 LOGREG_C = 2.0
 SVM_C = 1.0
-# Largest coefficient vector held on the driver and broadcast to tasks.
-MAX_DIM = 1 << 25
-# L-BFGS keeps 2 * memory vectors of the model's size on the driver: up to 30
-# pairs, fewer for very wide models so the history stays within the budget.
-LBFGS_MEMORY = 30
-LBFGS_HISTORY_BYTES = 2 << 30
-# Default stopping tolerance on |grad| relative to its starting value.
-SOLVER_TOL = 1e-5
-# Partial gradients (partitions x dimension entries) up to this bound are merged
-# on the driver; above it a keyed aggregation reduces them on the executors.
-DIRECT_REDUCE_MAX = 20_000_000
-
-
-def _partition_loss_grad(loss: str, C: float, w_bc):
-    """Per-partition data term and its gradient over Arrow batches.
-
-    The sparse rows arrive as Arrow list arrays: their offsets and values are
-    read as flat CSR arrays without a per-row Python object.
+# Labelled rows that a fit uses at most, about (those with the smallest hashes of
+# their features); it bounds the coefficient vector that the driver holds.
+MAX_FIT_ROWS = 4_000_000
+# Pairs that the solver remembers, and the gradient norm at which it stops.
+LBFGS_MEMORY = 20
+SOLVER_TOL = 5e-7
+# Gradient entries to a row when partial gradients are summed on the executors.
+GRAD_CHUNK = 1 << 16
+# Training rows to a block.
+BLOCK_ROWS = 4096
+
+
+def training_rows(packed: DataFrame, weights: DataFrame, label: str = "binary_label", max_rows: int = MAX_FIT_ROWS) -> DataFrame:
+    """Sparse rows + class weight per row, materialised in the shared checkpoint folder.
+
+    Checkpointing cuts the lineage the solver re-reads at every pass, so a
+    lost executor costs one partition re-read, not the feature pipeline.
     """
-    import numpy as np
-    import pyarrow as pa
-
-    def run(batches):
-        wb = w_bc.value
-        w, b = wb[:-1], wb[-1]
-        total, gb = 0.0, 0.0
-        keys, vals = [], []
-        for rb in batches:
-            n = rb.num_rows
-            if n == 0:
-                continue
-            idx_col, val_col = rb.column("idx"), rb.column("val")
-            offs = idx_col.offsets.to_numpy()
-            flat_i = idx_col.values.to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
-            flat_v = val_col.values.to_numpy(zero_copy_only=False)
-            start = offs[0]
-            flat_i, flat_v = flat_i[start:offs[-1]], flat_v[val_col.offsets.to_numpy()[0]:val_col.offsets.to_numpy()[-1]]
-            rows = np.repeat(np.arange(n), np.diff(offs))
-            m = np.bincount(rows, weights=flat_v * w[flat_i], minlength=n) + b
-            ys = 2.0 * rb.column("y").to_numpy(zero_copy_only=False).astype(np.float64) - 1.0
-            sw = rb.column("s").to_numpy(zero_copy_only=False)
-            z = ys * m
-            if loss == "logistic":
-                li = np.logaddexp(0.0, -z)
-                d = -ys * 0.5 * (1.0 - np.tanh(0.5 * z))
-            else:
-                h = np.maximum(0.0, 1.0 - z)
-                li = h * h
-                d = -2.0 * ys * h
-            d = C * sw * d
-            total += C * float(np.dot(sw, li))
-            gb += float(d.sum())
-            if len(flat_i):
-                u, inv = np.unique(flat_i, return_inverse=True)
-                keys.append(u)
-                vals.append(np.bincount(inv, weights=flat_v * d[rows], minlength=len(u)))
-        if keys:
-            u, inv = np.unique(np.concatenate(keys), return_inverse=True)
-            g = np.bincount(inv, weights=np.concatenate(vals), minlength=len(u))
-        else:
-            u, g = np.zeros(0, np.int64), np.zeros(0)
+    w = F.broadcast(weights.select(F.col("label").alias(label), F.col("weight").alias("s")))  # two rows
+    rows = packed.join(w, label).select(F.col(label).cast("int").alias("y"), "s", "idx", "val")
+    checkpoint_root(packed.sparkSession)
+    rows = rows.checkpoint()
+    n = rows.count()
+    if n > max_rows:
+        part = F.pmod(F.xxhash64("y", "idx"), F.lit(1 << 30)) < F.lit(int((1 << 30) * max_rows / n))
+        rows = rows.filter(part)
+    return rows
+
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """Training rows packed into blocks of compressed sparse rows, dealt evenly, kept in memory where it fits."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, BLOCK_ROWS):
+                batch = whole.slice(start, BLOCK_ROWS)
+                row, idx, val = _entries(batch.column(2), batch.column(3))
+                cells = [batch.column(0).to_numpy().astype(np.float64), batch.column(1).to_numpy(), row.astype(np.int32), idx.astype(np.int64), val]
+                yield pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in cells], ["y", "s", "row", "idx", "val"])
+
+    parts = rows.sparkSession.sparkContext.defaultParallelism
+    packed = rows.select("y", "s", "idx", "val").repartition(max(parts, rows.rdd.getNumPartitions()))
+    return packed.mapInArrow(pack, "y binary, s binary, row binary, idx binary, val binary").persist()
+
+
+def _pass(blocks: DataFrame, points: list[tuple[str, float, np.ndarray]], dim: int) -> list[tuple[float, np.ndarray]]:
+    """Objective and gradient of several (loss, C, point) in one pass over the blocks.
+
+    Partial gradients leave a task in chunks and are summed on the executors.
+    """
+    shared = blocks.sparkSession.sparkContext.broadcast(points)
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grads = [np.zeros(dim + 2) for _ in shared.value]  # coefficients, bias, objective
+        for batch in batches:
+            for cells in zip(*batch.columns, strict=True):
+                y, s, row, idx, val = (np.frombuffer(c.as_buffer(), t) for c, t in zip(cells, ("f8", "f8", "i4", "i8", "f8"), strict=True))
+                sign = 2.0 * y - 1.0
+                for g, (loss, C, wb) in zip(grads, shared.value, strict=True):
+                    z = sign * (np.bincount(row, val * wb[idx], minlength=len(y)) + wb[-1])
+                    if loss == "logistic":
+                        value, d = np.logaddexp(0.0, -z), -sign * 0.5 * (1.0 - np.tanh(0.5 * z))
+                    else:
+                        h = np.maximum(0.0, 1.0 - z)
+                        value, d = h * h, -2.0 * sign * h
+                    d = C * s * d
+                    g[:dim] += np.bincount(idx, val * d[row], minlength=dim)
+                    g[dim] += d.sum()
+                    g[dim + 1] += C * float(s @ value)
+        rows = [(k, c, g[c * GRAD_CHUNK : (c + 1) * GRAD_CHUNK]) for k, g in enumerate(grads) for c in range(-(-len(g) // GRAD_CHUNK))]
+        rows = [r for r in rows if r[2].any()]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([u, [-1, -2]]).astype(np.int32)), pa.array(np.concatenate([g, [total, gb]]))],
-            names=["j", "g"],
+            [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2].tobytes() for r in rows], pa.binary())],
+            ["k", "chunk", "g"],
         )
 
-    return run
-
-
-class _Objective:
-    """f(w, b) = 1/2 (|w|^2 + b^2) + C * sum_i s_i * loss(y_i, w.x_i + b), evaluated on Spark."""
-
-    def __init__(self, packed: DataFrame, dim: int, loss: str, C: float):
-        self.packed, self.dim, self.loss, self.C = packed, dim, loss, C
-        self.sc = packed.sparkSession.sparkContext
-        self.evals = 0
-        self.direct = packed.rdd.getNumPartitions() * (dim + 2) <= DIRECT_REDUCE_MAX
-
-    def __call__(self, wb):
-        import numpy as np
-
-        bc = self.sc.broadcast(wb)
-        try:
-            part = self.packed.mapInArrow(_partition_loss_grad(self.loss, self.C, bc), "j int, g double")
-            if not self.direct:
-                part = part.groupBy("j").agg(F.sum("g").alias("g"))
-            red = part.toArrow()
-        finally:
-            bc.unpersist()
-        self.evals += 1
-        j = red.column("j").to_numpy()
-        g = red.column("g").to_numpy()
-        grad = wb.copy()  # regulariser gradient (bias included)
-        data = j >= 0
-        grad[:-1] += np.bincount(j[data], weights=g[data], minlength=self.dim)
-        grad[-1] += g[j == -2].sum()
-        f = 0.5 * float(wb @ wb) + float(g[j == -1].sum())
-        return f, grad
-
-
-def lbfgs(fun, x0, tol: float = 1e-6, max_iter: int = 500, m: int = LBFGS_MEMORY,
-          ftol: float = 1e-14, stall: int = 3):
-    """Limited-memory BFGS with Armijo backtracking.
-
-    Stops when |g| <= tol * max(1, |g0|), or when the objective has stopped
-    changing at double precision (relative decrease <= ftol) for ``stall``
-    iterations in a row.  Returns (x, f, |g|, iterations, history).
-    """
-    import numpy as np
+    def summed(key, table):
+        total = np.sum([np.frombuffer(v.as_buffer(), np.float64) for c in table["g"].chunks for v in c], axis=0)
+        return pa.table({"k": pa.array([key[0].as_py()], pa.int32()), "chunk": pa.array([key[1].as_py()], pa.int32()), "g": [total.tobytes()]})
+
+    schema = "k int, chunk int, g binary"
+    try:
+        got = blocks.mapInArrow(partial, schema).groupBy("k", "chunk").applyInArrow(summed, schema).toArrow()
+    finally:
+        shared.unpersist()
+    sums = [np.zeros(dim + 2) for _ in points]
+    for k, c, g in zip(*(got[n].to_pylist() for n in ("k", "chunk", "g")), strict=True):
+        piece = np.frombuffer(g, np.float64)
+        sums[k][c * GRAD_CHUNK : c * GRAD_CHUNK + len(piece)] = piece
+    return [(0.5 * float(wb @ wb) + float(s[-1]), s[:-1] + wb) for s, (_, _, wb) in zip(sums, points, strict=True)]
 
+
+def lbfgs(x0: np.ndarray, tol: float, max_iter: int, m: int = LBFGS_MEMORY, ftol: float = 1e-15, stall: int = 5) -> Generator:
+    """Limited-memory BFGS with backtracking: yields points, is sent (f, gradient), returns (x, f, |g|, iterations, history).
+
+    Stops when |g| <= tol, or when the objective has stopped changing at
+    double precision (relative decrease <= ftol) for ``stall`` steps in a row.
+    """
     x = x0.copy()
-    f, g = fun(x)
-    S, Y = [], []
+    f, g = yield x
+    pairs: list[tuple[np.ndarray, np.ndarray]] = []
     history = [(0, f, float(np.linalg.norm(g)))]
     it, flat = 0, 0
-    gtol = tol * max(1.0, float(np.linalg.norm(g)))
-    while it < max_iter and np.linalg.norm(g) > gtol and flat < stall:
-        q = g.copy()
-        alphas = []
-        for s, y in reversed(list(zip(S, Y))):
-            rho = 1.0 / float(y @ s)
-            a = rho * float(s @ q)
-            alphas.append((rho, a))
-            q -= a * y
-        if S:
-            q *= float(S[-1] @ Y[-1]) / float(Y[-1] @ Y[-1])
+    while it < max_iter and np.linalg.norm(g) > tol and flat < stall:
+        d, alphas = -g, []
+        for s, y in reversed(pairs):
+            a = float(s @ d) / float(y @ s)
+            alphas.append(a)
+            d = d - a * y
+        if pairs:
+            s, y = pairs[-1]
+            d = d * (float(s @ y) / float(y @ y))
         else:
-            q /= max(1.0, float(np.linalg.norm(g)))
-        for (s, y), (rho, a) in zip(zip(S, Y), reversed(alphas)):
-            q += s * (a - rho * float(y @ q))
-        d = -q
-        gd = float(g @ d)
-        if gd >= 0:  # not a descent direction: restart from steepest descent
-            S, Y = [], []
-            d = -g / max(1.0, float(np.linalg.norm(g)))
-            gd = float(g @ d)
+            d = d / max(1.0, float(np.linalg.norm(g)))
+        for (s, y), a in zip(pairs, reversed(alphas)):
+            d = d + s * (a - float(y @ d) / float(y @ s))
+        slope = float(g @ d)
+        if slope >= 0:  # not a descent direction: restart from steepest descent
+            pairs, d = [], -g / max(1.0, float(np.linalg.norm(g)))
+            slope = float(g @ d)
         t = 1.0
         for _ in range(40):
-            xn = x + t * d
-            fn, gn = fun(xn)
-            if fn <= f + 1e-4 * t * gd:
+            f_new, g_new = yield x + t * d
+            # near the optimum f cannot tell steps apart, the gradient still can
+            if f_new <= f + 1e-4 * t * slope or (abs(f_new - f) <= 1e-13 * abs(f) and np.linalg.norm(g_new) < np.linalg.norm(g)):
                 break
             t *= 0.5
         else:
             break  # no acceptable step: x is optimal to working precision
-        s, y = xn - x, gn - g
-        if float(s @ y) > 1e-12:
-            S.append(s)
-            Y.append(y)
-            if len(S) > m:
-                S.pop(0)
-                Y.pop(0)
-        flat = flat + 1 if (f - fn) <= ftol * max(abs(f), abs(fn), 1.0) else 0
-        x, f, g = xn, fn, gn
+        s, y = t * d, g_new - g
+        if float(s @ y) > 1e-14 * float(y @ y):
+            pairs = [*pairs, (s, y)][-m:]
+        flat = flat + 1 if (f - f_new) <= ftol * max(abs(f), abs(f_new), 1.0) else 0
+        x, f, g = x + s, f_new, g_new
         it += 1
         history.append((it, f, float(np.linalg.norm(g))))
     return x, f, float(np.linalg.norm(g)), it, history
 
 
-def training_rows(packed: DataFrame, weights: DataFrame, label: str = "binary_label") -> DataFrame:
-    """Sparse rows + class weight per row, materialised in the shared checkpoint folder.
+def fit_linears(rows: DataFrame, dim: int, problems: list[tuple[str, float]], tol: float = SOLVER_TOL, max_iter: int = 1000):
+    """Minimise several class-weighted (loss, C) objectives side by side, one pass over the rows for all of them.
 
-    Checkpointing cuts the lineage the solver re-reads at every iteration, so a
-    lost executor costs one partition re-read, not the feature pipeline.
+    Returns a (coef ndarray, bias, info dict) for each.
     """
-    from ..session import checkpoint_root
-
-    w = F.broadcast(weights.select(F.col("label").alias(label), F.col("weight").alias("s")))
-    rows = packed.join(w, label).select(F.col(label).cast("int").alias("y"), "s", "idx", "val")
-    checkpoint_root(packed.sparkSession)
-    return rows.checkpoint(eager=True)
+    blocks = _blocks(rows)
+    try:
+        solvers = [lbfgs(np.zeros(dim + 1), tol, max_iter) for _ in problems]
+        points = {i: next(s) for i, s in enumerate(solvers)}
+        done, evals = {}, [0] * len(problems)
+        while points:
+            at = list(points)
+            values = _pass(blocks, [(*problems[i], points[i]) for i in at], dim)
+            points = {}
+            for i, value in zip(at, values, strict=True):
+                evals[i] += 1
+                try:
+                    points[i] = solvers[i].send(value)
+                except StopIteration as end:
+                    done[i] = end.value
+    finally:
+        blocks.unpersist()
+    out = []
+    for i in range(len(problems)):
+        x, f, gnorm, iters, history = done[i]
+        out.append((x[:-1], float(x[-1]), {"objective": f, "grad_norm": gnorm, "iterations": iters, "evaluations": evals[i], "history": history}))
+    return out
 
 
 def fit_linear(rows: DataFrame, dim: int, loss: str, C: float, tol: float = SOLVER_TOL, max_iter: int = 1000):
-    """Minimise the class-weighted objective; returns (coef ndarray, bias, info dict)."""
-    import numpy as np
-
-    if dim > MAX_DIM:
-        raise ValueError(f"{dim} features exceed the driver-side coefficient bound {MAX_DIM}")
-    obj = _Objective(rows, dim, loss, C)
-    memory = int(max(5, min(LBFGS_MEMORY, LBFGS_HISTORY_BYTES // (16 * (dim + 1)))))
-    x, f, gnorm, iters, hist = lbfgs(obj, np.zeros(dim + 1), tol=tol, max_iter=max_iter, m=memory)
-    return x[:-1], float(x[-1]), {"objective": f, "grad_norm": gnorm, "iterations": iters,
-                                  "evaluations": obj.evals, "history": hist}
+    """Minimise one class-weighted objective; returns (coef ndarray, bias, info dict)."""
+    return fit_linears(rows, dim, [(loss, C)], tol, max_iter)[0]
+
+
+def gradient_norm(rows: DataFrame, coef: DataFrame, bias: float, loss: str, C: float) -> DataFrame:
+    """One row: the norm of the objective's gradient at (coef, bias), by joins and sums alone (no solver code).
+
+    The objective is strongly convex with modulus 1, so the distance to its
+    optimum is at most this norm.
+    """
+    checkpoint_root(rows.sparkSession)
+    fixed = rows.checkpoint().withColumn("_row", F.monotonically_increasing_id())
+    entries = fixed.select("_row", F.inline(F.arrays_zip("idx", "val")))
+    margin = entries.join(coef, "idx").groupBy("_row").agg(F.sum(F.col("val") * F.col("coef")).alias("m"))
+    sign = 2.0 * F.col("y") - 1.0
+    z = sign * (F.coalesce("m", F.lit(0.0)) + F.lit(bias))
+    slope = -sign / (1.0 + F.exp(z)) if loss == "logistic" else -2.0 * sign * F.greatest(F.lit(0.0), 1.0 - z)
+    d = fixed.join(margin, "_row", "left").select("_row", (F.lit(C) * F.col("s") * slope).alias("d"))
+    data = entries.join(d, "_row").groupBy("idx").agg(F.sum(F.col("val") * F.col("d")).alias("g"))
+    whole = coef.join(data, "idx", "left").agg(F.sum(F.pow(F.col("coef") + F.coalesce("g", F.lit(0.0)), 2)).alias("w2"))
+    of_bias = d.agg(F.sum("d").alias("b"))
+    return whole.crossJoin(F.broadcast(of_bias)).select(F.sqrt(F.col("w2") + F.pow(F.col("b") + F.lit(bias), 2)).alias("grad_norm"))

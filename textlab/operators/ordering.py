@@ -28,19 +28,8 @@ def dense_index(df: DataFrame, order_by: list, name: str = "idx", materialize: b
 
 
 def number_by_position(df: DataFrame, position: str, name: str = "line") -> DataFrame:
-    """0..n-1 in the order of a (file, block, row) position struct, as read from files.
-
-    Rows of one file split are contiguous in monotonically-increasing-id
-    order, so a split's first id plus the row count of all earlier splits
-    gives each row's global number.  The split table is tiny.
-    """
-    key = [F.col(f"{position}.file").alias("_f"), F.col(f"{position}.block").alias("_b")]
-    s = df.withColumns({"_f": key[0], "_b": key[1], "_mono": F.col(f"{position}.row")})
-    splits = s.groupBy("_f", "_b").agg(F.count(F.lit(1)).alias("_n"), F.min("_mono").alias("_m0"))
-    w = Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
-    offs = splits.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    out = s.join(F.broadcast(offs), ["_f", "_b"]).withColumn(name, F.col("_off") + F.col("_mono") - F.col("_m0"))
-    return out.drop("_f", "_b", "_mono", "_n", "_m0", "_off")
+    """0..n-1 in the order of a (file, block, row) position struct, without gaps whatever rows were filtered out."""
+    return dense_index(df, [f"{position}.file", f"{position}.block", f"{position}.row"], name)
 
 
 def _number(s: DataFrame, name: str) -> DataFrame:
@@ -48,6 +37,6 @@ def _number(s: DataFrame, name: str) -> DataFrame:
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
     out = s.join(F.broadcast(offs), "_pid").withColumn(
-        name, (F.col("_off") + F.col("_mono") - F.col("_m0")).cast("int")
+        name, F.col("_off") + F.col("_mono") - F.col("_m0")
     )
     return out.drop("_pid", "_mono", "_n", "_m0", "_off")

@@ -14,11 +14,11 @@ KDE_GRIDSIZE = 200
 KDE_CUT = 3.0
 # Groups whose bandwidth rows are broadcast to the value rows.
 KDE_BROADCAST_MAX_GROUPS = 10_000
-# Characters of text carried through the repeated-text aggregation; the full
-# text is fetched only for the few candidate groups.
+# Characters of text carried at first through the repeated-text aggregation; the
+# full text is fetched only for the few candidate groups.
 TEXT_PREFIX_CHARS = 64
-# Largest candidate set broadcast when fetching full texts.
-CANDIDATE_BROADCAST_MAX = 100_000
+# Candidate groups whose keys (about 100 bytes each) are broadcast to fetch their texts.
+CANDIDATE_MAX = 100_000
 
 
 def split_summary(df: DataFrame, split_col: str = "split", label: str = "binary_label") -> DataFrame:
@@ -43,9 +43,9 @@ def class_pivot(df: DataFrame, split_col: str = "split", label: str = "binary_la
     neg, pos = F.col("0").cast("bigint"), F.col("1").cast("bigint")
     return wide.select(
         split_col,
-        neg.alias("label_0_no_pcl"),
-        pos.alias("label_1_pcl"),
-        (pos / (neg + pos)).alias("pcl_ratio"),
+        neg.alias("label_0"),
+        pos.alias("label_1"),
+        (pos / (neg + pos)).alias("positive_ratio"),
     )
 
 
@@ -69,18 +69,21 @@ def token_quantile(df: DataFrame, q: float = 0.99, x: str = "token_count") -> Da
     return df.agg(F.percentile(F.col(x), F.lit(q)).cast("double").alias(f"p{int(round(q * 100))}"))
 
 
-def top_repeated_texts(df: DataFrame, k: int = 20, label: str = "binary_label", text: str = "text") -> DataFrame:
+def top_repeated_texts(df: DataFrame, k: int = 20, label: str = "binary_label", text: str = "text",
+                       prefix_chars: int = TEXT_PREFIX_CHARS, candidates: int = CANDIDATE_MAX) -> DataFrame:
     """Most frequent (label, text) pairs, ties by label then text.
 
-    The aggregation is keyed by an MD5 of the text plus a short prefix, so
+    The aggregation is keyed by a SHA-256 of the text plus a short prefix, so
     the shuffle does not carry whole texts.  Ordering by (frequency, label,
     prefix) finds the k-th group; every group that could still beat it
     (frequency higher, or equal with a prefix not after its prefix) is a
     candidate, and only those fetch their full text for the exact final order.
+    Where a common beginning leaves more than ``candidates``, the prefix is
+    made eight times as long and the groups are built anew.
     """
     keyed = df.select(
-        F.col(label).alias("_label"), F.md5(F.col(text)).alias("_h"),
-        F.substring(F.col(text), 1, TEXT_PREFIX_CHARS).alias("_prefix"), F.col(text).alias("_text"),
+        F.col(label).alias("_label"), F.sha2(F.col(text), 256).alias("_h"),
+        F.substring(F.col(text), 1, prefix_chars).alias("_prefix"), F.col(text).alias("_text"),
     )
     groups = keyed.groupBy("_label", "_h").agg(
         F.count(F.lit(1)).cast("bigint").alias("frequency"), F.min("_prefix").alias("_prefix")
@@ -95,14 +98,17 @@ def top_repeated_texts(df: DataFrame, k: int = 20, label: str = "binary_label",
         return keyed.select(F.col("_label").alias(label), F.col("_text").alias(text),
                             F.lit(0).cast("bigint").alias("frequency")).limit(0)
     last = kth[-1]
+    same = (F.col("frequency") == last["frequency"]) & F.col("_label").eqNullSafe(last["_label"])
     better = (
         (F.col("frequency") > last["frequency"])
         | ((F.col("frequency") == last["frequency"]) & (F.col("_label") < last["_label"]))
-        | ((F.col("frequency") == last["frequency"]) & (F.col("_label") == last["_label"])
-           & (F.col("_prefix") <= last["_prefix"]))
+        | (same & (F.col("_prefix") <= last["_prefix"]))
     )
     cand = groups.filter(better).select("_label", "_h", "frequency")
-    if cand.count() <= CANDIDATE_BROADCAST_MAX:
+    n, longest = cand.count(), groups.agg(F.max(F.length("_prefix"))).first()[0] or 0
+    if n > max(candidates, k) and longest == prefix_chars:
+        return top_repeated_texts(df, k, label, text, 8 * prefix_chars, candidates)
+    if n <= max(candidates, k):
         cand = F.broadcast(cand)
     texts = keyed.join(cand, ["_label", "_h"]).groupBy("_label", "_h", "frequency").agg(
         F.min("_text").alias("_text")

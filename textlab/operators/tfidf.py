@@ -1,31 +1,38 @@
 """TF-IDF features (T4-T8): uni+bigrams, document-frequency vocabulary,
 sublinear TF, smoothed IDF, L2 rows.
 
-Partitioning plan.  Documents are hash-partitioned on their key once (the
-text is the smallest thing to move).  After that every per-document step —
-term counts, the vocabulary lookup (broadcast when the vocabulary has a
-checked size), the L2 norm and the packing into sparse rows — runs inside
-the same partitions with no further exchange.  The only other shuffle is the
-document-frequency count, keyed by term and combined map-side, so frequent
-terms do not skew it.
+A document is a row.  Its terms are counted, weighted and normalised inside
+the row, so rows that share a key stay apart and no text is shuffled: the
+fit's only exchange carries (term, count) partial sums, and a transform against
+a vocabulary of checked size has none at all.  A larger vocabulary is looked up
+by a shuffled join of (row, term, count) under a row number that is fixed by
+writing the rows out first.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.text import ngrams_1_2, normalize_text, word_tokens
+from ..functions.text import analyzed_terms
+from ..session import checkpoint_root
 from .ordering import dense_index
 
 # Vocabulary filter (absolute minimum, proportional maximum).
 MIN_DF = 2
 MAX_DF = 0.95
-# Vocabulary broadcast bound, in estimated bytes (term + idx + idf per entry).
-VOCAB_BROADCAST_MAX_BYTES = 512 * 1024 * 1024
-VOCAB_ENTRY_OVERHEAD = 48
+# Vocabulary broadcast bound, in measured bytes of terms plus fixed bytes per entry.
+VOCAB_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+VOCAB_ENTRY_BYTES = 32
+
+TERMS, ROW = "_terms", "_row"
 
 
 def sublinear_tf(tf) -> F.Column:
@@ -39,92 +46,158 @@ def smooth_idf(df_col, n_docs: int) -> F.Column:
     return F.log(F.lit(float(1 + n_docs)) / (F.lit(1.0) + d.cast("double"))) + F.lit(1.0)
 
 
-NORM = "_norm"
+def analyzed(docs: DataFrame, text: str = "text", carry=()) -> DataFrame:
+    """(*carry, terms array): T1, T2 and T3 of each row; a null text has no terms."""
+    terms = F.coalesce(analyzed_terms(F.col(text)), F.array().cast("array<string>"))
+    return docs.select(*carry, terms.alias(TERMS))
 
 
-def by_key(docs: DataFrame, key: str, text: str = "text", carry=()) -> DataFrame:
-    """Normalised text (T1), hash-partitioned on the key: the one text shuffle.
+def _counted(offsets: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, code, count) of codes >= 0, in (row, code) order."""
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    known = codes >= 0
+    row, codes = row[known], codes[known]
+    order = np.lexsort((codes, row))
+    row, codes = row[order], codes[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (codes[1:] != codes[:-1])
+    at = np.flatnonzero(new)
+    return row[at], codes[at], np.diff(np.append(at, len(row)))
 
-    The shuffle comes after T1 because a Python UDF node does not pass its
-    input's partitioning on; placed here, every later per-document step sees
-    the key clustering and plans no further exchange.
-    """
-    return docs.select(key, *carry, normalize_text(F.col(text)).alias(NORM)).repartition(key)
 
+def _lists(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Offsets from 0 and the flat values of a list column without nulls."""
+    offsets = column.offsets.to_numpy()
+    return offsets - offsets[0], column.values.slice(offsets[0], offsets[-1] - offsets[0])
 
-def term_counts(docs: DataFrame, key: str = "doc_id", carry=(), outer: bool = False) -> DataFrame:
-    """(key, *carry, term, tf) from ``by_key`` output.
 
-    ``outer`` keeps term-less documents as one row with a null term.
-    """
-    explode = F.explode_outer if outer else F.explode
-    t = docs.select(key, *carry, explode(ngrams_1_2(word_tokens(F.col(NORM)))).alias("term"))
-    return t.groupBy(key, *carry, "term").agg(F.count(F.lit(1)).alias("tf"))
+def _list_array(row: np.ndarray, n: int, values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(n + 1)).astype(np.int32)), values)
+
+
+def _with(schema: T.StructType, drop: tuple[str, ...], ddl: str) -> T.StructType:
+    return T.StructType([f for f in schema.fields if f.name not in drop] + T.StructType.fromDDL(ddl).fields)
+
+
+def term_counts(docs: DataFrame, text: str = "text", carry=()) -> DataFrame:
+    """(*carry, term, tf): one row per input row and distinct term, counted inside the row."""
+    rows = analyzed(docs, text, carry)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            offsets, flat = _lists(batch.column(batch.num_columns - 1))
+            coded = flat.dictionary_encode()
+            row, code, tf = _counted(offsets, coded.indices.to_numpy(zero_copy_only=False))
+            counted = [_list_array(row, batch.num_rows, coded.dictionary.take(pa.array(code))), _list_array(row, batch.num_rows, pa.array(tf, pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *counted], [*batch.schema.names[:-1], "_t", "_n"])
+
+    counted = rows.mapInArrow(work, _with(rows.schema, (TERMS,), "_t array<string>, _n array<bigint>"))
+    return counted.select(*carry, F.inline(F.arrays_zip(F.col("_t").alias("term"), F.col("_n").alias("tf"))))
 
 
 @dataclass
 class Vocabulary:
-    """Fitted vocabulary: table (term, idx, df, idf) and its size / training N."""
+    """Fitted vocabulary: table (term, idx, df, idf), its size, measured bytes and the training row count."""
 
     table: DataFrame
     size: int
     n_docs: int
+    nbytes: int | None = None
+    _shared: object = field(default=None, repr=False)
 
-    def for_join(self) -> DataFrame:
-        t = self.table.select("term", "idx", "idf")
-        approx = self.size * VOCAB_ENTRY_OVERHEAD
-        return F.broadcast(t) if approx <= VOCAB_BROADCAST_MAX_BYTES else t
-
+    def small(self) -> bool:
+        if self.nbytes is None:
+            self.nbytes = self.table.agg(F.sum(F.octet_length("term"))).first()[0] or 0
+        return self.nbytes + VOCAB_ENTRY_BYTES * self.size <= VOCAB_BROADCAST_MAX_BYTES
 
-def document_frequency(tc: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(term, df) over (key, term) rows; one shuffle keyed by term, combined map-side."""
-    return tc.filter(F.col("term").isNotNull()).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    def shared(self):
+        """Terms and idf in idx order, sent to the tasks once; only for a vocabulary of checked size."""
+        if self._shared is None:
+            t = self.table.select("term", "idx", "idf").toArrow().sort_by("idx")
+            idf = t["idf"].to_numpy()
+            self._shared = self.table.sparkSession.sparkContext.broadcast((t["term"].combine_chunks(), idf))
+        return self._shared
 
 
-def fit_vocabulary(docs: DataFrame, key: str = "doc_id", text: str = "text",
-                   min_df: int = MIN_DF, max_df: float = MAX_DF) -> Vocabulary:
+def fit_vocabulary(docs: DataFrame, text: str = "text", min_df: int = MIN_DF, max_df: float = MAX_DF) -> Vocabulary:
     """Terms with min_df <= df <= max_df * N, indexed in term order, with smoothed IDF.
 
-    The table is materialised in the shared checkpoint folder (it is reused
-    by every later transform and by the model).
+    N counts rows.  One pass gives both: every row adds its distinct terms and
+    one null term, combined map-side; only counted terms are written out.
     """
-    n_docs = docs.count()
-    tc = term_counts(by_key(docs, key, text), key)
-    dfreq = document_frequency(tc, key)
-    kept = dfreq.filter((F.col("df") >= min_df) & (F.col("df").cast("double") <= F.lit(float(max_df)) * F.lit(float(n_docs))))
-    indexed = dense_index(kept, ["term"], "idx")
-    table = indexed.withColumn("idf", smooth_idf("df", n_docs)).select("term", "idx", "df", "idf")
-    table = table.checkpoint(eager=True)
-    return Vocabulary(table=table, size=table.count(), n_docs=n_docs)
-
-
-def transform(docs: DataFrame, vocab: Vocabulary, key: str = "doc_id", text: str = "text",
-              carry=(), keep_terms: bool = False, partitioned: bool = False) -> DataFrame:
-    """One sparse L2-normalised row per document.
-
-    Output: key, *carry, ``idx`` array<int>, ``val`` array<double> (sorted by
-    idx; empty for a document with no known term), and ``terms`` when asked.
+    distinct = F.array_append(F.array_distinct(F.col(TERMS)), F.lit(None).cast("string"))
+    counts = analyzed(docs, text).select(F.explode(distinct).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    checkpoint_root(docs.sparkSession)
+    counts = counts.filter((F.col("df") >= min_df) | F.col("term").isNull()).checkpoint()
+    first = counts.filter("term is null").first()
+    n_docs = first["df"] if first else 0
+    kept = counts.filter(F.col("term").isNotNull() & (F.col("df") >= min_df))
+    kept = kept.filter(F.col("df").cast("double") <= F.lit(float(max_df)) * F.lit(float(n_docs)))
+    table = dense_index(kept, ["term"], "idx").withColumn("idf", smooth_idf("df", n_docs)).select("term", "idx", "df", "idf")
+    size, nbytes = table.agg(F.count(F.lit(1)), F.sum(F.octet_length("term"))).first()
+    return Vocabulary(table, size, n_docs, nbytes or 0)
+
+
+def transform(docs: DataFrame, vocab: Vocabulary, text: str = "text", carry=(), keep_terms: bool = False) -> DataFrame:
+    """One sparse L2-normalised row per input row.
+
+    Output: *carry, ``idx`` array<bigint>, ``val`` array<double> (sorted by
+    idx; empty for a row with no known term), and ``terms`` when asked.
     Unknown terms are dropped.
     """
-    d = docs if partitioned else by_key(docs, key, text, carry)
-    tc = term_counts(d, key, carry, outer=True)
-    j = tc.join(vocab.for_join(), "term", "left")
-    w = sublinear_tf("tf") * F.col("idf")
-    fields = [F.col("idx").alias("i"), w.alias("w")] + ([F.col("term").alias("t")] if keep_terms else [])
-    entry = F.when(F.col("idx").isNotNull(), F.struct(*fields))
-    packed = j.groupBy(key, *carry).agg(F.array_sort(F.collect_list(entry)).alias("_f"))
-    norm = F.sqrt(F.aggregate("_f", F.lit(0.0), lambda acc, x: acc + x["w"] * x["w"]))
-    packed = packed.withColumn("_norm", norm)
-    cols = {
-        "idx": F.transform("_f", lambda x: x["i"]),
-        "val": F.transform("_f", lambda x: F.when(F.col("_norm") > 0, x["w"] / F.col("_norm")).otherwise(x["w"])),
-    }
-    if keep_terms:
-        cols["terms"] = F.transform("_f", lambda x: x["t"])
-    return packed.withColumns(cols).drop("_f", "_norm")
-
-
-def to_long(packed: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Sparse rows -> (key, term, idx, weight); needs ``keep_terms=True`` rows."""
+    rows = analyzed(docs, text, carry)
+    if not vocab.small():
+        return _transform_joined(rows, vocab, keep_terms)
+    shared = vocab.shared()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, idf = shared.value
+        for batch in batches:
+            n = batch.num_rows
+            offsets, flat = _lists(batch.column(batch.num_columns - 1))
+            codes = pc.fill_null(pc.index_in(flat, value_set=terms), -1).to_numpy(zero_copy_only=False)
+            row, code, tf = _counted(offsets, codes)
+            w = (1.0 + np.log(tf)) * idf[code]
+            norm = np.sqrt(np.bincount(row, w * w, minlength=n))
+            w /= np.where(norm > 0, norm, 1.0)[row]
+            out = [_list_array(row, n, pa.array(code.astype(np.int64))), _list_array(row, n, pa.array(w))]
+            if keep_terms:
+                out.append(_list_array(row, n, terms.take(pa.array(code))))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *out], [*batch.schema.names[:-1], *names])
+
+    names = ["idx", "val"] + ["terms"] * keep_terms
+    kinds = "idx array<bigint>, val array<double>" + ", terms array<string>" * keep_terms
+    return rows.mapInArrow(work, _with(rows.schema, (TERMS,), kinds))
+
+
+def _transform_joined(rows: DataFrame, vocab: Vocabulary, keep_terms: bool) -> DataFrame:
+    """``transform`` by a shuffled join, for a vocabulary that is not broadcast."""
+    checkpoint_root(rows.sparkSession)
+    # written out first: from then on a row keeps its number however often a task runs
+    fixed = rows.checkpoint().withColumn(ROW, F.monotonically_increasing_id())
+    counted = term_counts_of(fixed)
+    w = (F.lit(1.0) + F.log("tf")) * F.col("idf")
+    entry = F.struct(F.col("idx").alias("i"), w.alias("w"), F.col("term").alias("t"))
+    packed = counted.join(vocab.table.select("term", "idx", "idf"), "term").groupBy(ROW).agg(F.array_sort(F.collect_list(entry)).alias("_f"))
+    packed = packed.withColumn("_norm", F.sqrt(F.aggregate("_f", F.lit(0.0), lambda acc, x: acc + x["w"] * x["w"])))
+    packed = packed.select(
+        ROW,
+        F.transform("_f", lambda x: x["i"]).alias("idx"),
+        F.transform("_f", lambda x: F.when(F.col("_norm") > 0, x["w"] / F.col("_norm")).otherwise(x["w"])).alias("val"),
+        F.transform("_f", lambda x: x["t"]).alias("terms"),
+    )
+    out = fixed.drop(TERMS).join(packed, ROW, "left").drop(ROW)
+    for name, kind in (("idx", "array<bigint>"), ("val", "array<double>"), ("terms", "array<string>")):
+        out = out.withColumn(name, F.coalesce(name, F.array().cast(kind)))
+    return out if keep_terms else out.drop("terms")
+
+
+def term_counts_of(fixed: DataFrame) -> DataFrame:
+    """(row, term, tf) of rows that carry a row number and their terms."""
+    return fixed.select(ROW, F.explode(TERMS).alias("term")).groupBy(ROW, "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def to_long(packed: DataFrame, carry=("doc_id",)) -> DataFrame:
+    """Sparse rows -> (*carry, term, idx, weight); needs ``keep_terms=True`` rows."""
     z = F.arrays_zip(F.col("idx").alias("idx"), F.col("val").alias("weight"), F.col("terms").alias("term"))
-    return packed.select(key, F.inline(z)).select(key, "term", "idx", "weight")
+    return packed.select(*carry, F.inline(z)).select(*carry, "term", "idx", "weight")

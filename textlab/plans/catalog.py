@@ -426,20 +426,20 @@ def q_ngrams(spark, sf_dir):
 @query("vocabulary")
 def q_vocabulary(spark, sf_dir):
     from ..operators import tfidf
-    return tfidf.fit_vocabulary(train_docs(spark, sf_dir), "record_id").table.select("term", "idx", "df")
+    return tfidf.fit_vocabulary(train_docs(spark, sf_dir)).table.select("term", "idx", "df")
 
 
 @query("sublinear_tf")
 def q_sublinear_tf(spark, sf_dir):
     from ..operators import tfidf
-    tc = tfidf.term_counts(tfidf.by_key(train_docs(spark, sf_dir), "record_id"), "record_id")
+    tc = tfidf.term_counts(train_docs(spark, sf_dir), carry=["record_id"])
     return tc.select("record_id", "term", "tf", R(tfidf.sublinear_tf("tf")).alias("sublinear_tf"))
 
 
 @query("idf")
 def q_idf(spark, sf_dir):
     from ..operators import tfidf
-    v = tfidf.fit_vocabulary(train_docs(spark, sf_dir), "record_id")
+    v = tfidf.fit_vocabulary(train_docs(spark, sf_dir))
     return v.table.select("term", R("idf").alias("idf"))
 
 
@@ -447,16 +447,16 @@ def q_idf(spark, sf_dir):
 def q_tfidf(spark, sf_dir):
     from ..operators import tfidf
     tr = train_docs(spark, sf_dir)
-    v = tfidf.fit_vocabulary(tr, "record_id")
-    long = tfidf.to_long(tfidf.transform(tr, v, "record_id", keep_terms=True), "record_id")
+    v = tfidf.fit_vocabulary(tr)
+    long = tfidf.to_long(tfidf.transform(tr, v, carry=["record_id"], keep_terms=True), ["record_id"])
     return long.select("record_id", "term", R("weight").alias("weight"))
 
 
 @query("tfidf_transform")
 def q_tfidf_transform(spark, sf_dir):
     from ..operators import tfidf
-    v = tfidf.fit_vocabulary(train_docs(spark, sf_dir), "record_id")
-    long = tfidf.to_long(tfidf.transform(dev_test_docs(spark, sf_dir), v, "record_id", keep_terms=True), "record_id")
+    v = tfidf.fit_vocabulary(train_docs(spark, sf_dir))
+    long = tfidf.to_long(tfidf.transform(dev_test_docs(spark, sf_dir), v, carry=["record_id"], keep_terms=True), ["record_id"])
     return long.select("record_id", "term", R("weight").alias("weight"))
 
 
@@ -464,7 +464,7 @@ def fixed_model(spark, sf_dir):
     """A model with rule-given coefficients on the fitted train vocabulary."""
     from ..operators import tfidf
     from .pipeline import LinearModel
-    v = tfidf.fit_vocabulary(train_docs(spark, sf_dir), "record_id")
+    v = tfidf.fit_vocabulary(train_docs(spark, sf_dir))
     coef = v.table.select("idx", F.expr(FIXED_COEF).alias("coef"))
     return LinearModel("fixed", v, coef, FIXED_BIAS, 0.0, {})
 
@@ -472,24 +472,26 @@ def fixed_model(spark, sf_dir):
 @query("decision_score")
 def q_decision_score(spark, sf_dir):
     m = fixed_model(spark, sf_dir)
-    return m.decision(dev_test_docs(spark, sf_dir), "record_id").select("record_id", R("score").alias("score"))
+    return m.decision(dev_test_docs(spark, sf_dir), carry=["record_id"]).select("record_id", R("score").alias("score"))
 
 
 # ---------------------------------------------------------------------------
 # M1, M2, M6, M7: training (no SQL oracle: iterative optimisation)
 # ---------------------------------------------------------------------------
 def _fit_one(spark, sf_dir, loss, C, name):
+    """A certificate of the fit: its size, and whether a gradient computed by joins alone is below 1e-6."""
     from ..operators import tfidf
-    from ..operators.linear import class_weights, fit_linear, training_rows
+    from ..operators.linear import class_weights, fit_linear, gradient_norm, training_rows
     from .pipeline import coef_table
     tr = train_docs(spark, sf_dir)
-    v = tfidf.fit_vocabulary(tr, "record_id")
-    rows = training_rows(tfidf.transform(tr, v, "record_id", carry=["binary_label"]),
-                         class_weights(tr, "binary_label"), "binary_label")
-    w, b, info = fit_linear(rows, v.size, loss, C)
-    coef = coef_table(spark, w).join(v.table.select("idx", "term"), "idx")
-    bias = spark.createDataFrame([(-1, "<bias>", b)], "idx int, term string, coef double")
-    return coef.select("idx", "term", "coef").unionByName(bias).withColumn("model", F.lit(name))
+    v = tfidf.fit_vocabulary(tr)
+    rows = training_rows(tfidf.transform(tr, v, carry=["binary_label"]), class_weights(tr, "binary_label"), "binary_label")
+    w, b, _ = fit_linear(rows, v.size, loss, C)
+    certificate = gradient_norm(rows, coef_table(spark, w), b, loss, C)
+    return certificate.select(
+        F.lit(name).alias("model"), F.lit(v.size).cast("bigint").alias("n_features"), F.lit(v.n_docs).cast("bigint").alias("n_rows"),
+        (F.col("grad_norm") < 1e-6).alias("optimal"),
+    )
 
 
 @query("logreg_fit")
@@ -515,7 +517,7 @@ def q_model_selection(spark, sf_dir):
 def q_score_test(spark, sf_dir):
     from .pipeline import score_split, select_model
     best, _, _ = select_model(train_docs(spark, sf_dir), dev_docs(spark, sf_dir))
-    return score_split(best, fx.test_docs(spark, sf_dir)).select("record_id", "score", "y_pred")
+    return score_split(best, fx.test_docs(spark, sf_dir), carry=["record_id"]).select("record_id", "score", "y_pred")
 
 
 # ---------------------------------------------------------------------------
@@ -602,7 +604,7 @@ def q_scored_test(spark, sf_dir):
     from .pipeline import score_split
     path = scratch_path(spark, "scored-test")
     m = fixed_model(spark, sf_dir)
-    write_scored(score_split(m, fx.test_docs(spark, sf_dir)), path)
+    write_scored(score_split(m, fx.test_docs(spark, sf_dir), carry=["record_id"]), path)
     back = spark.read.parquet(path)
     return back.select("record_id", R("score").alias("score"), "y_pred")
 
@@ -625,4 +627,4 @@ def q_model_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "model")
     save_model(fixed_model(spark, sf_dir), path)
     m = load_model(spark, path)
-    return m.decision(dev_test_docs(spark, sf_dir), "record_id").select("record_id", R("score").alias("score"))
+    return m.decision(dev_test_docs(spark, sf_dir), carry=["record_id"]).select("record_id", R("score").alias("score"))

@@ -59,11 +59,6 @@ def tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     return [spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names]
 
 
-def _labelled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents, labels = tables(spark, sf_dir, "documents", "labels")
-    return labels.join(documents, "doc_id", "left")
-
-
 # ---------------------------------------------------------------------------
 # Raw strings for the ingestion operators
 # ---------------------------------------------------------------------------

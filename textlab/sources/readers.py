@@ -20,8 +20,13 @@ CORPUS_COLUMNS = ["record_id", "article_id", "keyword", "country", "text", "raw_
 TEST_COLUMNS = ["sample_id", "article_id", "keyword", "country", "text"]
 SPLIT_REQUIRED = ("par_id", "label")
 SCORED_REQUIRED = ("y_true", "y_pred", "text")
-# A trailing catch-all column: a line with too many fields fills it.
-EXTRA = "_extra"
+# The parser's column for the raw text of records that have not as many fields as the schema.
+RAW = "_raw"
+# Types of the scored-detail columns that are no text.
+SCORED_TYPES = {
+    "record_id": "bigint", "article_id": "bigint", "binary_label": "int", "y_true": "int", "y_pred": "int",
+    "score": "double", "prob_pos": "double", "mistake_strength": "double",
+}
 
 
 def _string_schema(names) -> StructType:
@@ -37,50 +42,78 @@ def file_order() -> F.Column:
     )
 
 
-def _tsv(spark: SparkSession, path, names) -> DataFrame:
-    # multiLine stays off: a lone opening quote must not swallow later lines,
-    # and the file stays splittable.  DROPMALFORMED is not used: its result
-    # depends on the selected columns.
+def _tsv(spark: SparkSession, path, names, multi_line: bool) -> DataFrame:
+    """Fields of headerless TSV records, their raw text where their number is not that of ``names``, and ``_ord``.
+
+    DROPMALFORMED is not used: its result depends on the selected columns;
+    column pruning is off, as it would hide a wrong number of fields.
+    """
     return (
-        spark.read.schema(_string_schema(list(names) + [EXTRA]))
+        spark.read.schema(_string_schema(list(names) + [RAW]))
         .option("sep", "\t").option("header", False)
         .option("quote", '"').option("escape", '"')
-        .option("mode", "PERMISSIVE").option("multiLine", False)
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RAW)
+        .option("columnPruning", False).option("multiLine", multi_line)
         .csv(path)
         .withColumn("_ord", file_order())
+        # always true; Spark refuses to read the raw text alone, as for a count
+        .filter(F.coalesce(F.length(names[0]), F.lit(0)) >= 0)
     )
 
 
+def _unquoted() -> F.Column:
+    """The raw record without its complete quoted fields."""
+    return F.regexp_replace(F.col(RAW), r'(^|\t)"[^"]*+(?:""[^"]*+)*+"', "$1")
+
+
+def n_fields(names) -> F.Column:
+    """Fields of a record: tabs outside quoted fields, plus one."""
+    raw = _unquoted()
+    return F.when(F.col(RAW).isNull(), F.lit(len(names))).otherwise(F.length(raw) - F.length(F.translate(raw, "\t", "")) + 1)
+
+
+def closed(path, what: str) -> F.Column:
+    """True; raises, naming the record, where a quoted field is not closed at the end of its line."""
+    broken = F.col(RAW).isNotNull() & _unquoted().rlike('(^|\t)"')
+    said = F.concat(F.lit(f"{what}: a quoted field runs over the end of a line (read with multi_line=True): "), F.substring(RAW, 1, 200))
+    return F.when(broken, F.raise_error(said).cast("boolean")).otherwise(F.lit(True))
+
+
 def with_na_tokens(df: DataFrame, columns) -> DataFrame:
     """Whole-field NA tokens -> null on the given columns."""
     return df.withColumns({c: null_tokens(c) for c in columns})
 
 
-def read_corpus(spark: SparkSession, path) -> DataFrame:
-    """Headerless 6-field corpus TSV; lines with extra fields are skipped.
+def read_corpus(spark: SparkSession, path, multi_line: bool = False) -> DataFrame:
+    """Headerless 6-field corpus TSV; records with extra fields, empty ones too, are skipped.
 
-    Short lines are kept with nulls, as the reference's reader pads them; the
-    validity filter (P1) removes them later.  Deviation: a lone opening quote
-    ends at the line break here, where the reference's reader would swallow
-    the following lines.
+    Short records are kept with nulls, as the reference's reader pads them; the
+    validity filter (P1) removes them later.  A quoted field may hold line
+    breaks only with ``multi_line``, which reads a file in one task; without
+    it the files are split and such a record is an error, never a loss.
     """
-    raw = _tsv(spark, path, CORPUS_COLUMNS)
-    return with_na_tokens(raw.filter(F.col(EXTRA).isNull()).drop(EXTRA), CORPUS_COLUMNS)
+    raw = _tsv(spark, path, CORPUS_COLUMNS, multi_line).filter(n_fields(CORPUS_COLUMNS) <= len(CORPUS_COLUMNS))
+    if not multi_line:
+        raw = raw.filter(closed(path, "corpus"))
+    return with_na_tokens(raw.drop(RAW), CORPUS_COLUMNS)
 
 
-def read_test(spark: SparkSession, path, check: bool = True) -> DataFrame:
-    """Headerless 5-field test TSV; a line with extra fields is an error (S3)."""
-    raw = _tsv(spark, path, TEST_COLUMNS)
-    if check and not raw.filter(F.col(EXTRA).isNotNull()).isEmpty():
-        raise ValueError(f"{path}: a line has more than {len(TEST_COLUMNS)} fields")
-    return with_na_tokens(raw.drop(EXTRA), TEST_COLUMNS)
+def read_test(spark: SparkSession, path, multi_line: bool = False) -> DataFrame:
+    """Headerless 5-field test TSV; a record with extra fields is an error when it is read (S3)."""
+    said = F.concat(F.lit(f"test: a record has more than {len(TEST_COLUMNS)} fields: "), F.substring(RAW, 1, 200))
+    long = n_fields(TEST_COLUMNS) > len(TEST_COLUMNS)
+    raw = _tsv(spark, path, TEST_COLUMNS, multi_line)
+    raw = raw.filter(F.when(long, F.raise_error(said).cast("boolean")).otherwise(F.lit(True)))
+    if not multi_line:
+        raw = raw.filter(closed(path, "test"))
+    return with_na_tokens(raw.drop(RAW), TEST_COLUMNS)
 
 
 def require_columns(df: DataFrame, required, what: str) -> DataFrame:
     """Schema-only check that the required columns exist (no job)."""
     missing = set(required).difference(df.columns)
     if missing:
-        raise ValueError(f"Expected columns {set(required)} in {what}, missing {sorted(missing)}")
+        raise ValueError(f"{what}: no column {', '.join(sorted(missing))}")
     return df
 
 
@@ -89,7 +122,7 @@ def read_split(spark: SparkSession, path: str) -> DataFrame:
     header = spark.read.option("header", True).csv(path).columns  # reads the header line only
     missing = set(SPLIT_REQUIRED).difference(header)
     if missing:
-        raise ValueError(f"Expected columns {set(SPLIT_REQUIRED)} in {path}, found {set(header)}")
+        raise ValueError(f"{path}: no column {', '.join(sorted(missing))} among {', '.join(header)}")
     df = (
         spark.read.schema(_string_schema(header)).option("header", True)
         .option("quote", '"').option("escape", '"').csv(path)
@@ -99,10 +132,15 @@ def read_split(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_scored(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Scored-detail table written by ``write_scored``."""
+    """Scored-detail table written by ``write_scored``, with typed columns.
+
+    Parquet is the format for large tables; CSV is read with line breaks
+    allowed inside quoted fields, so each file is one task.
+    """
     if fmt == "parquet":
         df = spark.read.parquet(path)
     else:
         df = (spark.read.option("header", True).option("multiLine", True)
               .option("quote", '"').option("escape", '"').csv(path))
+        df = df.withColumns({c: F.col(c).cast(SCORED_TYPES[c]) for c in df.columns if c in SCORED_TYPES})
     return require_columns(df, SCORED_REQUIRED, path)

@@ -10,19 +10,32 @@ from pyspark.sql import functions as F
 from .readers import file_order
 
 
-def write_lines(df: DataFrame, path: str, value: str, order, single_file: bool = False) -> None:
+def write_lines(df: DataFrame, path: str, value: str, order) -> None:
     """One value per line in ``order`` (K1).
 
     ``orderBy`` range-partitions the rows, and part files are numbered in
     partition order, so reading the folder's files in name order gives the
-    global order.  ``single_file`` only merges the already sorted partitions.
+    global order.
     """
     out = df.orderBy(*([order] if isinstance(order, str) else order)).select(F.col(value).cast("string"))
-    if single_file:
-        out = out.coalesce(1)
     out.write.mode("overwrite").text(path)
 
 
+def merge_lines(spark: SparkSession, path: str, target: str) -> None:
+    """The part files of ``write_lines``, in name order, as one file (K1); bytes are streamed, not held."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(conf)
+    parts = sorted(s.getPath().toString() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-"))
+    to = jvm.org.apache.hadoop.fs.Path(target)
+    out = to.getFileSystem(conf).create(to, True)
+    for part in parts:
+        source = fs.open(jvm.org.apache.hadoop.fs.Path(part))
+        jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, conf, False)
+        source.close()
+    out.close()
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines written by ``write_lines`` with their file position (``_ord``)."""
     return spark.read.text(path).withColumn("_ord", file_order())
