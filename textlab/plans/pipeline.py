@@ -79,3 +79,63 @@ def score_split(model: LinearModel, docs: DataFrame, text: str = "text", carry=(
     """Decision score and 0/1 prediction at the tuned threshold, one row per input row (M7)."""
     s = model.decision(docs, text, carry)
     return s.withColumn("y_pred", apply_threshold("score", model.threshold))
+
+
+def detail(model: LinearModel, docs: DataFrame, text: str = "text", label: str | None = None) -> DataFrame:
+    """All columns of ``docs``, then y_true (of a labelled split), score and y_pred (K2)."""
+    scored = score_split(model, docs, text, docs.columns)
+    if label:
+        scored = scored.withColumn("y_true", F.col(label))
+    return scored.select(*docs.columns, *(["y_true"] if label else []), "score", "y_pred")
+
+
+def deliver(model: LinearModel, board: DataFrame | None, dev: DataFrame, test: DataFrame, folder: str, order: str,
+            test_order: str | None = None, text: str = "text", label: str = "binary_label") -> dict:
+    """Score dev and test with the chosen model and write everything a run hands over (M7, K1-K5).
+
+    Details, prediction lines in input order, report, summary row, mistakes,
+    score density, leaderboard, model; returns the run's metadata, which the
+    model's folder holds as well.  The details are written first and read back
+    for all that follows, so each split is scored once.
+    """
+    from ..functions.scores import outcome_group
+    from ..operators.evaluate import classification_report, local_evaluation, top_mistakes
+    from ..operators.profile import grouped_kde
+    from ..sources.readers import read_scored
+    from ..sources.sinks import save_model, write_lines, write_scored, write_tables
+
+    spark = dev.sparkSession
+    write_scored(detail(model, dev, text, label), f"{folder}/dev_detail")
+    write_scored(detail(model, test, text), f"{folder}/test_detail")
+    dev_d, test_d = read_scored(spark, f"{folder}/dev_detail"), spark.read.parquet(f"{folder}/test_detail")
+    write_lines(dev_d, f"{folder}/dev_lines", "y_pred", order)
+    write_lines(test_d, f"{folder}/test_lines", "y_pred", test_order or order)
+    tables = {
+        "dev_report": classification_report(dev_d),
+        "local_evaluation": local_evaluation(dev_d),
+        "false_positives": top_mistakes(dev_d, "fp"),
+        "false_negatives": top_mistakes(dev_d, "fn"),
+        "score_density": grouped_kde(dev_d.withColumn("group", outcome_group("y_true", "y_pred")), "score", "group"),
+    }
+    write_tables(tables | ({"leaderboard": board} if board is not None else {}), folder)
+    rate = lambda d: d.agg(F.avg(F.col("y_pred").cast("double"))).first()[0]
+    model.meta.update({"dev_positive_rate": rate(dev_d), "test_positive_rate": rate(test_d)})
+    model.meta.pop("history", None)
+    save_model(model, f"{folder}/model")
+    return dict(model.meta)
+
+
+def run_files(spark: SparkSession, corpus_path, train_path: str, dev_path: str, test_path, folder: str) -> dict:
+    """From the four input files to all deliverables: read, parse, join, check, select, score, write."""
+    from ..operators import ingest
+    from ..sources.readers import read_corpus, read_split, read_test
+
+    checkpoint_root(spark)
+    corpus = ingest.parse_corpus(read_corpus(spark, corpus_path)).drop("_ord").checkpoint()
+    splits = {
+        name: ingest.labelled_split(ingest.parse_split(read_split(spark, path)), corpus).checkpoint()
+        for name, path in (("train", train_path), ("dev", dev_path))
+    }
+    ingest.raise_on_missing(ingest.union_splits(**splits))
+    best, board, _ = select_model(splits["train"], splits["dev"])
+    return deliver(best, board, splits["dev"], ingest.parse_test(read_test(spark, test_path)), folder, "_ord")
