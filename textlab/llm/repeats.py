@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import chunks, keyed_texts, stash, strings
-from .words import U
+from .words import U, mix
 
 NULL_ID = -(1 << 63)
 #: Rows of segments that a task gathers before it drops those that repeat among them.
@@ -145,7 +145,7 @@ def apart(texts: DataFrame, marks: DataFrame, windows: Callable[[bytes, np.ndarr
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "window", "d", "at"]
+        names = ["window", "d", "at"]
         for batch in batches:
             buf, off = strings(batch.column(2))
             rows, n = [], 0
@@ -156,15 +156,17 @@ def apart(texts: DataFrame, marks: DataFrame, windows: Callable[[bytes, np.ndarr
                 at = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
                 h = windows(buf[off[i] : off[i + 1]], at)
                 d, tag = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                rows.append((np.repeat(key, size), h.view(np.int64), np.full(len(at), d, np.int64), (tag << 32) | at))
+                h = mix(h + np.repeat(key.view(np.uint64), size), 47)  # windows of different anchors differ
+                rows.append((h.view(np.int64), np.full(len(at), d, np.int64), (tag << 32) | at))
                 n += len(at)
                 if n >= GATHER or i + 1 == batch.num_rows:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*rows, strict=True)], names)
                     rows, n = [], 0
 
-    joined = with_text(texts, lists, "inner").select("d", "tag", "text", "parts")
-    single = joined.mapInArrow(work, "key long, window long, d long, at long")
-    order = Window.partitionBy("key", "window").orderBy("d", "at")
+    # the same columns as the last join with the texts takes, so that both share one shuffle of them
+    joined = with_text(texts, lists, "inner").select("d", "tag", "text", "parts", "doc_id")
+    single = joined.mapInArrow(work, "window long, d long, at long")
+    order = Window.partitionBy("window").orderBy("d", "at")
     return single.withColumn("place", F.rank().over(order)).filter("place > 1").select("d", "at")
 
 

@@ -23,8 +23,8 @@ from .repeats import merged, pack_segments, resolved
 from .words import U, byte_prefix, mix, ranges
 
 WIDTH = 100
-#: Bytes that name a sampled suffix.
-GRAM = 24
+#: Bytes that name a sampled suffix: longer ones make more samples, but fewer that agree by chance.
+GRAM = 40
 #: Suffixes to a new batch.
 BATCH = 1 << 16
 
