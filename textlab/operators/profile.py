@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -122,43 +125,60 @@ def grouped_kde(df: DataFrame, x: str, group: str, gridsize: int = KDE_GRIDSIZE,
     """Per-group Gaussian KDE on a grid, each group normalised alone.
 
     Bandwidth = sample stddev * n^(-1/5); grid from min - cut*h to max + cut*h.
-    Data are pre-aggregated to (group, value) -> n, each distinct value adds
-    its weighted kernel to every grid point of its group in-row, and a partial
-    aggregation sums them before the (tiny) shuffle.  Groups with fewer than
-    two rows or zero variance are left out, as the plotting library does.
+    Every task adds the kernels of its rows into one vector per group, so the
+    exchange carries ``gridsize`` numbers per group and task, however many
+    distinct values there are.  Groups with fewer than two rows or zero
+    variance are left out, as the plotting library does.
     """
-    xs = F.col(x).cast("double")
-    stats = df.groupBy(group).agg(
-        F.count(xs).alias("_n"), F.stddev_samp(xs).alias("_sd"), F.min(xs).alias("_lo"), F.max(xs).alias("_hi")
+    rows = df.select(F.col(group).alias("_g"), F.col(x).cast("double").alias("_x")).filter("_x is not null")
+    stats = rows.groupBy("_g").agg(
+        F.count("_x").alias("_n"), F.stddev_samp("_x").alias("_sd"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")
     ).filter("_n > 1 AND _sd > 0")
     stats = stats.withColumn("_bw", F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
     stats = stats.withColumn("_start", F.col("_lo") - F.lit(cut) * F.col("_bw")).withColumn(
         "_end", F.col("_hi") + F.lit(cut) * F.col("_bw")
-    ).withColumn("_step", (F.col("_end") - F.col("_start")) / F.lit(gridsize - 1))
-    values = df.groupBy(group, xs.alias("_x")).agg(F.count(F.lit(1)).alias("_c"))
+    ).withColumn("_step", (F.col("_end") - F.col("_start")) / F.lit(gridsize - 1)).drop("_sd", "_lo", "_hi")
     # One row per group.  Up to KDE_BROADCAST_MAX_GROUPS they are fetched once
     # (a checked, bounded read) and broadcast; beyond that the join shuffles
-    # on the group and AQE splits a hot group's value rows.
+    # on the group and AQE splits a hot group's rows.
     head = stats.limit(KDE_BROADCAST_MAX_GROUPS + 1).collect()
     if len(head) <= KDE_BROADCAST_MAX_GROUPS:
         small = df.sparkSession.createDataFrame(head, stats.schema) if head else stats.limit(0)
-        joined = values.join(F.broadcast(small), group)
+        joined = rows.join(F.broadcast(small), rows["_g"].eqNullSafe(small["_g"])).drop(small["_g"])
     else:
-        joined = values.join(stats, group)
-    grid_k = F.sequence(F.lit(0), F.lit(gridsize - 1))
-
-    def grid_x(k):
-        return F.when(k == gridsize - 1, F.col("_end")).otherwise(F.col("_start") + k.cast("double") * F.col("_step"))
-
-    contrib = F.transform(
-        grid_k, lambda k: F.col("_c") * F.exp(F.lit(-0.5) * F.pow((grid_x(k) - F.col("_x")) / F.col("_bw"), 2))
-    )
+        joined = rows.join(stats, rows["_g"].eqNullSafe(stats["_g"])).drop(stats["_g"])
+    joined = joined.select("_g", "_x", "_n", "_bw", "_start", "_end", "_step")
+
+    def kernels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict = {}
+
+        def told() -> pa.RecordBatch:
+            cols = [pa.array([k[0] for k in sums], group_type)] + [pa.array([k[i] for k in sums]) for i in range(1, 6)]
+            names = ["_g", "_n", "_bw", "_start", "_end", "_step", "_s"]
+            return pa.RecordBatch.from_arrays([*cols, pa.array(list(sums.values()), pa.list_(pa.float64()))], names)
+
+        for batch in batches:
+            group_type = batch.column(0).type
+            coded = batch.column(0).dictionary_encode(null_encoding="encode")
+            code, xs = coded.indices.to_numpy(), batch.column(1).to_numpy()
+            for c in np.unique(code):
+                of = np.flatnonzero(code == c)
+                n, bw, start, end, step = (batch.column(i)[int(of[0])].as_py() for i in range(2, 7))
+                total = sums.setdefault((coded.dictionary[int(c)].as_py(), n, bw, start, end, step), np.zeros(gridsize))
+                grid = start + np.arange(gridsize) * step
+                grid[-1] = end
+                for part in np.array_split(xs[of], len(of) // 4096 + 1):
+                    total += np.exp(-0.5 * ((grid[None, :] - part[:, None]) / bw) ** 2).sum(axis=0)
+            if len(sums) > KDE_BROADCAST_MAX_GROUPS:
+                yield told()
+                sums.clear()
+        if sums:
+            yield told()
+
+    group_ddl = rows.schema["_g"].dataType.simpleString()
+    schema = f"_g {group_ddl}, _n bigint, _bw double, _start double, _end double, _step double, _s array<double>"
+    exploded = joined.mapInArrow(kernels, schema).select("*", F.posexplode("_s").alias("k", "_v"))
+    dens = exploded.groupBy("_g", "_n", "_bw", "_start", "_end", "_step", "k").agg(F.sum("_v").alias("_s"))
     norm = F.lit(1.0) / (F.col("_n") * F.col("_bw") * F.lit(math.sqrt(2 * math.pi)))
-    exploded = joined.select(group, "_start", "_end", "_step", "_n", "_bw", F.posexplode(contrib).alias("k", "_v"))
-    dens = exploded.groupBy(group, "k").agg(
-        F.sum("_v").alias("_s"), F.first("_start").alias("_start"), F.first("_end").alias("_end"),
-        F.first("_step").alias("_step"), F.first("_n").alias("_n"), F.first("_bw").alias("_bw"),
-    )
-    return dens.select(
-        group, F.col("k").cast("int").alias("k"), grid_x(F.col("k")).alias("x"), (F.col("_s") * norm).alias("density")
-    )
+    at = F.when(F.col("k") == gridsize - 1, F.col("_end")).otherwise(F.col("_start") + F.col("k").cast("double") * F.col("_step"))
+    return dens.select(F.col("_g").alias(group), F.col("k").cast("int").alias("k"), at.alias("x"), (F.col("_s") * norm).alias("density"))
