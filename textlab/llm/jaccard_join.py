@@ -18,11 +18,11 @@ candidates and are verified by exact intersection of their hashed shingles.
 
 Equal sets are one node.  Nodes under one signature are compared by size and by
 parity sketches (each shingle turns one bit; sets that differ in D shingles differ
-in D bits at most), which rules out pairs without error.  First each node's
-nearest such partner is verified, which links most groups; then every pair that
-is left under one signature in different components is, so no link between
-components is missed, while pairs within a component known already are never
-listed.  Signatures with very many nodes are dealt in tiles of bounded size.
+in D bits at most), which rules out pairs without error.  In a few rounds each
+node's nearest such partner in another component is verified, which links most
+groups; then every pair that is left under one signature in different components
+is, so no link between components is missed, while pairs within a component known
+already are never listed.  Signatures with very many nodes are dealt in tiles of bounded size.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import chunks, components, stash
+from .common import chunks, components, cut, stash
 from .license_scan import LOWER
 from .repeats import ordered_texts
 from .words import U, distinct, mix, shingles, split, word_hashes
@@ -52,6 +52,8 @@ _STEP = U(0xD6E8FEB86659FD93)
 SKETCH = 8
 #: Expected nodes in a tile's side.
 TILE = 2048
+#: Rounds that verify each node's nearest partner only; one that verifies all that is left follows.
+ROUNDS = 3
 
 
 @lru_cache(maxsize=None)
@@ -340,6 +342,29 @@ def sets_of(texts: DataFrame, where: DataFrame, k: int) -> DataFrame:
     return texts.join(where, ["d", "tag"]).select("text").mapInArrow(work, "node long, set binary").dropDuplicates(["node"])
 
 
+def nearest(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): for each node its nearest possible partner in another component."""
+    best = candidate_pairs(rows, num, den, every=False).groupBy("a").agg(F.min(F.struct("apart", "b")).alias("best"))
+    return best.select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")).distinct()
+
+
+def apart(live: DataFrame, comp: DataFrame) -> DataFrame:
+    """Rows of the signatures whose nodes lie in several components, with their components."""
+    by_sig = Window.partitionBy("sig")
+    placed = live.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    placed = placed.withColumn("x", F.min("comp").over(by_sig)).withColumn("y", F.max("comp").over(by_sig))
+    return placed.filter("x <> y").drop("x", "y")
+
+
+def merged(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """`comp` (node, comp) after links (a, b) between nodes; components are linked once however many links they have."""
+    of_a = comp.select(F.col("node").alias("a"), F.col("comp").alias("x"))
+    of_b = comp.select(F.col("node").alias("b"), F.col("comp").alias("y"))
+    between = links.join(of_a, "a").join(of_b, "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).filter("a <> b").distinct()
+    up = components(between).select(F.col("node").alias("below"), F.col("comp").alias("above"))
+    return cut(comp.join(up, F.col("comp") == F.col("below"), "left").select("node", F.coalesce("above", "comp").alias("comp")))
+
+
 def jaccard_join(
     docs: DataFrame,
     k: int = K,
@@ -368,21 +393,23 @@ def jaccard_join(
     nodes = own.filter("node is not null").groupBy("node").agg(F.min(F.struct("d", "tag")).alias("at"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     live = stash(live_signatures(texts, k, num, den), "signatures")
     live = stash(live.join(nodes.select("node", "n", "sketch"), "node"), "live")
-    near = candidate_pairs(live.withColumn("comp", F.col("node")), num, den, every=False)
-    near = near.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
-    near = stash(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near")
-    wanted = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    alone = live.withColumn("comp", F.col("node"))
+    pairs = stash(nearest(alone, num, den), "near")
+    wanted = stash(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
     sets = stash(sets_of(texts, nodes.join(wanted, "node").select("at.d", "at.tag"), k), "shingles")
-    links = stash(verified(near, sets, num, den), "links")
-    comp = components(links)
-    by_sig = Window.partitionBy("sig")
-    placed = live.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    open_ = placed.withColumn("x", F.min("comp").over(by_sig)).withColumn("y", F.max("comp").over(by_sig)).filter("x <> y").drop("x", "y")
-    far = candidate_pairs(open_, num, den, every=True).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    far = far.join(near, ["a", "b"], "left_anti")
-    more = stash(verified(far, sets, num, den), "links")
-    if not more.isEmpty():
-        comp = components(links.unionByName(more))
+    comp, known = wanted.select("node", F.col("node").alias("comp")), None
+    for step in range(ROUNDS + 1):
+        if step:
+            open_ = apart(live, comp)
+            pairs = nearest(open_, num, den) if step < ROUNDS else candidate_pairs(open_, num, den, every=True).select(
+                F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+            ).distinct()
+            pairs = stash(pairs.join(known, ["a", "b"], "left_anti"), "near")
+            if pairs.isEmpty():
+                continue
+        known = pairs if known is None else known.unionByName(pairs)
+        links = stash(verified(pairs, sets, num, den), "links")
+        comp = comp if links.isEmpty() else merged(comp, links)
     classed = own.join(comp, "node", "left").withColumn("class", F.coalesce("comp", "node"))
     heads = classed.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("least"), F.min(F.struct("d", "tag")).alias("head"))
     return classed.join(heads, "class", "left").select(
