@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -53,6 +54,23 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_scratch: list[tuple[SparkSession, str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/textlab-{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared checkpoint folder; what is written there goes when the driver's program ends."""
+    path = f"{checkpoint_root(spark)}/textlab-{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.append((spark, path))
+    return path
+
+
+@atexit.register
+def drop_scratch() -> None:
+    """Delete the scratch tables of this program. Where the JVM is gone already, they stay for whoever empties the folder."""
+    while _scratch:
+        spark, path = _scratch.pop()
+        try:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jvm.org.apache.hadoop.conf.Configuration()).delete(folder, True)
+        except Exception:  # noqa: BLE001  the gateway may be closed
+            return
