@@ -95,7 +95,7 @@ SVM_C = 1.0
 # their features); it bounds the coefficient vector that the driver holds.
 MAX_FIT_ROWS = 4_000_000
 # Pairs that the solver remembers, and the gradient norm at which it stops.
-LBFGS_MEMORY = 20
+LBFGS_MEMORY = 40
 SOLVER_TOL = 5e-7
 # Gradient entries to a row when partial gradients are summed on the executors.
 GRAD_CHUNK = 1 << 16
@@ -183,18 +183,21 @@ def _pass(blocks: DataFrame, points: list[tuple[str, float, np.ndarray]], dim: i
     return [(0.5 * float(wb @ wb) + float(s[-1]), s[:-1] + wb) for s, (_, _, wb) in zip(sums, points, strict=True)]
 
 
-def lbfgs(x0: np.ndarray, tol: float, max_iter: int, m: int = LBFGS_MEMORY, ftol: float = 1e-15, stall: int = 5) -> Generator:
+def lbfgs(x0: np.ndarray, tol: float, max_iter: int, scale: np.ndarray | float = 1.0, m: int = LBFGS_MEMORY,
+          ftol: float = 1e-15, stall: int = 5) -> Generator:
     """Limited-memory BFGS with backtracking: yields points, is sent (f, gradient), returns (x, f, |g|, iterations, history).
 
-    Stops when |g| <= tol, or when the objective has stopped changing at
-    double precision (relative decrease <= ftol) for ``stall`` steps in a row.
+    Works on u = x / scale.  Stops when |g| <= tol, or when the objective has
+    stopped changing at double precision (relative decrease <= ftol) for
+    ``stall`` steps in a row.
     """
-    x = x0.copy()
-    f, g = yield x
+    u = x0 / scale
+    f, g = yield scale * u
+    norm, g = float(np.linalg.norm(g)), scale * g
     pairs: list[tuple[np.ndarray, np.ndarray]] = []
-    history = [(0, f, float(np.linalg.norm(g)))]
+    history = [(0, f, norm)]
     it, flat = 0, 0
-    while it < max_iter and np.linalg.norm(g) > tol and flat < stall:
+    while it < max_iter and norm > tol and flat < stall:
         d, alphas = -g, []
         for s, y in reversed(pairs):
             a = float(s @ d) / float(y @ s)
@@ -213,21 +216,22 @@ def lbfgs(x0: np.ndarray, tol: float, max_iter: int, m: int = LBFGS_MEMORY, ftol
             slope = float(g @ d)
         t = 1.0
         for _ in range(40):
-            f_new, g_new = yield x + t * d
+            f_new, g_new = yield scale * (u + t * d)
+            norm_new, g_new = float(np.linalg.norm(g_new)), scale * g_new
             # near the optimum f cannot tell steps apart, the gradient still can
-            if f_new <= f + 1e-4 * t * slope or (abs(f_new - f) <= 1e-13 * abs(f) and np.linalg.norm(g_new) < np.linalg.norm(g)):
+            if f_new <= f + 1e-4 * t * slope or (abs(f_new - f) <= 1e-13 * abs(f) and norm_new < norm):
                 break
             t *= 0.5
         else:
-            break  # no acceptable step: x is optimal to working precision
+            break  # no acceptable step: u is optimal to working precision
         s, y = t * d, g_new - g
         if float(s @ y) > 1e-14 * float(y @ y):
             pairs = [*pairs, (s, y)][-m:]
         flat = flat + 1 if (f - f_new) <= ftol * max(abs(f), abs(f_new), 1.0) else 0
-        x, f, g = x + s, f_new, g_new
+        u, f, g, norm = u + s, f_new, g_new, norm_new
         it += 1
-        history.append((it, f, float(np.linalg.norm(g))))
-    return x, f, float(np.linalg.norm(g)), it, history
+        history.append((it, f, norm))
+    return scale * u, f, norm, it, history
 
 
 def fit_linears(rows: DataFrame, dim: int, problems: list[tuple[str, float]], tol: float = SOLVER_TOL, max_iter: int = 1000):
@@ -236,8 +240,14 @@ def fit_linears(rows: DataFrame, dim: int, problems: list[tuple[str, float]], to
     Returns a (coef ndarray, bias, info dict) for each.
     """
     blocks = _blocks(rows)
+    total = rows.agg(F.sum("s")).first()[0] or 0.0
     try:
-        solvers = [lbfgs(np.zeros(dim + 1), tol, max_iter) for _ in problems]
+        solvers = []
+        for loss, C in problems:
+            # the bias is in every row, so the objective is far steeper along it
+            scale = np.ones(dim + 1)
+            scale[-1] = (1.0 + (0.25 if loss == "logistic" else 2.0) * C * total) ** -0.5
+            solvers.append(lbfgs(np.zeros(dim + 1), tol, max_iter, scale))
         points = {i: next(s) for i, s in enumerate(solvers)}
         done, evals = {}, [0] * len(problems)
         while points:
