@@ -48,10 +48,14 @@ NUM, DEN = 85, 100
 #: Cost of a (nearly) empty segment, in signatures.
 EMPTY_COST = 64
 _STEP = U(0xD6E8FEB86659FD93)
-#: 64-bit words of a sketch.
-SKETCH = 8
+#: Shingles to a 64-bit word of a sketch, and its fewest words; the number of words is a power of two.
+SKETCH_LOAD, SKETCH_LEAST = 100, 4
 #: Expected nodes in a tile's side.
 TILE = 2048
+#: Words of sketches that are compared at a time.
+CELLS = 1 << 21
+#: Document keys (two numbers each) of at most so many candidates are sent to the texts; more are joined by a shuffle.
+KEYS_BROADCAST = 500_000
 #: Rounds that verify each node's nearest partner only; one that verifies all that is left follows.
 ROUNDS = 3
 
@@ -149,15 +153,24 @@ def signatures(h: np.ndarray, edge: np.ndarray, num: int, den: int) -> tuple[np.
     return np.concatenate(out_sig), np.concatenate(out_doc)
 
 
-def sketches(h: np.ndarray, edge: np.ndarray) -> np.ndarray:
-    """A row of parity words per document."""
-    n = len(edge) - 1
-    owner = np.repeat(np.arange(n), np.diff(edge))
-    bit = (mix(h, 91) >> U(8)) % U(64 * SKETCH)
-    cell = owner * SKETCH + (bit >> U(6)).astype(np.int64)
-    out = np.zeros(n * SKETCH, np.uint64)
-    np.bitwise_xor.at(out, cell, U(1) << (bit & U(63)))
-    return out.reshape(n, SKETCH)
+def sketches(h: np.ndarray, edge: np.ndarray) -> list[bytes]:
+    """Each document's parity words: as many as its size calls for."""
+    size = np.diff(edge)
+    words = np.maximum(SKETCH_LEAST, 1 << np.ceil(np.log2(np.maximum(size, 1) / SKETCH_LOAD)).clip(0).astype(np.int64))
+    base = np.cumsum(words) - words
+    owner = np.repeat(np.arange(len(size)), size)
+    bit = ((mix(h, 91) >> U(8)) & (words[owner] * 64 - 1).astype(np.uint64)).astype(np.int64)
+    out = np.zeros(int(words.sum()), np.uint64)
+    np.bitwise_xor.at(out, base[owner] + (bit >> 6), U(1) << (bit & 63).astype(np.uint64))
+    return [out[b : b + w].tobytes() for b, w in zip(base.tolist(), words.tolist(), strict=True)]
+
+
+def folded(sketch: np.ndarray, words: int) -> np.ndarray:
+    """The sketch as it would be with fewer words."""
+    while len(sketch) > words:
+        half = len(sketch) // 2
+        sketch = sketch[:half] ^ sketch[half:]
+    return sketch
 
 
 def most_apart(a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -178,7 +191,7 @@ def document_sets(texts: DataFrame, k: int) -> DataFrame:
                         *(batch.column(i)[a:b] for i in range(3)),
                         pa.array(np.diff(edge).astype(np.int64)),
                         pa.array(node.view(np.int64), mask=node == 0),
-                        pa.array([x.tobytes() for x in sketch], pa.binary()),
+                        pa.array(sketch, pa.binary()),
                     ],
                     ["doc_id", "d", "tag", "n", "node", "sketch"],
                 )
@@ -187,11 +200,24 @@ def document_sets(texts: DataFrame, k: int) -> DataFrame:
 
 
 def live_signatures(texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(sig, node, many): the signatures that several nodes share, with the number of rows under each."""
+    """(sig, node, many): groups of nodes that share a signature, with the number of rows in each.
+
+    Signatures travel packed: a row per chunk of documents and partition, four
+    bytes each; those that agree by chance only hold more nodes than they had to.
+    Signatures with the same nodes, such as those of a pair of copies, make one
+    group, named by a hash of what it holds; if names collide, a group only
+    holds more nodes than it had to.
+    """
+
+    # numbers that Spark's hash deals to different partitions
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbers = texts.sparkSession.range(16 * parts).select(F.col("id").cast("int").alias("id"))
+    dealt = numbers.groupBy(F.pmod(F.hash("id"), F.lit(parts)).alias("part")).agg(F.min("id").alias("id"))
+    bucket = np.sort(dealt.toArrow()["id"].to_numpy())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, buf, off in chunks(batch.column(0)):
+            for _, _, buf, off in chunks(batch.column(0), 4 << 20):
                 h, edge = doc_sets(buf, off, k)
                 node = nodes_of(h, edge)
                 _, one = np.unique(node, return_index=True)  # equal sets of a chunk speak once
@@ -199,14 +225,26 @@ def live_signatures(texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
                 at = np.concatenate([np.arange(edge[i], edge[i + 1]) for i in one]) if len(one) else np.zeros(0, np.int64)
                 size = np.diff(edge)[one]
                 sig, doc = signatures(h[at], np.concatenate([[0], np.cumsum(size)]), num, den)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(sig.view(np.int64)), pa.array(node[one][doc].view(np.int64))], ["sig", "node"]
-                )
-
-    rows = texts.select("text").mapInArrow(work, "sig long, node long")
-    by_sig = Window.partitionBy("sig")
-    seen = rows.select("*", F.min("node").over(by_sig).alias("a"), F.max("node").over(by_sig).alias("b"), F.count(F.lit(1)).over(by_sig).alias("many"))
-    return seen.filter("a <> b").select("sig", "node", "many")
+                # a row per bucket: 32 bits of each signature beside the bucket's own, and its node
+                to = (sig % U(len(bucket))).astype(np.int64)
+                order = np.lexsort((doc, to))
+                start = np.searchsorted(to[order], np.arange(len(bucket) + 1))
+                full = np.flatnonzero(np.diff(start))
+                offsets = pa.array(np.append(start[full], len(order)).astype(np.int32))
+                codes = pa.array((sig[order] >> U(32)).astype(np.uint32).view(np.int32))
+                nodes = pa.array(node[one][doc[order]].view(np.int64))
+                lists = [pa.ListArray.from_arrays(offsets, c) for c in (codes, nodes)]
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[full].astype(np.int32)), *lists], ["bucket", "code", "node"])
+
+    packed = texts.select("text").mapInArrow(work, "bucket int, code array<int>, node array<long>").repartition("bucket")
+    rows = packed.select("bucket", F.inline(F.arrays_zip("code", "node")))
+    by_sig = Window.partitionBy("bucket", "code")
+    name = F.xxhash64(F.min("node").over(by_sig), F.max("node").over(by_sig), F.expr("bit_xor(xxhash64(node))").over(by_sig), F.count(F.lit(1)).over(by_sig))
+    seen = rows.select(
+        "node", name.alias("sig"), F.count(F.lit(1)).over(by_sig).alias("many"),
+        (F.min("node").over(by_sig) < F.max("node").over(by_sig)).alias("several"),
+    )
+    return seen.filter("several").select("sig", "node", "many").distinct()
 
 
 def tile_pairs(num: int, den: int, every: bool):
@@ -224,8 +262,9 @@ def tile_pairs(num: int, den: int, every: bool):
         best_apart = np.full(len(node), 1 << 60)
         best = np.full(len(node), -1)
         out = []
-        for s in range(0, len(left), 256):
-            rows = left[s : s + 256]
+        step = max(1, CELLS // max(1, len(right) * sk.shape[1]))
+        for s in range(0, len(left), step):
+            rows = left[s : s + step]
             # sizes ascend: partners outside the ratio are not looked at
             lo = np.searchsorted(n[right], n[rows[0]] * num // den, "left")
             hi = np.searchsorted(n[right], -(-n[rows[-1]] * den // num), "right")
@@ -257,23 +296,29 @@ def tile_pairs(num: int, den: int, every: bool):
 
         def pairs_of(table: pa.Table) -> Iterator[pa.RecordBatch]:
             cols = [table[c].to_numpy() for c in ("sig", "i", "j", "blk", "node", "comp", "n")]
-            sk = np.frombuffer(b"".join(x.as_py() for x in table["sketch"].combine_chunks()), np.uint64).reshape(-1, SKETCH)
-            new = np.ones(len(sk), bool)
+            raw = [np.frombuffer(x.as_buffer(), np.uint64) for chunk in table["sketch"].chunks for x in chunk]
+            new = np.ones(len(raw), bool)
             new[1:] = np.any([c[1:] != c[:-1] for c in cols[:3]], axis=0)
             start = np.flatnonzero(new)
-            size = np.diff(np.append(start, len(sk)))
+            size = np.diff(np.append(start, len(raw)))
             _, i, j, blk, node, comp, n = cols
             out = []
-            # tiles of two rows, most of all, in one step
+            # tiles of two rows, most of all
             two = start[size == 2]
             two = two[(comp[two] != comp[two + 1]) & (i[two] == j[two])]
-            apart = np.bitwise_count(sk[two] ^ sk[two + 1]).sum(axis=1, dtype=np.int64)
-            fit = np.maximum(apart, np.abs(n[two] - n[two + 1])) <= most_apart(n[two], n[two + 1], num, den)
+            apart = np.abs(n[two] - n[two + 1])
+            for at, first in enumerate(two.tolist()):
+                x, y = raw[first], raw[first + 1]
+                least = min(len(x), len(y))
+                apart[at] = max(apart[at], int(np.bitwise_count(folded(x, least) ^ folded(y, least)).sum()))
+            fit = apart <= most_apart(n[two], n[two + 1], num, den)
             out.append((node[two[fit]], node[two[fit] + 1], apart[fit]))
             for s, m in zip(start.tolist(), size.tolist(), strict=True):
                 if m > 2 or (m == 2 and i[s] != j[s]):
                     e = s + m
-                    out += tile(node[s:e], comp[s:e], n[s:e], blk[s:e], sk[s:e], i[s], j[s])
+                    least = min(map(len, raw[s:e]))  # sizes under one signature are alike
+                    sk = np.stack([folded(x, least) for x in raw[s:e]])
+                    out += tile(node[s:e], comp[s:e], n[s:e], blk[s:e], sk, i[s], j[s])
             a, b, apart = (np.concatenate([x[c] for x in out]) for c in range(3))
             if not every:  # both nodes of a pair look for their nearest
                 a, b, apart = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([apart, apart])
@@ -301,8 +346,9 @@ def tile_pairs(num: int, den: int, every: bool):
     return work
 
 
-def candidate_pairs(rows: DataFrame, num: int, den: int, every: bool) -> DataFrame:
-    """(a, b, apart) from rows (sig, node, many, comp, n, sketch)."""
+def candidate_pairs(rows: DataFrame, nodes: DataFrame, num: int, den: int, every: bool) -> DataFrame:
+    """(a, b, apart) from rows (sig, node, many, comp) and nodes (node, n, sketch)."""
+    rows = rows.join(nodes.select("node", "n", "sketch"), "node")
     blocks = F.ceil(F.col("many") / TILE).cast("int")
     dealt = rows.withColumn("blk", F.pmod(F.xxhash64("node", "sig"), blocks).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
@@ -339,12 +385,13 @@ def sets_of(texts: DataFrame, where: DataFrame, k: int) -> DataFrame:
                 rows = [h[edge[i] : edge[i + 1]].tobytes() for i in range(len(node))]
                 yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array(rows, pa.binary())], ["node", "set"])
 
+    where = F.broadcast(where) if where.count() <= KEYS_BROADCAST else where
     return texts.join(where, ["d", "tag"]).select("text").mapInArrow(work, "node long, set binary").dropDuplicates(["node"])
 
 
-def nearest(rows: DataFrame, num: int, den: int) -> DataFrame:
+def nearest(rows: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b): for each node its nearest possible partner in another component."""
-    best = candidate_pairs(rows, num, den, every=False).groupBy("a").agg(F.min(F.struct("apart", "b")).alias("best"))
+    best = candidate_pairs(rows, nodes, num, den, every=False).groupBy("a").agg(F.min(F.struct("apart", "b")).alias("best"))
     return best.select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")).distinct()
 
 
@@ -390,18 +437,18 @@ def jaccard_join(
         raise ValueError("0 < num <= den is needed")
     texts = ordered_texts(docs, id_col, text_col)
     own = stash(document_sets(texts, k), "sets")
-    nodes = own.filter("node is not null").groupBy("node").agg(F.min(F.struct("d", "tag")).alias("at"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    nodes = own.filter("node is not null").groupBy("node").agg(F.min(F.struct("d", "tag")).alias("at"), F.min("n").alias("n"), F.min("sketch").alias("sketch"))
+    nodes = stash(nodes, "nodes")
     live = stash(live_signatures(texts, k, num, den), "signatures")
-    live = stash(live.join(nodes.select("node", "n", "sketch"), "node"), "live")
     alone = live.withColumn("comp", F.col("node"))
-    pairs = stash(nearest(alone, num, den), "near")
+    pairs = stash(nearest(alone, nodes, num, den), "near")
     wanted = stash(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
-    sets = stash(sets_of(texts, nodes.join(wanted, "node").select("at.d", "at.tag"), k), "shingles")
+    sets = stash(sets_of(texts, cut(nodes.join(wanted, "node").select("at.d", "at.tag")), k), "shingles")
     comp, known = wanted.select("node", F.col("node").alias("comp")), None
     for step in range(ROUNDS + 1):
         if step:
             open_ = apart(live, comp)
-            pairs = nearest(open_, num, den) if step < ROUNDS else candidate_pairs(open_, num, den, every=True).select(
+            pairs = nearest(open_, nodes, num, den) if step < ROUNDS else candidate_pairs(open_, nodes, num, den, every=True).select(
                 F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
             ).distinct()
             pairs = stash(pairs.join(known, ["a", "b"], "left_anti"), "near")
@@ -412,6 +459,7 @@ def jaccard_join(
         comp = comp if links.isEmpty() else merged(comp, links)
     classed = own.join(comp, "node", "left").withColumn("class", F.coalesce("comp", "node"))
     heads = classed.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("least"), F.min(F.struct("d", "tag")).alias("head"))
+    heads = cut(heads)  # read back, it does not tie the join to the aggregation's dealing: a class with very many rows can be split
     return classed.join(heads, "class", "left").select(
         "doc_id",
         "tag",
