@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textlab.llm.bpe import bpe_encode
-from textlab.llm.common import cut, read_table, row_tag
+from textlab.llm.common import cut, read_table, row_tags
 from textlab.llm.jaccard_join import KEYS_BROADCAST, jaccard_join
 from textlab.llm.mixing import poisson_mix
 from textlab.llm.pii import find_pii
 from textlab.llm.quality import quality_scores
-from textlab.llm.repeats import NULL_ID
+from textlab.llm.repeats import DOC, NULL_ID
 from textlab.session import scratch_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -34,15 +34,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     key = F.coalesce("doc_id", F.lit(NULL_ID)).alias("d")
     found = jaccard_join(docs, k=5, num=80, den=100)
-    counted = found.groupBy(key, "tag").agg(F.max("first").alias("stays"), F.count(F.lit(1)).alias("n"))
+    counted = found.groupBy(key, "tag", "tag2").agg(F.max("first").alias("stays"), F.count(F.lit(1)).alias("n"))
     # documents that go, and those listed more than once: few of all, as a rule, so that texts need no shuffle
-    special = cut(counted.filter("n > 1 or not stays").select("d", "tag", "stays"))
+    special = cut(counted.filter("n > 1 or not stays").select(*DOC, "stays"))
     if special.count() <= KEYS_BROADCAST:
         special = F.broadcast(special)
-    rows = docs.select(*COLUMNS, key, row_tag(F.col("text").cast("string")).alias("tag"))
-    once = rows.join(special, ["d", "tag"], "left_anti").select(*COLUMNS)
-    again = rows.join(special.filter("stays"), ["d", "tag"], "left_semi")
-    again = again.groupBy("d", "tag").agg(F.min(F.struct("doc_id", "lang", "source", "n_chars", "text")).alias("row"))
+    rows = docs.select(*COLUMNS, key, *row_tags(F.col("text").cast("string")))
+    once = rows.join(special, DOC, "left_anti").select(*COLUMNS)
+    again = rows.join(special.filter("stays"), DOC, "left_semi")
+    again = again.groupBy(*DOC).agg(F.min(F.struct("doc_id", "lang", "source", "n_chars", "text")).alias("row"))
     return once.unionByName(again.select(*(F.col(f"row.{c}").alias(c) for c in COLUMNS)))
 
 

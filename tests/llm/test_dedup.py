@@ -1,6 +1,7 @@
 """Substring, suffix-array and Jaccard dedup against brute force."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from textlab.llm import jaccard_join as jj
 from textlab.llm import recompress, repeats, suffix_family
@@ -91,3 +92,17 @@ def test_every_scheme_has_enough_agreeing_segments():
             m, p, x = jj.scheme(num, 100, low, high)
             most = max((a + b) * (100 - num) // (100 + num) for a in (low, high - 1) for b in (a, a * 100 // num))
             assert (m + p if p else m - x) > most
+
+
+def test_texts_with_the_same_31_bits_of_hash_stay_apart(spark):
+    passage = " ".join(f"t{i}" for i in range(40))
+    rows = [(None, f"x177913 {passage}"), (None, f"x230585 {passage}"), (None, f"x230585 {passage}")]
+    df = frame(spark, rows, 2)
+    low = df.select(F.xxhash64("text").bitwiseAND(F.lit((1 << 31) - 1)).alias("h")).distinct().count()
+    assert low == 1
+    got = [r.n_removed for r in recompress.substring_dedup(df).collect()]
+    assert sorted(got) in ([0, 0, 40], [0, 40, 40])  # whichever text comes first
+    got = [r.n_removed for r in suffix_family.suffix_dedup(df).collect()]
+    assert sorted(got) in ([0, 0, len(passage) + 1], [0, len(passage) + 1, len(passage) + 1])
+    got = jj.jaccard_join(df).collect()
+    assert len({(r.tag, r.tag2) for r in got}) == 2 and len({(r.tag, r.tag2) for r in got if r.first}) == 1

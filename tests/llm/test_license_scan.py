@@ -3,6 +3,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from textlab.llm.license_scan import NOTICES, PHRASES, license_scan
 
 from .texts import frame, with_clashes
@@ -52,3 +54,9 @@ def test_notices_with_changed_words(spark):
 
 def test_nothing(spark):
     assert license_scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_texts_with_the_same_31_bits_of_hash_stay_apart(spark):
+    df = frame(spark, [(None, "MIT license 90246"), (None, "Apache License 231457")], 2)
+    assert df.select(F.xxhash64("text").bitwiseAND(F.lit((1 << 31) - 1))).distinct().count() == 1
+    assert sorted((r.n_base, r.labels) for r in license_scan(df).collect()) == [(1, "apache"), (1, "mit")]

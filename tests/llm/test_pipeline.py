@@ -81,3 +81,10 @@ def test_run_applies_all_stages(spark, folder):
     want = sorted((r.doc_id, list(r.ids)) for r in docs.collect())
     assert sorted((r.doc_id, list(r.ids)) for r in cp.run(spark, folder).collect()) == want
     assert 4 <= len(cp.STAGES) <= 5
+
+
+def test_near_duplicates_keeps_different_texts_with_the_same_31_bits_of_hash(spark, folder):
+    texts = ["MIT license 41913", "MIT license 125896"]
+    docs = spark.createDataFrame([(None, t, "en", "s", len(t)) for t in [*texts, texts[0]]], SCHEMA)
+    assert docs.select(F.xxhash64("text").bitwiseAND(F.lit((1 << 31) - 1))).distinct().count() == 1
+    assert sorted(r.text for r in cp.near_duplicates(spark, docs, folder).collect()) == sorted(texts)

@@ -32,20 +32,23 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def row_tag(text: Column) -> Column:
-    """A 31-bit tag of the text; with doc_id it tells rows apart whose doc_id is null or repeated."""
-    return F.xxhash64(F.coalesce(text, F.lit(""))).bitwiseAND(F.lit((1 << 31) - 1))
+def row_tags(text: Column) -> tuple[Column, Column]:
+    """(tag, tag2): 127 bits of two hashes of the text; with doc_id they tell rows apart whose doc_id is null or repeated."""
+    text = F.coalesce(text, F.lit(""))
+    first = F.xxhash64(text)
+    tag = F.shiftleft(first.bitwiseAND(F.lit((1 << 31) - 1)), 32).bitwiseOR(F.shiftrightunsigned(first, 32))
+    return tag.alias("tag"), F.xxhash64(F.lit(1), text).alias("tag2")
 
 
 def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, tag, text): null text is empty; rows equal in both columns are one document listed twice."""
+    """(doc_id, tag, tag2, text): null text is empty; rows equal in id and text are one document listed twice."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), row_tag(text).alias("tag"), text.alias("text"))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), *row_tags(text), text.alias("text"))
 
 
 def same_doc(a: DataFrame, b: DataFrame) -> Column:
     """Join condition on the document key; a null doc_id equals a null doc_id."""
-    return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["tag"] == b["tag"])
+    return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["tag"] == b["tag"]) & (a["tag2"] == b["tag2"])
 
 
 def strings(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

@@ -39,7 +39,7 @@ from pyspark.sql.window import Window
 
 from .common import chunks, components, cut, stash
 from .license_scan import LOWER
-from .repeats import ordered_texts
+from .repeats import DOC, ordered_texts
 from .words import U, distinct, mix, shingles, split, word_hashes
 
 K = 4
@@ -54,7 +54,7 @@ SKETCH_LOAD, SKETCH_LEAST = 100, 4
 TILE = 2048
 #: Words of sketches that are compared at a time.
 CELLS = 1 << 21
-#: Document keys (two numbers each) of at most so many candidates are sent to the texts; more are joined by a shuffle.
+#: Document keys (three numbers each) of at most so many candidates are sent to the texts; more are joined by a shuffle.
 KEYS_BROADCAST = 500_000
 #: Rounds that verify each node's nearest partner only; one that verifies all that is left follows.
 ROUNDS = 3
@@ -179,24 +179,24 @@ def most_apart(a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarray:
 
 
 def document_sets(texts: DataFrame, k: int) -> DataFrame:
-    """(doc_id, d, tag, n, node, sketch): one row per row of `texts`; node is null for the empty set."""
+    """(doc_id, d, tag, tag2, n, node, sketch): one row per row of `texts`; node is null for the empty set."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, buf, off in chunks(batch.column(3)):
+            for a, b, buf, off in chunks(batch.column(4)):
                 h, edge = doc_sets(buf, off, k)
                 node, sketch = nodes_of(h, edge), sketches(h, edge)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(batch.column(i)[a:b] for i in range(3)),
+                        *(batch.column(i)[a:b] for i in range(4)),
                         pa.array(np.diff(edge).astype(np.int64)),
                         pa.array(node.view(np.int64), mask=node == 0),
                         pa.array(sketch, pa.binary()),
                     ],
-                    ["doc_id", "d", "tag", "n", "node", "sketch"],
+                    ["doc_id", *DOC, "n", "node", "sketch"],
                 )
 
-    return texts.select("doc_id", "d", "tag", "text").mapInArrow(work, "doc_id long, d long, tag long, n long, node long, sketch binary")
+    return texts.select("doc_id", *DOC, "text").mapInArrow(work, "doc_id long, d long, tag long, tag2 long, n long, node long, sketch binary")
 
 
 def live_signatures(texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -375,7 +375,7 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
 
 
 def sets_of(texts: DataFrame, where: DataFrame, k: int) -> DataFrame:
-    """(node, set): the hashed shingles of the documents (d, tag) that `where` names for its nodes."""
+    """(node, set): the hashed shingles of the documents (d, tag, tag2) that `where` names for its nodes."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -386,7 +386,7 @@ def sets_of(texts: DataFrame, where: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array(rows, pa.binary())], ["node", "set"])
 
     where = F.broadcast(where) if where.count() <= KEYS_BROADCAST else where
-    return texts.join(where, ["d", "tag"]).select("text").mapInArrow(work, "node long, set binary").dropDuplicates(["node"])
+    return texts.join(where, DOC).select("text").mapInArrow(work, "node long, set binary").dropDuplicates(["node"])
 
 
 def nearest(rows: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
@@ -420,15 +420,15 @@ def jaccard_join(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """(doc_id, tag, n_shingles, component_id, first): each row's near-duplicate class.
+    """(doc_id, tag, tag2, n_shingles, component_id, first): each row's near-duplicate class.
 
     Words are runs of `[^\\x20\\x09-\\x0D]` with A-Z in lower case; a document's
     set holds its distinct shingles of `k` words, or its whole sequence if that
     is shorter.  Documents link when den * intersection >= num * union.
     component_id is the smallest doc_id that links reach, itself included; `first`
     marks the rows of the document that comes first in its class by doc_id, null
-    ids first, and then by `tag`, a hash of the text (a row listed twice is
-    marked twice).  Null and empty texts and those without words have an
+    ids first, and then by `tag` and `tag2`, hashes of the text (a row listed
+    twice is marked twice).  Null and empty texts and those without words have an
     empty set, link with nothing and are first themselves; where all ids of a
     class are null, so is component_id.  An empty table gives no rows; other
     columns are ignored.  Shingles are compared by 64-bit hashes.
@@ -437,13 +437,13 @@ def jaccard_join(
         raise ValueError("0 < num <= den is needed")
     texts = ordered_texts(docs, id_col, text_col)
     own = stash(document_sets(texts, k), "sets")
-    nodes = own.filter("node is not null").groupBy("node").agg(F.min(F.struct("d", "tag")).alias("at"), F.min("n").alias("n"), F.min("sketch").alias("sketch"))
+    nodes = own.filter("node is not null").groupBy("node").agg(F.min(F.struct(*DOC)).alias("at"), F.min("n").alias("n"), F.min("sketch").alias("sketch"))
     nodes = stash(nodes, "nodes")
     live = stash(live_signatures(texts, k, num, den), "signatures")
     alone = live.withColumn("comp", F.col("node"))
     pairs = stash(nearest(alone, nodes, num, den), "near")
     wanted = stash(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
-    sets = stash(sets_of(texts, cut(nodes.join(wanted, "node").select("at.d", "at.tag")), k), "shingles")
+    sets = stash(sets_of(texts, cut(nodes.join(wanted, "node").select("at.*")), k), "shingles")
     comp, known = wanted.select("node", F.col("node").alias("comp")), None
     for step in range(ROUNDS + 1):
         if step:
@@ -458,12 +458,13 @@ def jaccard_join(
         links = stash(verified(pairs, sets, num, den), "links")
         comp = comp if links.isEmpty() else merged(comp, links)
     classed = own.join(comp, "node", "left").withColumn("class", F.coalesce("comp", "node"))
-    heads = classed.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("least"), F.min(F.struct("d", "tag")).alias("head"))
+    heads = classed.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("least"), F.min(F.struct(*DOC)).alias("head"))
     heads = cut(heads)  # read back, it does not tie the join to the aggregation's dealing: a class with very many rows can be split
     return classed.join(heads, "class", "left").select(
         "doc_id",
         "tag",
+        "tag2",
         F.col("n").alias("n_shingles"),
         F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
-        (F.col("class").isNull() | ((F.col("d") == F.col("head.d")) & (F.col("tag") == F.col("head.tag")))).alias("first"),
+        (F.col("class").isNull() | (F.struct(*DOC) == F.col("head"))).alias("first"),
     )

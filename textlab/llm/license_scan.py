@@ -107,13 +107,14 @@ def license_scan(
     """
     spark = docs.sparkSession
     rows = template_grams(phrases + notices, gram)
+    doc_key = ["doc_id", "tag", "tag2"]
     wanted = np.unique(np.array([r[4] for r in rows], np.int64))
     table = spark.createDataFrame(rows, "template int, label string, size int, t int, hash long, words string")
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("p", pa.int32()), ("hash", pa.int64()), ("words", pa.string())]))
         for batch in batches:
-            for a, b, raw, off in chunks(batch.column(2)):
+            for a, b, raw, off in chunks(batch.column(3)):
                 buf = LOWER[raw]
                 h, at, doc, start, end = grams(buf, off, gram)
                 h = h.view(np.int64)
@@ -126,23 +127,23 @@ def license_scan(
                     words = " ".join(buf[start[j] : end[j]].tobytes().decode() for j in range(w, w + gram))
                     found[doc[w]].append({"p": int(w - first[doc[w]]), "hash": int(h[i]), "words": words})
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[a:b], batch.column(1)[a:b], pa.array(count, pa.int64()), pa.array(found, kind)],
-                    ["doc_id", "tag", "n_words", "hits"],
+                    [*(batch.column(i)[a:b] for i in range(3)), pa.array(count, pa.int64()), pa.array(found, kind)],
+                    [*doc_key, "n_words", "hits"],
                 )
 
-    schema = "doc_id long, tag long, n_words long, hits array<struct<p:int,hash:long,words:string>>"
+    schema = "doc_id long, tag long, tag2 long, n_words long, hits array<struct<p:int,hash:long,words:string>>"
     read = stash(keyed_texts(docs, id_col, text_col).mapInArrow(hits, schema), "license")
     votes = (
-        read.select("doc_id", "tag", F.explode("hits").alias("hit"))
-        .select("doc_id", "tag", "hit.*")
+        read.select(*doc_key, F.explode("hits").alias("hit"))
+        .select(*doc_key, "hit.*")
         .join(F.broadcast(table), ["hash", "words"])
-        .groupBy("doc_id", "tag", "template", "label", "size", (F.col("p") - F.col("t")).alias("diagonal"))
+        .groupBy(*doc_key, "template", "label", "size", (F.col("p") - F.col("t")).alias("diagonal"))
         .agg(F.collect_set("t").alias("ts"))  # at most the template's length
     )
     exact = F.col("template") < len(phrases)
     base = (
         votes.filter(exact & (F.size("ts") == F.col("size")))
-        .groupBy("doc_id", "tag")
+        .groupBy(*doc_key)
         .agg(
             F.count(F.lit(1)).alias("n_base"),
             F.min("diagonal").cast("long").alias("first_word"),
@@ -150,22 +151,24 @@ def license_scan(
             F.collect_set("label").alias("base"),
         )
     )
-    along = Window.partitionBy("doc_id", "tag", "template").orderBy("diagonal")  # the votes of one document
+    along = Window.partitionBy(*doc_key, "template").orderBy("diagonal")  # the votes of one document
     spans = (
         votes.filter(~exact)
         .withColumn("new", (F.col("diagonal") - F.lag("diagonal").over(along) > near).cast("int"))
         .withColumn("span", F.sum(F.coalesce("new", F.lit(0))).over(along))
-        .groupBy("doc_id", "tag", "template", "label", "size", "span")
+        .groupBy(*doc_key, "template", "label", "size", "span")
         .agg(F.size(F.array_distinct(F.flatten(F.collect_list("ts")))).alias("covered"))
         .withColumn("part", F.col("covered") / F.col("size"))
-        .groupBy("doc_id", "tag")
+        .groupBy(*doc_key)
         .agg(F.max("part").alias("part"), F.collect_set(F.when(F.col("part") >= share, F.col("label"))).alias("found"))
     )
     none = F.array().cast("array<string>")
     joined = lambda x: F.array_join(F.array_sort(F.array_distinct(x)), ",")
     out = read.alias("d")
     for part, name in ((base, "b"), (spans, "s")):
-        on = F.col("d.doc_id").eqNullSafe(F.col(f"{name}.doc_id")) & (F.col("d.tag") == F.col(f"{name}.tag"))
+        on = F.col("d.doc_id").eqNullSafe(F.col(f"{name}.doc_id"))
+        for tag in ("tag", "tag2"):
+            on &= F.col(f"d.{tag}") == F.col(f"{name}.{tag}")
         out = out.join(part.alias(name), on, "left")
     return out.select(
         F.col("d.doc_id"),

@@ -7,9 +7,9 @@ key that agree in all their content (`ctx`) agree in all their windows: all but
 the first are covered as a whole.  Where a key has segments of different content,
 the first of each is taken apart into its windows, which are compared one by one.
 
-Documents are ordered by (d, tag): d is the id, null ids first as the smallest
-long, and tag tells texts apart under one id.  A position packs the tag and the
-unit's number into one long, so that it orders within an id.
+Documents are ordered by (d, tag, tag2): d is the id, null ids first as the
+smallest long, and the tags, wide hashes of the text, tell texts apart under one
+id.  A place is a document and the number of a unit in it, `at`.
 """
 
 from __future__ import annotations
@@ -26,6 +26,9 @@ from .common import chunks, keyed_texts, stash, strings
 from .words import U, mix
 
 NULL_ID = -(1 << 63)
+#: What names a document, and a place in one; also their orders.
+DOC = ["d", "tag", "tag2"]
+PLACE = [*DOC, "at"]
 #: Rows of segments that a task gathers before it drops those that repeat among them.
 GATHER = 400_000
 #: Segments of one anchor hold at most so many windows (one byte of ctx says how many).
@@ -54,133 +57,137 @@ def pack_segments(anchor: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np
 
 
 def segment_rows(texts: DataFrame, segments: Segments, width: int) -> DataFrame:
-    """(key, d, at, ctx, known): one row per segment.
+    """(key, d, tag, tag2, at, ctx, known): one row per segment.
 
     Segments that repeat earlier ones within a task are joined into covers:
     `known` rows, whose key is a number to deal them evenly and whose ctx is
     the cover's length.
     """
 
-    def resolve(rows: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        key, d, at, ctx = (np.concatenate([r[i] for r in rows]) for i in range(4))
-        order = np.lexsort((at, d, ctx, key))
+    def resolve(rows: list[tuple[np.ndarray, ...]], docs: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        key, doc, first, ctx = (np.concatenate([r[i] for r in rows]) for i in range(4))
+        name = [np.concatenate([x[i] for x in docs]) for i in range(3)]
+        # documents by their rank here; rows of one document have one rank
+        by = np.lexsort(name[::-1])
+        new = np.ones(len(by), bool)
+        new[1:] = np.any([c[by][1:] != c[by][:-1] for c in name], axis=0)
+        rank = np.empty(len(by), np.int64)
+        rank[by] = np.cumsum(new) - 1
+        name = [c[by[new]] for c in name]
+        at = (rank[doc] << 32) | first
+        order = np.lexsort((at, ctx, key))
         k, c = key[order], ctx[order]
         again = np.zeros(len(order), bool)
         again[1:] = (k[1:] == k[:-1]) & (c[1:] == c[:-1])
-        # the same place twice is a row listed twice, not a repeat
-        twin = np.zeros(len(order), bool)
-        twin[1:] = again[1:] & (d[order][1:] == d[order][:-1]) & (at[order][1:] == at[order][:-1])
         dup = np.zeros(len(order), bool)
         dup[order] = again
+        # the same place twice is a row listed twice, not a repeat:
         # a twin of the first is dropped with it as first; a twin of a repeat is a repeat
         first_twin = np.zeros(len(order), bool)
         lead = np.maximum.accumulate(np.where(~again, np.arange(len(order)), 0))
-        same_as_lead = (d[order] == d[order][lead]) & (at[order] == at[order][lead])
-        first_twin[order] = again & same_as_lead
+        first_twin[order] = again & (at[order] == at[order][lead])
         keep, cover = ~dup, dup & ~first_twin
-        cd, ca = d[cover], at[cover]
+        ca = at[cover]
         ce = ca + (ctx[cover] & 0xFF) + width
-        by = np.lexsort((ca, cd))
-        cd, ca, ce = cd[by], ca[by], ce[by]
-        new = np.ones(len(cd), bool)
-        new[1:] = (cd[1:] != cd[:-1]) | (ca[1:] > ce[:-1])
+        by = np.argsort(ca, kind="stable")
+        ca, ce = ca[by], ce[by]
+        new = np.ones(len(ca), bool)
+        new[1:] = ca[1:] > ce[:-1]
         starts = np.flatnonzero(new)
-        ends = np.append(starts[1:], len(cd)) - 1
+        ends = np.append(starts[1:], len(ca)) - 1
         cs, cl = ca[starts], (ce[ends] - ca[starts]) if len(starts) else ca[:0]
-        spread = (cd[starts] * 1_000_003 + cs) if len(starts) else cs
-        col = lambda a, b: pa.array(np.concatenate([a, b]).astype(np.int64))
-        known = np.concatenate([np.zeros(keep.sum(), bool), np.ones(len(starts), bool)])
-        return pa.RecordBatch.from_arrays(
-            [col(key[keep], spread), col(d[keep], cd[starts]), col(at[keep], cs), col(ctx[keep], cl), pa.array(known)],
-            ["key", "d", "at", "ctx", "known"],
-        )
+        places = np.concatenate([at[keep], cs])
+        at, place = places & 0xFFFFFFFF, [c[places >> 32] for c in name]
+        n = int(keep.sum())
+        spread = (place[0][n:] ^ place[1][n:]) * 1_000_003 + at[n:]
+        known = np.concatenate([np.zeros(n, bool), np.ones(len(starts), bool)])
+        cols = [np.concatenate([key[keep], spread]), *place, at, np.concatenate([ctx[keep], cl])]
+        return pa.RecordBatch.from_arrays([*(pa.array(x.astype(np.int64)) for x in cols), pa.array(known)], ["key", *PLACE, "ctx", "known"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, n = [], 0
+        rows, docs, n, m = [], [], 0, 0
         for batch in batches:
-            d, tag = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for a, _, buf, off in chunks(batch.column(2)):
+            name = [batch.column(i).to_numpy() for i in range(3)]
+            for a, b, buf, off in chunks(batch.column(3)):
                 doc, first, size, key, ctx = segments(buf, off)
-                at = (tag[a + doc] << 32) | first
-                rows.append((key.view(np.int64), d[a + doc], at, ((ctx & ~U(0xFF)) | (size - 1).astype(np.uint64)).view(np.int64)))
-                n += len(doc)
+                docs.append(tuple(c[a:b] for c in name))
+                rows.append((key.view(np.int64), m + doc, first, ((ctx & ~U(0xFF)) | (size - 1).astype(np.uint64)).view(np.int64)))
+                n, m = n + len(doc), m + b - a
                 if n >= GATHER:
-                    yield resolve(rows)
-                    rows, n = [], 0
+                    yield resolve(rows, docs)
+                    rows, docs, n, m = [], [], 0, 0
         if n:
-            yield resolve(rows)
+            yield resolve(rows, docs)
 
-    return texts.select("d", "tag", "text").mapInArrow(work, "key long, d long, at long, ctx long, known boolean")
+    schema = "key long, d long, tag long, tag2 long, at long, ctx long, known boolean"
+    return texts.select(*DOC, "text").mapInArrow(work, schema)
 
 
 def by_windows(rows: DataFrame) -> DataFrame:
-    """(key, d, at, ctx, kind) of the segments that matter: kind 0 covers, kind 1 has to be taken apart."""
-    of_key = Window.partitionBy("key").orderBy("ctx", "d", "at").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    of_ctx = Window.partitionBy("key", "ctx").orderBy("d", "at")
+    """(key, d, tag, tag2, at, ctx, known, kind) of the segments that matter: kind 0 covers, kind 1 has to be taken apart."""
+    of_key = Window.partitionBy("key").orderBy("ctx", *PLACE).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    of_ctx = Window.partitionBy("key", "ctx").orderBy(*PLACE)
     seen = rows.select(
         "*", F.min("ctx").over(of_key).alias("least"), F.max("ctx").over(of_key).alias("most"),
         F.rank().over(of_ctx).alias("place"),
     )
     cover = F.col("known") | (F.col("place") > 1)
     kind = F.when(cover, F.lit(0)).when(F.col("least") != F.col("most"), F.lit(1))
-    return seen.select("key", "d", "at", "ctx", "known", kind.alias("kind")).filter("kind is not null")
+    return seen.select("key", *PLACE, "ctx", "known", kind.alias("kind")).filter("kind is not null")
 
 
 def with_text(texts: DataFrame, lists: DataFrame, how: str) -> DataFrame:
-    """Documents joined to what was gathered for them under (d, tag)."""
-    return texts.join(lists, ["d", "tag"], how)
+    """Documents joined to what was gathered for them under (d, tag, tag2)."""
+    return texts.join(lists, DOC, how)
 
 
 def apart(texts: DataFrame, marks: DataFrame, windows: Callable[[bytes, np.ndarray], np.ndarray]) -> DataFrame:
-    """(d, at) of the single windows that also start earlier, among those of the segments to be taken apart.
+    """(d, tag, tag2, at) of the single windows that also start earlier, among those of the segments to be taken apart.
 
     `windows(text, numbers)` gives the hashes of a document's windows.
     """
-    low = F.lit((1 << 32) - 1)
     lists = (
         marks.filter("kind = 1")
-        .select("d", F.shiftright("at", 32).alias("tag"), F.col("at").bitwiseAND(low).alias("first"), F.col("ctx").bitwiseAND(F.lit(255)).alias("more"), "key")
-        .groupBy("d", "tag")
+        .select(*DOC, F.col("at").alias("first"), F.col("ctx").bitwiseAND(F.lit(255)).alias("more"), "key")
+        .groupBy(*DOC)
         .agg(F.collect_set(F.struct("first", "more", "key")).alias("parts"))  # of one document
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["window", "d", "at"]
+        names = ["window", *PLACE]
         for batch in batches:
-            buf, off = strings(batch.column(2))
+            buf, off = strings(batch.column(3))
             rows, n = [], 0
             for i in range(batch.num_rows):
-                parts = batch.column(3)[i].values
+                parts = batch.column(4)[i].values
                 first, more, key = (parts.field(j).to_numpy() for j in range(3))
                 size = more + 1
                 at = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
                 h = windows(buf[off[i] : off[i + 1]], at)
-                d, tag = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                doc = (np.full(len(at), batch.column(j)[i].as_py(), np.int64) for j in range(3))
                 h = mix(h + np.repeat(key.view(np.uint64), size), 47)  # windows of different anchors differ
-                rows.append((h.view(np.int64), np.full(len(at), d, np.int64), (tag << 32) | at))
+                rows.append((h.view(np.int64), *doc, at))
                 n += len(at)
                 if n >= GATHER or i + 1 == batch.num_rows:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*rows, strict=True)], names)
                     rows, n = [], 0
 
     # the same columns as the last join with the texts takes, so that both share one shuffle of them
-    joined = with_text(texts, lists, "inner").select("d", "tag", "text", "parts", "doc_id")
-    single = joined.mapInArrow(work, "window long, d long, at long")
-    order = Window.partitionBy("window").orderBy("d", "at")
-    return single.withColumn("place", F.rank().over(order)).filter("place > 1").select("d", "at")
+    joined = with_text(texts, lists, "inner").select(*DOC, "text", "parts", "doc_id")
+    single = joined.mapInArrow(work, "window long, d long, tag long, tag2 long, at long")
+    order = Window.partitionBy("window").orderBy(*PLACE)
+    return single.withColumn("place", F.rank().over(order)).filter("place > 1").select(*PLACE)
 
 
 def covers(texts: DataFrame, marks: DataFrame, width: int, windows: Callable[[bytes, np.ndarray], np.ndarray]) -> DataFrame:
-    """(d, tag, spans): the covered stretches of each document that has some, as (start, end) structs in any order."""
-    low = F.lit((1 << 32) - 1)
+    """(d, tag, tag2, spans): the covered stretches of each document that has some, as (start, end) structs in any order."""
     size = F.when(F.col("known"), F.col("ctx")).otherwise(F.col("ctx").bitwiseAND(F.lit(255)) + width)
-    whole = marks.filter("kind = 0").select("d", "at", size.alias("size"))
-    single = apart(texts, marks, windows).select("d", "at", F.lit(width).cast("long").alias("size"))
-    start = F.col("at").bitwiseAND(low)
+    whole = marks.filter("kind = 0").select(*PLACE, size.alias("size"))
+    single = apart(texts, marks, windows).select(*PLACE, F.lit(width).cast("long").alias("size"))
     return (
         whole.unionByName(single)
-        .select("d", F.shiftright("at", 32).alias("tag"), F.struct(start.alias("start"), (start + F.col("size")).alias("end")).alias("span"))
-        .groupBy("d", "tag")
+        .select(*DOC, F.struct(F.col("at").alias("start"), (F.col("at") + F.col("size")).alias("end")).alias("span"))
+        .groupBy(*DOC)
         .agg(F.collect_set("span").alias("spans"))  # of one document
     )
 

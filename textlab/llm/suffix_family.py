@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .repeats import merged, pack_segments, resolved
+from .repeats import PLACE, merged, pack_segments, resolved
 from .words import U, byte_prefix, mix, ranges
 
 WIDTH = 100
@@ -72,8 +72,8 @@ class Level:
     so an entry not told is its key's only one here.
     """
 
-    def __init__(self, key, ctx, d, at, told) -> None:
-        self.key, self.ctx, self.d, self.at, self.told = key, ctx, d, at, told
+    def __init__(self, key, ctx, place, told) -> None:
+        self.key, self.ctx, self.place, self.told = key, ctx, place, told
         names = pair_name(key, ctx)
         self.by_name = np.argsort(names)
         self.names = names[self.by_name]
@@ -95,15 +95,18 @@ class Family:
     def __init__(self) -> None:
         self.levels: list[Level] = []
 
-    def add(self, key: np.ndarray, ctx: np.ndarray, d: np.ndarray, at: np.ndarray) -> list[tuple[np.ndarray, ...]]:
-        """Takes a batch in document order; gives (key, d, at, ctx, kind) of entries to cover (0) or to take apart (1)."""
+    def add(self, key: np.ndarray, ctx: np.ndarray, place: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+        """Takes a batch in document order; gives (key, place, ctx, kind) of entries to cover (0) or to take apart (1).
+
+        A place is a row of numbers that name the document and the position in it.
+        """
         order = np.lexsort((np.arange(len(key)), ctx, key))
-        key, ctx, d, at = key[order], ctx[order], d[order], at[order]
+        key, ctx, place = key[order], ctx[order], place[order]
         names, out = pair_name(key, ctx), []
         again = np.zeros(len(key), bool)
         again[1:] = (key[1:] == key[:-1]) & (ctx[1:] == ctx[:-1])
         lead = np.maximum.accumulate(np.where(~again, np.arange(len(key)), 0))
-        cover = again & ((d != d[lead]) | (at != at[lead]))
+        cover = again & (place != place[lead]).any(axis=1)
         conflict = np.zeros(len(key), bool)
         differ = (key[1:] == key[:-1]) & (ctx[1:] != ctx[:-1])
         if differ.any():
@@ -112,7 +115,8 @@ class Family:
             entry = level.agreeing(key, ctx, names)
             found = entry >= 0
             again |= found
-            cover |= found & ((level.d[entry] != d) | (level.at[entry] != at))
+            if found.any():
+                cover[found] |= (level.place[entry[found]] != place[found]).any(axis=1)
             lo, hi = np.searchsorted(level.key, key, "left"), np.searchsorted(level.key, key, "right")
             other = (hi - lo) > found
             conflict |= other
@@ -120,43 +124,45 @@ class Family:
             fresh = fresh[~level.told[fresh]]
             if len(fresh):
                 level.told[fresh] = True
-                out.append((level.key[fresh], level.d[fresh], level.at[fresh], level.ctx[fresh], np.ones(len(fresh), np.int32)))
+                out.append((level.key[fresh], level.place[fresh], level.ctx[fresh], np.ones(len(fresh), np.int32)))
         if cover.any():
-            out.append((key[cover], d[cover], at[cover], ctx[cover], np.zeros(int(cover.sum()), np.int32)))
+            out.append((key[cover], place[cover], ctx[cover], np.zeros(int(cover.sum()), np.int32)))
         new = ~again
         # a key with one entry in an older level and one here is told in both, whichever came with the conflict
         told = conflict & new
         if told.any():
-            out.append((key[told], d[told], at[told], ctx[told], np.ones(int(told.sum()), np.int32)))
-        self.levels.append(Level(key[new], ctx[new], d[new], at[new], told[new]))
+            out.append((key[told], place[told], ctx[told], np.ones(int(told.sum()), np.int32)))
+        self.levels.append(Level(key[new], ctx[new], place[new], told[new]))
         while len(self.levels) > 1 and 2 * len(self.levels[-1]) >= len(self.levels[-2]):
             late, early = self.levels.pop(), self.levels.pop()
-            both = [np.concatenate([getattr(early, c), getattr(late, c)]) for c in ("key", "ctx", "d", "at", "told")]
+            both = [np.concatenate([getattr(early, c), getattr(late, c)]) for c in ("key", "ctx", "place", "told")]
             by = np.lexsort((both[1], both[0]))
             self.levels.append(Level(*(c[by] for c in both)))
         return out
 
 
 def by_family(rows: DataFrame, batch_rows: int = BATCH) -> DataFrame:
-    """(key, d, at, ctx, known, kind) of the segments that matter."""
-    names = ["key", "d", "at", "ctx", "known", "kind"]
+    """(key, d, tag, tag2, at, ctx, known, kind) of the segments that matter."""
+    names = ["key", *PLACE, "ctx", "known", "kind"]
 
-    def batch_of(key, d, at, ctx, known, kind) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in (key, d, at, ctx, known, kind)], names)
+    def batch_of(key, place, ctx, known, kind) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (key, *place, ctx, known, kind)], names)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family, held, n = Family(), [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for key, d, at, ctx, kind in family.add(*(np.concatenate([h[i] for h in held]) for i in (0, 3, 1, 2))):
-                yield batch_of(key, d, at, ctx, np.zeros(len(key), bool), kind)
+            key, *place, ctx = (np.concatenate([h[i] for h in held]) for i in range(6))
+            for key, place, ctx, kind in family.add(key, ctx, np.stack(place, axis=1)):
+                yield batch_of(key, place.T.copy(), ctx, np.zeros(len(key), bool), kind)
 
         for batch in batches:
-            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
-            known = cols[4]
+            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(7)]
+            known = cols[6]
             if known.any():
-                yield batch_of(*(c[known] for c in cols[:4]), known[known], np.zeros(int(known.sum()), np.int32))
-            held.append([c[~known] for c in cols[:4]])
+                key, *place, ctx = (c[known] for c in cols[:6])
+                yield batch_of(key, place, ctx, known[known], np.zeros(int(known.sum()), np.int32))
+            held.append([c[~known] for c in cols[:6]])
             n += len(held[-1][0])
             if n >= batch_rows:
                 yield from flush()
@@ -164,8 +170,8 @@ def by_family(rows: DataFrame, batch_rows: int = BATCH) -> DataFrame:
         if n:
             yield from flush()
 
-    dealt = rows.repartition("key").sortWithinPartitions("d", "at")
-    return dealt.mapInArrow(work, "key long, d long, at long, ctx long, known boolean, kind int")
+    dealt = rows.repartition("key").sortWithinPartitions(*PLACE)
+    return dealt.mapInArrow(work, "key long, d long, tag long, tag2 long, at long, ctx long, known boolean, kind int")
 
 
 def window_hashes(width: int):
