@@ -60,7 +60,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every source to the same share of the characters; a document has a row per copy, in shuffled order."""
-    return poisson_mix(docs.select(*COLUMNS)).select(*COLUMNS)
+    return poisson_mix(docs.select(*COLUMNS), by_row=True).select(*COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

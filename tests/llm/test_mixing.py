@@ -80,3 +80,33 @@ def test_order_columns_and_edges(spark):
     assert poisson_mix(df, {"absent": 1.0}).count() == 0
     with pytest.raises(ValueError):
         poisson_mix(df, {"s0": -1.0})
+
+
+def test_rows_under_one_id_draw_each_for_itself(spark):
+    data = [(None, "a", f"null {i}" + "x" * 40) for i in range(2000)] + [(7, "a", f"again {i}" + "x" * 40) for i in range(2000)]
+    data += [(None, "a", "same")] * 2000 + [(i, "b", "y" * 400) for i in range(100, 400)]
+    df = frame(spark, data)
+    mass = sum(len(t) + 1 for _, _, t in data)
+    rate = 0.5 * mass / sum(len(t) + 1 for _, s, t in data if s == "a")
+    out = poisson_mix(df, by_row=True)
+    got = out.collect()
+    for kind in ("null", "again", "same"):
+        n = sum(r.text.startswith(kind) for r in got)
+        assert abs(n - 2000 * rate) < 6 * math.sqrt(2000 * rate), kind
+    assert len({r.shuffle_key for r in got}) == len(got) and [r.shuffle_key for r in got] == sorted(r.shuffle_key for r in got)
+    # unique ids keep their draws, and the dealing of the rows does not matter
+    unique = lambda rows: Counter((r.doc_id, r.copy, r.shuffle_key) for r in rows if r.source == "b")
+    assert unique(got) == unique(poisson_mix(df).collect())
+    assert sorted(r.shuffle_key for r in poisson_mix(df.repartition(7), by_row=True).collect()) == [r.shuffle_key for r in got]
+
+
+def test_rows_with_one_shuffle_key_are_dealt_to_several_tasks(spark):
+    df = frame(spark, [(None, "s", f"text {i}") for i in range(4000)])
+    out = poisson_mix(df, budget=60_000.0)
+    assert out.select("shuffle_key").distinct().count() < 40
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = out.groupBy(F.spark_partition_id().alias("p"), "shuffle_key").count().groupBy("shuffle_key").count()
+        assert parts.agg(F.max("count")).first()[0] > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

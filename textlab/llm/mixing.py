@@ -12,11 +12,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import cut
+
 SEED = "mix-1"
 #: A rate above this is made up of several draws, so that its terms don't underflow.
 DRAW_RATE = 256.0
 #: Rates of at most so many sources, and so many bytes of their names, are broadcast; beyond that the join is salted.
 BROADCAST_SOURCES, BROADCAST_BYTES, SALTS = 100_000, 8 << 20, 64
+#: So many repeated ids, or hashes of rows listed more than once, are broadcast; more are joined by a shuffle.
+KEYS_BROADCAST = 500_000
+#: Identical rows that one step numbers at a time.
+BLOCK = 100_000
 
 
 def uniform(key: Column, what: Column) -> Column:
@@ -59,6 +65,39 @@ def source_rates(docs: DataFrame, weights: dict[str | None, float] | None, sourc
     return rates.withColumn("cdf", F.aggregate(terms, start, add, lambda acc: acc["c"]))
 
 
+def few(df: DataFrame) -> tuple[DataFrame, int]:
+    df = cut(df)
+    n = df.count()
+    return (F.broadcast(df) if n <= KEYS_BROADCAST else df), n
+
+
+def with_keys(docs: DataFrame, id_col: str, name: str) -> DataFrame:
+    """`docs` with the key of each row's draws: its id; under a null or repeated id also a hash of the row and its number among identical rows."""
+    columns = docs.columns
+    again, content, twins, row, n, block = (free_name(docs, c) for c in ("id_again", "row_hash", "row_twin", "row_all", "row_n", "row_block"))
+    doc = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
+    ids, many = few(docs.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias(again)).agg(F.count(F.lit(1)).alias(n)).filter(F.col(n) > 1).select(again))
+    shared = F.col(id_col).isNull()
+    if many:
+        docs, shared = docs.join(ids, F.col(id_col) == F.col(again), "left"), shared | F.col(again).isNotNull()
+    whole = F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).cast("binary"))
+    hashed = docs.select(*columns, F.when(shared, whole).alias(content))
+    key = lambda number: F.concat_ws(":", doc, content, number)
+    listed, many = few(hashed.filter(F.col(content).isNotNull()).groupBy(F.col(content).alias(twins)).agg(F.count(F.lit(1)).alias(n)).filter(F.col(n) > 1).select(twins))
+    on = F.col(content) == F.col(twins)
+    once = hashed.join(listed, on, "left_anti") if many else hashed
+    once = once.select(*columns, F.when(F.col(content).isNull(), doc).otherwise(key(F.lit("1"))).alias(name))
+    if not many:
+        return once
+    # identical rows become one row with their number, which combines map-side, and are dealt out again in blocks
+    grouped = hashed.join(listed, on, "left_semi").groupBy(content).agg(F.first(F.struct(*columns)).alias(row), F.count(F.lit(1)).alias(n))
+    blocks = grouped.withColumn(block, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(n) - 1) / BLOCK))))
+    last = F.least(F.col(n), (F.col(block) + 1) * BLOCK)
+    numbered = blocks.withColumn(block, F.explode(F.sequence(F.col(block) * BLOCK + 1, last)))
+    apart = numbered.select(*(F.col(row)[c].alias(c) for c in columns), content, block)
+    return once.unionByName(apart.select(*columns, key(F.col(block).cast("string")).alias(name)))
+
+
 def poisson_mix(
     docs: DataFrame,
     weights: dict[str | None, float] | None = None,
@@ -66,6 +105,7 @@ def poisson_mix(
     id_col: str = "doc_id",
     source_col: str = "source",
     text_col: str = "text",
+    by_row: bool = False,
 ) -> DataFrame:
     """All columns of `docs`, one row per copy, with copy (from 1) and shuffle_key, in the order of shuffle_key.
 
@@ -74,11 +114,17 @@ def poisson_mix(
     (default: equal for all sources present; sources without a given weight get
     0) and budget defaults to the mass of all documents.  A null source is a
     source of its own.  The number of copies follows from doc_id alone, a null
-    doc_id counting as the text "null"; repeated rows are each copied.  Null and
+    doc_id counting as the text "null"; repeated rows are each copied.  With
+    `by_row`, rows under a null or repeated doc_id draw each for itself: the
+    key of the draws and of shuffle_key then also holds a hash of all columns
+    and a number among identical rows.  Null and
     empty texts have mass 1.  Added columns get leading underscores where `docs`
     has their names.  An empty table gives no rows.
     """
+    own = free_name(docs, "draw_key")
+    plain = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
     rates = source_rates(docs, weights, source_col, text_col, budget)
+    docs = with_keys(docs, id_col, own) if by_row else docs.withColumn(own, plain)
     n, size = rates.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.coalesce("source", F.lit(""))))).first()
     src, draws, cdf, copy, key = (free_name(docs, c) for c in ("rate_source", "rate_draws", "rate_cdf", "copy", "shuffle_key"))
     rates = rates.select(F.col("source").alias(src), F.col("draws").alias(draws), F.col("cdf").alias(cdf))
@@ -88,9 +134,9 @@ def poisson_mix(
     else:
         salt, each = free_name(docs, "rate_salt"), free_name(docs, "rate_each")
         salted = rates.withColumn(each, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        dealt = docs.withColumn(salt, F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int"))
+        dealt = docs.withColumn(salt, F.pmod(F.xxhash64(own, text_col), F.lit(SALTS)).cast("int"))
         rated = dealt.join(salted, on & (F.col(salt) == F.col(each))).drop(salt, each)
-    doc = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
+    doc = F.col(own)
 
     def draw(acc: Column, j: Column) -> Column:
         u = uniform(doc, j.cast("string"))
@@ -99,5 +145,6 @@ def poisson_mix(
     count = F.aggregate(F.sequence(F.lit(1), F.col(draws)), F.lit(0), draw)
     copies = rated.withColumn(copy, count).filter(F.col(copy) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copy))))
     mixed = copies.withColumn(key, F.md5(F.concat_ws(":", F.lit(SEED), doc, F.lit("copy"), F.col(copy).cast("string")).cast("binary")))
-    mixed = mixed.drop(src, draws, cdf)
-    return mixed.repartitionByRange(key).sortWithinPartitions(key, copy)
+    tie = free_name(mixed, "shuffle_tie")  # rows that share a shuffle_key don't have to share a task
+    mixed = mixed.withColumn(tie, F.xxhash64(text_col)).drop(src, draws, cdf, own)
+    return mixed.repartitionByRange(key, tie).sortWithinPartitions(key, tie, copy).drop(tie)
