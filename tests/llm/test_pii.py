@@ -105,3 +105,24 @@ def test_redaction_and_nothing(spark):
     assert redact("mail a@b.cc or +1 555 5555 55", [(0, 5, 11), (3, 15, 29)]) == "mail <email> or <phone>"
     assert redact("abcdef", [(1, 1, 4), (2, 2, 6)]) == "a<ip>"
     assert find_pii(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_an_entity_found_once_is_found_wherever_it_is_repeated(spark):
+    train = [(i, f"please call +1 (555) 555-{i:04d} now or later and then go") for i in range(300)]
+    train += [(1000 + i, f"we counted 55{i:05d} of them in the box today") for i in range(300)]
+    phone = "please call +1 2025550143 now. " + "again 12025550143, thanks " * 30
+    card = "card 4539 1488 0343 6467 or " + "word " * 50 + "4539 / 1488 / 0343 / 6467 and 4539.1488 0343.6467 but 4539 1488 of 6467"
+    got = {r.doc_id: r for r in find_pii(frame(spark, train + [(5000, phone), (5001, card)])).collect()}
+    assert all(not got[1000 + i].spans for i in range(300))
+    found = [phone[s.start : s.end] for s in got[5000].spans if s.kind == "phone"]
+    assert found == ["+1 2025550143"] + ["12025550143"] * 30
+    found = [card[s.start : s.end] for s in got[5001].spans if s.kind == "card"]
+    assert found == ["4539 1488 0343 6467", "4539.1488 0343.6467"]
+
+
+def test_messages_reach_the_end_of_a_long_skip_path():
+    w = np.zeros((pii.WIDTH + 15, 5))
+    w[pii.WIDTH + 10 :] = 12 * np.eye(5)
+    n = 40
+    p = pii.marginals(w, np.zeros((n, 6), int), np.array([4] + [0] * (n - 1)), np.zeros((0, 2), int), np.array([[i, i + 1] for i in range(n - 1)]))
+    assert p[:, 4].min() > 0.99

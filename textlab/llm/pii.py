@@ -6,8 +6,11 @@ chain edges between nodes that stand next to each other, and skip edges between
 repeated or similar nodes of a document however far apart (each to the one
 before it with the same normal form, so a token repeated a thousand times has a
 thousand edges).  Loopy sum-product message passing gives each node's label
-probabilities, so that an entity found once is found wherever it is repeated.
-Nodes under a pattern's span are held to its kind: those spans always stay.
+probabilities, which carries a label to nodes of a similar form.  Nodes under a
+pattern's span are held to its kind: those spans always stay.  Nodes that repeat a
+whole span of a card, phone number or e-mail address in another way of writing
+(numbers by their digits, also across spaces) are held to it as well, so that an
+entity found once is found wherever it is repeated, however far away.
 Weights are fitted by pseudo-likelihood on a bounded sample of documents whose
 labels are the patterns' spans.
 """
@@ -31,8 +34,10 @@ FIT_DOCS = 4_000
 FIT_NODES = 200
 #: Hashed node features.
 WIDTH = 1 << 13
-#: Rounds of message passing, and the probability from which a token is added.
-ROUNDS, SURE = 6, 0.9
+#: Message passing ends when no message changes by more than this, or after rounds that grow with the longest skip path.
+TOLERANCE, ROUNDS = 1e-7, 50
+#: The probability from which a token is added.
+SURE = 0.9
 
 # The patterns. A match of the first three cannot begin within a run of
 # the characters it begins with, so look-behinds keep long runs linear.
@@ -45,6 +50,8 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _MARK = re.compile(r"[0-9@]")
 _SPACES = frozenset(" \t\n\x0b\x0c\r")
 _NEXT_GAP = re.compile(r"[ \t-\r]")
+#: A token that is a number or a part of one, with signs around it.
+_NUMBER = re.compile(r"[^\w\s]*+[0-9][0-9().+/-]*+[^\w\s]*+")
 _CORE = re.compile(r"[^\W_](?:.*[^\W_])?", re.S)
 
 
@@ -174,6 +181,38 @@ def held(spans: list[tuple[int, int]], base: list[tuple[int, int, int]]) -> list
     return labels
 
 
+def repeated(text: str, spans: list[tuple[int, int]], base: list[tuple[int, int, int]]) -> list[int]:
+    """`held`, and for a node outside the base spans 1 + kind of the base span that it repeats, alone or with the numbers beside it."""
+    labels = held(spans, base)
+    entities: dict[str, int] = {}
+    for kind, a, b in base:
+        whole = text[a:b]
+        key = whole.lower() if KINDS[kind] == "email" else only_digits(whole) if KINDS[kind] in ("card", "phone") else None
+        if key is not None:
+            entities.setdefault(key, 1 + kind)
+    if not entities or all(labels):
+        return labels
+    longest = max(map(len, entities))
+    tokens = [text[a:b] for a, b in spans]
+    numbers = [only_digits(t) if _NUMBER.fullmatch(t) else "" for t in tokens]
+    i = 0
+    while i < len(spans):
+        step = 1
+        if not labels[i]:
+            a, b = core(tokens[i])
+            found, run, j = entities.get(tokens[i][a:b].lower(), 0), "", i
+            while j < len(spans) and not labels[j] and numbers[j] and (j == i or spans[j][0] - spans[j - 1][1] <= 1):
+                run += numbers[j]
+                if len(run) > longest:
+                    break
+                if run in entities:  # the longest run counts
+                    found, step = entities[run], j - i + 1
+                j += 1
+            labels[i : i + step] = [found] * step
+        i += step
+    return labels
+
+
 def softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(axis=-1, keepdims=True))
     return e / e.sum(axis=-1, keepdims=True)
@@ -210,8 +249,11 @@ def fit(x: np.ndarray, y: np.ndarray, around: np.ndarray, rounds: int = 300, rat
     return w
 
 
-def marginals(w: np.ndarray, x: np.ndarray, hold: np.ndarray, chain: np.ndarray, skip: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
-    """Label probabilities of all nodes by loopy sum-product, in log space with damping."""
+def marginals(w: np.ndarray, x: np.ndarray, hold: np.ndarray, chain: np.ndarray, skip: np.ndarray, rounds: int | None = None) -> np.ndarray:
+    """Label probabilities of all nodes by loopy sum-product, in log space with damping.
+
+    Without `rounds` as many are done at most as the longest path of skip edges asks for.
+    """
     unary = w[x].sum(axis=1)
     fixed = np.flatnonzero(hold)
     unary[fixed] = -1e3
@@ -229,6 +271,11 @@ def marginals(w: np.ndarray, x: np.ndarray, hold: np.ndarray, chain: np.ndarray,
     pot[half : half + len(chain)], pot[half + len(chain) :] = near.T, same
     back = (np.arange(m) + half) % m
     msg = np.zeros((m, 5))
+    if rounds is None:
+        depth: dict[int, int] = {}
+        for i, j in skip.tolist():
+            depth[j] = max(depth.get(j, 0), depth.get(i, 0) + 1)
+        rounds = ROUNDS + 4 * max(depth.values(), default=0)
     for _ in range(rounds):
         belief = unary.copy()
         np.add.at(belief, b, msg)
@@ -236,7 +283,10 @@ def marginals(w: np.ndarray, x: np.ndarray, hold: np.ndarray, chain: np.ndarray,
         top = out.max(axis=1)
         new = top + np.log(np.exp(out - top[:, None, :]).sum(axis=1))
         new -= new.max(axis=1, keepdims=True)
+        moved = np.abs(new - msg).max()
         msg = 0.5 * msg + 0.5 * new
+        if moved < TOLERANCE:
+            break
     belief = unary.copy()
     np.add.at(belief, b, msg)
     return softmax(belief)
@@ -277,7 +327,7 @@ def train(docs: DataFrame, fit_docs: int = FIT_DOCS) -> np.ndarray:
             for value in batch.column(0):
                 text = value.as_py()
                 spans = nodes(text)[:FIT_NODES]
-                y, chain, skip = held(spans, base_spans(text)), *graph(text, spans)
+                y, chain, skip = repeated(text, spans, base_spans(text)), *graph(text, spans)
                 around = np.zeros((len(spans), 15), np.float32)
                 for i, j in chain:
                     around[j, y[i]] += 1
@@ -342,7 +392,7 @@ def find_pii(
             x, hold, chain, skip, first = [], [], [], [], [0]
             for t, base, spans in zip(texts, bases, tokens, strict=True):
                 x += features(t, spans)
-                hold += held(spans, base)
+                hold += repeated(t, spans, base)
                 for edges, found in zip((chain, skip), graph(t, spans), strict=True):
                     edges += [(first[-1] + i, first[-1] + j) for i, j in found]
                 first.append(first[-1] + len(spans))
