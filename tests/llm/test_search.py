@@ -79,3 +79,11 @@ def test_prefix_forest_recall(spark, shard):
 def test_prefix_forest_leaves_out_zero_vectors(spark):
     _, df = vectors(spark)
     assert prefix_forest(df).filter("vec_id >= 700").count() == 0
+
+
+def test_exact_topk_with_an_empty_vector(spark):
+    from textlab.llm.exact_topk import exact_topk
+
+    rows = [(100, [1.0, 2.0]), (1, [3.0, 4.0]), (2, []), (200, [])]
+    got = exact_topk(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), scale=1.0).collect()
+    assert sorted((r.query_id, r.vec_id, r.score) for r in got) == [(100, 1, 11), (200, 2, 0)]

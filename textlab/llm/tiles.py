@@ -36,7 +36,7 @@ def valid_vectors(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 def matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
     flat = column.combine_chunks()
     values = flat.flatten() if isinstance(flat, pa.Array) else pa.chunked_array([c.flatten() for c in flat.chunks]).combine_chunks()
-    return values.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+    return values.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), dim)
 
 
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
