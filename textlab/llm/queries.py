@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_encode
 from .common import read_table
+from .cross_align import cross_align
 from .exact_topk import exact_topk
 from .jaccard_join import jaccard_join
 from .license_scan import license_scan
 from .mixing import poisson_mix
 from .pii import KINDS, find_pii
+from .positional_index import decontaminate
 from .prefix_forest import prefix_forest
 from .quality import quality_scores
 from .recompress import substring_dedup
 from .suffix_family import suffix_dedup
+from .whitening import whiten
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,10 +74,26 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_cross_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_align(read_table(spark, sf_dir, "documents"))
+
+
+def op13_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_bpe, op2_prefix_forest, op3_license_scan, op4_exact_topk, op5_jaccard_join, op6_suffix_dedup, op7_recompression,
-        op8_quality, op9_poisson_mix, op10_pii,
+        op8_quality, op9_poisson_mix, op10_pii, op11_whitening, op12_cross_align, op13_positional_index,
     )
 }
 
@@ -106,4 +125,24 @@ SQL: dict[str, str] = {
         e AS (SELECT doc_id, source, unnest(range(1, copies + 1))::INT AS copy FROM n)
         SELECT doc_id, source, copy, md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null') || ':copy:' || copy) AS shuffle_key FROM e
     """,
+    # an item's words in a row, and every document's words in rows of the same lengths
+    "op13_positional_index": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        b AS (SELECT DISTINCT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(
+                     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        p AS (SELECT item, least(len(w), 10) AS n, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0),
+        q AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS phrase FROM p),
+        l AS (SELECT DISTINCT n FROM q),
+        x AS (SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM d JOIN l ON len(w) >= n),
+        o AS (SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS phrase FROM x),
+        h AS (SELECT o.r, o.i, o.n, q.item FROM o JOIN q USING (n, phrase)),
+        c AS (SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS k FROM h) GROUP BY r),
+        s AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM h) GROUP BY r)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN c ON c.r = d.r LEFT JOIN s ON s.r = d.r
+    """,
 }
