@@ -9,7 +9,7 @@ import __spark_entry__ as E
 
 from .conftest import SF_CHECK
 
-TABLES = "documents labels".split()
+TABLES = sorted(f.removesuffix(".parquet") for f in os.listdir(SF_CHECK) if f.endswith(".parquet"))
 
 
 def _rows(pdf):
