@@ -300,12 +300,13 @@ def find(index: Index, items: DataFrame, places: Places, width: int, id_col: str
     size = asked.agg(F.sum(F.octet_length(F.array_join("words", " ")) + F.octet_length("item_id") + 16)).first()[0] or 0
     slices = max(1, math.ceil(size / slice_bytes))
     number = F.pmod(F.xxhash64("item_id", "words"), F.lit(slices))
-    terms = cut(asked.select(F.explode("words").alias("term")).distinct().unionByName(spark.createDataFrame([("",)], "term string")))
-    lists = index.postings.join(terms, "term", "left_semi")
     schema = "row long, item_id string, start long, end long"
 
     def matched(i: int) -> DataFrame:
-        table = asked.filter(number == i).toArrow()  # about slice_bytes
+        part = asked.filter(number == i)  # about slice_bytes
+        table = part.toArrow()
+        terms = part.select(F.explode("words").alias("term")).distinct().unionByName(spark.createDataFrame([("",)], "term string"))
+        lists = index.postings.join(F.broadcast(terms), "term", "left_semi")
         shared = spark.sparkContext.broadcast((table["item_id"].to_pylist(), table["words"].to_pylist()))
         built: list[Phrases] = []  # a task builds them once
 
