@@ -5,8 +5,9 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from textlab.operators import linear
-from textlab.operators.linear import fit_linear, fit_linears, gradient_norm, training_rows
+from textlab.operators import evaluate, solver
+from textlab.operators.linear import decision_score, decision_scores, gradient_norm, training_rows
+from textlab.operators.solver import dual_start, fit_linear, fit_linears, prepare
 
 
 def make_rows(spark, n=80, d=6, seed=3):
@@ -49,21 +50,88 @@ def newton(X, y, s, C, loss, iters=100):
 PROBLEMS = [("logistic", 2.0), ("squared_hinge", 1.0)]
 
 
-def test_default_tolerance_reaches_the_optimum(spark):
+def dense(coef, d):
+    w = np.zeros(d)
+    for i, x in coef.collect():
+        w[i] = x
+    return w
+
+
+@pytest.mark.parametrize("start", [True, False])
+def test_default_tolerance_reaches_the_optimum(spark, start):
     df, X, y, s = make_rows(spark)
-    for (loss, C), (w, b, info) in zip(PROBLEMS, fit_linears(df, X.shape[1], PROBLEMS)):
-        assert np.allclose(np.append(w, b), newton(X, y, s, C, loss), atol=1e-6)
-        assert info["grad_norm"] < 1e-6
-        coef = spark.createDataFrame([(i, float(x)) for i, x in enumerate(w)], "idx bigint, coef double")
+    for (loss, C), (coef, b, info) in zip(PROBLEMS, fit_linears(df, PROBLEMS, start=start)):
+        assert np.allclose(np.append(dense(coef, X.shape[1]), b), newton(X, y, s, C, loss), atol=1e-6)
+        assert info["grad_norm"] < 1e-6 and info["n_rows"] == len(y)
         assert gradient_norm(df, coef, b, loss, C).first()["grad_norm"] < 1e-6
 
 
-def test_gradients_are_summed_in_chunks(spark, monkeypatch):
-    monkeypatch.setattr(linear, "GRAD_CHUNK", 2)
-    monkeypatch.setattr(linear, "BLOCK_ROWS", 7)
+def test_many_tiles_blocks_and_pieces(spark, monkeypatch):
+    for name, value in (("PIECE", 7), ("BLOCK_ROWS", 9), ("DRIVER_SUM_BYTES", 0)):
+        monkeypatch.setattr(solver, name, value)
+    df, X, y, s = make_rows(spark)
+    problem = prepare(df, tile_entries=40)
+    assert problem.n_tiles > 3 and problem.tiles.count() > 3
+    a = np.linspace(-1, 1, len(y))
+    # rows come in the order of the written blocks; the inner products tell them apart
+    images = problem.multiply([a, problem.y])
+    order = [int(np.flatnonzero(np.isclose(s * (2 * y - 1), v))[0]) for v in problem.s * problem.y]
+    assert len(order) == len(y) and images[0].shape == a.shape
+    assert float(problem.y @ images[1]) == pytest.approx(float((2 * y - 1) @ X @ X.T @ (2 * y - 1)))
+    monkeypatch.setattr(solver, "TILE_ENTRIES", 40)
+    coef, b, _ = fit_linear(df, "logistic", 2.0, start=False)
+    assert np.allclose(np.append(dense(coef, X.shape[1]), b), newton(X, y, s, 2.0, "logistic"), atol=1e-6)
+
+
+def test_no_vector_is_as_wide_as_the_vocabulary(spark):
+    """Feature numbers of 10^12 and more: any vector indexed by feature, on the driver or in a task, would not fit."""
+    df, X, y, s = make_rows(spark)
+    wide = df.withColumn("idx", F.transform("idx", lambda i: i * F.lit(10**12) + 5))
+    for (loss, C), (coef, b, info) in zip(PROBLEMS, fit_linears(wide, PROBLEMS, start=False)):
+        w = dense(coef.select(((F.col("idx") - 5) / 10**12).cast("long"), "coef"), X.shape[1])
+        assert np.allclose(np.append(w, b), newton(X, y, s, C, loss), atol=1e-6)
+        assert gradient_norm(wide, coef, b, loss, C).first()["grad_norm"] < 1e-6
+
+
+def test_dual_steps_alone_come_close_to_the_optimum(spark):
+    df, X, y, s = make_rows(spark)
+    problem = prepare(df)
+    for (loss, C), (a, image, b) in zip(PROBLEMS, dual_start(problem, PROBLEMS)):
+        best = newton(X, y, s, C, loss)
+        assert b == pytest.approx(best[-1], abs=2e-3)
+        assert np.allclose(dense(problem.coefficients([a]).selectExpr("idx", "coefs[0]"), X.shape[1]), best[:-1], atol=2e-3)
+    assert dual_start(problem, PROBLEMS, part_entries=5) == [None, None]
+
+
+def test_rows_without_features_and_without_rows(spark):
+    rows = spark.createDataFrame([(1, 1.0, [], []), (0, 1.0, [], []), (1, 1.0, [], [])], "y int, s double, idx array<bigint>, val array<double>")
+    coef, b, info = fit_linear(rows, "logistic", 2.0)
+    assert coef.count() == 0 and 0 < b < 1 and info["grad_norm"] < 1e-6
+    coef, b, info = fit_linear(rows.filter("y = 7"), "squared_hinge", 1.0)
+    assert coef.count() == 0 and b == 0 and info["n_rows"] == 0
+
+
+def test_every_step_is_kept_and_scored(spark):
     df, X, y, s = make_rows(spark)
-    w, b, _ = fit_linear(df, X.shape[1], "logistic", 2.0)
-    assert np.allclose(np.append(w, b), newton(X, y, s, 2.0, "logistic"), atol=1e-6)
+    coef, b, info = fit_linear(df, "squared_hinge", 1.0, start=False, keep_steps=True)
+    coefs, biases = info["steps"]
+    assert len(biases) == len(info["history"]) == info["iterations"] + 1 > 3
+    assert biases[0] == 0 and biases[-1] == b
+    last = dict(coefs.selectExpr("idx", f"coefs[{len(biases) - 1}]").collect())
+    assert last == pytest.approx(dict(coef.collect()))
+    rows = df.withColumn("id", F.monotonically_increasing_id())
+    for limit in (10**6, 0):  # in the row, and joined
+        got = {r["id"]: r["scores"] for r in decision_scores(rows, coefs, biases, ["id"], broadcast_max=limit).collect()}
+        for k in (0, 2, len(biases) - 1):
+            one = decision_score(rows, coefs.select("idx", F.col("coefs")[k].alias("coef")), biases[k], ["id"])
+            assert {r["id"]: r["score"] for r in one.collect()} == pytest.approx({i: v[k] for i, v in got.items()})
+    table = evaluate.step_metrics(decision_scores(rows, coefs, biases, ["y"]), "y").orderBy("step").collect()
+    assert [r["step"] for r in table] == list(range(len(biases)))
+    for r in (table[0], table[-1]):
+        w = dense(coefs.select("idx", F.col("coefs")[r["step"]]), X.shape[1])
+        p = X @ w + biases[r["step"]] >= 0
+        tp, fp, fn = int((p & (y == 1)).sum()), int((p & (y == 0)).sum()), int((~p & (y == 1)).sum())
+        assert (r["tp"], r["fp"], r["fn"]) == (tp, fp, fn) and r["f1_pos"] == pytest.approx(2 * tp / max(1, 2 * tp + fp + fn))
 
 
 def test_gradient_norm_away_from_the_optimum(spark):
@@ -88,5 +156,5 @@ def test_fit_rows_are_bounded(spark):
 
 def test_solver_all_one_class(spark):
     df, X, y, s = make_rows(spark)
-    w, b, info = fit_linear(df.withColumn("y", F.lit(1)), X.shape[1], "logistic", 2.0)
-    assert b > 0 and np.isfinite(w).all()
+    coef, b, info = fit_linear(df.withColumn("y", F.lit(1)), "logistic", 2.0)
+    assert b > 0 and np.isfinite(dense(coef, X.shape[1])).all()

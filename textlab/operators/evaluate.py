@@ -170,6 +170,24 @@ def leaderboard(candidates: DataFrame, metric: str = "f1", position: str = "posi
     return candidates.withColumn("rank", F.row_number().over(w).cast("int"))
 
 
+def step_metrics(scores: DataFrame, label: str, col: str = "scores", threshold: float = 0.0) -> DataFrame:
+    """(step, tp, fp, fn, precision_pos, recall_pos, f1_pos) of every model's scores in an array column.
+
+    One pass; the counts are summed per step on the map side, so the exchange has a row per task and step.
+    """
+    each = scores.select(F.col(label).alias("_y"), F.posexplode(col).alias("step", "_s"))
+    hit = F.col("_s") >= F.lit(float(threshold))
+    counts = each.groupBy("step").agg(
+        F.count_if(hit & (F.col("_y") == 1)).alias("tp"), F.count_if(hit & (F.col("_y") == 0)).alias("fp"),
+        F.count_if(~hit & (F.col("_y") == 1)).alias("fn"),
+    )
+    share = lambda over: F.when(over > 0, F.col("tp") / over).otherwise(F.lit(0.0))
+    return counts.select(
+        "step", "tp", "fp", "fn", share(F.col("tp") + F.col("fp")).alias("precision_pos"), share(F.col("tp") + F.col("fn")).alias("recall_pos"),
+        share(F.col("tp") + (F.col("fp") + F.col("fn")) / 2).alias("f1_pos"),
+    )
+
+
 def best_checkpoint(history: DataFrame, metric: str = "f1_pos", step: str = "step") -> DataFrame:
     """The evaluation step with the highest metric; the earliest wins ties."""
     key = F.struct(F.col(metric), (-F.col(step)).alias("_neg_step"))

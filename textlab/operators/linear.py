@@ -1,8 +1,8 @@
-"""Class weights, linear decision scores and the distributed linear solver."""
+"""Class weights, linear decision scores and the rows and certificate of a linear fit."""
 
 from __future__ import annotations
 
-from collections.abc import Generator, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -77,6 +77,48 @@ def _decision_joined(rows: DataFrame, coef: DataFrame, bias: float, carry, out:
     return fixed.join(sums, "_row", "left").select(*carry, total)
 
 
+def decision_scores(packed: DataFrame, coefs: DataFrame, biases: list[float], carry=(), out: str = "scores",
+                    broadcast_max: int = COEF_BROADCAST_MAX) -> DataFrame:
+    """(*carry, scores array): the decision values of several models in one pass over sparse rows.
+
+    ``coefs`` is an (idx, coefs array) table with one coefficient per model.  Up
+    to ``broadcast_max`` coefficients the product is taken inside the row;
+    beyond, entries are joined under row numbers as in ``decision_score``.
+    """
+    rows, width = packed.select(*carry, "idx", "val"), len(biases)
+    if coefs.count() * width > broadcast_max:
+        return _decisions_joined(rows, coefs, biases, carry, out)
+    table = coefs.toArrow()
+    idx = table["idx"].to_numpy()
+    w = np.zeros((int(idx.max(initial=-1)) + 1, width))
+    flat = table["coefs"].combine_chunks()
+    w[idx] = flat.flatten().to_numpy().reshape(-1, width)
+    shared = packed.sparkSession.sparkContext.broadcast((w, np.array(biases)))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w, biases = shared.value
+        for batch in batches:
+            row, idx, val = _entries(batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1))
+            known = idx < len(w)
+            row, idx, val = row[known], idx[known], val[known]
+            s = np.stack([np.bincount(row, val * w[idx, k], minlength=batch.num_rows) for k in range(len(biases))], 1) + biases
+            edge = np.arange(batch.num_rows + 1, dtype=np.int32) * len(biases)
+            lists = pa.ListArray.from_arrays(pa.array(edge), pa.array(s.ravel()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], lists], [*batch.schema.names[:-2], out])
+
+    schema = T.StructType(rows.schema.fields[:-2] + [T.StructField(out, T.ArrayType(T.DoubleType()))])
+    return rows.mapInArrow(work, schema)
+
+
+def _decisions_joined(rows: DataFrame, coefs: DataFrame, biases: list[float], carry, out: str) -> DataFrame:
+    checkpoint_root(rows.sparkSession)
+    fixed = rows.checkpoint().withColumn("_row", F.monotonically_increasing_id())
+    entries = fixed.select("_row", F.inline(F.arrays_zip("idx", "val"))).join(coefs, "idx")
+    sums = entries.groupBy("_row").agg(*(F.sum(F.col("val") * F.col("coefs")[k]).alias(f"_{k}") for k in range(len(biases))))
+    total = F.array(*(F.coalesce(F.col(f"_{k}"), F.lit(0.0)) + F.lit(float(b)) for k, b in enumerate(biases))).alias(out)
+    return fixed.join(sums, "_row", "left").select(*carry, total)
+
+
 def _entries(idx: pa.Array, val: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, idx, val) of a batch's sparse rows."""
     a, b = idx.offsets.to_numpy(), val.offsets.to_numpy()
@@ -92,15 +134,8 @@ def _entries(idx: pa.Array, val: pa.Array) -> tuple[np.ndarray, np.ndarray, np.n
 LOGREG_C = 2.0
 SVM_C = 1.0
 # Labelled rows that a fit uses at most, about (those with the smallest hashes of
-# their features); it bounds the coefficient vector that the driver holds.
-MAX_FIT_ROWS = 4_000_000
-# Pairs that the solver remembers, and the gradient norm at which it stops.
-LBFGS_MEMORY = 40
-SOLVER_TOL = 5e-7
-# Gradient entries to a row when partial gradients are summed on the executors.
-GRAD_CHUNK = 1 << 16
-# Training rows to a block.
-BLOCK_ROWS = 4096
+# their features); it bounds the row vectors that the solver holds on the driver.
+MAX_FIT_ROWS = 1_000_000
 
 
 def training_rows(packed: DataFrame, weights: DataFrame, label: str = "binary_label", max_rows: int = MAX_FIT_ROWS) -> DataFrame:
@@ -120,160 +155,6 @@ def training_rows(packed: DataFrame, weights: DataFrame, label: str = "binary_la
     return rows
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
-    """Training rows packed into blocks of compressed sparse rows, dealt evenly, kept in memory where it fits."""
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, whole.num_rows, BLOCK_ROWS):
-                batch = whole.slice(start, BLOCK_ROWS)
-                row, idx, val = _entries(batch.column(2), batch.column(3))
-                cells = [batch.column(0).to_numpy().astype(np.float64), batch.column(1).to_numpy(), row.astype(np.int32), idx.astype(np.int64), val]
-                yield pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in cells], ["y", "s", "row", "idx", "val"])
-
-    parts = rows.sparkSession.sparkContext.defaultParallelism
-    packed = rows.select("y", "s", "idx", "val").repartition(max(parts, rows.rdd.getNumPartitions()))
-    return packed.mapInArrow(pack, "y binary, s binary, row binary, idx binary, val binary").persist()
-
-
-def _pass(blocks: DataFrame, points: list[tuple[str, float, np.ndarray]], dim: int) -> list[tuple[float, np.ndarray]]:
-    """Objective and gradient of several (loss, C, point) in one pass over the blocks.
-
-    Partial gradients leave a task in chunks and are summed on the executors.
-    """
-    shared = blocks.sparkSession.sparkContext.broadcast(points)
-
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grads = [np.zeros(dim + 2) for _ in shared.value]  # coefficients, bias, objective
-        for batch in batches:
-            for cells in zip(*batch.columns, strict=True):
-                y, s, row, idx, val = (np.frombuffer(c.as_buffer(), t) for c, t in zip(cells, ("f8", "f8", "i4", "i8", "f8"), strict=True))
-                sign = 2.0 * y - 1.0
-                for g, (loss, C, wb) in zip(grads, shared.value, strict=True):
-                    z = sign * (np.bincount(row, val * wb[idx], minlength=len(y)) + wb[-1])
-                    if loss == "logistic":
-                        value, d = np.logaddexp(0.0, -z), -sign * 0.5 * (1.0 - np.tanh(0.5 * z))
-                    else:
-                        h = np.maximum(0.0, 1.0 - z)
-                        value, d = h * h, -2.0 * sign * h
-                    d = C * s * d
-                    g[:dim] += np.bincount(idx, val * d[row], minlength=dim)
-                    g[dim] += d.sum()
-                    g[dim + 1] += C * float(s @ value)
-        rows = [(k, c, g[c * GRAD_CHUNK : (c + 1) * GRAD_CHUNK]) for k, g in enumerate(grads) for c in range(-(-len(g) // GRAD_CHUNK))]
-        rows = [r for r in rows if r[2].any()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2].tobytes() for r in rows], pa.binary())],
-            ["k", "chunk", "g"],
-        )
-
-    def summed(key, table):
-        total = np.sum([np.frombuffer(v.as_buffer(), np.float64) for c in table["g"].chunks for v in c], axis=0)
-        return pa.table({"k": pa.array([key[0].as_py()], pa.int32()), "chunk": pa.array([key[1].as_py()], pa.int32()), "g": [total.tobytes()]})
-
-    schema = "k int, chunk int, g binary"
-    try:
-        got = blocks.mapInArrow(partial, schema).groupBy("k", "chunk").applyInArrow(summed, schema).toArrow()
-    finally:
-        shared.unpersist()
-    sums = [np.zeros(dim + 2) for _ in points]
-    for k, c, g in zip(*(got[n].to_pylist() for n in ("k", "chunk", "g")), strict=True):
-        piece = np.frombuffer(g, np.float64)
-        sums[k][c * GRAD_CHUNK : c * GRAD_CHUNK + len(piece)] = piece
-    return [(0.5 * float(wb @ wb) + float(s[-1]), s[:-1] + wb) for s, (_, _, wb) in zip(sums, points, strict=True)]
-
-
-def lbfgs(x0: np.ndarray, tol: float, max_iter: int, scale: np.ndarray | float = 1.0, m: int = LBFGS_MEMORY,
-          ftol: float = 1e-15, stall: int = 5) -> Generator:
-    """Limited-memory BFGS with backtracking: yields points, is sent (f, gradient), returns (x, f, |g|, iterations, history).
-
-    Works on u = x / scale.  Stops when |g| <= tol, or when the objective has
-    stopped changing at double precision (relative decrease <= ftol) for
-    ``stall`` steps in a row.
-    """
-    u = x0 / scale
-    f, g = yield scale * u
-    norm, g = float(np.linalg.norm(g)), scale * g
-    pairs: list[tuple[np.ndarray, np.ndarray]] = []
-    history = [(0, f, norm)]
-    it, flat = 0, 0
-    while it < max_iter and norm > tol and flat < stall:
-        d, alphas = -g, []
-        for s, y in reversed(pairs):
-            a = float(s @ d) / float(y @ s)
-            alphas.append(a)
-            d = d - a * y
-        if pairs:
-            s, y = pairs[-1]
-            d = d * (float(s @ y) / float(y @ y))
-        else:
-            d = d / max(1.0, float(np.linalg.norm(g)))
-        for (s, y), a in zip(pairs, reversed(alphas)):
-            d = d + s * (a - float(y @ d) / float(y @ s))
-        slope = float(g @ d)
-        if slope >= 0:  # not a descent direction: restart from steepest descent
-            pairs, d = [], -g / max(1.0, float(np.linalg.norm(g)))
-            slope = float(g @ d)
-        t = 1.0
-        for _ in range(40):
-            f_new, g_new = yield scale * (u + t * d)
-            norm_new, g_new = float(np.linalg.norm(g_new)), scale * g_new
-            # near the optimum f cannot tell steps apart, the gradient still can
-            if f_new <= f + 1e-4 * t * slope or (abs(f_new - f) <= 1e-13 * abs(f) and norm_new < norm):
-                break
-            t *= 0.5
-        else:
-            break  # no acceptable step: u is optimal to working precision
-        s, y = t * d, g_new - g
-        if float(s @ y) > 1e-14 * float(y @ y):
-            pairs = [*pairs, (s, y)][-m:]
-        flat = flat + 1 if (f - f_new) <= ftol * max(abs(f), abs(f_new), 1.0) else 0
-        u, f, g, norm = u + s, f_new, g_new, norm_new
-        it += 1
-        history.append((it, f, norm))
-    return scale * u, f, norm, it, history
-
-
-def fit_linears(rows: DataFrame, dim: int, problems: list[tuple[str, float]], tol: float = SOLVER_TOL, max_iter: int = 1000):
-    """Minimise several class-weighted (loss, C) objectives side by side, one pass over the rows for all of them.
-
-    Returns a (coef ndarray, bias, info dict) for each.
-    """
-    blocks = _blocks(rows)
-    total = rows.agg(F.sum("s")).first()[0] or 0.0
-    try:
-        solvers = []
-        for loss, C in problems:
-            # the bias is in every row, so the objective is far steeper along it
-            scale = np.ones(dim + 1)
-            scale[-1] = (1.0 + (0.25 if loss == "logistic" else 2.0) * C * total) ** -0.5
-            solvers.append(lbfgs(np.zeros(dim + 1), tol, max_iter, scale))
-        points = {i: next(s) for i, s in enumerate(solvers)}
-        done, evals = {}, [0] * len(problems)
-        while points:
-            at = list(points)
-            values = _pass(blocks, [(*problems[i], points[i]) for i in at], dim)
-            points = {}
-            for i, value in zip(at, values, strict=True):
-                evals[i] += 1
-                try:
-                    points[i] = solvers[i].send(value)
-                except StopIteration as end:
-                    done[i] = end.value
-    finally:
-        blocks.unpersist()
-    out = []
-    for i in range(len(problems)):
-        x, f, gnorm, iters, history = done[i]
-        out.append((x[:-1], float(x[-1]), {"objective": f, "grad_norm": gnorm, "iterations": iters, "evaluations": evals[i], "history": history}))
-    return out
-
-
-def fit_linear(rows: DataFrame, dim: int, loss: str, C: float, tol: float = SOLVER_TOL, max_iter: int = 1000):
-    """Minimise one class-weighted objective; returns (coef ndarray, bias, info dict)."""
-    return fit_linears(rows, dim, [(loss, C)], tol, max_iter)[0]
-
-
 def gradient_norm(rows: DataFrame, coef: DataFrame, bias: float, loss: str, C: float) -> DataFrame:
     """One row: the norm of the objective's gradient at (coef, bias), by joins and sums alone (no solver code).
 

