@@ -27,17 +27,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import CACHE_CHARS, CACHE_PIECES, default_vocabulary, tables
+from .bpe import default_vocabulary, tables
 from .common import stash
 
 #: Characters that one numpy step takes, and to a part of a long text.
-STEP_CHARS = 1 << 20
+STEP_CHARS = 1 << 18
 PART_CHARS = 1 << 18
+#: Ends that are tried at a time around the middles of intervals.
+RING = 1 << 16
 #: Characters of documents that ask for counts together.
-CHUNK_CHARS = 4 << 20
+CHUNK_CHARS = 2 << 20
 
 _MARK = "▁"
-_RUNS = re.compile(" *[^ ]+| +")
 #: Where both tokenizers always cut: before a space that follows other than white space.
 _CUT = re.compile(r"(?<=\S) ")
 
@@ -55,26 +56,12 @@ class Pieces:
         self.model = sentencepiece.SentencePieceProcessor(model_proto=spec)
         n = self.model.get_piece_size()
         pieces = [self.model.id_to_piece(i) for i in range(n)]
-        # merges that never join a word with the space after it can be made word by word
+        # where no piece goes on after a space, words are merged each for itself, and a text may be cut between them
         self.by_word = not any(_MARK in p.lstrip(_MARK) for p in pieces)
         self.bytes = [bytes([int(p[1:-1], 16)]) if self.model.is_byte(i) else p.replace(_MARK, " ").encode() for i, p in enumerate(pieces)]
-        self.space = self.model.piece_to_id(_MARK)
-        self.known: dict[str, bytes] = {}
 
     def encode(self, text: str) -> np.ndarray:
-        if not self.by_word:
-            return np.array(self.model.encode(text[1:]), np.int32)
-        return np.frombuffer(b"".join(map(self.word, _RUNS.findall(text))), np.int32)
-
-    def word(self, run: str) -> bytes:
-        ids = self.known.get(run)
-        if ids is None:
-            ids = np.array(self.model.encode(run[1:]) if len(run) > 1 else [self.space], np.int32).tobytes()
-            if len(run) <= CACHE_CHARS:
-                if len(self.known) >= CACHE_PIECES:
-                    self.known.clear()
-                self.known[run] = ids
-        return ids
+        return np.array(self.model.encode(text[1:]), np.int32)
 
 
 class Spelling:
@@ -128,7 +115,7 @@ def shared_cuts(a: np.ndarray, b: np.ndarray, a_edge: np.ndarray, b_edge: np.nda
             new = np.ones(len(row), bool)
             new[1:] = row[1:] != row[:-1]
             cut[open_[row[new]]] = try_[row[new], col[new]]
-            reach, width = reach + width, min(2 * width, max(1, STEP_CHARS // len(open_)))
+            reach, width = reach + width, min(2 * width, max(1, RING // len(open_)))
             left = (cut[open_] < 0) & ((middle[open_] + reach + 1 <= hi[open_] - 2) | (middle[open_] - reach - 1 >= lo[open_]))
             open_ = open_[left]
         found = cut >= 0
@@ -172,8 +159,9 @@ class Aligner:
         if self.a_spelling.joined(a_ids) != raw or self.b_spelling.joined(b_ids) != raw:
             return None
         a_edge, b_edge = (np.concatenate([[0], np.cumsum([len(p[i]) for p in pairs])]).astype(np.int64) for i in (0, 1))
-        a, b = np.cumsum(self.a_spelling.length[a_ids]), np.cumsum(self.b_spelling.length[b_ids])
-        last = lambda ends, edge: np.where(edge > 0, ends[np.maximum(edge, 1) - 1], 0) if len(ends) else np.zeros(len(edge), np.int64)
+        # 32 bits: a step holds little more than STEP_CHARS, or one part
+        a, b = (np.cumsum(x.length[i]).astype(np.int32) for x, i in ((self.a_spelling, a_ids), (self.b_spelling, b_ids)))
+        last = lambda ends, edge: np.where(edge > 0, ends[np.maximum(edge, 1) - 1], 0) if len(ends) else edge * 0
         if (last(a, a_edge) != last(b, b_edge)).any():
             return None
         return (a_ids, b_ids, a_edge, b_edge, a, b, *shared_cuts(a, b, a_edge, b_edge))
