@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.labels import null_tokens
+from .quoted import is_open, quoted_records, without_quoted
 
 # Column layouts of the three input files.
 CORPUS_COLUMNS = ["record_id", "article_id", "keyword", "country", "text", "raw_label"]
@@ -48,12 +49,14 @@ def _tsv(spark: SparkSession, path, names, multi_line: bool) -> DataFrame:
     DROPMALFORMED is not used: its result depends on the selected columns;
     column pruning is off, as it would hide a wrong number of fields.
     """
+    if multi_line:
+        return _fields(quoted_records(spark, path, "\t"), list(names), "\t").select(*names, F.col("_record").alias(RAW), "_ord")
     return (
         spark.read.schema(_string_schema(list(names) + [RAW]))
         .option("sep", "\t").option("header", False)
         .option("quote", '"').option("escape", '"')
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RAW)
-        .option("columnPruning", False).option("multiLine", multi_line)
+        .option("columnPruning", False)
         .csv(path)
         .withColumn("_ord", file_order())
         # always true; Spark refuses to read the raw text alone, as for a count
@@ -61,20 +64,29 @@ def _tsv(spark: SparkSession, path, names, multi_line: bool) -> DataFrame:
     )
 
 
-def _unquoted() -> F.Column:
-    """The raw record without its complete quoted fields."""
-    return F.regexp_replace(F.col(RAW), r'(^|\t)"[^"]*+(?:""[^"]*+)*+"', "$1")
+def _fields(records: DataFrame, names: list[str], sep: str) -> DataFrame:
+    """The fields of assembled records beside them: quotes taken off, text after a closing quote as it is, bare empty fields null."""
+    quoted = r'^"([^"]*+(?:""[^"]*+)*+)"'
+    every = F.regexp_extract_all(F.concat(F.lit(sep), "_record"), F.lit(rf'{sep}("[^"]*+(?:""[^"]*+)*+"[^{sep}]*+|[^{sep}]*+)'), F.lit(1))
+    records = records.withColumn("_f", every)
+
+    def value(i: int) -> F.Column:
+        raw = F.get("_f", F.lit(i))
+        inner = F.replace(F.regexp_extract(raw, quoted, 1), F.lit('""'), F.lit('"'))
+        return F.when(raw.rlike(quoted), F.concat(inner, F.regexp_replace(raw, quoted, ""))).when(raw != "", raw)
+
+    return records.withColumns({n: value(i) for i, n in enumerate(names)}).drop("_f")
 
 
 def n_fields(names) -> F.Column:
     """Fields of a record: tabs outside quoted fields, plus one."""
-    raw = _unquoted()
+    raw = without_quoted(F.col(RAW), "\t")
     return F.when(F.col(RAW).isNull(), F.lit(len(names))).otherwise(F.length(raw) - F.length(F.translate(raw, "\t", "")) + 1)
 
 
 def closed(path, what: str) -> F.Column:
     """True; raises, naming the record, where a quoted field is not closed at the end of its line."""
-    broken = F.col(RAW).isNotNull() & _unquoted().rlike('(^|\t)"')
+    broken = F.col(RAW).isNotNull() & is_open(F.col(RAW), "\t")
     said = F.concat(F.lit(f"{what}: a quoted field runs over the end of a line (read with multi_line=True): "), F.substring(RAW, 1, 200))
     return F.when(broken, F.raise_error(said).cast("boolean")).otherwise(F.lit(True))
 
@@ -89,8 +101,8 @@ def read_corpus(spark: SparkSession, path, multi_line: bool = False) -> DataFram
 
     Short records are kept with nulls, as the reference's reader pads them; the
     validity filter (P1) removes them later.  A quoted field may hold line
-    breaks only with ``multi_line``, which reads a file in one task; without
-    it the files are split and such a record is an error, never a loss.
+    breaks only with ``multi_line``, which scans the files twice, in splits both
+    times; without it one scan does and such a record is an error, never a loss.
     """
     raw = _tsv(spark, path, CORPUS_COLUMNS, multi_line).filter(n_fields(CORPUS_COLUMNS) <= len(CORPUS_COLUMNS))
     if not multi_line:
@@ -109,11 +121,15 @@ def read_test(spark: SparkSession, path, multi_line: bool = False) -> DataFrame:
     return with_na_tokens(raw.drop(RAW), TEST_COLUMNS)
 
 
-def require_columns(df: DataFrame, required, what: str) -> DataFrame:
-    """Schema-only check that the required columns exist (no job)."""
-    missing = set(required).difference(df.columns)
+def require_columns_named(columns, required, what: str) -> None:
+    missing = set(required).difference(columns)
     if missing:
         raise ValueError(f"{what}: no column {', '.join(sorted(missing))}")
+
+
+def require_columns(df: DataFrame, required, what: str) -> DataFrame:
+    """Schema-only check that the required columns exist (no job)."""
+    require_columns_named(df.columns, required, what)
     return df
 
 
@@ -134,13 +150,14 @@ def read_split(spark: SparkSession, path: str) -> DataFrame:
 def read_scored(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Scored-detail table written by ``write_scored``, with typed columns.
 
-    Parquet is the format for large tables; CSV is read with line breaks
-    allowed inside quoted fields, so each file is one task.
+    Parquet is the format for large tables; CSV is read in splits with line
+    breaks allowed inside quoted fields.  Every file has the header.
     """
     if fmt == "parquet":
         df = spark.read.parquet(path)
     else:
-        df = (spark.read.option("header", True).option("multiLine", True)
-              .option("quote", '"').option("escape", '"').csv(path))
+        header = spark.read.option("header", True).option("quote", '"').option("escape", '"').csv(path).columns  # the header line only
+        require_columns_named(header, SCORED_REQUIRED, path)
+        df = _fields(quoted_records(spark, path, ",").filter(~F.col("_head")), header, ",").select(*header)
         df = df.withColumns({c: F.col(c).cast(SCORED_TYPES[c]) for c in df.columns if c in SCORED_TYPES})
     return require_columns(df, SCORED_REQUIRED, path)
