@@ -169,10 +169,14 @@ def check_missing(df: DataFrame, split_col: str = "split") -> DataFrame:
 
 def raise_on_missing(df: DataFrame, split_col: str = "split") -> None:
     """Raise with every split's count when any text is missing after the join."""
-    bad = check_missing(df, split_col).filter("missing_text > 0").collect()
+    refuse_missing({r[split_col]: r["missing_text"] for r in check_missing(df, split_col).collect()})
+
+
+def refuse_missing(missing: dict[str, int]) -> None:
+    """Raise with the count of every split that has rows without a text."""
+    bad = ", ".join(f"{name}_missing={n}" for name, n in missing.items() if n)
     if bad:
-        counts = ", ".join(f"{r[split_col]}_missing={r['missing_text']}" for r in bad)
-        raise ValueError(f"split rows without a text in the corpus: {counts}")
+        raise ValueError(f"split rows without a text in the corpus: {bad}")
 
 
 def union_splits(**splits: DataFrame) -> DataFrame:

@@ -523,9 +523,9 @@ def q_score_test(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Write the derived fixture with Spark, read it back
 # ---------------------------------------------------------------------------
-def _tsv_fixture(df: DataFrame, path: str, columns) -> None:
-    """Fixture writer: tab-separated, quoted where needed, line breaks in text -> space."""
-    cols = [F.regexp_replace(F.col(c), r"[\r\n]", " ").alias(c) if c == "text" else F.col(c) for c in columns]
+def _tsv_fixture(df: DataFrame, path: str, columns, breaks: bool = False) -> None:
+    """Fixture writer: tab-separated, quoted where needed, line breaks in text -> space unless kept."""
+    cols = [F.regexp_replace(F.col(c), r"[\r\n]", " ").alias(c) if c == "text" and not breaks else F.col(c) for c in columns]
     (df.orderBy("_ord").select(*cols).write.mode("overwrite")
      .option("sep", "\t").option("quote", '"').option("escape", '"').option("header", False)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
@@ -553,6 +553,17 @@ def q_read_corpus_tsv(spark, sf_dir):
     return ingest.parse_corpus(raw).drop("_ord")
 
 
+@query("read_corpus_breaks")
+def q_read_corpus_breaks(spark, sf_dir):
+    """The corpus file with the line breaks of its texts, read in splits."""
+    from ..session import scratch_path
+    from ..sources.readers import CORPUS_COLUMNS, read_corpus
+    path = scratch_path(spark, "corpus-breaks")
+    _tsv_fixture(fx.raw_corpus(spark, sf_dir), f"{path}/main", CORPUS_COLUMNS, breaks=True)
+    spark.createDataFrame([(x,) for x in MALFORMED_CORPUS_LINES], "value string").write.text(f"{path}/malformed")
+    return ingest.parse_corpus(read_corpus(spark, [f"{path}/main", f"{path}/malformed"], multi_line=True)).drop("_ord")
+
+
 @query("read_split_csv")
 def q_read_split_csv(spark, sf_dir):
     from ..session import scratch_path
@@ -582,14 +593,15 @@ def q_read_scored(spark, sf_dir):
     return read_scored(spark, path)
 
 
-def _delivered(spark, sf_dir, *parts):
-    """Folder of the deliverables of the fixed model, whose scores SQL can state."""
+def _delivered(spark, sf_dir):
+    """Where a deliverable of the fixed model, whose scores SQL can state, stands."""
     from ..session import scratch_path
+    from ..sources.delivery import delivered
     from .pipeline import deliver
     path = scratch_path(spark, "deliverables")
     dev = dev_docs(spark, sf_dir).drop("split")
     deliver(fixed_model(spark, sf_dir), None, dev, fx.test_docs(spark, sf_dir), path, "record_id")
-    return path
+    return lambda name: delivered(spark, path, name)
 
 
 DEV_DETAIL = ["record_id", "binary_label", "label_raw", "article_id", "keyword", "country", "text", "y_true", "y_pred"]
@@ -609,20 +621,19 @@ def q_scored_dev(spark, sf_dir):
 
 @query("scored_test")
 def q_scored_test(spark, sf_dir):
-    path = _delivered(spark, sf_dir)
-    back = spark.read.parquet(f"{path}/test_detail")
+    back = spark.read.parquet(_delivered(spark, sf_dir)("test_detail"))
     return back.select("record_id", "article_id", "keyword", "country", "text", R("score").alias("score"), "y_pred")
 
 
 @query("dev_report")
 def q_dev_report(spark, sf_dir):
-    return spark.read.parquet(f"{_delivered(spark, sf_dir)}/dev_report")
+    return spark.read.parquet(_delivered(spark, sf_dir)("dev_report"))
 
 
 @query("error_analysis")
 def q_error_analysis(spark, sf_dir):
     path = _delivered(spark, sf_dir)
-    both = [spark.read.parquet(f"{path}/{name}").withColumn("kind", F.lit(name)) for name in ("false_positives", "false_negatives")]
+    both = [spark.read.parquet(path(name)).withColumn("kind", F.lit(name)) for name in ("false_positives", "false_negatives")]
     return both[0].unionByName(both[1]).select("kind", *DEV_DETAIL, R("score").alias("score"), R("mistake_strength").alias("mistake_strength"))
 
 
@@ -631,10 +642,10 @@ def q_deliverables(spark, sf_dir):
     """Lines and positives of both prediction files, against the rates that the saved model's metadata holds."""
     from ..sources.sinks import load_model
     path = _delivered(spark, sf_dir)
-    meta = load_model(spark, f"{path}/model").meta
+    meta = load_model(spark, path("model")).meta
     out = None
     for name in ("dev", "test"):
-        lines = spark.read.text(f"{path}/{name}_lines").select(F.col("value").cast("double").alias("v"))
+        lines = spark.read.text(path(f"{name}_lines")).select(F.col("value").cast("double").alias("v"))
         one = lines.agg(F.count("v").alias("lines"), R(F.avg("v")).alias("positive_rate")).select(
             F.lit(name).alias("split"), "lines", "positive_rate",
             (F.abs(F.col("positive_rate") - F.lit(float(meta[f"{name}_positive_rate"]))) < 1e-8).alias("as_in_metadata"))
@@ -642,6 +653,40 @@ def q_deliverables(spark, sf_dir):
     return out
 
 
+@query("run_files")
+def q_run_files(spark, sf_dir):
+    """A whole run from written input files to its deliverables: lines of both prediction files, and whether the
+    manifest, the metadata and the details agree with them."""
+    from ..operators.evaluate import binary_metrics
+    from ..session import scratch_path
+    from ..sources.delivery import delivered, manifest
+    from ..sources.readers import CORPUS_COLUMNS, TEST_COLUMNS
+    from .pipeline import run_files
+    path = scratch_path(spark, "run")
+    corpus = fx.raw_corpus(spark, sf_dir).withColumns({
+        "record_id": F.col("doc_id").cast("string"), "article_id": F.concat(F.lit("@@"), F.col("doc_id")), "raw_label": F.lit("1")})
+    _tsv_fixture(corpus, f"{path}/corpus", CORPUS_COLUMNS, breaks=True)
+    _tsv_fixture(fx.raw_test(spark, sf_dir), f"{path}/test", TEST_COLUMNS, breaks=True)
+    for name in ("train", "dev"):
+        rows = fx.split_labels(spark, sf_dir).filter(F.col("split") == name)
+        rows = rows.select(F.col("record_id").cast("string").alias("par_id"), F.col("binary_label").cast("string").alias("label"))
+        rows.write.option("header", True).csv(f"{path}/{name}")
+    out = f"{path}/out"
+    meta = run_files(spark, f"{path}/corpus", f"{path}/train", f"{path}/dev", f"{path}/test", out, multi_line=True)
+    told = manifest(spark, out)
+    detail = spark.read.parquet(delivered(spark, out, "dev_detail"))
+    f1 = binary_metrics(detail, "y_true", "y_pred").first()["f1"]
+    parts = []
+    for name in ("dev", "test"):
+        lines = spark.read.text(delivered(spark, out, f"{name}_lines")).select(F.col("value").cast("double").alias("v"))
+        parts.append(lines.agg(F.count("v").alias("lines"), F.avg("v").alias("rate")).select(
+            F.lit(name).alias("split"), "lines",
+            (F.col("lines") == F.lit(told["tables"][f"{name}_lines"]["rows"])).alias("in_manifest"),
+            (F.abs(F.col("rate") - F.lit(float(meta[f"{name}_positive_rate"]))) < 1e-12).alias("rate_confirmed"),
+            F.lit(bool(abs(f1 - meta["dev_f1"]) < 1e-12 and told["meta"]["dev_f1"] == meta["dev_f1"])).alias("f1_confirmed")))
+    return parts[0].unionByName(parts[1])
+
+
 @query("profile_tables")
 def q_profile_tables(spark, sf_dir):
     from ..session import scratch_path

@@ -498,6 +498,12 @@ SELECT doc_id AS record_id, true AS score_confirmed, true AS prediction_confirme
 # Readers / sinks round trips
 # ---------------------------------------------------------------------------
 SQL["read_corpus_tsv"] = SQL["valid_records"]
+SQL["read_corpus_breaks"] = SQL["valid_records"]
+SQL["run_files"] = with_(SPLIT) + f"""
+SELECT 'dev' AS split, count(*)::BIGINT AS lines, true AS in_manifest, true AS rate_confirmed, true AS f1_confirmed
+FROM split WHERE split.split = 'dev' UNION ALL
+SELECT 'test', count(*)::BIGINT, true, true, true FROM documents
+WHERE regexp_full_match({_na(fx.SAMPLE_ID_RAW)}, 't_[0-9]+') AND regexp_full_match({_na(fx.ARTICLE_ID_RAW)}, '@@[0-9]+')"""
 SQL["read_split_csv"] = SQL["dedupe_keep_last"]
 SQL["read_test_tsv"] = SQL["valid_test_records"]
 SQL["read_scored"] = TOP + "SELECT record_id, y_true, y_pred, score, text FROM sd"

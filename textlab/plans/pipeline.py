@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scores import apply_threshold
 from ..operators import tfidf
-from ..session import checkpoint_root
+from ..session import checkpoint_root, observed_write, stored
 from ..operators.evaluate import best_checkpoint, leaderboard, step_metrics
 from ..operators.linear import LOGREG_C, SVM_C, class_weights, decision_score, decision_scores, training_rows
 from ..operators.solver import SOLVER_TOL, fit_linear, fit_linears
@@ -113,21 +113,30 @@ def deliver(model: LinearModel, board: DataFrame | None, dev: DataFrame, test: D
 
     Details, prediction lines in input order, report, summary row, mistakes,
     score density, leaderboard, model; returns the run's metadata, which the
-    model's folder holds as well.  The details are written first and read back
-    for all that follows, so each split is scored once.
+    model's folder and the manifest hold as well.  The details are written first
+    and read back for all that follows, so each split is scored once, and the
+    rates of positive predictions are observed in that write.  All of it
+    becomes visible at once, by the manifest (``delivery.delivered``).
     """
     from ..functions.scores import outcome_group
     from ..operators.evaluate import classification_report, local_evaluation, top_mistakes
     from ..operators.profile import grouped_kde
+    from ..sources.delivery import Delivery
     from ..sources.readers import read_scored
-    from ..sources.sinks import save_model, write_lines, write_scored, write_tables
+    from ..sources.sinks import save_model, write_lines, write_scored
 
     spark = dev.sparkSession
-    write_scored(detail(model, dev, text, label), f"{folder}/dev_detail")
-    write_scored(detail(model, test, text), f"{folder}/test_detail")
-    dev_d, test_d = read_scored(spark, f"{folder}/dev_detail"), spark.read.parquet(f"{folder}/test_detail")
-    write_lines(dev_d, f"{folder}/dev_lines", "y_pred", order)
-    write_lines(test_d, f"{folder}/test_lines", "y_pred", test_order or order)
+    run = Delivery(spark, folder)
+    rate = F.avg(F.col("y_pred").cast("double"))
+    dev_seen = observed_write(detail(model, dev, text, label), run.path("dev_detail"), rate=rate)
+    test_seen = observed_write(detail(model, test, text), run.path("test_detail"), rate=rate)
+    if not test_seen["rows"]:
+        raise ValueError("test: no valid record is left after parsing")
+    run.path("dev_detail", rows=dev_seen["rows"])
+    run.path("test_detail", rows=test_seen["rows"])
+    dev_d, test_d = read_scored(spark, run.path("dev_detail")), spark.read.parquet(run.path("test_detail"))
+    write_lines(dev_d, run.path("dev_lines", rows=dev_seen["rows"]), "y_pred", order)
+    write_lines(test_d, run.path("test_lines", rows=test_seen["rows"]), "y_pred", test_order or order)
     tables = {
         "dev_report": classification_report(dev_d),
         "local_evaluation": local_evaluation(dev_d),
@@ -135,25 +144,35 @@ def deliver(model: LinearModel, board: DataFrame | None, dev: DataFrame, test: D
         "false_negatives": top_mistakes(dev_d, "fn"),
         "score_density": grouped_kde(dev_d.withColumn("group", outcome_group("y_true", "y_pred")), "score", "group"),
     }
-    write_tables(tables | ({"leaderboard": board} if board is not None else {}), folder)
-    rate = lambda d: d.agg(F.avg(F.col("y_pred").cast("double"))).first()[0]
-    model.meta.update({"dev_positive_rate": rate(dev_d), "test_positive_rate": rate(test_d)})
+    for name, table in (tables | ({"leaderboard": board} if board is not None else {})).items():
+        write_scored(table, run.path(name))
+    model.meta.update({"dev_positive_rate": dev_seen["rate"], "test_positive_rate": test_seen["rate"]})
     model.meta.pop("history", None)
-    save_model(model, f"{folder}/model")
+    save_model(model, run.path("model"))
+    run.commit(meta=model.meta)
     return dict(model.meta)
 
 
-def run_files(spark: SparkSession, corpus_path, train_path: str, dev_path: str, test_path, folder: str) -> dict:
-    """From the four input files to all deliverables: read, parse, join, check, select, score, write."""
+def run_files(spark: SparkSession, corpus_path, train_path: str, dev_path: str, test_path, folder: str, multi_line: bool = False) -> dict:
+    """From the four input files to all deliverables: read, parse, join, check, select, score, write.
+
+    Empty inputs and split rows without a text are found by counts observed
+    while the parsed tables are written, not by further scans of the files.
+    """
     from ..operators import ingest
     from ..sources.readers import read_corpus, read_split, read_test
 
     checkpoint_root(spark)
-    corpus = ingest.parse_corpus(read_corpus(spark, corpus_path)).drop("_ord").checkpoint()
-    splits = {
-        name: ingest.labelled_split(ingest.parse_split(read_split(spark, path)), corpus).checkpoint()
-        for name, path in (("train", train_path), ("dev", dev_path))
-    }
-    ingest.raise_on_missing(ingest.union_splits(**splits))
+    corpus = ingest.parse_corpus(read_corpus(spark, corpus_path, multi_line), check=False).drop("_ord")
+    corpus, seen = stored(corpus, "corpus")
+    if not seen["rows"]:
+        raise ValueError("corpus: no valid record is left after parsing")
+    splits, missing = {}, {}
+    for name, path in (("train", train_path), ("dev", dev_path)):
+        joined = ingest.labelled_split(ingest.parse_split(read_split(spark, path)), corpus)
+        splits[name], seen = stored(joined, name, missing=F.count_if(F.col("text").isNull()))
+        missing[name] = seen["missing"]
+    ingest.refuse_missing(missing)
     best, board, _ = select_model(splits["train"], splits["dev"])
-    return deliver(best, board, splits["dev"], ingest.parse_test(read_test(spark, test_path)), folder, "_ord")
+    test = ingest.parse_test(read_test(spark, test_path, multi_line), check=False)
+    return deliver(best, board, splits["dev"], test, folder, "_ord")

@@ -7,7 +7,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "textlab") -> SparkSession:
@@ -64,6 +65,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def observed_write(df: DataFrame, path: str, **metrics: Column) -> dict:
+    """Write ``df`` as Parquet and return aggregates of it that are taken in the same pass."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *(c.alias(name) for name, c in metrics.items())).write.mode("overwrite").parquet(path)
+    return seen.get
+
+
+def stored(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``df`` written to the shared scratch folder, and aggregates observed in that write."""
+    path = scratch_path(df.sparkSession, name)
+    seen = observed_write(df, path, **metrics)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen
+
+
 @atexit.register
 def drop_scratch() -> None:
     """Delete the scratch tables of this program. Where the JVM is gone already, they stay for whoever empties the folder."""
