@@ -47,6 +47,25 @@ def test_few_candidates_and_none(spark):
     assert prefix_forest(three, is_query=F.col("id") == 0).count() == 2
 
 
+def test_different_vectors_under_one_id(spark):
+    rows = [(100, [1.0, 2.0]), (1, [3.0, 4.0]), (1, [5.0, 6.0]), (1, [5.0, 6.0]), (2, [1.0, 1.0]), (100, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in exact_topk(df, scale=1.0).orderBy("query_id", "score").collect()]
+    # each of the two query rows has a list of its own, without rows of its own id
+    assert sorted((q, i, s) for q, _, i, s in got) == [(100, 1, 4), (100, 1, 6), (100, 1, 11), (100, 1, 17), (100, 2, 1), (100, 2, 3)]
+    assert sorted((r, s) for _, r, _, s in got) == [(1, 6), (1, 17), (2, 4), (2, 11), (3, 1), (3, 3)]
+    near = [(r["rank"], r["score"]) for r in prefix_forest(df, is_query=F.col("id") == 100).collect()]
+    assert sorted(near) == [(1, 6.0), (1, 17.0), (2, 4.0), (2, 11.0), (3, 1.0), (3, 3.0)]
+
+
+def test_many_rows_under_one_id_spread_over_shards(spark):
+    x = np.random.default_rng(3).integers(-9, 9, (600, 4)).astype(float)
+    rows = [(7 if i % 3 else 200, v.tolist()) for i, v in enumerate(x)] + [(100, [1.0, 2.0, 3.0, 4.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [r["score"] for r in exact_topk(df, scale=1.0, shard_rows=40, is_query=F.col("id") == 100).orderBy("rank").collect()]
+    assert got == sorted((int(v @ [1, 2, 3, 4]) for v in np.array([r[1] for r in {(i, tuple(v)) for i, v in rows[:-1]}])), reverse=True)[:10]
+
+
 def test_products_are_exact():
     rnd = np.random.default_rng(1)
     for size in (10, 2**30, 2**31 - 1):

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tiles import QUERY_ROWS, SHARD_ROWS, best, search, valid_vectors
+from .tiles import SHARD_ROWS, best, search, valid_vectors
 
 
 def products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -30,17 +30,17 @@ def exact_topk(
     vec_col: str = "embedding",
     scale: float = 1024.0,
     shard_rows: int = SHARD_ROWS,
-    query_rows: int = QUERY_ROWS,
+    query_rows: int | None = None,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k largest inner products of floor(scale * x) for each query row.
 
     `is_query` is a condition on the column ``id`` (default: id divisible by
     100).  Candidates are all rows but the query's own; ties go to the smaller
     id; fewer candidates than k give them all.  Null ids, null vectors and
-    vectors with null or non-finite components take no part; a repeated row
-    counts once; of different vectors under one id the smallest in array order
-    counts; vectors of different lengths never meet; an empty table gives no
-    rows; other columns are ignored.
+    vectors with null or non-finite components take no part; rows equal in id
+    and vector count once, different vectors under one id are candidates each,
+    and queries with a list each; vectors of different lengths never meet; an
+    empty table gives no rows; other columns are ignored.
     """
     rows = valid_vectors(vectors, id_col, vec_col)
     is_query = F.col("id") % 100 == 0 if is_query is None else is_query
@@ -49,9 +49,10 @@ def exact_topk(
         whole_c = np.floor(scale * c)
         for a in range(0, len(qi), 256):
             block = products(np.floor(scale * q[a : a + 256]), whole_c)
-            for i, s in zip(qi[a : a + 256], block, strict=True):
-                at = best(s, ids, k + 1)
-                at = at[ids[at] != i][:k]
-                yield i, ids[at], s[at]
+            for j, s in enumerate(block, a):
+                own = np.searchsorted(ids, qi[j], "right") - np.searchsorted(ids, qi[j])  # ids rise
+                at = best(s, ids, k + int(own))
+                at = at[ids[at] != qi[j]][:k]
+                yield j, ids[at], s[at]
 
     return search(rows, is_query, k, "long", tile, shard_rows, query_rows)

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tiles import QUERY_ROWS, SHARD_ROWS, best, search, valid_vectors
+from .tiles import SHARD_ROWS, best, search, valid_vectors
 
 TREES = 64
 BITS = 24
@@ -72,17 +72,17 @@ def prefix_forest(
     reach: float = REACH,
     least: int = LEAST,
     shard_rows: int = SHARD_ROWS,
-    query_rows: int = QUERY_ROWS,
+    query_rows: int | None = None,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k largest inner products among the vectors met.
 
     `is_query` is a condition on the column ``id`` (default: id divisible by
     20).  Scores are exact inner products in double precision; ties go to the
     smaller id.  Zero vectors, null ids, null vectors and vectors with null or
-    non-finite components take no part; a repeated row counts once; of
-    different vectors under one id the smallest in array order counts; vectors
-    of different lengths never meet; an empty table gives no rows; other
-    columns are ignored.
+    non-finite components take no part; rows equal in id and vector count
+    once, different vectors under one id are candidates each, and queries with a
+    list each; vectors of different lengths never meet; an empty table gives no
+    rows; other columns are ignored.
     """
     rows = valid_vectors(vectors, id_col, vec_col).filter(F.exists("vec", lambda x: x != 0))
     is_query = F.col("id") % 20 == 0 if is_query is None else is_query
@@ -124,6 +124,6 @@ def prefix_forest(
                     at = at[rough >= edge - 1e-9 * max(1.0, abs(edge))]
                 exact = (c[at] * part[j]).sum(axis=1)
                 top_at = best(exact, ids[at], k)
-                yield i, ids[at][top_at], exact[top_at]
+                yield a + j, ids[at][top_at], exact[top_at]
 
     return search(rows, is_query, k, "double", tile, shard_rows, query_rows)

@@ -100,15 +100,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op4_exact_topk": """
         WITH v AS (
-          SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e
-          FROM embeddings
-          WHERE embedding IS NOT NULL
-            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+          SELECT row_number() OVER () AS r, * FROM (
+            SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e, embedding
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
         s AS (
-          SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+          SELECT q.r, q.vec_id AS query_id, c.vec_id AS vec_id,
                  list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::BIGINT AS score
-          FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
-        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+          FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0),
+        r AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS n FROM s)
         SELECT query_id, n::INT AS rank, vec_id, score FROM r WHERE n <= 10
     """,
     # one draw a document: at the rates of the driver's tables, far under 256

@@ -1,8 +1,10 @@
 """Tiles of a stated query set against all vectors, and the tree merge of per-tile top lists.
 
-Queries and candidates are dealt by a hash of their id into blocks of a fixed
-expected size; a tile is one block of queries against one block (shard) of
-candidates, so a task's memory is bounded by the block sizes at any input size.
+Queries and candidates are dealt by a hash of their row into blocks of a fixed
+expected size, so rows that share an id do not share a block; a tile is one block
+of queries against one block (shard) of candidates, so a task's memory is bounded
+by the block sizes at any input size.  Blocks of queries are sized by bytes, as
+every one of them takes a copy of all candidates.
 """
 
 from __future__ import annotations
@@ -19,18 +21,19 @@ from pyspark.sql.window import Window
 from .common import cut
 
 SHARD_ROWS = 4096
-QUERY_ROWS = 4096
+#: Bytes of vectors to a block of queries.
+QUERY_BYTES = 32 << 20
 FAN_IN = 32
 
 
 def valid_vectors(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(id, vec) without null ids, null vectors and vectors with null or non-finite components.
 
-    Of rows that share an id the smallest vector in array order counts, so a repeated row counts once.
+    Rows equal in id and vector count once; different vectors under one id each count.
     """
     bad = F.exists(F.col("vec"), lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
     v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
-    return v.filter(F.col("id").isNotNull() & F.col("vec").isNotNull() & ~bad).groupBy("id").agg(F.min("vec").alias("vec"))
+    return v.filter(F.col("id").isNotNull() & F.col("vec").isNotNull() & ~bad).distinct()
 
 
 def matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
@@ -55,27 +58,30 @@ def search(
     score_type: str,
     tile: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], Iterator[tuple[int, np.ndarray, np.ndarray]]],
     shard_rows: int = SHARD_ROWS,
-    query_rows: int = QUERY_ROWS,
+    query_rows: int | None = None,
     fan_in: int = FAN_IN,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score) from `vectors` (id, vec).
 
-    `tile(query_ids, queries, ids, candidates)` yields (query id, candidate ids, scores).
-    Vectors of different lengths never meet.
+    `tile(query_ids, queries, ids, candidates)` yields (number of the query, candidate ids, scores), of candidates
+    with other ids than the query's.  Query rows that share an id have a list each.  Vectors of different lengths
+    never meet.
     """
     rows = cut(vectors.withColumn("dim", F.size("vec")).withColumn("q", F.coalesce(is_query, F.lit(False))))
-    n, nq = rows.agg(F.count(F.lit(1)), F.count_if("q")).first()
+    rows = rows.withColumn("row", F.monotonically_increasing_id())  # of the rows written out
+    n, nq, widest = rows.agg(F.count(F.lit(1)), F.count_if("q"), F.max("dim")).first()
+    query_rows = query_rows or max(shard_rows, QUERY_BYTES // (8 * max(1, widest or 1)))
     shards, groups = max(1, math.ceil(n / shard_rows)), max(1, math.ceil(nq / query_rows))
-    shard = F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")
-    group = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(groups)).cast("int")
+    shard = F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int")
+    group = F.pmod(F.xxhash64("row", F.lit(7)), F.lit(groups)).cast("int")
     every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
-    candidates = rows.select("id", "vec", "dim", F.lit(False).alias("q"), shard.alias("shard"), every(groups).alias("grp"))
-    queries = rows.filter("q").select("id", "vec", "dim", "q", group.alias("grp"), every(shards).alias("shard"))
-    schema = f"query_id long, shard int, vec_id long, score {score_type}"
+    candidates = rows.select("id", "vec", "dim", "row", F.lit(False).alias("q"), shard.alias("shard"), every(groups).alias("grp"))
+    queries = rows.filter("q").select("id", "vec", "dim", "row", "q", group.alias("grp"), every(shards).alias("shard"))
+    schema = f"query_id long, query_row long, shard int, vec_id long, score {score_type}"
 
     def work(key, table):
         dim = key[2].as_py()
-        ids, q = table["id"].to_numpy(), table["q"].to_numpy()
+        ids, q, row = (table[c].to_numpy() for c in ("id", "q", "row"))
         m = matrix(table["vec"], dim)
         order = np.flatnonzero(~q)
         order = order[np.argsort(ids[order], kind="stable")]
@@ -84,7 +90,8 @@ def search(
         cat = lambda i, t: np.concatenate([x[i] for x in out]).astype(t) if out else np.zeros(0, t)
         dtype = np.int64 if score_type == "long" else np.float64
         return pa.table({
-            "query_id": np.repeat(np.array([x[0] for x in out], np.int64), counts),
+            "query_id": np.repeat(ids[q][[x[0] for x in out]] if out else np.zeros(0, np.int64), counts),
+            "query_row": np.repeat(row[q][[x[0] for x in out]] if out else np.zeros(0, np.int64), counts),
             "shard": np.full(sum(counts), key[0].as_py(), np.int32),
             "vec_id": cat(1, np.int64),
             "score": cat(2, dtype),
@@ -94,8 +101,8 @@ def search(
     best_first = [F.col("score").desc(), F.col("vec_id")]
     while shards > fan_in:
         tops = tops.withColumn("shard", F.floor(F.col("shard") / fan_in).cast("int"))
-        tops = tops.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "shard").orderBy(*best_first)))
+        tops = tops.withColumn("rank", F.row_number().over(Window.partitionBy("query_row", "shard").orderBy(*best_first)))
         tops = tops.filter(F.col("rank") <= k).drop("rank")
         shards = math.ceil(shards / fan_in)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(*best_first))
+    rank = F.row_number().over(Window.partitionBy("query_row").orderBy(*best_first))
     return tops.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
