@@ -23,11 +23,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import default_vocabulary, tables
+from .bpe import CACHE_CHARS, Bpe, default_vocabulary
 from .common import stash
 
 #: Characters that one numpy step takes, and to a part of a long text.
@@ -49,6 +50,29 @@ def default_pieces() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+class Words(Bpe):
+    """A byte-level BPE for texts of many rare words: a compiled encoder proposes a word's tokens, and they stand
+    where every two neighbours are compatible, which makes them the result of the merges."""
+
+    def __init__(self, spec: str) -> None:
+        super().__init__(spec)
+        ranks = {t.encode("latin-1"): i for i, t in enumerate(self.text)}
+        self.propose = tiktoken.Encoding("merges", pat_str="(?s).+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def merge(self, piece: str) -> list[int]:
+        if len(piece) > CACHE_CHARS:
+            return super().merge(piece)
+        found = self.propose(piece.encode("latin-1").decode("utf-8"))
+        last, known = -1, self.known
+        for t in found:
+            if last >= 0:
+                fits = known.get(last << 32 | t)
+                if not (self.compatible(last, t) if fits is None else fits):
+                    return super().merge(piece)
+            last = t
+        return found
+
+
 class Pieces:
     """A sentencepiece vocabulary: ids of a text that begins with the space put before it, and the bytes of each id."""
 
@@ -74,6 +98,7 @@ class Spelling:
         self.digits = np.array([str(i).encode() for i in range(len(by_id))])
         width = self.digits.dtype.itemsize
         self.digits = self.digits.view(np.uint8).reshape(-1, width)
+        self.n_digits = (self.digits != 0).sum(1)
 
     def joined(self, ids: np.ndarray) -> bytes:
         size = self.length[ids]
@@ -123,14 +148,15 @@ def shared_cuts(a: np.ndarray, b: np.ndarray, a_edge: np.ndarray, b_edge: np.nda
         other = np.searchsorted(b, a[cut])
         cuts_a.append(cut)
         cuts_b.append(other)
-        lo, hi = np.concatenate([lo, cut + 1]), np.concatenate([cut + 1, hi])
-        blo, bhi = np.concatenate([blo, other + 1]), np.concatenate([other + 1, bhi])
+        # in order, so that the next searches walk the ends from left to right
+        lo, hi = np.stack([lo, cut + 1], 1).ravel(), np.stack([cut + 1, hi], 1).ravel()
+        blo, bhi = np.stack([blo, other + 1], 1).ravel(), np.stack([other + 1, bhi], 1).ravel()
     return np.sort(np.concatenate(cuts_a)), np.sort(np.concatenate(cuts_b))
 
 
 class Aligner:
     def __init__(self, a_spec: str, b_spec: bytes) -> None:
-        self.a, self.b = tables(a_spec), Pieces(b_spec)
+        self.a, self.b = Words(a_spec), Pieces(b_spec)
         n = len(self.a.length)
         self.a_spelling = Spelling([self.a.flat[o : o + s].tobytes() for o, s in zip(self.a.offset, self.a.length, strict=True)])
         self.b_spelling = Spelling(self.b.bytes)
@@ -172,17 +198,17 @@ class Aligner:
         group_a, group_b = (np.repeat(np.arange(len(n)), n) for n in (n_a, n_b))
         at_a = np.arange(len(a_ids)) + (np.cumsum(n_b) - n_b)[group_a]
         at_b = np.arange(len(b_ids)) + np.cumsum(n_a)[group_b]
-        width = max(self.a_spelling.digits.shape[1], self.b_spelling.digits.shape[1])
-        cells = np.zeros((len(a_ids) + len(b_ids), width + 1), np.uint8)
-        cells[at_a, : self.a_spelling.digits.shape[1]] = self.a_spelling.digits[a_ids]
-        cells[at_b, : self.b_spelling.digits.shape[1]] = self.b_spelling.digits[b_ids]
+        a_digits, b_digits = self.a_spelling.digits, self.b_spelling.digits
+        width = max(a_digits.shape[1], b_digits.shape[1])
+        cells, used = np.zeros((len(a_ids) + len(b_ids), width + 1), np.uint8), np.empty(len(a_ids) + len(b_ids), np.int64)
+        cells[at_a, : a_digits.shape[1]], cells[at_b, : b_digits.shape[1]] = a_digits[a_ids], b_digits[b_ids]
+        used[at_a], used[at_b] = self.a_spelling.n_digits[a_ids], self.b_spelling.n_digits[b_ids]
         cells[:, width] = ord(",")
         cells[at_a[cut_a], width] = ord("|")
         cells[at_b[cut_b], width] = ord(";")
-        used = cells != 0
-        ends = np.concatenate([[0], np.cumsum(used.sum(1))])
+        ends = np.concatenate([[0], np.cumsum(used + 1)])
         token = np.concatenate([[0], np.cumsum(n_a + n_b)])[group_edge]
-        return cells[used], ends[token]
+        return cells.tobytes().translate(None, b"\0"), ends[token].tolist()
 
 
 _built: list[tuple[str, Aligner]] = []
@@ -279,7 +305,7 @@ def alignments(
                     d.sha.update(text[edge[i] : edge[i + 1] - 1])
                     d.tail = b";"
                     if groups:
-                        d.groups.append(text[edge[i] : edge[i + 1] - 1].tobytes().decode())
+                        d.groups.append(text[edge[i] : edge[i + 1] - 1].decode())
 
         def flush() -> pa.RecordBatch:
             good = np.array([not d.bad for d in done], bool)
