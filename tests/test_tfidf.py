@@ -107,3 +107,25 @@ def test_vocabulary_index_is_dense(spark, docs):
     idx = sorted(r.idx for r in v.table.select("idx").collect())
     assert idx == list(range(v.size))
     assert dict(v.table.dtypes)["idx"] == "bigint"
+
+
+def test_term_table_finds_terms_as_text(monkeypatch):
+    import pandas as pd
+    import pyarrow as pa
+
+    from textlab.operators.tfidf import TermTable
+
+    terms = pa.array(sorted({f"term {i}" for i in range(500)} | {"é", "漢字", ""}))
+    asked = pa.array(["term 7", "nothing", "漢字", "", "term 499", "term 7", "é"])
+    want = [terms.to_pylist().index(t) if t in set(terms.to_pylist()) else -1 for t in asked.to_pylist()]
+    assert TermTable(terms).find(asked).tolist() == want
+    assert TermTable(terms).find(asked.slice(2, 2)).tolist() == want[2:4]
+    assert TermTable(terms.slice(0, 0)).find(asked).tolist() == [-1] * 7
+    assert TermTable(terms).find(asked.slice(0, 0)).tolist() == []
+    real = pd.util.hash_array
+    # hashes that collide: with terms that are not known (compared as text), and among the known (another key)
+    monkeypatch.setattr(pd.util, "hash_array", lambda v, hash_key, categorize: real(v, hash_key=hash_key, categorize=categorize) % (3 if hash_key == "0" * 16 else 10**6))
+    table = TermTable(terms)
+    assert table.key != "0" * 16
+    many = pa.array([f"other {i}" for i in range(20000)] + asked.to_pylist())
+    assert table.find(many).tolist() == [-1] * 20000 + want

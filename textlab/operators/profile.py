@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import checkpoint_root
 
@@ -52,24 +54,138 @@ def class_pivot(df: DataFrame, split_col: str = "split", label: str = "binary_la
     )
 
 
+# Sketch accuracy (the rank error is at most its inverse), values that are fetched to pick from, and
+# groups whose quantiles are searched in the same passes.
+SKETCH_ACCURACY = 10_000
+PICK_MAX = 100_000
+GROUPS_AT_ONCE = 32
+
+
+def exact_quantiles(df: DataFrame, x: str, q: float, group: str | None = None, out: str = "quantile",
+                    accuracy: int = SKETCH_ACCURACY, pick_max: int = PICK_MAX) -> DataFrame:
+    """(group, quantile): the exact linearly interpolated quantile of any numeric column (A4, A5).
+
+    No buffer grows with the number of distinct values: a sketch of fixed size
+    gives two values around a wanted rank, one pass counts what lies below, at
+    and between them, and the search goes on strictly between them until few rows
+    are left.  Each round leaves about 4 / ``accuracy`` of the rows.  Nulls do not
+    count; a group without values has a null quantile; NaN is the largest value,
+    as in Spark's order.
+    """
+    spark = df.sparkSession
+    rows = df.select((F.col(group) if group else F.lit(0)).alias("_g"), F.col(x).cast("double").alias("_x"))
+    kind = rows.schema["_g"].dataType
+    totals = [(r["_g"], r["n"]) for r in rows.groupBy("_g").agg(F.count("_x").alias("n")).collect()]  # one row per group
+    found = []
+    for start in range(0, len(totals), GROUPS_AT_ONCE):
+        part = totals[start : start + GROUPS_AT_ONCE]
+        spots = {g: q * (n - 1) for g, n in part if n}
+        wanted = {(g, r): n for g, n in part if n for r in (math.floor(spots[g]), math.ceil(spots[g]))}
+        values = _values_at(rows, wanted, kind, accuracy, pick_max)
+        for g, n in part:
+            if n:
+                low, high = (values[g, r] for r in (math.floor(spots[g]), math.ceil(spots[g])))
+                share = spots[g] - math.floor(spots[g])
+                found.append((g, low if share == 0 or low == high else (1.0 - share) * low + share * high))
+            else:
+                found.append((g, None))
+    table = spark.createDataFrame(found, T.StructType([T.StructField("_g", kind), T.StructField("_q", T.DoubleType())]))
+    return table.select(*([F.col("_g").alias(group)] if group else []), F.col("_q").alias(out))
+
+
+def _values_at(rows: DataFrame, wanted: dict[tuple, int], kind, accuracy: int, pick_max: int) -> dict[tuple, float]:
+    """The value at each (group, rank); ``wanted`` gives the rows of the group."""
+    found: dict[tuple, float] = {}
+    # the range that holds the rank (None: all), rows below it and in it, and how far from the rank the sketch is asked
+    state = {t: (None, None, 0, n, 2.0 / accuracy) for t, n in wanted.items()}
+
+    def inside(t):
+        lo, hi, *_ = state[t]
+        of = F.col("_g").eqNullSafe(F.lit(t[0]).cast(kind))
+        return of & F.col("_x").isNotNull() if lo is None else of & F.col("_x").between(F.lit(lo), F.lit(hi))
+
+    while True:
+        searched = [t for t in wanted if t not in found and state[t][3] > pick_max]
+        if not searched:
+            break
+        asked = []
+        for t in searched:
+            _, _, below, n, margin = state[t]
+            at = [(t[1] - below) / n - margin, (t[1] + 1 - below) / n + margin]
+            asked.append(F.percentile_approx(F.when(inside(t), F.col("_x")), [min(1.0, max(0.0, v)) for v in at], accuracy))
+        ends = rows.agg(*asked).first()
+        counts = []
+        for t, (lo, hi) in zip(searched, ends):
+            held, lo, hi = inside(t), F.lit(lo), F.lit(hi)
+            counts += [
+                F.count_if(held & (F.col("_x") < lo)), F.count_if(held & (F.col("_x") == lo)),
+                F.count_if(held & (F.col("_x") > lo) & (F.col("_x") < hi)), F.count_if(held & (F.col("_x") == hi)),
+                F.min(F.when(held & (F.col("_x") > lo), F.col("_x"))), F.max(F.when(held & (F.col("_x") < hi), F.col("_x"))),
+            ]
+        told = rows.agg(*counts).first()
+        for i, t in enumerate(searched):
+            (lo, hi), (under, at_lo, between, at_hi, after, before) = ends[i], told[6 * i : 6 * i + 6]
+            _, _, below, n, margin = state[t]
+            first = below + under
+            if t[1] < first or t[1] >= first + at_lo + between + (at_hi if after is not None else 0):
+                state[t] = (*state[t][:4], 4 * margin)  # beyond the sketch's error bound: asked again from further off
+            elif t[1] < first + at_lo:
+                found[t] = lo
+            elif t[1] >= first + at_lo + between:
+                found[t] = hi
+            else:
+                state[t] = after, before, first + at_lo, between, 2.0 / accuracy
+    picked = [t for t in wanted if t not in found]
+    if picked:
+        either = reduce(Column.__or__, (inside(t) for t in picked))
+        values: dict = {}
+        for r in rows.filter(either).groupBy("_g", "_x").agg(F.count(F.lit(1)).alias("n")).collect():  # at most pick_max a rank
+            values.setdefault(r["_g"], []).append((r["_x"], r["n"]))
+        order = lambda v: (math.isnan(v), v)
+        for t in picked:
+            lo, hi, below, *_ = state[t]
+            left = t[1] - below
+            for v, n in sorted(values[t[0]], key=lambda c: order(c[0])):
+                if lo is None or order(lo) <= order(v) <= order(hi):
+                    if left < n:
+                        found[t] = v
+                        break
+                    left -= n
+    return found
+
+
+def _few_values(df: DataFrame, x: str) -> bool:
+    """Whole numbers of 32 bits, as token counts are: a buffer of value -> count stays small."""
+    return isinstance(df.schema[x].dataType, (T.ByteType, T.ShortType, T.IntegerType))
+
+
 def token_stats(df: DataFrame, label: str = "binary_label", x: str = "token_count") -> DataFrame:
     """count, mean, exact median, min, max of the token count per label (A4).
 
-    ``median`` is exact; its buffer holds value -> count, so it stays small for
-    small-integer token counts.
+    The median of 32-bit whole numbers is taken in the same aggregation (its buffer holds
+    value -> count); of any other column it is searched by counted ranges.
     """
-    return df.groupBy(label).agg(
+    few = _few_values(df, x)
+    stats = df.groupBy(label).agg(
         F.count(x).cast("bigint").alias("count"),
         F.avg(x).alias("mean"),
-        F.median(x).cast("double").alias("median"),
+        (F.median(x).cast("double") if few else F.lit(None).cast("double")).alias("median"),
         F.min(x).alias("min"),
         F.max(x).alias("max"),
     )
+    if few:
+        return stats
+    found = exact_quantiles(df, x, 0.5, label, "_median").withColumnRenamed(label, "_label")
+    joined = stats.join(F.broadcast(found), F.col(label).eqNullSafe(F.col("_label")))  # a row per label
+    return joined.select(label, "count", "mean", F.col("_median").alias("median"), "min", "max")
 
 
 def token_quantile(df: DataFrame, q: float = 0.99, x: str = "token_count") -> DataFrame:
     """Exact linearly interpolated quantile (A5)."""
-    return df.agg(F.percentile(F.col(x), F.lit(q)).cast("double").alias(f"p{int(round(q * 100))}"))
+    name = f"p{int(round(q * 100))}"
+    if _few_values(df, x):
+        return df.agg(F.percentile(F.col(x), F.lit(q)).cast("double").alias(name))
+    return exact_quantiles(df, x, q, out=name)
 
 
 def top_repeated_texts(df: DataFrame, k: int = 20, label: str = "binary_label", text: str = "text",

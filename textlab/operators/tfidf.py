@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -95,6 +96,37 @@ def term_counts(docs: DataFrame, text: str = "text", carry=()) -> DataFrame:
     return counted.select(*carry, F.inline(F.arrays_zip(F.col("_t").alias("term"), F.col("_n").alias("tf"))))
 
 
+class TermTable:
+    """Numbers of terms by a sorted table of their hashes, built once on the driver and shared; a match is compared as text."""
+
+    def __init__(self, terms: pa.Array) -> None:
+        self.terms = terms
+        for self.key in (f"{i:016d}" for i in range(64)):
+            hashes = self._hashes(terms)
+            self.order = np.argsort(hashes, kind="stable")
+            self.hashes = hashes[self.order]
+            if not (self.hashes[1:] == self.hashes[:-1]).any():
+                return
+        raise ValueError("the vocabulary holds a term twice")
+
+    def _hashes(self, terms: pa.Array) -> np.ndarray:
+        values = terms.to_numpy(zero_copy_only=False)
+        return pd.util.hash_array(values, hash_key=self.key, categorize=False) if len(values) else np.zeros(0, np.uint64)
+
+    def find(self, terms: pa.Array) -> np.ndarray:
+        """The number of each term, -1 for one that is not known; each distinct term is looked up once."""
+        if len(self.terms) == 0 or len(terms) == 0:
+            return np.full(len(terms), -1)
+        coded = terms.dictionary_encode()
+        hashes = self._hashes(coded.dictionary)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        number = np.where(self.hashes[at] == hashes, self.order[at], -1)
+        hit = np.flatnonzero(number >= 0)
+        same = pc.equal(self.terms.take(pa.array(number[hit])), coded.dictionary.take(pa.array(hit))).to_numpy(zero_copy_only=False)
+        number[hit[~same]] = -1
+        return number[coded.indices.to_numpy(zero_copy_only=False)]
+
+
 @dataclass
 class Vocabulary:
     """Fitted vocabulary: table (term, idx, df, idf), its size, measured bytes and the training row count."""
@@ -111,11 +143,12 @@ class Vocabulary:
         return self.nbytes + VOCAB_ENTRY_BYTES * self.size <= VOCAB_BROADCAST_MAX_BYTES
 
     def shared(self):
-        """Terms and idf in idx order, sent to the tasks once; only for a vocabulary of checked size."""
+        """Terms (with their table) and idf in idx order, sent to the tasks once; only for a vocabulary of checked size."""
         if self._shared is None:
             t = self.table.select("term", "idx", "idf").toArrow().sort_by("idx")
-            idf = t["idf"].to_numpy()
-            self._shared = self.table.sparkSession.sparkContext.broadcast((t["term"].combine_chunks(), idf))
+            terms = t["term"].combine_chunks()
+            terms = terms.chunk(0) if isinstance(terms, pa.ChunkedArray) else terms
+            self._shared = self.table.sparkSession.sparkContext.broadcast((TermTable(terms), t["idf"].to_numpy()))
         return self._shared
 
 
@@ -151,18 +184,17 @@ def transform(docs: DataFrame, vocab: Vocabulary, text: str = "text", carry=(),
     shared = vocab.shared()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, idf = shared.value
+        known, idf = shared.value
         for batch in batches:
             n = batch.num_rows
             offsets, flat = _lists(batch.column(batch.num_columns - 1))
-            codes = pc.fill_null(pc.index_in(flat, value_set=terms), -1).to_numpy(zero_copy_only=False)
-            row, code, tf = _counted(offsets, codes)
+            row, code, tf = _counted(offsets, known.find(flat))
             w = (1.0 + np.log(tf)) * idf[code]
             norm = np.sqrt(np.bincount(row, w * w, minlength=n))
             w /= np.where(norm > 0, norm, 1.0)[row]
             out = [_list_array(row, n, pa.array(code.astype(np.int64))), _list_array(row, n, pa.array(w))]
             if keep_terms:
-                out.append(_list_array(row, n, terms.take(pa.array(code))))
+                out.append(_list_array(row, n, known.terms.take(pa.array(code))))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *out], [*batch.schema.names[:-1], *names])
 
     names = ["idx", "val"] + ["terms"] * keep_terms
