@@ -169,3 +169,33 @@ def test_union_splits(spark):
     b = spark.createDataFrame([(2,)], "x int")
     got = sorted((r.x, r.split) for r in ingest.union_splits(train=a, dev=b).collect())
     assert got == [(1, "train"), (2, "dev")]
+
+
+@pytest.mark.parametrize("piece", [1 << 20, 256])
+def test_bloom_filter_keeps_every_key(spark, monkeypatch, piece):
+    monkeypatch.setattr(ingest, "BLOOM_PIECE", piece)
+    keys = spark.createDataFrame([(i * i,) for i in range(-300, 3000)] + [(None,)], "record_id long").repartition(3)
+    rows = spark.range(-1000, 60_000).select(F.col("id").alias("record_id"), F.lit("text").alias("text"))
+    got = {r["record_id"] for r in ingest.bloom_filtered(rows, keys, "record_id").collect()}
+    asked = {i * i for i in range(3000)} & set(range(60_000))
+    assert asked <= got
+    assert len(got - asked) < 0.03 * 61_000
+    # a filter far too small lets more through, and still every key
+    small = {r["record_id"] for r in ingest.bloom_filtered(rows, keys, "record_id", max_bytes=1024).collect()}
+    assert asked <= small and len(small) > len(got)
+    assert ingest.bloom_filtered(rows, keys.limit(0), "record_id").count() == 0
+
+
+def test_large_split_shuffles_few_corpus_rows(spark):
+    corpus = spark.range(0, 20_000).select(
+        F.col("id").alias("record_id"), F.col("id").alias("article_id"), F.lit("k").alias("keyword"), F.lit("c").alias("country"),
+        F.concat(F.lit("text "), "id").alias("text"))
+    split = spark.createDataFrame([(i, i % 2, "x") for i in range(0, 30_000, 100)], "record_id long, binary_label int, label_raw string")
+    joined = ingest.labelled_split(split, corpus, broadcast_max_bytes=0)
+    plain = split.join(corpus, "record_id", "left").select(*joined.columns)
+    assert sorted(map(tuple, joined.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("may_hold") :]
+    assert "ArrowEvalPython" in plan and "Exchange" not in below.split("Range (0, 20000")[0].split("ArrowEvalPython")[-1]
+    kept = ingest.bloom_filtered(corpus, split, "record_id").count()
+    assert 200 <= kept < 200 + 0.03 * 20_000

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +25,12 @@ ROW_OVERHEAD = 64
 # of about this many rows.
 HOT_KEY_ROWS = 1_000_000
 
+# Bits a key and hashes of the Bloom filter of split keys, its largest size, and the bytes that are joined at a time.
+BLOOM_BITS = 10
+BLOOM_HASHES = 6
+BLOOM_MAX_BYTES = 64 * 1024 * 1024
+BLOOM_PIECE = 1 << 20
+
 
 def _full_digits(c: str) -> F.Column:
     return F.col(c).rlike(r"^[0-9]+\z")
@@ -117,18 +129,71 @@ def labelled_split(split: DataFrame, corpus: DataFrame, key: str = "record_id",
     The corpus is the large side.  When the split's measured size is within
     the bound it is broadcast to the corpus scan (an inner join that never shuffles the
     corpus) and the unmatched split rows are added back with an anti join on
-    the small matched-key set.  Otherwise both sides are shuffled on the key,
-    with hot corpus keys split over buckets (``skew_safe_left_join``).
+    the small matched-key set.  Otherwise a Bloom filter of the split's keys drops
+    the corpus rows that no split row asks for in the scan, and what is left is
+    shuffled on the key, with hot corpus keys split over buckets (``skew_safe_left_join``).
     """
     right = corpus.select(key, "article_id", "keyword", "country", "text")
     if not broadcast_max_bytes or measured_bytes(split) > broadcast_max_bytes:
-        return skew_safe_left_join(split, right, key)
+        return skew_safe_left_join(split, bloom_filtered(right, split, key), key)
     matched = right.join(F.broadcast(split), key, "inner")
     unmatched = split.join(matched.select(key).distinct(), key, "left_anti")
     nulls = {c: F.lit(None).cast(t) for c, t in right.dtypes if c != key}
     return matched.unionByName(unmatched.withColumns(nulls)).select(*split.columns, *nulls)
 
 
+def bloom_filtered(rows: DataFrame, keys: DataFrame, key: str, max_bytes: int = BLOOM_MAX_BYTES) -> DataFrame:
+    """The rows whose key may be among ``keys``: all that are, and about one in a hundred of the others.
+
+    Ten bits a key, up to ``max_bytes`` (beyond, more of the others pass).  Every
+    task of ``keys`` sets its bits, pieces of them are joined on the executors,
+    and the filter is sent to the scan of ``rows``, so what it drops is never
+    shuffled; only the keys' hashes pass through Python there.
+    """
+    spark = rows.sparkSession
+    n = keys.count()
+    size = min(max_bytes, max(1024, 1 << math.ceil(math.log2(max(1, n) * BLOOM_BITS / 8))))  # bytes, a power of two below the bound
+
+    def places(hashes: np.ndarray) -> list[np.ndarray]:
+        low, high = hashes & np.uint64(0xFFFFFFFF), hashes >> np.uint64(32) | np.uint64(1)
+        return [(low + np.uint64(i) * high) % np.uint64(8 * size) for i in range(BLOOM_HASHES)]
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(8 * size, bool) if size <= BLOOM_PIECE else None
+        packed = np.zeros(size, np.uint8)
+        for batch in batches:
+            for at in places(batch.column(0).to_numpy().view(np.uint64)):
+                if bits is not None:
+                    bits[at] = True
+                else:
+                    np.bitwise_or.at(packed, at >> np.uint64(3), np.uint8(128) >> (at & np.uint64(7)).astype(np.uint8))
+        packed = packed if bits is None else np.packbits(bits)
+        pieces = [(i, packed[i * BLOOM_PIECE : (i + 1) * BLOOM_PIECE]) for i in range(-(-size // BLOOM_PIECE))]
+        pieces = [(i, p.tobytes()) for i, p in pieces if p.any()]
+        yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in pieces], pa.int32()), pa.array([p for _, p in pieces], pa.binary())], ["piece", "bits"])
+
+    def joint(group, table):
+        both = np.bitwise_or.reduce([np.frombuffer(v.as_buffer(), np.uint8) for c in table["bits"].chunks for v in c])
+        return pa.table({"piece": pa.array([group[0].as_py()], pa.int32()), "bits": pa.array([both.tobytes()], pa.binary())})
+
+    hashed = F.xxhash64(F.col(key).cast("bigint"))
+    schema = "piece int, bits binary"
+    made = keys.filter(F.col(key).isNotNull()).select(hashed.alias("h")).mapInArrow(fill, schema).groupBy("piece").applyInArrow(joint, schema)
+    bloom = np.zeros(size, np.uint8)
+    for r in made.collect():  # max_bytes in all
+        bloom[r["piece"] * BLOOM_PIECE : r["piece"] * BLOOM_PIECE + len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
+    shared = spark.sparkContext.broadcast(bloom)
+
+    @F.pandas_udf("boolean")
+    def may_hold(h: pd.Series) -> pd.Series:
+        found = np.ones(len(h), bool)
+        for at in places(h.to_numpy().view(np.uint64)):
+            found &= (shared.value[at >> np.uint64(3)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8)) & 1 == 1
+        return pd.Series(found)
+
+    return rows.filter(F.col(key).isNotNull()).filter(may_hold(hashed))
+
+
 def skew_safe_left_join(left: DataFrame, right: DataFrame, key: str, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """left LEFT JOIN right on ``key`` when neither side can be broadcast.
 
