@@ -66,3 +66,22 @@ def test_fit_bound(spark):
     docs, labels = data(400)
     d, lab = frames(spark, docs, labels)
     assert q.quality_scores(d, lab, fit_rows=50).count() == 400
+
+
+def test_labels_of_other_documents_take_no_place(spark):
+    docs, labels = data(200)
+    d, lab = frames(spark, docs, labels)
+    others = spark.range(10_000, 60_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    a = {r.doc_id: r.score for r in q.quality_scores(d, lab, fit_rows=60).collect()}
+    b = {r.doc_id: r.score for r in q.quality_scores(d, lab.unionByName(others), fit_rows=60).collect()}
+    assert a == b and len(set(a.values())) > 50
+
+
+def test_repeated_rows_take_one_place(spark):
+    docs, labels = data(200)
+    i, text = next((i, t) for i, t in docs if dict(labels).get(i) is not None and zlib.crc32(str(i).encode()) % 3 != 1)
+    d, lab = frames(spark, docs, labels)
+    again, _ = frames(spark, docs + [(i, text)] * 500, labels)
+    a = {r.doc_id: r.score for r in q.quality_scores(d, lab, fit_rows=60).collect()}
+    b = {r.doc_id: r.score for r in q.quality_scores(again, lab, fit_rows=60).collect()}
+    assert a == b

@@ -114,8 +114,12 @@ def sigmoid(x: float) -> float:
 
 
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[np.ndarray, float]:
-    """The model, fitted on at most `fit_rows` rows of `docs` (doc_id, text) with a label in `labels` (doc_id, good)."""
-    chosen = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)  # bounded, so it may be broadcast
+    """The model, fitted on at most `fit_rows` rows of `docs` (doc_id, text) with a label in `labels` (doc_id, good).
+
+    Labels of documents that `docs` does not have, and repeated rows, take no place among them.
+    """
+    present = docs.filter(F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    chosen = labels.join(present, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)  # bounded, so it may be broadcast
     rows = docs.join(F.broadcast(chosen), "doc_id").select("good", F.xxhash64("doc_id", "text").alias("place"), "text")
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,7 +138,7 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple
         model, bias = fit(found, table["good"].to_numpy().astype(bool))
         return pa.table({"model": [model.tobytes()], "scaled": [model.ndim == 2], "bias": [bias]})
 
-    found = rows.mapInArrow(marks, "good boolean, place long, marks binary").orderBy("place").limit(fit_rows)
+    found = rows.mapInArrow(marks, "good boolean, place long, marks binary").dropDuplicates(["good", "place"]).orderBy("place").limit(fit_rows)
     got = found.groupBy(F.lit(0).alias("all")).applyInArrow(solve, "model binary, scaled boolean, bias double").collect()
     if not got:
         return np.zeros(1 << BITS, np.float32), 0.0
