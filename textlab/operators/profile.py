@@ -22,6 +22,9 @@ KDE_BROADCAST_MAX_GROUPS = 10_000
 # Characters of text carried at first through the repeated-text aggregation; the
 # full text is fetched only for the few candidate groups.
 TEXT_PREFIX_CHARS = 64
+# Keys that a task's summary of frequent texts hands over at first, and holds at most (about 24 bytes each).
+SUMMARY_KEPT = 4096
+SUMMARY_HELD = 1 << 18
 # Candidate groups whose keys (about 100 bytes each) are broadcast to fetch their texts.
 CANDIDATE_MAX = 100_000
 
@@ -188,10 +191,82 @@ def token_quantile(df: DataFrame, q: float = 0.99, x: str = "token_count") -> Da
     return exact_quantiles(df, x, q, out=name)
 
 
+def frequent_keys(rows: DataFrame, kept: int, held: int) -> tuple[DataFrame, int]:
+    """(h1, h2, frequency) of frequent keys by a mergeable summary per task, and its error bound.
+
+    A task counts keys in a table of at most about ``held``; beyond, it takes the
+    same amount off all and forgets those at zero (Misra-Gries).  It hands over its
+    ``kept`` most frequent.  What was taken off, and the largest count not handed
+    over, bound what a key may have lost in a task; the sum over tasks is the
+    bound: a key's true frequency is at least the one told and at most that plus the bound,
+    and a key that is not told has the bound at most.
+    """
+    pair = np.dtype([("a", "i8"), ("b", "i8")])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts, lost = np.zeros(0, pair), np.zeros(0, np.int64), 0
+        for batch in batches:
+            more = np.empty(batch.num_rows, pair)
+            more["a"], more["b"] = (batch.column(i).to_numpy() for i in (0, 1))
+            keys, place = np.unique(np.concatenate([keys, more]), return_inverse=True)
+            counts = np.bincount(place, np.concatenate([counts, np.ones(len(more), np.int64)])).astype(np.int64)
+            if len(keys) > held:
+                off = int(np.partition(counts, len(counts) - held - 1)[len(counts) - held - 1])
+                lost += off
+                keys, counts = keys[counts > off], counts[counts > off] - off
+        order = np.argsort(-counts, kind="stable")
+        lost += int(counts[order[kept]]) if len(order) > kept else 0
+        order = order[:kept]
+        h1, h2, n = np.append(keys["a"][order], 0), np.append(keys["b"][order], 0), np.append(counts[order], lost)
+        is_bound = np.zeros(len(n), bool)
+        is_bound[-1] = True
+        yield pa.RecordBatch.from_arrays([pa.array(h1), pa.array(h2), pa.array(n), pa.array(is_bound)], ["h1", "h2", "n", "is_bound"])
+
+    told = rows.select("h1", "h2").mapInArrow(work, "h1 long, h2 long, n long, is_bound boolean")
+    checkpoint_root(rows.sparkSession)
+    summed = told.groupBy("h1", "h2", "is_bound").agg(F.sum("n").alias("frequency")).checkpoint()
+    bound = summed.filter("is_bound").first()
+    return summed.filter("not is_bound").select("h1", "h2", "frequency"), bound["frequency"] if bound else 0
+
+
 def top_repeated_texts(df: DataFrame, k: int = 20, label: str = "binary_label", text: str = "text",
-                       prefix_chars: int = TEXT_PREFIX_CHARS, candidates: int = CANDIDATE_MAX) -> DataFrame:
+                       kept: int = SUMMARY_KEPT, held: int = SUMMARY_HELD, candidates: int = CANDIDATE_MAX) -> DataFrame:
     """Most frequent (label, text) pairs, ties by label then text.
 
+    A first pass over hashes of the pairs gives each task's frequent ones and a
+    bound of what they may have missed; where the k-th frequency found is above
+    the bound, no other pair can be among the first k, and the candidates are
+    counted exactly with their texts in a second pass.  Only candidates
+    meet in an exchange.  Where the bound is too wide, tasks hand over more; where
+    texts hardly repeat at all, every group is a candidate and a table of groups
+    decides (``_top_by_groups``).
+    """
+    keyed = df.select(
+        F.col(label).alias("_label"), F.col(text).alias("_text"),
+        F.xxhash64(F.col(label), F.col(text)).alias("h1"), F.xxhash64(F.lit(1), F.col(label), F.col(text)).alias("h2"),
+    )
+    while True:
+        told, bound = frequent_keys(keyed, kept, held)
+        kth = told.orderBy(F.desc("frequency")).limit(k).agg(F.min("frequency"), F.count(F.lit(1))).first()
+        if kth[1] == k and kth[0] > bound or bound == 0:
+            chosen = told.filter(F.col("frequency") + bound >= F.lit(kth[0] or 0)).select("h1", "h2")
+            if chosen.limit(candidates + 1).count() <= candidates:
+                break
+        if kept >= held or bound == 0:
+            return _top_by_groups(df, k, label, text)
+        kept = min(held, 16 * kept)
+    texts = keyed.join(F.broadcast(chosen), ["h1", "h2"]).groupBy("h1", "h2").agg(
+        F.count(F.lit(1)).alias("frequency"), F.first("_label").alias("_label"), F.min("_text").alias("_text")
+    )
+    return texts.orderBy(F.desc("frequency"), "_label", "_text").limit(k).select(
+        F.col("_label").alias(label), F.col("_text").alias(text), F.col("frequency").cast("bigint").alias("frequency")
+    )
+
+
+def _top_by_groups(df: DataFrame, k: int, label: str, text: str, prefix_chars: int = TEXT_PREFIX_CHARS,
+                   candidates: int = CANDIDATE_MAX) -> DataFrame:
+    """The most frequent pairs from a table of all groups, for texts that hardly repeat.
+
     The aggregation is keyed by a SHA-256 of the text plus a short prefix, so
     the shuffle does not carry whole texts.  Ordering by (frequency, label,
     prefix) finds the k-th group; every group that could still beat it
@@ -201,7 +276,7 @@ def top_repeated_texts(df: DataFrame, k: int = 20, label: str = "binary_label",
     made eight times as long and the groups are built anew.
     """
     keyed = df.select(
-        F.col(label).alias("_label"), F.sha2(F.col(text), 256).alias("_h"),
+        F.col(label).alias("_label"), F.coalesce(F.sha2(F.col(text), 256), F.lit("")).alias("_h"),
         F.substring(F.col(text), 1, prefix_chars).alias("_prefix"), F.col(text).alias("_text"),
     )
     groups = keyed.groupBy("_label", "_h").agg(
@@ -217,19 +292,21 @@ def top_repeated_texts(df: DataFrame, k: int = 20, label: str = "binary_label",
         return keyed.select(F.col("_label").alias(label), F.col("_text").alias(text),
                             F.lit(0).cast("bigint").alias("frequency")).limit(0)
     last = kth[-1]
-    same = (F.col("frequency") == last["frequency"]) & F.col("_label").eqNullSafe(last["_label"])
+    # nulls sort first
+    before = lambda c, v: (F.col(c).isNull() | (F.col(c) < F.lit(v))) if v is not None else F.lit(False)
+    tied = F.col("frequency") == last["frequency"]
+    same = tied & F.col("_label").eqNullSafe(last["_label"])
     better = (
-        (F.col("frequency") > last["frequency"])
-        | ((F.col("frequency") == last["frequency"]) & (F.col("_label") < last["_label"]))
-        | (same & (F.col("_prefix") <= last["_prefix"]))
+        (F.col("frequency") > last["frequency"]) | (tied & before("_label", last["_label"]))
+        | (same & (before("_prefix", last["_prefix"]) | F.col("_prefix").eqNullSafe(last["_prefix"])))
     )
-    cand = groups.filter(better).select("_label", "_h", "frequency")
+    cand = groups.filter(better).select(F.col("_label").alias("_l"), F.col("_h").alias("_k"), "frequency")
     n, longest = cand.count(), groups.agg(F.max(F.length("_prefix"))).first()[0] or 0
     if n > max(candidates, k) and longest == prefix_chars:
-        return top_repeated_texts(df, k, label, text, 8 * prefix_chars, candidates)
+        return _top_by_groups(df, k, label, text, 8 * prefix_chars, candidates)
     if n <= max(candidates, k):
         cand = F.broadcast(cand)
-    texts = keyed.join(cand, ["_label", "_h"]).groupBy("_label", "_h", "frequency").agg(
+    texts = keyed.join(cand, F.col("_label").eqNullSafe(F.col("_l")) & (F.col("_h") == F.col("_k"))).groupBy("_label", "_h", "frequency").agg(
         F.min("_text").alias("_text")
     )
     return texts.orderBy(F.desc("frequency"), "_label", "_text").limit(k).select(
