@@ -22,7 +22,8 @@ in D bits at most), which rules out pairs without error.  In a few rounds each
 node's nearest such partner in another component is verified, which links most
 groups; then every pair that is left under one signature in different components
 is, so no link between components is missed, while pairs within a component known
-already are never listed.  Signatures with very many nodes are dealt in tiles of bounded size.
+already are never listed; there, rows that still have a possible partner are compared
+again by sketches four times as long, which leave few pairs that do not link.  Signatures with very many nodes are dealt in tiles of bounded size.
 """
 
 from __future__ import annotations
@@ -48,8 +49,8 @@ NUM, DEN = 85, 100
 #: Cost of a (nearly) empty segment, in signatures.
 EMPTY_COST = 64
 _STEP = U(0xD6E8FEB86659FD93)
-#: Shingles to a 64-bit word of a sketch, and its fewest words; the number of words is a power of two.
-SKETCH_LOAD, SKETCH_LEAST = 100, 4
+#: Shingles to a 64-bit word of a sketch and of a fine sketch, and its fewest words; the number of words is a power of two.
+SKETCH_LOAD, FINE_LOAD, SKETCH_LEAST = 100, 25, 4
 #: Expected nodes in a tile's side.
 TILE = 2048
 #: Words of sketches that are compared at a time.
@@ -153,16 +154,20 @@ def signatures(h: np.ndarray, edge: np.ndarray, num: int, den: int) -> tuple[np.
     return np.concatenate(out_sig), np.concatenate(out_doc)
 
 
-def sketches(h: np.ndarray, edge: np.ndarray) -> list[bytes]:
+def sketch_words(size: np.ndarray, load: int) -> np.ndarray:
+    return np.maximum(SKETCH_LEAST, 1 << np.ceil(np.log2(np.maximum(size, 1) / load)).clip(0).astype(np.int64))
+
+
+def sketches(h: np.ndarray, edge: np.ndarray, load: int) -> list[np.ndarray]:
     """Each document's parity words: as many as its size calls for."""
     size = np.diff(edge)
-    words = np.maximum(SKETCH_LEAST, 1 << np.ceil(np.log2(np.maximum(size, 1) / SKETCH_LOAD)).clip(0).astype(np.int64))
+    words = sketch_words(size, load)
     base = np.cumsum(words) - words
     owner = np.repeat(np.arange(len(size)), size)
     bit = ((mix(h, 91) >> U(8)) & (words[owner] * 64 - 1).astype(np.uint64)).astype(np.int64)
     out = np.zeros(int(words.sum()), np.uint64)
     np.bitwise_xor.at(out, base[owner] + (bit >> 6), U(1) << (bit & 63).astype(np.uint64))
-    return [out[b : b + w].tobytes() for b, w in zip(base.tolist(), words.tolist(), strict=True)]
+    return [out[b : b + w] for b, w in zip(base.tolist(), words.tolist(), strict=True)]
 
 
 def folded(sketch: np.ndarray, words: int) -> np.ndarray:
@@ -179,24 +184,25 @@ def most_apart(a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarray:
 
 
 def document_sets(texts: DataFrame, k: int) -> DataFrame:
-    """(doc_id, d, tag, tag2, n, node, sketch): one row per row of `texts`; node is null for the empty set."""
+    """(doc_id, d, tag, tag2, n, node, sketch, fine): one row per row of `texts`; node is null for the empty set."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, buf, off in chunks(batch.column(4)):
                 h, edge = doc_sets(buf, off, k)
-                node, sketch = nodes_of(h, edge), sketches(h, edge)
+                node, fine = nodes_of(h, edge), sketches(h, edge, FINE_LOAD)
+                sketch = [folded(x, w) for x, w in zip(fine, sketch_words(np.diff(edge), SKETCH_LOAD).tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(batch.column(i)[a:b] for i in range(4)),
                         pa.array(np.diff(edge).astype(np.int64)),
                         pa.array(node.view(np.int64), mask=node == 0),
-                        pa.array(sketch, pa.binary()),
+                        *(pa.array([x.tobytes() for x in words], pa.binary()) for words in (sketch, fine)),
                     ],
-                    ["doc_id", *DOC, "n", "node", "sketch"],
+                    ["doc_id", *DOC, "n", "node", "sketch", "fine"],
                 )
 
-    return texts.select("doc_id", *DOC, "text").mapInArrow(work, "doc_id long, d long, tag long, tag2 long, n long, node long, sketch binary")
+    return texts.select("doc_id", *DOC, "text").mapInArrow(work, "doc_id long, d long, tag long, tag2 long, n long, node long, sketch binary, fine binary")
 
 
 def live_signatures(texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -247,15 +253,18 @@ def live_signatures(texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
     return seen.filter("several").select("sig", "node", "many").distinct()
 
 
-def tile_pairs(num: int, den: int, every: bool):
-    """A function over batches of (sig, i, j, blk, node, comp, n, sketch) in (sig, i, j) order.
+def tile_pairs(num: int, den: int, give: str):
+    """A function over batches of (sig, i, j, blk, node, comp, n, many, sketch) in (sig, i, j) order.
 
-    Gives (a, b, apart) pairs of nodes in different components that may link:
-    all of them, or for each node only the one that its sketch says is nearest.
+    Gives (a, b, apart) pairs of nodes in different components that may link: all of them ("every"), or for each
+    node only the one that its sketch says is nearest ("nearest"); or ("rows") the rows (sig, node, comp, many) that
+    have such a partner.
     """
+    every, marks = give == "every", give == "rows"
 
     def tile(node, comp, n, blk, sk, i, j):
         order = np.argsort(n, kind="stable")
+        met = np.zeros(len(n), bool)
         node, comp, n, blk, sk = node[order], comp[order], n[order], blk[order], sk[order]
         left = np.flatnonzero(blk == i)
         right = np.flatnonzero(blk == j) if i != j else left
@@ -275,7 +284,10 @@ def tile_pairs(num: int, den: int, every: bool):
             most = most_apart(n[rows, None], n[None, cols], num, den)
             apart = np.maximum(apart, np.abs(n[rows, None] - n[None, cols]))
             fit = (apart <= most) & (comp[rows, None] != comp[None, cols])
-            if every:
+            if marks:
+                met[order[rows[fit.any(axis=1)]]] = True
+                met[order[cols[fit.any(axis=0)]]] = True
+            elif every:
                 r, c = np.nonzero(fit & (node[rows, None] < node[None, cols]) if i == j else fit)
                 out.append((node[rows[r]], node[cols[c]], apart[r, c]))
             else:
@@ -286,6 +298,8 @@ def tile_pairs(num: int, den: int, every: bool):
                     nearer = value < best_apart[own]
                     best_apart[own[nearer]] = value[nearer]
                     best[own[nearer]] = other[at[nearer]]
+        if marks:
+            return met
         if not every:
             at = np.flatnonzero(best >= 0)
             out.append((node[at], node[best[at]], best_apart[at]))
@@ -312,13 +326,22 @@ def tile_pairs(num: int, den: int, every: bool):
                 least = min(len(x), len(y))
                 apart[at] = max(apart[at], int(np.bitwise_count(folded(x, least) ^ folded(y, least)).sum()))
             fit = apart <= most_apart(n[two], n[two + 1], num, den)
+            met = np.zeros(len(raw), bool)
+            met[two[fit]] = met[two[fit] + 1] = True
             out.append((node[two[fit]], node[two[fit] + 1], apart[fit]))
             for s, m in zip(start.tolist(), size.tolist(), strict=True):
                 if m > 2 or (m == 2 and i[s] != j[s]):
                     e = s + m
                     least = min(map(len, raw[s:e]))  # sizes under one signature are alike
                     sk = np.stack([folded(x, least) for x in raw[s:e]])
-                    out += tile(node[s:e], comp[s:e], n[s:e], blk[s:e], sk, i[s], j[s])
+                    found = tile(node[s:e], comp[s:e], n[s:e], blk[s:e], sk, i[s], j[s])
+                    if marks:
+                        met[s:e] |= found
+                    else:
+                        out += found
+            if marks:
+                yield pa.RecordBatch.from_arrays([pa.array(table[c].to_numpy()[met]) for c in ("sig", "node", "comp", "many")], ["sig", "node", "comp", "many"])
+                return
             a, b, apart = (np.concatenate([x[c] for x in out]) for c in range(3))
             if not every:  # both nodes of a pair look for their nearest
                 a, b, apart = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([apart, apart])
@@ -346,15 +369,29 @@ def tile_pairs(num: int, den: int, every: bool):
     return work
 
 
-def candidate_pairs(rows: DataFrame, nodes: DataFrame, num: int, den: int, every: bool) -> DataFrame:
-    """(a, b, apart) from rows (sig, node, many, comp) and nodes (node, n, sketch)."""
-    rows = rows.join(nodes.select("node", "n", "sketch"), "node")
+def candidate_pairs(rows: DataFrame, nodes: DataFrame, num: int, den: int, give: str, sketch: str = "sketch") -> DataFrame:
+    """What `tile_pairs` gives, from rows (sig, node, many, comp) and nodes (node, n, and the sketch to compare)."""
+    rows = rows.join(nodes.select("node", "n", F.col(sketch).alias("sketch")), "node")
     blocks = F.ceil(F.col("many") / TILE).cast("int")
     dealt = rows.withColumn("blk", F.pmod(F.xxhash64("node", "sig"), blocks).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select("sig", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", "node", "comp", "n", "sketch")
+    dealt = dealt.select("sig", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", "node", "comp", "n", "many", "sketch")
     tiles = dealt.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
-    return tiles.mapInArrow(tile_pairs(num, den, every), "a long, b long, apart long")
+    schema = "sig long, node long, comp long, many long" if give == "rows" else "a long, b long, apart long"
+    return tiles.mapInArrow(tile_pairs(num, den, give), schema)
+
+
+def every_pair(rows: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): all pairs across components that may link.
+
+    Near copies that lie somewhat beyond the threshold of each other pass the
+    small sketches by the square of their number.  So these only say which rows
+    have a partner, and the rows that do are compared again by fine sketches,
+    which are four times as long and leave few pairs that don't link.
+    """
+    left = stash(candidate_pairs(rows, nodes, num, den, "rows").dropDuplicates(["sig", "node"]), "open")
+    pairs = candidate_pairs(left, nodes, num, den, "every", "fine")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -391,7 +428,7 @@ def sets_of(texts: DataFrame, where: DataFrame, k: int) -> DataFrame:
 
 def nearest(rows: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b): for each node its nearest possible partner in another component."""
-    best = candidate_pairs(rows, nodes, num, den, every=False).groupBy("a").agg(F.min(F.struct("apart", "b")).alias("best"))
+    best = candidate_pairs(rows, nodes, num, den, "nearest").groupBy("a").agg(F.min(F.struct("apart", "b")).alias("best"))
     return best.select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")).distinct()
 
 
@@ -437,7 +474,7 @@ def jaccard_join(
         raise ValueError("0 < num <= den is needed")
     texts = ordered_texts(docs, id_col, text_col)
     own = stash(document_sets(texts, k), "sets")
-    nodes = own.filter("node is not null").groupBy("node").agg(F.min(F.struct(*DOC)).alias("at"), F.min("n").alias("n"), F.min("sketch").alias("sketch"))
+    nodes = own.filter("node is not null").groupBy("node").agg(F.min(F.struct(*DOC)).alias("at"), F.min("n").alias("n"), F.min("sketch").alias("sketch"), F.min("fine").alias("fine"))
     nodes = stash(nodes, "nodes")
     live = stash(live_signatures(texts, k, num, den), "signatures")
     alone = live.withColumn("comp", F.col("node"))
@@ -448,9 +485,7 @@ def jaccard_join(
     for step in range(ROUNDS + 1):
         if step:
             open_ = apart(live, comp)
-            pairs = nearest(open_, nodes, num, den) if step < ROUNDS else candidate_pairs(open_, nodes, num, den, every=True).select(
-                F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-            ).distinct()
+            pairs = (nearest if step < ROUNDS else every_pair)(open_, nodes, num, den)
             pairs = stash(pairs.join(known, ["a", "b"], "left_anti"), "near")
             if pairs.isEmpty():
                 continue
