@@ -26,6 +26,8 @@ BASED_PATTERN = r"^[+-]?0([xX][0-9a-fA-F]+|[oO][0-7]+|[bB][01]+)\z"
 # Literals that are neither numbers nor lists: imaginary numbers, byte and other strings, sets and mappings, constants.
 OTHER_LITERALS = r"^([+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[jJ]|[bBrRuU]{0,2}('[^']*'|\"[^\"]*\")|\{.*\}|False|None|Ellipsis|\.\.\.)\z"
 SPACES = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# A list of whole numbers as they are usually written.
+WHOLE_LIST = r"^\[[+-]?(0|[1-9][0-9]*)(, ?[+-]?(0|[1-9][0-9]*))*\]\z"
 
 
 def _col(c) -> Column:
@@ -92,7 +94,10 @@ def binarize_label(c) -> Column:
     based = scalar.rlike(BASED_PATTERN)
     based_hit = (~scalar.startswith("-") & F.regexp_replace(scalar, r"^[+-]?0[a-zA-Z]", "").rlike("[1-9a-fA-F]")).cast("int")
     return (
-        F.when(t.isNull(), F.lit(0))
+        F.when(raw.isNull(), F.lit(0))
+        # the usual forms, told by one look: a digit, or a list of plain whole numbers
+        .when(raw.isin("0", "1"), raw.try_cast("int"))
+        .when(raw.rlike(WHOLE_LIST), raw.rlike("[1-9]").cast("int"))
         .when(t.isin("0", "1"), t.try_cast("int"))
         .when(arr.isNotNull() & ~F.exists(arr, lambda x: x.isNull()), list_hit)
         .when(num.isNotNull(), (num > 0).cast("int"))
