@@ -100,6 +100,27 @@ def test_rows_under_one_id_draw_each_for_itself(spark):
     assert sorted(r.shuffle_key for r in poisson_mix(df.repartition(7), by_row=True).collect()) == [r.shuffle_key for r in got]
 
 
+def test_registered_query_under_null_and_repeated_ids(spark, tmp_dir):
+    """A third of all rows under a null id, others under one id and listed twice: as the SQL says, and at the target weights."""
+    import duckdb
+
+    from textlab.llm.queries import QUERIES, SQL
+
+    data = [(None, f"null {i}" + "x" * 60, "en", "a", 7) for i in range(900)] + [(7, f"again {i}" + "x" * 60, None, "a", None) for i in range(300)]
+    data += [(None, "z" * 500, "en", None, 0)] * 200 + [(None, None, None, "a", 0)] * 50 + [(i, "y" * 400, "de", "b", 400) for i in range(100, 900)] + [(100, "y" * 400, "de", "b", 400)] * 3
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+    df.repartition(3).write.parquet(f"{tmp_dir}/documents.parquet")
+    got = Counter(map(tuple, QUERIES["op9_poisson_mix"](spark, tmp_dir).collect()))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_dir}/documents.parquet/*.parquet')")
+    assert got == Counter(con.sql(SQL["op9_poisson_mix"]).fetchall())
+    mass = {s: sum(len(t or "") + 1 for _, t, _, x, _ in data if x == s) for s in ("a", "b", None)}
+    for source in mass:
+        rows_in = sum(x == source for *_, x, _ in data)
+        want = rows_in * sum(mass.values()) / 3 / mass[source]
+        assert abs(sum(n for (_, s, _, _), n in got.items() if s == source) - want) < 6 * math.sqrt(want), source
+
+
 def test_rows_with_one_shuffle_key_are_dealt_to_several_tasks(spark):
     df = frame(spark, [(None, "s", f"text {i}") for i in range(4000)])
     out = poisson_mix(df, budget=60_000.0)

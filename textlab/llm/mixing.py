@@ -74,13 +74,14 @@ def few(df: DataFrame) -> tuple[DataFrame, int]:
 def with_keys(docs: DataFrame, id_col: str, name: str) -> DataFrame:
     """`docs` with the key of each row's draws: its id; under a null or repeated id also a hash of the row and its number among identical rows."""
     columns = docs.columns
-    again, content, twins, row, n, block = (free_name(docs, c) for c in ("id_again", "row_hash", "row_twin", "row_all", "row_n", "row_block"))
+    again, content, twins, n, block = (free_name(docs, c) for c in ("id_again", "row_hash", "row_twin", "row_n", "row_block"))
     doc = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
     ids, many = few(docs.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias(again)).agg(F.count(F.lit(1)).alias(n)).filter(F.col(n) > 1).select(again))
     shared = F.col(id_col).isNull()
     if many:
         docs, shared = docs.join(ids, F.col(id_col) == F.col(again), "left"), shared | F.col(again).isNotNull()
-    whole = F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).cast("binary"))
+    cells = (F.coalesce(F.col(c).cast("string"), F.lit("\x1e")) for c in columns)
+    whole = F.md5(F.concat_ws("\x1f", *cells).cast("binary"))
     hashed = docs.select(*columns, F.when(shared, whole).alias(content))
     key = lambda number: F.concat_ws(":", doc, content, number)
     listed, many = few(hashed.filter(F.col(content).isNotNull()).groupBy(F.col(content).alias(twins)).agg(F.count(F.lit(1)).alias(n)).filter(F.col(n) > 1).select(twins))
@@ -90,12 +91,11 @@ def with_keys(docs: DataFrame, id_col: str, name: str) -> DataFrame:
     if not many:
         return once
     # identical rows become one row with their number, which combines map-side, and are dealt out again in blocks
-    grouped = hashed.join(listed, on, "left_semi").groupBy(content).agg(F.first(F.struct(*columns)).alias(row), F.count(F.lit(1)).alias(n))
+    grouped = hashed.join(listed, on, "left_semi").groupBy(content).agg(*(F.first(c).alias(c) for c in columns), F.count(F.lit(1)).alias(n))
     blocks = grouped.withColumn(block, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(n) - 1) / BLOCK))))
     last = F.least(F.col(n), (F.col(block) + 1) * BLOCK)
     numbered = blocks.withColumn(block, F.explode(F.sequence(F.col(block) * BLOCK + 1, last)))
-    apart = numbered.select(*(F.col(row)[c].alias(c) for c in columns), content, block)
-    return once.unionByName(apart.select(*columns, key(F.col(block).cast("string")).alias(name)))
+    return once.unionByName(numbered.select(*columns, key(F.col(block).cast("string")).alias(name)))
 
 
 def poisson_mix(
@@ -123,7 +123,7 @@ def poisson_mix(
     """
     own = free_name(docs, "draw_key")
     plain = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
-    rates = source_rates(docs, weights, source_col, text_col, budget)
+    rates = cut(source_rates(docs, weights, source_col, text_col, budget))
     docs = with_keys(docs, id_col, own) if by_row else docs.withColumn(own, plain)
     n, size = rates.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.coalesce("source", F.lit(""))))).first()
     src, draws, cdf, copy, key = (free_name(docs, c) for c in ("rate_source", "rate_draws", "rate_cdf", "copy", "shuffle_key"))

@@ -58,8 +58,8 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every source to the same share of the characters, as many characters as there are."""
-    return poisson_mix(read_table(spark, sf_dir, "documents")).select("doc_id", "source", "copy", "shuffle_key")
+    """Every source to the same share of the characters, as many characters as there are; every row draws for itself."""
+    return poisson_mix(read_table(spark, sf_dir, "documents"), by_row=True).select("doc_id", "source", "copy", "shuffle_key")
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,12 +119,16 @@ SQL: dict[str, str] = {
         k AS (SELECT source, rate, unnest(range(0, 400)) AS k FROM r),
         t AS (SELECT source, k, exp(k * ln(rate) - rate - lgamma(k + 1)) AS p FROM k),
         c AS (SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS cdf FROM t),
-        u AS (SELECT doc_id, source, ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null') || ':1'), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
-              FROM documents),
-        n AS (SELECT u.doc_id, u.source, count(*) FILTER (WHERE c.cdf <= u.u) AS copies
-              FROM u JOIN c ON u.source IS NOT DISTINCT FROM c.source GROUP BY u.doc_id, u.source),
-        e AS (SELECT doc_id, source, unnest(range(1, copies + 1))::INT AS copy FROM n)
-        SELECT doc_id, source, copy, md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null') || ':copy:' || copy) AS shuffle_key FROM e
+        h AS (SELECT doc_id, source, CASE WHEN doc_id IS NULL OR count(*) OVER (PARTITION BY doc_id) > 1 THEN md5(concat_ws(chr(31),
+                coalesce(doc_id::VARCHAR, chr(30)), coalesce(text, chr(30)), coalesce(lang, chr(30)), coalesce(source, chr(30)),
+                coalesce(n_chars::VARCHAR, chr(30)))) END AS content FROM documents),
+        g AS (SELECT doc_id, source, concat_ws(':', coalesce(doc_id::VARCHAR, 'null'), content,
+                CASE WHEN content IS NOT NULL THEN row_number() OVER (PARTITION BY content)::VARCHAR END) AS key FROM h),
+        u AS (SELECT *, ('0x' || substr(md5('mix-1:' || key || ':1'), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u FROM g),
+        n AS (SELECT u.doc_id, u.source, u.key, count(*) FILTER (WHERE c.cdf <= u.u) AS copies
+              FROM u JOIN c ON u.source IS NOT DISTINCT FROM c.source GROUP BY u.doc_id, u.source, u.key),
+        e AS (SELECT doc_id, source, key, unnest(range(1, copies + 1))::INT AS copy FROM n)
+        SELECT doc_id, source, copy, md5('mix-1:' || key || ':copy:' || copy) AS shuffle_key FROM e
     """,
     # an item's words in a row, and every document's words in rows of the same lengths
     "op13_positional_index": r"""
