@@ -108,10 +108,10 @@ def _strip_accents_udf(s: pd.Series) -> pd.Series:
 def normalize_text(c) -> Column:
     """Lowercase, then remove accents the way NFKD + drop-combining does.
 
-    ASCII rows never leave the JVM; rows whose non-ASCII characters all map to
-    at most one character are handled by a native ``translate``; only rows
-    with a multi-character decomposition or a supplementary character go
-    through the Arrow UDF.  Membership is tested with ``translate`` (a hash
+    Rows whose non-ASCII characters all map to at most one character are handled
+    by a native ``translate``; only the texts of rows with a multi-character
+    decomposition or a supplementary character go through the Arrow UDF, which
+    sees all others as null.  Membership is tested with ``translate`` (a hash
     lookup per character) rather than a regex class of thousands of ranges.
     """
     src, dst, multi = _accent_tables()
