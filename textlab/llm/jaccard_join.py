@@ -22,8 +22,8 @@ in D bits at most), which rules out pairs without error.  In a few rounds each
 node's nearest such partner in another component is verified, which links most
 groups; then every pair that is left under one signature in different components
 is, so no link between components is missed, while pairs within a component known
-already are never listed; there, rows that still have a possible partner are compared
-again by sketches four times as long, which leave few pairs that do not link.  Signatures with very many nodes are dealt in tiles of bounded size.
+already are never listed.  Small sketches tell which rows have a possible partner, and those
+are compared again by sketches four times as long, which leave few pairs that do not link.  Signatures with very many nodes are dealt in tiles of bounded size.
 """
 
 from __future__ import annotations
@@ -329,6 +329,8 @@ def tile_pairs(num: int, den: int, give: str):
             met = np.zeros(len(raw), bool)
             met[two[fit]] = met[two[fit] + 1] = True
             out.append((node[two[fit]], node[two[fit] + 1], apart[fit]))
+            if not every:  # each of the two looks for its nearest
+                out.append((node[two[fit] + 1], node[two[fit]], apart[fit]))
             for s, m in zip(start.tolist(), size.tolist(), strict=True):
                 if m > 2 or (m == 2 and i[s] != j[s]):
                     e = s + m
@@ -343,8 +345,6 @@ def tile_pairs(num: int, den: int, give: str):
                 yield pa.RecordBatch.from_arrays([pa.array(table[c].to_numpy()[met]) for c in ("sig", "node", "comp", "many")], ["sig", "node", "comp", "many"])
                 return
             a, b, apart = (np.concatenate([x[c] for x in out]) for c in range(3))
-            if not every:  # both nodes of a pair look for their nearest
-                a, b, apart = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([apart, apart])
             one = np.lexsort((b, apart, a)) if not every else np.lexsort((b, a))
             keep = np.ones(len(one), bool)
             keep[1:] = a[one][1:] != a[one][:-1]
@@ -381,16 +381,20 @@ def candidate_pairs(rows: DataFrame, nodes: DataFrame, num: int, den: int, give:
     return tiles.mapInArrow(tile_pairs(num, den, give), schema)
 
 
-def every_pair(rows: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b): all pairs across components that may link.
+def partners(rows: DataFrame, nodes: DataFrame, num: int, den: int, give: str) -> DataFrame:
+    """`candidate_pairs` in two steps: small sketches tell which rows have a partner, fine ones are sent for those only.
 
     Near copies that lie somewhat beyond the threshold of each other pass the
-    small sketches by the square of their number.  So these only say which rows
-    have a partner, and the rows that do are compared again by fine sketches,
-    which are four times as long and leave few pairs that don't link.
+    small sketches by the square of their number; fine sketches, four times as
+    long, leave few pairs that don't link.
     """
     left = stash(candidate_pairs(rows, nodes, num, den, "rows").dropDuplicates(["sig", "node"]), "open")
-    pairs = candidate_pairs(left, nodes, num, den, "every", "fine")
+    return candidate_pairs(left, nodes, num, den, give, "fine")
+
+
+def every_pair(rows: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): all pairs across components that may link."""
+    pairs = partners(rows, nodes, num, den, "every")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -428,7 +432,7 @@ def sets_of(texts: DataFrame, where: DataFrame, k: int) -> DataFrame:
 
 def nearest(rows: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b): for each node its nearest possible partner in another component."""
-    best = candidate_pairs(rows, nodes, num, den, "nearest").groupBy("a").agg(F.min(F.struct("apart", "b")).alias("best"))
+    best = partners(rows, nodes, num, den, "nearest").groupBy("a").agg(F.min(F.struct("apart", "b")).alias("best"))
     return best.select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")).distinct()
 
 
