@@ -129,3 +129,55 @@ def test_term_table_finds_terms_as_text(monkeypatch):
     assert table.key != "0" * 16
     many = pa.array([f"other {i}" for i in range(20000)] + asked.to_pylist())
     assert table.find(many).tolist() == [-1] * 20000 + want
+
+
+def test_words_reach_python_in_bounded_slices():
+    import pyarrow as pa
+
+    words = ["ab cd " * i for i in (1, 400, 2, 0, 3, 900)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(words)], ["k", "w"])
+    parts = list(tfidf._slices(batch, 3000))
+    assert [r for p in parts for r in p.column(0).to_pylist()] == list(range(6))
+    assert all(p.num_rows == 1 or p.column(1).nbytes <= 3000 for p in parts) and len(parts) > 1
+    row, code, tf, terms = tfidf._counted(pa.array(["ab cd ab cd", "", "cd", "ab cd"]).slice(1))
+    got = [(r, terms[c].as_py(), n) for r, c, n in zip(row.tolist(), code.tolist(), tf.tolist())]
+    assert sorted(got) == [(1, "cd", 1), (2, "ab", 1), (2, "ab cd", 1), (2, "cd", 1)]
+
+
+def test_no_term_array_reaches_python(spark):
+    df = spark.createDataFrame([(1, "alpha beta alpha beta"), (1, None)], "k int, text string")
+    counted = tfidf.term_counts(df, carry=["k"])
+    assert "_terms" not in counted._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, counted.collect())) == [(1, "alpha", 2), (1, "alpha beta", 2), (1, "beta", 2), (1, "beta alpha", 1)]
+
+
+def test_a_chunk_asks_for_a_term_once(spark, monkeypatch):
+    """A hundred rows of the same words: the join with a large vocabulary carries their distinct terms, not their entries."""
+    monkeypatch.setattr(tfidf, "VOCAB_BROADCAST_MAX_BYTES", 0)
+    df = spark.createDataFrame([(i, "alpha beta gamma") for i in range(100)] + [(100, "none of these"), (101, None)], "k int, text string").coalesce(1)
+    vocab = tfidf.fit_vocabulary(df, max_df=1.0)
+    paths = []
+    real = tfidf.scratch_path
+    monkeypatch.setattr(tfidf, "scratch_path", lambda s, name: paths.append(real(s, name)) or paths[-1])
+    got = {r.k: r for r in tfidf.transform(df, vocab, carry=["k"], keep_terms=True).collect()}
+    assert len(got) == 102 and got[100].terms == [] and got[101].idx == []
+    assert all(sorted(got[i].terms) == ["alpha", "alpha beta", "beta", "beta gamma", "gamma"] for i in range(100))
+    asked = sum(len([t for t in r.terms if t]) for r in spark.read.parquet(paths[0]).collect())
+    assert asked == 10  # five of the hundred rows, five of the one with other words
+
+
+def test_decisions_of_several_models_where_nothing_is_broadcast(spark, docs, monkeypatch):
+    from textlab.operators.linear import decision_scores
+
+    vocab = tfidf.fit_vocabulary(docs.filter("doc_id % 10 < 8"))
+    coefs = vocab.table.filter("idx % 3 > 0").select("idx", F.array(F.col("idx") % 7 / 7.0, F.length("term") / 10.0, F.lit(-1.0)).alias("coefs"))
+    rows = docs.unionByName(spark.createDataFrame([(-1, None), (-1, "qqqq zzzz"), (-2, "")], "doc_id long, text string"))
+    want = decision_scores(tfidf.transform(rows, vocab, carry=["doc_id"]), coefs, [0.5, 0.0, 2.0], ["doc_id"]).collect()
+    monkeypatch.setattr(tfidf, "CHUNK_BYTES", 4000)
+    got = tfidf.decisions(rows, vocab, coefs, [0.5, 0.0, 2.0], carry=["doc_id"]).collect()
+    key = lambda r: (r.doc_id, [round(x, 9) for x in r.scores])
+    assert len(got) == len(want) == docs.count() + 3
+    for a, b in zip(sorted(got, key=key), sorted(want, key=key)):
+        assert a.doc_id == b.doc_id and a.scores == pytest.approx(b.scores, abs=1e-12)
+    alone = rows.filter("doc_id < 0")  # a chunk without any known term
+    assert [r.scores for r in tfidf.decisions(alone, vocab, coefs, [0.5, 0.0, 2.0]).collect()] == [[0.5, 0.0, 2.0]] * 3
