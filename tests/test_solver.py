@@ -158,3 +158,17 @@ def test_solver_all_one_class(spark):
     df, X, y, s = make_rows(spark)
     coef, b, info = fit_linear(df.withColumn("y", F.lit(1)), "logistic", 2.0)
     assert b > 0 and np.isfinite(dense(coef, X.shape[1])).all()
+
+
+def test_partial_vectors_are_as_many_as_tasks_run_at_once(spark, monkeypatch):
+    """However many partitions the tiles have, a pass hands on one partial vector per running task."""
+    df, X, y, s = make_rows(spark)
+    problem = prepare(df, tile_entries=10)
+    want = problem.multiply([problem.y])[0]
+    problem.tiles = problem.tiles.repartition(12, F.monotonically_increasing_id()).persist()
+    seen = []
+    real = solver._joined
+    monkeypatch.setattr(solver, "_joined", lambda pieces, *a: seen.append(pieces.num_rows) or real(pieces, *a))
+    got = problem.multiply([problem.y])[0]
+    assert np.allclose(got, want) and problem.n_tiles > 8
+    assert 0 < seen[0] <= spark.sparkContext.defaultParallelism
