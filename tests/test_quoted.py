@@ -5,6 +5,7 @@ import os
 import random
 
 import pytest
+from pyspark import TaskContext
 
 from textlab.operators import ingest
 from textlab.operators.ordering import number_by_position
@@ -119,3 +120,24 @@ def test_scored_csv_is_read_in_splits(spark, tmp_dir, splits):
 
 def test_an_empty_file(spark, tmp_dir, splits):
     assert quoted_records(spark, write(tmp_dir, "none.tsv", "")).count() == 0
+
+
+def test_a_filter_on_fields_takes_no_record_apart_again(spark, tmp_dir):
+    path = write(tmp_dir, "wild.tsv", wild(5))
+    df = ingest.valid_corpus(readers.read_corpus(spark, path, multi_line=True))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+    want = {r[0] for r in one_reading(path) if len(r) == 6}
+    assert {r["record_id"] for r in df.collect()} == want
+
+
+def test_the_empty_guard_stops_at_the_first_partition_with_rows(spark, tmp_dir):
+    def work(batches):
+        os.makedirs(os.path.join(tmp_dir, f"part-{TaskContext.get().partitionId()}"), exist_ok=True)
+        yield from batches
+
+    df = spark.range(800, numPartitions=8).join(spark.range(800).hint("broadcast"), "id").mapInArrow(work, "id long")
+    assert ingest.require_rows(df, "rows") is df
+    assert os.listdir(tmp_dir) == ["part-0"]
+    with pytest.raises(ValueError, match="no valid record"):
+        ingest.require_rows(df.filter("id < 0"), "rows")

@@ -31,11 +31,11 @@ OUTSIDE, INSIDE = 0, 1
 
 def without_quoted(text: Column, sep: str) -> Column:
     """The text without its complete quoted fields; a quote left at the start of a field is never closed."""
-    return F.regexp_replace(text, rf'(^|{sep})"[^"]*+(?:""[^"]*+)*+"', "$1")
+    return F.when(F.contains(text, F.lit('"')), F.regexp_replace(text, rf'(^|{sep})"[^"]*+(?:""[^"]*+)*+"', "$1")).otherwise(text)
 
 
 def is_open(text: Column, sep: str) -> Column:
-    return without_quoted(text, sep).rlike(f'(^|{sep})"')
+    return F.contains(text, F.lit('"')) & without_quoted(text, sep).rlike(f'(^|{sep})"')
 
 
 def lines(spark: SparkSession, path, sep: str) -> DataFrame:
@@ -51,7 +51,7 @@ def lines(spark: SparkSession, path, sep: str) -> DataFrame:
     return raw.select(
         "*",
         is_open(F.col("value"), sep).cast("int").alias("if_outside"),
-        F.when(F.col("value").rlike(closing), is_open(rest, sep).cast("int")).otherwise(F.lit(INSIDE)).alias("if_inside"),
+        F.when(F.contains("value", F.lit('"')) & F.col("value").rlike(closing), is_open(rest, sep).cast("int")).otherwise(F.lit(INSIDE)).alias("if_inside"),
     )
 
 

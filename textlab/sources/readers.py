@@ -65,17 +65,22 @@ def _tsv(spark: SparkSession, path, names, multi_line: bool) -> DataFrame:
 
 
 def _fields(records: DataFrame, names: list[str], sep: str) -> DataFrame:
-    """The fields of assembled records beside them: quotes taken off, text after a closing quote as it is, bare empty fields null."""
+    """The fields of assembled records beside them: quotes taken off, text after a closing quote as it is, bare empty fields null.
+
+    The fields leave a generator: a filter on them is not pushed below it,
+    where each mention of a field would take the record apart anew.
+    """
     quoted = r'^"([^"]*+(?:""[^"]*+)*+)"'
     every = F.regexp_extract_all(F.concat(F.lit(sep), "_record"), F.lit(rf'{sep}("[^"]*+(?:""[^"]*+)*+"[^{sep}]*+|[^{sep}]*+)'), F.lit(1))
-    records = records.withColumn("_f", every)
+    records = records.withColumn("_f", F.when(F.contains("_record", F.lit('"')), every).otherwise(F.split("_record", sep, -1)))
 
     def value(i: int) -> F.Column:
         raw = F.get("_f", F.lit(i))
         inner = F.replace(F.regexp_extract(raw, quoted, 1), F.lit('""'), F.lit('"'))
-        return F.when(raw.rlike(quoted), F.concat(inner, F.regexp_replace(raw, quoted, ""))).when(raw != "", raw)
+        return F.when(raw.startswith('"') & raw.rlike(quoted), F.concat(inner, F.regexp_replace(raw, quoted, ""))).when(raw != "", raw)
 
-    return records.withColumns({n: value(i) for i, n in enumerate(names)}).drop("_f")
+    fields = F.struct(*(value(i).alias(n) for i, n in enumerate(names)))
+    return records.select(*records.columns, F.inline(F.array(fields))).drop("_f")
 
 
 def n_fields(names) -> F.Column:
