@@ -181,3 +181,36 @@ def test_decisions_of_several_models_where_nothing_is_broadcast(spark, docs, mon
         assert a.doc_id == b.doc_id and a.scores == pytest.approx(b.scores, abs=1e-12)
     alone = rows.filter("doc_id < 0")  # a chunk without any known term
     assert [r.scores for r in tfidf.decisions(alone, vocab, coefs, [0.5, 0.0, 2.0]).collect()] == [[0.5, 0.0, 2.0]] * 3
+
+
+def test_counted_terms_travel_packed(spark):
+    """One exchange, of a row per chunk, bucket and count instead of one per term; rows that hold a term count once."""
+    texts = [" ".join(f"w{(i * 7 + j) % 900}" for j in range(300)) for i in range(40)] + ["x1 x2 x1 x2 x1", "", "é é", "a b"]
+    df = spark.createDataFrame([(t,) for t in texts + [None]], "text string").coalesce(1)
+    counts = tfidf.document_counts(df)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "packed" in plan.split("Exchange")[1]
+    want = Counter(t for s in texts for t in set(py_terms(s)))
+    got = {r.term: r.df for r in counts.collect()}
+    assert got.pop(None) == len(texts) + 1 and got == want
+    sent = counts.sparkSession.createDataFrame([], "text string")
+    assert tfidf.document_counts(sent).collect() == []
+    assert tfidf.fit_vocabulary(sent).size == 0
+
+
+def test_packed_numbers():
+    import numpy as np
+
+    for numbers in ([], [5], [2**31 - 1, 0, -3, 2**31 - 1, -(2**31)], range(0, 3000, 3)):
+        x = np.array(list(numbers), np.int64)
+        assert tfidf._unpacked(tfidf._packed(x)).tolist() == x.tolist()
+    assert len(tfidf._packed(np.arange(100_000))) < 1000
+
+
+def test_the_lookup_of_a_large_vocabulary_broadcasts_nothing(spark, monkeypatch):
+    df = spark.createDataFrame([(i, "alpha beta gamma") for i in range(20)], "k int, text string")
+    vocab = tfidf.fit_vocabulary(df, max_df=1.0)
+    monkeypatch.setattr(tfidf, "VOCAB_BROADCAST_MAX_BYTES", 0)
+    coefs = vocab.table.select("idx", F.array(F.lit(1.0)).alias("coefs"))
+    plan = tfidf.decisions(df, vocab, coefs, [0.0], carry=["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [term" in plan and "BroadcastHashJoin [term" not in plan
