@@ -207,10 +207,10 @@ def test_packed_numbers():
     assert len(tfidf._packed(np.arange(100_000))) < 1000
 
 
-def test_the_lookup_of_a_large_vocabulary_broadcasts_nothing(spark, monkeypatch):
+def test_the_lookup_of_a_large_vocabulary_sends_packed_terms(spark, monkeypatch):
     df = spark.createDataFrame([(i, "alpha beta gamma") for i in range(20)], "k int, text string")
     vocab = tfidf.fit_vocabulary(df, max_df=1.0)
     monkeypatch.setattr(tfidf, "VOCAB_BROADCAST_MAX_BYTES", 0)
     coefs = vocab.table.select("idx", F.array(F.lit(1.0)).alias("coefs"))
     plan = tfidf.decisions(df, vocab, coefs, [0.0], carry=["k"])._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin [term" in plan and "BroadcastHashJoin [term" not in plan
+    assert "Join [term" not in plan and "hashpartitioning(bucket" in plan and "hashpartitioning(term" not in plan
