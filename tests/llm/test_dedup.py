@@ -1,5 +1,8 @@
 """Substring, suffix-array and Jaccard dedup against brute force."""
 
+import random
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,3 +109,45 @@ def test_texts_with_the_same_31_bits_of_hash_stay_apart(spark):
     assert sorted(got) in ([0, 0, len(passage) + 1], [0, len(passage) + 1, len(passage) + 1])
     got = jj.jaccard_join(df).collect()
     assert len({(r.tag, r.tag2) for r in got}) == 2 and len({(r.tag, r.tag2) for r in got if r.first}) == 1
+
+
+def tile_input(spark, shared):
+    """Rows and nodes for `partners`: sets of 100 shingles whose sketches rule nothing out."""
+    rows = [(sig, node, len(nodes), node) for sig, nodes in shared.items() for node in nodes]
+    rows = spark.createDataFrame(rows, "sig long, node long, many long, comp long")
+    nodes = spark.createDataFrame([(i, 100, bytes(32), bytes(32)) for i in {n for v in shared.values() for n in v}], "node long, n long, sketch binary, fine binary")
+    return rows, nodes
+
+
+def test_near_copies_give_a_pair_once_however_many_signatures_they_share(spark):
+    shared = {7919 * s: list(range(1, 13)) for s in range(1, 41)} | {-s: [100, 101] for s in range(1, 41)}
+    rows, nodes = tile_input(spark, shared)
+    got = [(r.a, r.b) for r in jj.partners(rows, nodes, 80, 100, "every").collect()]
+    assert sorted(tuple(sorted(p)) for p in got) == [(a, b) for a in range(1, 13) for b in range(a + 1, 13)] + [(100, 101)]
+    near = [r.a for r in jj.partners(rows, nodes, 80, 100, "nearest").collect()]
+    assert sorted(near) == [*range(1, 13), 100, 101]
+
+
+@pytest.mark.parametrize("tile", [2048, 3])
+def test_no_pair_is_lost_between_signatures(spark, monkeypatch, tile):
+    monkeypatch.setattr(jj, "TILE", tile)
+    monkeypatch.setattr(jj, "BEFORE", 4)
+    rng = random.Random(8)
+    shared = {rng.getrandbits(62): sorted(rng.sample(range(1, 60), rng.choice([2, 2, 3, 9]))) for _ in range(200)}
+    rows, nodes = tile_input(spark, shared)
+    got = [tuple(sorted((r.a, r.b))) for r in jj.partners(rows, nodes, 80, 100, "every").collect()]
+    assert set(got) == {(a, b) for v in shared.values() for a in v for b in v if a < b}
+    near = {r.a for r in jj.partners(rows, nodes, 80, 100, "nearest").collect()}
+    assert near == {n for v in shared.values() for n in v}
+
+
+def test_a_pair_ruled_out_elsewhere_hides_no_link(spark):
+    """Wide sketches rule out (1, 2), which a narrow sketch in the same group must not put before (1, 3)."""
+    wide = lambda bits: np.array([(1 << bits) - 1, 0, 0, 0, (1 << bits) - 1, 0, 0, 0], np.uint64).tobytes()
+    sizes = {1: (110, wide(0)), 2: (110, wide(30)), 3: (109, bytes(64)), 4: (100, bytes(32))}
+    nodes = spark.createDataFrame([(i, n, s, s) for i, (n, s) in sizes.items()], "node long, n long, sketch binary, fine binary")
+    shared = {10: [1, 2], 20: [1, 2, 3, 4]}
+    # 3 and 4 are one component, as are 2 and 4
+    rows = spark.createDataFrame([(sig, i, len(v), 1 if i == 1 else 3) for sig, v in shared.items() for i in v], "sig long, node long, many long, comp long")
+    got = {(r.a, r.b) for r in jj.candidate_pairs(rows, nodes, 80, 100, "nearest").collect()}
+    assert (1, 3) in got and (1, 2) not in got

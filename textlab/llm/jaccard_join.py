@@ -24,6 +24,8 @@ groups; then every pair that is left under one signature in different components
 is, so no link between components is missed, while pairs within a component known
 already are never listed.  Small sketches tell which rows have a possible partner, and those
 are compared again by sketches four times as long, which leave few pairs that do not link.  Signatures with very many nodes are dealt in tiles of bounded size.
+Near copies share many signatures; rows list the signatures that their nodes have next before, and two that have
+one of them in common leave their pair to it, so that a pair is not given once per signature and partition.
 """
 
 from __future__ import annotations
@@ -53,6 +55,8 @@ _STEP = U(0xD6E8FEB86659FD93)
 SKETCH_LOAD, FINE_LOAD, SKETCH_LEAST = 100, 25, 4
 #: Expected nodes in a tile's side.
 TILE = 2048
+#: Signatures to a row's list of those that its node has next before, in their order.
+BEFORE = 16
 #: Words of sketches that are compared at a time.
 CELLS = 1 << 21
 #: Document keys (three numbers each) of at most so many candidates are sent to the texts; more are joined by a shuffle.
@@ -253,55 +257,89 @@ def live_signatures(texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
     return seen.filter("several").select("sig", "node", "many").distinct()
 
 
+def lists_before(column: pa.ChunkedArray, sig: np.ndarray) -> np.ndarray:
+    """The rows' lists of signatures, filled up with their own one."""
+    lists = column.combine_chunks()
+    size = np.diff(lists.offsets.to_numpy())
+    out = np.repeat(sig[:, None], BEFORE, axis=1)
+    out[np.arange(BEFORE) < size[:, None]] = lists.flatten().to_numpy()
+    return out
+
+
+def left_before(before: np.ndarray, sig: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which pairs (x, y) of rows under one signature also meet under another listed for both."""
+    out = np.zeros(len(x), bool)
+    step = CELLS // BEFORE**2
+    for s in range(0, len(x), step):
+        at = x[s : s + step]
+        a, b = before[at], before[y[s : s + step]]
+        out[s : s + step] = ((a[:, :, None] == b[:, None, :]) & (a != sig[at, None])[:, :, None]).any(axis=(1, 2))
+    return out
+
+
 def tile_pairs(num: int, den: int, give: str):
-    """A function over batches of (sig, i, j, blk, node, comp, n, many, sketch) in (sig, i, j) order.
+    """A function over batches of (sig, i, j, blk, node, comp, n, many, sketch, before) in (sig, i, j) order.
 
     Gives (a, b, apart) pairs of nodes in different components that may link: all of them ("every"), or for each
     node only the one that its sketch says is nearest ("nearest"); or ("rows") the rows (sig, node, comp, many) that
-    have such a partner.
+    have such a partner.  Pairs that also meet under a signature of `before`, which all precede `sig`, are left to it:
+    nothing is lost, as no pair is left at the first signature that its nodes share, and there a node's nearest is as near.
     """
     every, marks = give == "every", give == "rows"
 
-    def tile(node, comp, n, blk, sk, i, j):
+    def tile(sig, node, comp, n, blk, raw, before, i, j):
         order = np.argsort(n, kind="stable")
         met = np.zeros(len(n), bool)
-        node, comp, n, blk, sk = node[order], comp[order], n[order], blk[order], sk[order]
-        left = np.flatnonzero(blk == i)
-        right = np.flatnonzero(blk == j) if i != j else left
+        node, comp, n, blk = node[order], comp[order], n[order], blk[order]
+        before = before[order] if before is not None else None
+        raw = [raw[x] for x in order]
         best_apart = np.full(len(node), 1 << 60)
         best = np.full(len(node), -1)
         out = []
-        step = max(1, CELLS // max(1, len(right) * sk.shape[1]))
-        for s in range(0, len(left), step):
-            rows = left[s : s + step]
-            # sizes ascend: partners outside the ratio are not looked at
-            lo = np.searchsorted(n[right], n[rows[0]] * num // den, "left")
-            hi = np.searchsorted(n[right], -(-n[rows[-1]] * den // num), "right")
-            cols = right[lo:hi]
-            if len(cols) == 0:
-                continue
-            apart = np.bitwise_count(sk[rows, None, :] ^ sk[None, cols, :]).sum(axis=2, dtype=np.int64)
-            most = most_apart(n[rows, None], n[None, cols], num, den)
-            apart = np.maximum(apart, np.abs(n[rows, None] - n[None, cols]))
-            fit = (apart <= most) & (comp[rows, None] != comp[None, cols])
-            if marks:
-                met[order[rows[fit.any(axis=1)]]] = True
-                met[order[cols[fit.any(axis=0)]]] = True
-            elif every:
-                r, c = np.nonzero(fit & (node[rows, None] < node[None, cols]) if i == j else fit)
-                out.append((node[rows[r]], node[cols[c]], apart[r, c]))
-            else:
-                apart[~fit] = 1 << 60
-                for axis, own, other in ((1, rows, cols), (0, cols, rows)):
-                    at = apart.argmin(axis=axis)
-                    value = apart.min(axis=axis)
-                    nearer = value < best_apart[own]
-                    best_apart[own[nearer]] = value[nearer]
-                    best[own[nearer]] = other[at[nearer]]
+
+        def compare(left, right, words):
+            x, y = (np.stack([folded(raw[r], words) for r in side]) for side in (left, right))
+            step = max(1, CELLS // max(1, len(right) * words))
+            for s in range(0, len(left), step):
+                rows = left[s : s + step]
+                # sizes ascend: partners outside the ratio are not looked at
+                lo = np.searchsorted(n[right], n[rows[0]] * num // den, "left")
+                hi = np.searchsorted(n[right], -(-n[rows[-1]] * den // num), "right")
+                cols = right[lo:hi]
+                if len(cols) == 0:
+                    continue
+                apart = np.bitwise_count(x[s : s + step, None, :] ^ y[None, lo:hi, :]).sum(axis=2, dtype=np.int64)
+                most = most_apart(n[rows, None], n[None, cols], num, den)
+                apart = np.maximum(apart, np.abs(n[rows, None] - n[None, cols]))
+                fit = (apart <= most) & (comp[rows, None] != comp[None, cols])
+                if marks:
+                    met[order[rows[fit.any(axis=1)]]] = True
+                    met[order[cols[fit.any(axis=0)]]] = True
+                elif every:
+                    r, c = np.nonzero(fit & (node[rows, None] < node[None, cols]) if i == j else fit)
+                    new = ~left_before(before, sig, rows[r], cols[c])
+                    r, c = r[new], c[new]
+                    out.append((node[rows[r]], node[cols[c]], apart[r, c]))
+                else:
+                    apart[~fit] = 1 << 60
+                    for axis, own, other in ((1, rows, cols), (0, cols, rows)):
+                        at = apart.argmin(axis=axis)
+                        value = apart.min(axis=axis)
+                        nearer = value < best_apart[own]
+                        best_apart[own[nearer]] = value[nearer]
+                        best[own[nearer]] = other[at[nearer]]
+
+        # as wide as both sketches allow, so that a pair is as far apart under every signature
+        words = np.array([len(x) for x in raw])
+        sides = [[at[words[at] == w] for w in np.unique(words[at])] for at in (np.flatnonzero(blk == i), np.flatnonzero(blk == j))]
+        for left in sides[0]:
+            for right in sides[1]:
+                compare(left, right, min(words[left[0]], words[right[0]]))
         if marks:
             return met
         if not every:
             at = np.flatnonzero(best >= 0)
+            at = at[~left_before(before, sig, at, best[at])]
             out.append((node[at], node[best[at]], best_apart[at]))
         return out
 
@@ -315,7 +353,8 @@ def tile_pairs(num: int, den: int, give: str):
             new[1:] = np.any([c[1:] != c[:-1] for c in cols[:3]], axis=0)
             start = np.flatnonzero(new)
             size = np.diff(np.append(start, len(raw)))
-            _, i, j, blk, node, comp, n = cols
+            sig, i, j, blk, node, comp, n = cols
+            before = None if marks else lists_before(table["before"], sig)
             out = []
             # tiles of two rows, most of all
             two = start[size == 2]
@@ -328,15 +367,15 @@ def tile_pairs(num: int, den: int, give: str):
             fit = apart <= most_apart(n[two], n[two + 1], num, den)
             met = np.zeros(len(raw), bool)
             met[two[fit]] = met[two[fit] + 1] = True
+            if not marks:
+                fit[fit] = ~left_before(before, sig, two[fit], two[fit] + 1)
             out.append((node[two[fit]], node[two[fit] + 1], apart[fit]))
             if not every:  # each of the two looks for its nearest
                 out.append((node[two[fit] + 1], node[two[fit]], apart[fit]))
             for s, m in zip(start.tolist(), size.tolist(), strict=True):
                 if m > 2 or (m == 2 and i[s] != j[s]):
                     e = s + m
-                    least = min(map(len, raw[s:e]))  # sizes under one signature are alike
-                    sk = np.stack([folded(x, least) for x in raw[s:e]])
-                    found = tile(node[s:e], comp[s:e], n[s:e], blk[s:e], sk, i[s], j[s])
+                    found = tile(sig[s:e], node[s:e], comp[s:e], n[s:e], blk[s:e], raw[s:e], None if marks else before[s:e], i[s], j[s])
                     if marks:
                         met[s:e] |= found
                     else:
@@ -370,12 +409,16 @@ def tile_pairs(num: int, den: int, give: str):
 
 
 def candidate_pairs(rows: DataFrame, nodes: DataFrame, num: int, den: int, give: str, sketch: str = "sketch") -> DataFrame:
-    """What `tile_pairs` gives, from rows (sig, node, many, comp) and nodes (node, n, and the sketch to compare)."""
+    """What `tile_pairs` gives, from distinct rows (sig, node, many, comp) and nodes (node, n, and the sketch to compare)."""
+    lists = []
+    if give != "rows":
+        next_before = Window.partitionBy("node").orderBy("sig").rowsBetween(-BEFORE, -1)
+        rows, lists = rows.withColumn("before", F.collect_list("sig").over(next_before)), ["before"]
     rows = rows.join(nodes.select("node", "n", F.col(sketch).alias("sketch")), "node")
     blocks = F.ceil(F.col("many") / TILE).cast("int")
     dealt = rows.withColumn("blk", F.pmod(F.xxhash64("node", "sig"), blocks).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select("sig", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", "node", "comp", "n", "many", "sketch")
+    dealt = dealt.select("sig", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", "node", "comp", "n", "many", "sketch", *lists)
     tiles = dealt.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
     schema = "sig long, node long, comp long, many long" if give == "rows" else "a long, b long, apart long"
     return tiles.mapInArrow(tile_pairs(num, den, give), schema)
