@@ -154,6 +154,14 @@ def test_fit_rows_are_bounded(spark):
     assert training_rows(packed, weights).count() == 400
 
 
+def test_every_labelled_row_is_fitted(spark):
+    """A million rows and more are fitted whole: no default of the row choice drops any."""
+    weights = spark.createDataFrame([(0, 1.0), (1, 1.0)], "label int, weight double")
+    packed = spark.range(1_000_500).select(
+        (F.col("id") % 2).cast("int").alias("binary_label"), F.array("id").alias("idx"), F.array(F.lit(1.0)).alias("val"))
+    assert training_rows(packed, weights).count() == 1_000_500
+
+
 def test_solver_all_one_class(spark):
     df, X, y, s = make_rows(spark)
     coef, b, info = fit_linear(df.withColumn("y", F.lit(1)), "logistic", 2.0)
