@@ -154,6 +154,43 @@ def test_fit_rows_are_bounded(spark):
     assert training_rows(packed, weights).count() == 400
 
 
+def drive(loss, c, y, K, tol):
+    """The descent alone, with a dense product for the passes."""
+    solver_ = solver.descend(loss, c, y, None, tol, 1000, 40)
+    asked = next(solver_)
+    try:
+        while True:
+            asked = solver_.send(K @ asked)
+    except StopIteration as end:
+        return end.value
+
+
+def test_descent_goes_on_where_the_objective_stands_still():
+    """Near the optimum of a large objective the steps still lower the gradient, though the objective no longer shows it."""
+    rng = np.random.default_rng(5)
+    X = rng.normal(size=(600, 300)) / 17.0
+    X[:, 0] += 0.5
+    y, c = np.where(rng.random(600) < 0.5, 1.0, -1.0), np.full(600, 100.0)
+    assert drive("squared_hinge", c, y, X @ X.T, 1e-4)[3] <= 1e-4
+
+
+def test_steps_are_taken_in_groups(spark, monkeypatch):
+    """No more row vectors than a group's are held for the coefficients of the steps; all groups come back as one table."""
+    df, X, y, s = make_rows(spark)
+    whole = fit_linear(df, "logistic", 2.0, start=False, keep_steps=True)[2]["steps"]
+    monkeypatch.setattr(solver, "COEF_BYTES", 3 * 8 * len(y))
+    monkeypatch.setattr(solver, "COEF_SLICE", 4)
+    real, seen = solver.Coefficients.flush, []
+    monkeypatch.setattr(solver.Coefficients, "flush", lambda self: (seen.append(len(self.waiting)), real(self)))
+    coefs, biases = fit_linear(df, "logistic", 2.0, start=False, keep_steps=True)[2]["steps"]
+    assert max(seen) <= 3 and sum(1 for n in seen if n == 3) > 1
+    assert biases == pytest.approx(whole[1])
+    want = dict(whole[0].collect())
+    for idx, got in coefs.collect():
+        assert got == pytest.approx(want.pop(idx))
+    assert not want
+
+
 def test_every_labelled_row_is_fitted(spark):
     """A million rows and more are fitted whole: no default of the row choice drops any."""
     weights = spark.createDataFrame([(0, 1.0), (1, 1.0)], "label int, weight double")
