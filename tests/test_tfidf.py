@@ -5,6 +5,7 @@ import re
 import unicodedata
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -214,3 +215,27 @@ def test_the_lookup_of_a_large_vocabulary_sends_packed_terms(spark, monkeypatch)
     coefs = vocab.table.select("idx", F.array(F.lit(1.0)).alias("coefs"))
     plan = tfidf.decisions(df, vocab, coefs, [0.0], carry=["k"])._jdf.queryExecution().executedPlan().toString()
     assert "Join [term" not in plan and "hashpartitioning(bucket" in plan and "hashpartitioning(term" not in plan
+
+
+def test_words_found_before_are_taken_as_they_are(spark):
+    """The fits find the words of the training rows once, for the vocabulary and the rows."""
+    docs = spark.createDataFrame([(1, "Ein Haus, ein Baum"), (2, "ein Haus am See"), (3, None), (4, "Baum und See und Haus")], "k int, text string")
+    once = tfidf.worded(docs, carry=["k"])
+    assert "text" not in once.columns
+    vocab, again = tfidf.fit_vocabulary(docs), tfidf.fit_vocabulary(once)
+    assert again.n_docs == 4 and sorted(again.table.collect()) == sorted(vocab.table.collect())
+    assert sorted(tfidf.transform(once, again, carry=["k"]).collect()) == sorted(tfidf.transform(docs, vocab, carry=["k"]).collect())
+
+
+def test_buckets_and_order_of_terms():
+    """A term has one bucket wherever it is met, and its place is that of its text in sorted order."""
+    words = ["ab", "abc", "é_", "zz", "中文", "𝒳x", "0a", "a_"]
+    terms = words + [f"{a} {b}" for a in words for b in words]
+    parts = tfidf._parts(pa.array(terms))
+    place = {t: i for i, t in enumerate(sorted(terms, key=lambda t: t.encode()))}
+    assert tfidf._ranks(parts).tolist() == [place[t] for t in terms]
+    buckets = dict(zip(terms, tfidf._buckets(parts, 1000).tolist()))
+    for t in terms:
+        assert tfidf._buckets(tfidf._parts(pa.array([t])), 1000).tolist() == [buckets[t]]
+    assert all(len({buckets[t] for t in terms if t.split(" ")[0] == w}) <= tfidf.SPREAD for w in words)
+    assert len(set(buckets.values())) > 20
