@@ -3,7 +3,9 @@
 import numpy as np
 import pytest
 
+from pyspark.accumulators import AccumulatorParam
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from textlab.operators import evaluate, solver
 from textlab.operators.linear import decision_score, decision_scores, gradient_norm, training_rows
@@ -191,6 +193,36 @@ def test_steps_are_taken_in_groups(spark, monkeypatch):
     assert not want
 
 
+def test_rows_go_to_python_in_batches_of_a_block(spark, monkeypatch):
+    """Rows are wide, so a batch of the default 10,000 would fill an executor; the setting comes back afterwards."""
+    monkeypatch.setattr(solver, "BLOCK_ROWS", 50)
+    seen, real = [], DataFrame.mapInArrow
+
+    def watched(self, func, schema, *a, **k):
+        def told(batches):
+            for out in func(x if not largest.add(x.num_rows) else x for x in batches):
+                yield out
+
+        largest = spark.sparkContext.accumulator(0, Most())
+        seen.append(largest)
+        return real(self, told, schema, *a, **k)
+
+    monkeypatch.setattr(DataFrame, "mapInArrow", watched)
+    df, X, y, s = make_rows(spark, n=900)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    problem = prepare(df)
+    assert 0 < seen[0].value <= 50 and len(problem.y) == 900
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+class Most(AccumulatorParam):
+    def zero(self, value):
+        return 0
+
+    def addInPlace(self, a, b):
+        return max(a, b)
+
+
 def test_every_labelled_row_is_fitted(spark):
     """A million rows and more are fitted whole: no default of the row choice drops any."""
     weights = spark.createDataFrame([(0, 1.0), (1, 1.0)], "label int, weight double")
